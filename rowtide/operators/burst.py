@@ -1,0 +1,134 @@
+"""A synthetic burst of order changes, for load tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rowtide.operators.capture import (
+    LOG_FILE,
+    TOPIC_PARTITIONS,
+    envelope_text,
+    image,
+    record_key,
+    source_of,
+)
+from rowtide.schemas import FEED, MONEY, ORDERS
+
+# What new orders are made of, and the key an empty table starts after.
+BURST_CUSTOMERS = [1001, 1002, 1003]
+BURST_STATUSES = ["CREATED", "PAID", "PROCESSING"]
+BURST_CITIES = ["Kolkata", "Bengaluru", "Chennai", "Delhi"]
+BURST_CURRENCY = "INR"
+MIN_CENTS, MAX_CENTS = 100, 500000
+LAST_KEY_OF_EMPTY_TABLE = 5000
+
+
+def next_key(orders: DataFrame) -> int:
+    """One more than the largest key (one scalar)."""
+    last = F.coalesce(F.max("order_id"), F.lit(LAST_KEY_OF_EMPTY_TABLE))
+    return orders.agg(last + 1).first()[0]
+
+
+def _draw(salt: str, choices: int) -> Column:
+    """A repeatable pick in 0..choices-1 that depends on the key and the salt only."""
+    digits = F.md5(F.concat(F.col("order_id").cast("string"), F.lit(f"|{salt}")))
+    return F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint") % choices
+
+
+def _one_of(values: list, salt: str) -> Column:
+    options = F.array(*[F.lit(v) for v in values])
+    return F.element_at(options, (_draw(salt, len(values)) + 1).cast("int"))
+
+
+def change_burst(
+    orders: DataFrame,
+    count: int = 10000,
+    update_percent: float = 10.0,
+    delete_percent: float = 2.0,
+    batch_size: int = 500,
+    seed: str = "0",
+    at_ms: int = 0,
+    base_offset: int = 0,
+) -> DataFrame:
+    """`count` inserts after the largest key, then updates of the first, deletes of the last.
+
+    The feed is laid out as the source would have written it: all inserts, then the
+    updates, then the deletes with their tombstones. Ranges may overlap, a row can be
+    updated and then deleted. `batch_size` rows share one transaction id.
+    """
+    spark = orders.sparkSession
+    updates = int(count * update_percent / 100.0)
+    deletes = int(count * delete_percent / 100.0)
+    i = F.col("id")
+    cents = _draw(f"{seed}|amount", MAX_CENTS - MIN_CENTS + 1) + MIN_CENTS
+    rows = spark.range(count).withColumn("order_id", i + next_key(orders))
+    rows = rows.select(
+        "id",
+        "order_id",
+        _one_of(BURST_CUSTOMERS, f"{seed}|customer").cast("bigint").alias("customer_id"),
+        _one_of(BURST_STATUSES, f"{seed}|status").alias("status"),
+        (cents.cast("decimal(12,0)") / 100).cast(MONEY).alias("amount"),
+        F.lit(BURST_CURRENCY).alias("currency"),
+        _one_of(BURST_CITIES, f"{seed}|city").alias("shipping_address"),
+        F.timestamp_millis(F.lit(at_ms)).alias("created_at"),
+        F.timestamp_millis(F.lit(at_ms)).alias("updated_at"),
+    )
+    is_updated, is_deleted = i < updates, i >= count - deletes
+
+    def updated_column(name: str) -> Column:
+        if name == "status":
+            return F.lit("PAID")
+        if name == "updated_at":
+            return F.timestamp_millis(F.lit(at_ms + 1000))
+        return F.col(name)
+
+    inserted = image(ORDERS, F.col)
+    paid = image(ORDERS, updated_column)
+    phases = F.array_compact(
+        F.array(
+            F.lit(0),
+            F.when(is_updated, 1),
+            F.when(is_deleted, 2),
+            F.when(is_deleted, 3),
+        )
+    )
+    events = rows.select(
+        "id",
+        "order_id",
+        inserted.alias("inserted"),
+        paid.alias("paid"),
+        F.explode(phases).alias("phase"),
+    )
+    phase = F.col("phase")
+    before = F.when(phase == 1, F.col("inserted")).when(
+        phase == 2, F.when(is_updated, F.col("paid")).otherwise(F.col("inserted"))
+    )
+    after = F.when(phase == 0, F.col("inserted")).when(phase == 1, F.col("paid"))
+    op = F.when(phase == 0, "c").when(phase == 1, "u").otherwise("d")
+    event_ms = F.lit(at_ms) + phase * 1000
+    transaction = F.call_function("div", i, F.lit(batch_size)).cast("string")
+    source = source_of(
+        ORDERS,
+        event_ms,
+        F.lit("false"),
+        F.lit(LOG_FILE),
+        F.col("order_id") * 100 + phase,
+        F.concat(F.lit("burst:"), transaction),
+    )
+    slot = F.call_function("div", i, F.lit(TOPIC_PARTITIONS))
+    offset = (
+        F.when(phase == 0, slot)
+        .when(phase == 1, count + slot)
+        .otherwise(2 * count + 2 * slot + (phase - 2))
+    )
+    key = F.col("order_id")
+    value = envelope_text(before, after, source, op, event_ms, F.lit(True))
+    return events.select(
+        F.lit(ORDERS.topic).alias("topic"),
+        F.pmod(key, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        (base_offset + offset).cast("bigint").alias("offset"),
+        F.timestamp_millis(event_ms).alias("timestamp"),
+        record_key(ORDERS, key).alias("key"),
+        F.when(phase != 3, value).alias("value"),
+    ).select(FEED.names)

@@ -1,0 +1,240 @@
+"""Where the continuous job writes: event tables and keyed state tables.
+
+Every micro-batch owns one directory per table and overwrites it, so a batch that is
+run again after a failure leaves the same files and nothing is counted twice.
+
+A state table is an append-only log of per-key changes plus, from time to time, a
+snapshot that folds the log. Readers combine the newest snapshot with the log after
+it; no row is ever updated in place.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rowtide.operators.latest import order_columns
+from rowtide.operators.views import SOURCE_ORDER
+from rowtide.schemas import TableSpec, current_schema
+
+LOADED_AT = "loaded_at"
+
+
+def write_events(events: DataFrame, table_dir: str, batch_id: int, stamp: str) -> None:
+    """One batch of insert-once rows, stamped with the load time."""
+    stamped = events.withColumn(stamp, F.current_timestamp())
+    stamped.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+
+
+def read_events(
+    spark: SparkSession, table_dir: str, schema: T.StructType, stamp: str | None = None
+) -> DataFrame:
+    columns = list(schema.fields) + ([T.StructField(stamp, T.TimestampType())] if stamp else [])
+    return spark.read.schema(T.StructType(columns)).parquet(f"{table_dir}/batch_id=*")
+
+
+def unique_events(events: DataFrame) -> DataFrame:
+    """One row per event id, for logs filled from a source that may repeat a record."""
+    return events.dropDuplicates(["event_id"])
+
+
+def change_schema(spec: TableSpec) -> T.StructType:
+    lineage = zip(SOURCE_ORDER, [T.LongType(), T.StringType(), T.LongType(), T.IntegerType()])
+    return T.StructType(
+        [T.StructField("row_kind", T.StringType())]
+        + current_schema(spec).fields
+        + [T.StructField(name, kind) for name, kind in lineage]
+        + [T.StructField(LOADED_AT, T.TimestampType())]
+    )
+
+
+def write_changes(newest: DataFrame, spec: TableSpec, table_dir: str, batch_id: int) -> None:
+    """The newest change per key of one batch; deletes are rows too."""
+    stamped = newest.withColumn(LOADED_AT, F.current_timestamp())
+    stamped.select(change_schema(spec).names).write.mode("overwrite").parquet(
+        f"{table_dir}/changes/batch_id={batch_id}"
+    )
+
+
+def read_batch(spark: SparkSession, spec: TableSpec, table_dir: str, batch_id: int) -> DataFrame:
+    return spark.read.schema(change_schema(spec)).parquet(f"{table_dir}/changes/batch_id={batch_id}")
+
+
+def _folder(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished `prefix=N` directories below a path, ascending."""
+    files, parent = _folder(spark, path)
+    if not files.exists(parent):
+        return []
+    numbers = []
+    for status in files.listStatus(parent):
+        name = status.getPath().getName()
+        if name.startswith(f"{prefix}="):
+            done, marker = _folder(spark, f"{path}/{name}/_SUCCESS")
+            if done.exists(marker):
+                numbers.append(int(name.split("=")[1]))
+    return sorted(numbers)
+
+
+def snapshots(spark: SparkSession, table_dir: str) -> list[int]:
+    return _numbered(spark, f"{table_dir}/snapshots", "through")
+
+
+def _log_after(
+    spark: SparkSession, spec: TableSpec, table_dir: str, after: int, through: int | None
+) -> DataFrame:
+    layout = T.StructType(change_schema(spec).fields + [T.StructField("batch_id", T.LongType())])
+    log = spark.read.schema(layout).parquet(f"{table_dir}/changes")
+    log = log.filter(F.col("batch_id") > after)
+    if through is not None:
+        log = log.filter(F.col("batch_id") <= through)
+    return log.drop("batch_id")
+
+
+def fold(changes: DataFrame, spec: TableSpec, order_by: str) -> DataFrame:
+    """The newest change per key, stamped with the first load of the key's present life.
+
+    A key appears at most once per batch and snapshot, so groups stay small however
+    hot the key is in the feed.
+    """
+    ordinal = F.struct(*order_columns(order_by))
+    newest_first = Window.partitionBy(spec.key).orderBy(
+        *[F.col(c).desc() for c in order_columns(order_by)]
+    )
+    whole = Window.partitionBy(spec.key)
+    deleted = F.col("row_kind") == "DELETE"
+    last_delete = F.col("_last_delete")
+    in_this_life = ~deleted & (last_delete.isNull() | (ordinal > last_delete))
+    return (
+        changes.withColumn("_rank", F.row_number().over(newest_first))
+        .withColumn("_last_delete", F.max(F.when(deleted, ordinal)).over(whole))
+        .withColumn(
+            LOADED_AT,
+            F.coalesce(F.min(F.when(in_this_life, F.col(LOADED_AT))).over(whole), F.col(LOADED_AT)),
+        )
+        .filter(F.col("_rank") == 1)
+        .select(change_schema(spec).names)
+    )
+
+
+def state(
+    spark: SparkSession,
+    spec: TableSpec,
+    table_dir: str,
+    order_by: str = "position",
+    through: int | None = None,
+    before_snapshot: int | None = None,
+) -> DataFrame:
+    """The newest change per key over snapshot and log, DELETE rows included.
+
+    Snapshot rows of keys the log does not mention are passed through as they are:
+    when the keys in the log are few enough to broadcast, the snapshot is not shuffled.
+    """
+    usable = [
+        n
+        for n in snapshots(spark, table_dir)
+        if (through is None or n <= through) and (before_snapshot is None or n < before_snapshot)
+    ]
+    if not usable:
+        return fold(_log_after(spark, spec, table_dir, -1, through), spec, order_by)
+    base = spark.read.schema(change_schema(spec)).parquet(
+        f"{table_dir}/snapshots/through={usable[-1]}"
+    )
+    log = _log_after(spark, spec, table_dir, usable[-1], through)
+    touched = log.select(spec.key)
+    untouched = base.join(touched, spec.key, "left_anti").select(change_schema(spec).names)
+    affected = base.join(touched, spec.key, "left_semi").select(change_schema(spec).names)
+    return untouched.unionByName(fold(affected.unionByName(log), spec, order_by))
+
+
+def read_state(
+    spark: SparkSession,
+    spec: TableSpec,
+    table_dir: str,
+    order_by: str = "position",
+    stamp: str | None = None,
+    through: int | None = None,
+) -> DataFrame:
+    """Live rows in the table's published columns, optionally with the load stamp."""
+    live = state(spark, spec, table_dir, order_by, through).filter(F.col("row_kind") != "DELETE")
+    columns = [F.col(name) for name in current_schema(spec).names]
+    return live.select(*columns, *([F.col(LOADED_AT).alias(stamp)] if stamp else []))
+
+
+def compact(
+    spark: SparkSession, spec: TableSpec, table_dir: str, through: int, order_by: str = "position"
+) -> None:
+    """Fold snapshot and log up to a batch into a new snapshot.
+
+    Reads only what precedes the snapshot being written, so running it again for the
+    same batch is safe. DELETE rows are kept: an older change that arrives late must
+    not bring a deleted key back.
+    """
+    folded = state(spark, spec, table_dir, order_by, through, before_snapshot=through)
+    folded.write.mode("overwrite").parquet(f"{table_dir}/snapshots/through={through}")
+
+
+def compact_if_grown(
+    spark: SparkSession,
+    spec: TableSpec,
+    table_dir: str,
+    through: int,
+    order_by: str = "position",
+    growth: float = 0.5,
+) -> bool:
+    """Compact once the log since the last snapshot has `growth` times the snapshot's rows.
+
+    Tying the rewrite to the table's own size keeps the rows rewritten per change
+    constant as the table grows. The counts come from Parquet footers.
+    """
+    done = [n for n in snapshots(spark, table_dir) if n < through]
+    log_rows = _log_after(spark, spec, table_dir, done[-1] if done else -1, through).count()
+    if done:
+        base = spark.read.schema(change_schema(spec)).parquet(
+            f"{table_dir}/snapshots/through={done[-1]}"
+        )
+        if log_rows < growth * base.count():
+            return False
+    if log_rows == 0:
+        return False
+    compact(spark, spec, table_dir, through, order_by)
+    return True
+
+
+def expire(spark: SparkSession, table_dir: str, keep: int = 2) -> None:
+    """Remove snapshots older than the last `keep`, and the log those no longer need."""
+    done = snapshots(spark, table_dir)
+    if len(done) < keep:
+        return
+    oldest_kept = done[-keep]
+    outdated = [f"{table_dir}/snapshots/through={n}" for n in done[:-keep]]
+    outdated += [
+        f"{table_dir}/changes/batch_id={n}"
+        for n in _numbered(spark, f"{table_dir}/changes", "batch_id")
+        if n <= oldest_kept
+    ]
+    for path in outdated:
+        files, folder = _folder(spark, path)
+        files.delete(folder, True)
+
+
+def merge_statements(spec: TableSpec, table: str, stage: str) -> list[str]:
+    """SQL a relational target runs to take in a staged batch of newest changes.
+
+    Stage the batch with `newest.write.jdbc(url, stage, mode="overwrite")`. Only the
+    listed columns are set on known keys, so a load-time default keeps its first value.
+    """
+    columns = current_schema(spec).names
+    listed = ", ".join(columns)
+    updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c != spec.key)
+    return [
+        f"DELETE FROM {table} WHERE {spec.key} IN "
+        f"(SELECT {spec.key} FROM {stage} WHERE row_kind = 'DELETE')",
+        f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {stage} "
+        f"WHERE row_kind <> 'DELETE' ON CONFLICT ({spec.key}) DO UPDATE SET {updates}",
+    ]

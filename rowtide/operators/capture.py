@@ -60,9 +60,10 @@ def envelope_text(
         ),
         {"ignoreNullFields": "false"},
     )
-    return F.when(
-        wrapped, F.concat(F.lit('{"schema":null,"payload":'), body, F.lit("}"))
-    ).otherwise(body)
+    # The body is named once, so that it is also written once per record.
+    opening = F.when(wrapped, F.lit('{"schema":null,"payload":')).otherwise(F.lit(""))
+    closing = F.when(wrapped, F.lit("}")).otherwise(F.lit(""))
+    return F.concat(opening, body, closing)
 
 
 def log_position(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.values import millis_to_instant, to_instant, to_int, to_long
 from rowtide.schemas import (
-    AMOUNT,
     INSTANT,
     LONG,
     SOURCE_FIELDS,
@@ -72,12 +71,9 @@ def source_block(properties: Column) -> Column:
 
 def typed_image(image: Column, spec: TableSpec) -> Column:
     """Whole numbers become numbers; amounts and times stay text. No image stays NULL."""
-    longs = set(spec.of_kind(LONG))
-    fields = [
-        (to_long(image[name]) if name in longs else image[name]).alias(name)
-        for name in spec.columns
-    ]
-    return F.when(image.isNotNull(), F.struct(*fields))
+    for name in spec.of_kind(LONG):
+        image = image.withField(name, to_long(image[name]))
+    return image
 
 
 def decode_structured(decoded: DataFrame, spec: TableSpec) -> DataFrame:
@@ -93,25 +89,22 @@ def decode_structured(decoded: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _readable(image: Column, spec: TableSpec) -> Column:
-    """Every present field of the image survives its cast, and the key is present."""
+    """The key is there and every present field of the image survives its cast."""
     checks = [to_long(image[spec.key]).isNotNull()]
-    for name in spec.of_kind(LONG):
-        checks.append(image[name].isNull() | to_long(image[name]).isNotNull())
-    for name in spec.of_kind(INSTANT):
-        checks.append(image[name].isNull() | to_instant(image[name]).isNotNull())
-    return reduce(lambda a, b: a & b, checks)
+    for cast, kind in ((to_long, LONG), (to_instant, INSTANT)):
+        for name in spec.of_kind(kind):
+            if name != spec.key:
+                checks.append(cast(image[name]).isNotNull() == image[name].isNotNull())
+    return image.isNull() | reduce(lambda a, b: a & b, checks)
 
 
 def _well_formed(spec: TableSpec) -> Column:
+    """A known operation, the images it needs, and nothing unreadable in either."""
     op, before, after = F.col("op"), F.col("before"), F.col("after")
-    has_before = before.isNotNull() & _readable(before, spec)
-    has_after = after.isNotNull() & _readable(after, spec)
     shape = (
-        F.when(op.isin("c", "r"), has_after)
-        .when(op == "u", has_before & has_after)
-        .when(op == "d", has_before)
-    )
-    return F.coalesce(shape, F.lit(False))
+        (op.isin("c", "r", "u") & after.isNotNull()) | (op == "d")
+    ) & (op.isin("c", "r") | before.isNotNull())
+    return F.coalesce(shape & _readable(before, spec) & _readable(after, spec), F.lit(False))
 
 
 def decode_changelog(
@@ -137,18 +130,18 @@ def decode_changelog(
     else:
         raise ValueError(f"on_bad_record must be fail or skip, not {on_bad_record!r}")
 
-    op = F.col("op")
+    op, source, row = F.col("op"), F.col("source"), F.col("row")
     row_kind = F.when(op == "d", "DELETE").when(op == "u", "UPDATE").otherwise("INSERT")
     casts = {LONG: to_long, INSTANT: to_instant}
-
-    def field(name: str, kind: str) -> Column:
-        text = F.when(op == "d", F.col(f"before.{name}")).otherwise(F.col(f"after.{name}"))
-        return casts.get(kind, lambda c: c)(text).alias(name)
-
-    source = F.col("source")
-    return decoded.filter(keep).select(
+    rows = decoded.filter(keep).withColumn(
+        "row", F.when(op == "d", F.col("before")).otherwise(F.col("after"))
+    )
+    return rows.select(
         row_kind.alias("row_kind"),
-        *[field(name, kind) for name, kind in spec.columns.items()],
+        *[
+            casts.get(kind, lambda text: text)(row[name]).alias(name)
+            for name, kind in spec.columns.items()
+        ],
         millis_to_instant(to_long(source["ts_ms"])).alias("source_event_ts"),
         source["db"].alias("source_database"),
         source["table"].alias("source_table"),

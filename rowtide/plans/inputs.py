@@ -17,115 +17,110 @@ from rowtide.operators.capture import (
     record_key,
     source_of,
 )
-from rowtide.schemas import CUSTOMERS, FEED, ORDERS
+from rowtide.schemas import CUSTOMERS, ORDERS
 from rowtide.session import configure
 from rowtide.sources.tables import read_table
 
 OFFSETS_PER_KEY = 8
-DAY = "yyyy-MM-dd"
 
-
-def _every(n: int, remainder: int = 0) -> Column:
-    return F.col("k") % n == remainder
+# Columns of an image that an update leaves alone / sets, in image order.
+SHARED = {
+    "customer_id": "CASE WHEN k % 101 <> 7 THEN o_custkey END",
+    "currency": """CASE WHEN k % 79 = 3 THEN 'GBP' WHEN k % 109 = 4 THEN NULL
+        WHEN k % 4 = 1 THEN 'USD' WHEN k % 4 = 2 THEN 'EUR' ELSE 'INR' END""",
+    "shipping_address": "CASE WHEN k % 13 <> 0 THEN o_orderpriority END",
+    "created_at": "concat(day, 'T00:00:00.000Z')",
+}
+PLACED = {
+    "status": """CASE WHEN k % 113 = 5 THEN NULL WHEN o_orderstatus = 'O' THEN 'CREATED'
+        WHEN o_orderstatus = 'P' THEN 'PROCESSING' ELSE 'DELIVERED' END""",
+    "amount": """CASE WHEN k % 89 = 1 THEN 'abc' WHEN k % 83 = 2 THEN concat('-', price)
+        WHEN k % 127 = 6 THEN NULL ELSE price END""",
+    "updated_at": "concat(day, 'T00:00:00.123Z')",
+}
+UPDATED = {
+    "status": "CASE WHEN k % 97 = 0 THEN 'BROKEN_STATUS' ELSE 'PAID' END",
+    "amount": "CASE WHEN k % 103 = 0 THEN 'abc' WHEN k % 127 = 6 THEN NULL ELSE price END",
+    "updated_at": "concat(day, 'T00:00:01.123Z')",
+}
+
+
+def _image(own: dict[str, str]) -> str:
+    texts = {"order_id": "k", **SHARED, **own}
+    return "struct(" + ", ".join(f"{texts[c]} AS {c}" for c in ORDERS.columns) + ")"
 
 
 def order_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: the row image before (`image0`) and after (`image1`) its update."""
     configure(spark)
-    orders = read_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "k")
-    price = to_money(F.col("o_totalprice")).cast("string")
-    day = F.date_format("o_orderdate", DAY)
-
-    customer = F.when(~_every(101, 7), F.col("o_custkey"))
-    status0 = F.when(~_every(113, 5), F.when(F.col("o_orderstatus") == "O", "CREATED")
-                     .when(F.col("o_orderstatus") == "P", "PROCESSING").otherwise("DELIVERED"))
-    status1 = F.when(_every(97), "BROKEN_STATUS").otherwise("PAID")
-    amount0 = (
-        F.when(_every(89, 1), "abc")
-        .when(_every(83, 2), F.concat(F.lit("-"), price))
-        .when(_every(127, 6), None)
-        .otherwise(price)
-    )
-    amount1 = F.when(_every(103), "abc").when(_every(127, 6), None).otherwise(price)
-    currency = (
-        F.when(_every(79, 3), "GBP")
-        .when(_every(109, 4), None)
-        .when(_every(4, 1), "USD")
-        .when(_every(4, 2), "EUR")
-        .otherwise("INR")
-    )
-    address = F.when(~_every(13), F.col("o_orderpriority"))
-
-    def row(status: Column, amount: Column, updated: str) -> Column:
-        return F.struct(
-            F.col("k").alias("order_id"),
-            customer.alias("customer_id"),
-            status.alias("status"),
-            amount.alias("amount"),
-            currency.alias("currency"),
-            address.alias("shipping_address"),
-            F.concat(day, F.lit("T00:00:00.000Z")).alias("created_at"),
-            F.concat(day, F.lit(updated)).alias("updated_at"),
+    return (
+        read_table(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey AS k",
+            "o_custkey",
+            "o_orderstatus",
+            "o_orderpriority",
+            "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS STRING) AS price",
+            "date_format(o_orderdate, 'yyyy-MM-dd') AS day",
+            "unix_millis(CAST(o_orderdate AS TIMESTAMP)) AS day_ms",
         )
-
-    return orders.select(
-        "k",
-        (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("day_ms"),
-        row(status0, amount0, "T00:00:00.123Z").alias("image0"),
-        row(status1, amount1, "T00:00:01.123Z").alias("image1"),
+        .selectExpr("k", "day_ms", f"{_image(PLACED)} AS image0", f"{_image(UPDATED)} AS image1")
     )
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan of `orders`; each row is unfolded into its log records in place."""
-    k = F.col("k")
-    steps = F.array_compact(
-        F.array(
-            F.lit(0),
-            F.when(_every(3), 1),
-            F.when(_every(11), 2),
-            F.when(_every(11), 3),
-            F.when(_every(33), 4),
-            F.when(_every(7), 5),
-        )
-    )
-    # Step 5 shows the key's final event once more.
-    final = F.when(_every(33), 4).when(_every(11), 2).when(_every(3), 1).otherwise(0)
+    """One scan of `orders`; each row is unfolded into its log records in place.
+
+    Steps: 0 placed, 1 updated, 2 deleted, 3 tombstone, 4 placed again, and 5 shows
+    the key's final event once more at a new offset.
+    """
     events = (
         order_images(spark, sf_dir)
-        .select("*", F.explode(steps).alias("step"))
-        .withColumn("event", F.when(F.col("step") == 5, final).otherwise(F.col("step")))
-    )
-
-    event = F.col("event")
-    image0, image1 = F.col("image0"), F.col("image1")
-    op = (
-        F.when(event.isin(1), "u")
-        .when(event == 2, "d")
-        .when((event == 0) & _every(5), "r")
-        .otherwise("c")
+        .selectExpr(
+            "*",
+            """explode(array_compact(array(0, IF(k % 3 = 0, 1, NULL), IF(k % 11 = 0, 2, NULL),
+               IF(k % 11 = 0, 3, NULL), IF(k % 33 = 0, 4, NULL), IF(k % 7 = 0, 5, NULL)))) AS step""",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN step < 5 THEN step WHEN k % 33 = 0 THEN 4 WHEN k % 11 = 0 THEN 2
+               WHEN k % 3 = 0 THEN 1 ELSE 0 END AS event""",
+        )
+        .selectExpr(
+            "k",
+            "step",
+            "event",
+            "day_ms + step * 1000 + 987 AS log_ms",
+            "day_ms + event * 1000 + 487 AS source_ms",
+            """CASE WHEN event = 1 THEN 'u' WHEN event = 2 THEN 'd'
+               WHEN event = 0 AND k % 5 = 0 THEN 'r' ELSE 'c' END AS op""",
+            "CASE WHEN event = 2 AND k % 3 = 0 THEN image1 WHEN event IN (1, 2) THEN image0 END AS before",
+            "CASE WHEN event = 1 THEN image1 WHEN event IN (0, 4) THEN image0 END AS after",
+            "concat('mysql-bin.', lpad(CAST(k % 4 + 1 AS STRING), 6, '0')) AS file",
+            "IF(k % 4 <> 0, concat('gtid:', k), NULL) AS gtid",
+        )
     )
-    before = F.when(event == 1, image0).when(event == 2, F.when(_every(3), image1).otherwise(image0))
-    after = F.when(event == 1, image1).when(event.isin(0, 4), image0)
-    source_ms = F.col("day_ms") + event * 1000 + 487
+    k, source_ms = F.col("k"), F.col("source_ms")
     source = source_of(
         ORDERS,
         source_ms,
-        F.when(op == "r", "true").otherwise("false"),
-        F.concat(F.lit("mysql-bin."), F.lpad((k % 4 + 1).cast("string"), 6, "0")),
-        k * 100 + event,
-        F.when(~_every(4), F.concat(F.lit("gtid:"), k.cast("string"))),
+        F.expr("IF(op = 'r', 'true', 'false')"),
+        F.col("file"),
+        F.expr("k * 100 + event"),
+        F.col("gtid"),
+    )
+    value = envelope_text(
+        F.col("before"), F.col("after"), source, F.col("op"), source_ms + 250, F.expr("k % 10 <> 9")
     )
-    value = envelope_text(before, after, source, op, source_ms + 250, ~_every(10, 9))
     partition, offset = log_position(k, TOPIC_PARTITIONS, OFFSETS_PER_KEY, step=F.col("step"))
     return events.select(
         F.lit(ORDERS.topic).alias("topic"),
         partition.alias("partition"),
         offset.alias("offset"),
-        F.timestamp_millis(F.col("day_ms") + F.col("step") * 1000 + 987).alias("timestamp"),
+        F.timestamp_millis("log_ms").alias("timestamp"),
         record_key(ORDERS, k).alias("key"),
-        F.when(event != 3, value).alias("value"),
-    ).select(FEED.names)
+        F.when(F.col("event") != 3, value).alias("value"),
+    )
 
 
 def as_order_rows(images: DataFrame, picked: Column) -> DataFrame:
@@ -149,9 +144,9 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def final_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table after all changes: what a replica of the feed must equal."""
-    gone = _every(11) & ~_every(33)
-    picked = F.when(
-        ~gone, F.when(_every(3) & ~_every(33), F.col("image1")).otherwise(F.col("image0"))
+    picked = F.expr(
+        """CASE WHEN k % 33 = 0 THEN image0 WHEN k % 11 = 0 THEN NULL
+           WHEN k % 3 = 0 THEN image1 ELSE image0 END"""
     )
     return as_order_rows(order_images(spark, sf_dir), picked)
 

@@ -59,30 +59,30 @@ def decode_envelope(feed: DataFrame, spec: TableSpec, envelope: str = "auto") ->
     )
 
 
-def source_block(properties: Column) -> Column:
-    """The source block as a typed struct."""
-    return F.struct(
-        *[
-            properties.getItem(name).try_cast(kind).alias(name)
-            for name, kind in SOURCE_FIELDS.items()
-        ]
-    )
+def source_field(name: str) -> Column:
+    """One typed field of a decoded event's source block."""
+    return F.col("source").getItem(name).try_cast(SOURCE_FIELDS[name])
 
 
-def typed_image(image: Column, spec: TableSpec) -> Column:
-    """Whole numbers become numbers; amounts and times stay text. No image stays NULL."""
-    for name in spec.of_kind(LONG):
-        image = image.withField(name, to_long(image[name]))
-    return image
+def image_field(image: str, name: str, spec: TableSpec) -> Column:
+    """One field of a decoded event's `before` or `after`: whole numbers as numbers,
+    amounts and times as the text they arrived in."""
+    text = F.col(f"{image}.{name}")
+    return to_long(text) if spec.columns[name] == LONG else text
 
 
 def decode_structured(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """Tolerant reading: nested before / after / source, NULL where a field is bad."""
+
+    def typed(image: str) -> Column:
+        fields = [image_field(image, name, spec).alias(name) for name in spec.columns]
+        return F.when(F.col(image).isNotNull(), F.struct(*fields)).alias(image)
+
     return decoded.select(
         *POSITION,
-        typed_image(F.col("before"), spec).alias("before"),
-        typed_image(F.col("after"), spec).alias("after"),
-        source_block(F.col("source")).alias("source"),
+        typed("before"),
+        typed("after"),
+        F.struct(*[source_field(name).alias(name) for name in SOURCE_FIELDS]).alias("source"),
         "op",
         to_long(F.col("ts_ms")).alias("ts_ms"),
     )

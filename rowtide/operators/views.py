@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lineage import (
@@ -13,6 +13,7 @@ from rowtide.functions.lineage import (
 )
 from rowtide.functions.rules import first_failing, passes_all, verdict_of
 from rowtide.functions.values import cut_to_millis, to_money, wall_clock
+from rowtide.operators.decode import image_field, source_field
 from rowtide.schemas import (
     AMOUNT,
     EVENT_AUDIT,
@@ -24,7 +25,17 @@ from rowtide.schemas import (
 )
 
 
-def _id():
+# Fields of the source block that follow an event into the audit.
+LINEAGE = {
+    "file": "source_file",
+    "pos": "source_position",
+    "row": "source_row",
+    "gtid": "source_gtid",
+    "ts_ms": "source_ts_ms",
+}
+
+
+def _id() -> Column:
     return event_id(F.col("topic_name"), F.col("kafka_partition"), F.col("kafka_offset"))
 
 
@@ -49,37 +60,46 @@ def unique_positions(raw: DataFrame) -> DataFrame:
     return raw.dropDuplicates(["topic_name", "kafka_partition", "kafka_offset"])
 
 
-def enriched_events(structured: DataFrame, spec: TableSpec) -> DataFrame:
-    """Operation, lineage, verdict and digests of every event that could be decoded."""
+def enriched_events(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    """Operation, lineage, verdict and digests of every event that could be decoded.
 
-    def before(name: str):
-        return F.col(f"before.{name}")
+    Only the fields the view shows are cast, straight from the decoded envelope.
+    """
 
-    def after(name: str):
-        return F.col(f"after.{name}")
+    def before(name: str) -> Column:
+        return image_field("before", name, spec)
+
+    def after(name: str) -> Column:
+        return image_field("after", name, spec)
 
-    judged = structured.filter(F.col("op").isNotNull()).withColumn(
-        "validation_reason", first_failing(spec.rules, F.col("op"), after)
-    )
     raw_fields = [name for name in ("amount", "status", "currency") if name in spec.columns]
+    judged = decoded.filter(F.col("op").isNotNull()).select(
+        "topic_name",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+        "op",
+        F.coalesce(after(spec.key), before(spec.key)).alias(spec.key),
+        *[source_field(name).alias(alias) for name, alias in LINEAGE.items()],
+        first_failing(spec.rules, F.col("op"), after).alias("validation_reason"),
+        state_digest(spec.digest, before).alias("before_state"),
+        state_digest(spec.digest, after).alias("after_state"),
+        *[after(name).alias(f"{name}_raw") for name in raw_fields],
+    )
     return judged.select(
         _id().alias("event_id"),
         "topic_name",
         "kafka_partition",
         "kafka_offset",
         operation_name(F.col("op")).alias("operation"),
-        F.coalesce(after(spec.key), before(spec.key)).alias(spec.key),
-        F.col("source.file").alias("source_file"),
-        F.col("source.pos").alias("source_position"),
-        F.col("source.row").alias("source_row"),
-        F.col("source.gtid").alias("source_gtid"),
-        F.col("source.ts_ms").alias("source_ts_ms"),
+        spec.key,
+        *LINEAGE.values(),
         whole_second_millis(F.col("kafka_timestamp")).alias("kafka_ts_ms"),
         verdict_of(F.col("validation_reason")).alias("validation_status"),
         "validation_reason",
-        state_digest(spec.digest, before).alias("before_state"),
-        state_digest(spec.digest, after).alias("after_state"),
-        *[after(name).alias(f"{name}_raw") for name in raw_fields],
+        "before_state",
+        "after_state",
+        *[f"{name}_raw" for name in raw_fields],
     )
 
 

@@ -59,7 +59,7 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enriched_events(decode_structured(_decoded(spark, sf_dir), ORDERS), ORDERS)
+    return enriched_events(_decoded(spark, sf_dir), ORDERS)
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:

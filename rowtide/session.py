@@ -16,6 +16,10 @@ def configure(spark: SparkSession) -> SparkSession:
     # The JVM never compiles methods above 8000 bytes; past that size Spark's
     # per-operator code, which is split into small methods, is several times faster.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Keyed streaming state may outgrow the heap: keep it in RocksDB, upload only changes.
+    state = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", state)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 
@@ -25,15 +29,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("rowtide")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,13 +63,17 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/rowtide/{label}-{uuid.uuid4().hex}"
 
 
+# A handful of splits is a small input, whatever the cluster; see `spread`.
+FEW_SPLITS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input has fewer splits than the cluster has cores.
+    """Use more cores when a small input comes in fewer splits than there are cores.
 
-    Large inputs already have more splits than cores and pass through untouched,
-    so this never adds a shuffle at scale.
+    Inputs of FEW_SPLITS splits or more pass through untouched, so large tables are
+    never shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df

@@ -9,7 +9,12 @@ from rowtide.schemas import FEED
 
 
 def log_options(servers: str, topics: list[str], **extra: str) -> dict[str, str]:
-    """From the earliest record, committed records only; new partitions are picked up by Spark."""
+    """From the earliest record, committed records only; new partitions are picked up by Spark.
+
+    Pass `minPartitions` when one topic partition holds much of the feed: Spark then
+    reads its offset range in several tasks. Order does not depend on the tasks, the
+    newest change is found by offset. `maxOffsetsPerTrigger` bounds a micro-batch.
+    """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),

@@ -15,16 +15,20 @@ from rowtide.operators.views import event_audit, rejects
 UNREADABLE = ["hello", '{"payload": {"op"', "[]", "", '{"payload":"x"}', "{}", "null"]
 
 
+def decoded(log):
+    return decode_envelope(log.feed(), ORDERS)
+
+
 def structured(log):
-    return decode_structured(decode_envelope(log.feed(), ORDERS), ORDERS)
+    return decode_structured(decoded(log), ORDERS)
 
 
 def changelog(log, **options):
-    return decode_changelog(decode_envelope(log.feed(), ORDERS), ORDERS, **options)
+    return decode_changelog(decoded(log), ORDERS, **options)
 
 
 def audit(log):
-    return event_audit(enriched_events(structured(log), ORDERS))
+    return event_audit(enriched_events(decoded(log), ORDERS))
 
 
 def test_wrapped_and_flat_read_the_same(log):
@@ -160,7 +164,7 @@ def test_golden_event_tables(log):
         (7, "CREATE", "FAIL", "INVALID_STATUS"), (8, "CREATE", "FAIL", "NEGATIVE_AMOUNT"),
         (9, "UPDATE", "PASS", "VALID"),
     ]
-    bad = rejects(enriched_events(structured(log), ORDERS))
+    bad = rejects(enriched_events(decoded(log), ORDERS))
     assert bad.schema.names == REJECTS.names
     assert rows(bad, "order_id", "reason", "amount_raw", "status_raw") == [
         (6002, "INVALID_STATUS", "450.00", "BROKEN_STATUS"),
@@ -186,7 +190,7 @@ def test_delete_is_described_by_its_before_image(log):
     log.add(envelope("d", order(9, amount="abc"), None))
     row = audit(log).first()
     assert (row.order_id, row.validation_status) == (9, "PASS")
-    assert rejects(enriched_events(structured(log), ORDERS)).count() == 0
+    assert rejects(enriched_events(decoded(log), ORDERS)).count() == 0
 
 
 def test_event_id_and_log_time(log):

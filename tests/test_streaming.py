@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL, Log, envelope, golden, order, rows, same_rows
 from pyspark.sql import functions as F
 
-from rowtide.operators.decode import decode_changelog, decode_envelope, decode_structured, read_text
+from rowtide.operators.decode import decode_changelog, decode_envelope, read_text
 from rowtide.operators.latest import current, valid_current
 from rowtide.operators.views import enriched_events, event_audit, raw_events, rejects, typed_changes
 from rowtide.plans.inputs import order_feed
@@ -34,7 +34,7 @@ from rowtide.streaming.pipeline import (
 def batch_twins(feed):
     """What each table must hold, computed in one go."""
     decoded = decode_envelope(feed, ORDERS)
-    enriched = enriched_events(decode_structured(decoded, ORDERS), ORDERS)
+    enriched = enriched_events(decoded, ORDERS)
     changes = typed_changes(decode_changelog(decoded, ORDERS), ORDERS)
     return {
         RAW: raw_events(read_text(feed)),

@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 from rowtide.schemas import FEED
 
 
+# Bounds of one micro-batch, so that catching up on a long log goes in steps.
+BATCH_RECORDS = 50_000_000
+BATCH_BYTES = "64g"
+
+
 def log_options(servers: str, topics: list[str], **extra: str) -> dict[str, str]:
     """From the earliest record, committed records only; new partitions are picked up by Spark.
 
     Pass `minPartitions` when one topic partition holds much of the feed: Spark then
     reads its offset range in several tasks. Order does not depend on the tasks, the
-    newest change is found by offset. `maxOffsetsPerTrigger` bounds a micro-batch.
+    newest change is found by offset.
     """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
         "kafka.isolation.level": "read_committed",
+        "maxOffsetsPerTrigger": str(BATCH_RECORDS),
         **extra,
     }
 
@@ -41,6 +47,8 @@ def read_feed_files(
     reader = spark.readStream.schema(FEED)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
     return as_feed(reader.parquet(path))
 
 

@@ -10,7 +10,7 @@ from rowtide.schemas import FEED
 
 # Bounds of one micro-batch, so that catching up on a long log goes in steps.
 BATCH_RECORDS = 50_000_000
-BATCH_BYTES = "64g"
+BATCH_BYTES = 64 << 30
 
 
 def log_options(servers: str, topics: list[str], **extra: str) -> dict[str, str]:

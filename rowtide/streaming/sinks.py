@@ -67,22 +67,22 @@ def _folder(spark: SparkSession, path: str):
 
 
 def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the finished `prefix=N` directories below a path, ascending."""
+    """Numbers of the `prefix=N` directories below a path, ascending."""
     files, parent = _folder(spark, path)
     if not files.exists(parent):
         return []
-    numbers = []
-    for status in files.listStatus(parent):
-        name = status.getPath().getName()
-        if name.startswith(f"{prefix}="):
-            done, marker = _folder(spark, f"{path}/{name}/_SUCCESS")
-            if done.exists(marker):
-                numbers.append(int(name.split("=")[1]))
-    return sorted(numbers)
+    names = [status.getPath().getName() for status in files.listStatus(parent)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{prefix}="))
 
 
 def snapshots(spark: SparkSession, table_dir: str) -> list[int]:
-    return _numbered(spark, f"{table_dir}/snapshots", "through")
+    """The batches up to which there is a finished snapshot."""
+
+    def finished(n: int) -> bool:
+        files, marker = _folder(spark, f"{table_dir}/snapshots/through={n}/_SUCCESS")
+        return files.exists(marker)
+
+    return [n for n in _numbered(spark, f"{table_dir}/snapshots", "through") if finished(n)]
 
 
 def _log_after(
@@ -128,18 +128,14 @@ def state(
     table_dir: str,
     order_by: str = "position",
     through: int | None = None,
-    before_snapshot: int | None = None,
 ) -> DataFrame:
     """The newest change per key over snapshot and log, DELETE rows included.
 
     Snapshot rows of keys the log does not mention are passed through as they are:
     when the keys in the log are few enough to broadcast, the snapshot is not shuffled.
+    `through` gives the state after that batch, built from snapshots before it.
     """
-    usable = [
-        n
-        for n in snapshots(spark, table_dir)
-        if (through is None or n <= through) and (before_snapshot is None or n < before_snapshot)
-    ]
+    usable = [n for n in snapshots(spark, table_dir) if through is None or n < through]
     if not usable:
         return fold(_log_after(spark, spec, table_dir, -1, through), spec, order_by)
     base = spark.read.schema(change_schema(spec)).parquet(
@@ -158,10 +154,9 @@ def read_state(
     table_dir: str,
     order_by: str = "position",
     stamp: str | None = None,
-    through: int | None = None,
 ) -> DataFrame:
     """Live rows in the table's published columns, optionally with the load stamp."""
-    live = state(spark, spec, table_dir, order_by, through).filter(F.col("row_kind") != "DELETE")
+    live = state(spark, spec, table_dir, order_by).filter(F.col("row_kind") != "DELETE")
     columns = [F.col(name) for name in current_schema(spec).names]
     return live.select(*columns, *([F.col(LOADED_AT).alias(stamp)] if stamp else []))
 
@@ -175,7 +170,7 @@ def compact(
     same batch is safe. DELETE rows are kept: an older change that arrives late must
     not bring a deleted key back.
     """
-    folded = state(spark, spec, table_dir, order_by, through, before_snapshot=through)
+    folded = state(spark, spec, table_dir, order_by, through)
     folded.write.mode("overwrite").parquet(f"{table_dir}/snapshots/through={through}")
 
 

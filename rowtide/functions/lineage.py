@@ -1,41 +1,30 @@
-"""Where an event came from: ids, positions, operation names, state digests."""
+"""Where an event came from, as SQL text: ids, operation names, state digests."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Mapping
 
 # Operation codes of the envelope and their names.
 OPERATIONS = {"c": "CREATE", "r": "SNAPSHOT_READ", "u": "UPDATE", "d": "DELETE"}
 
-
-def event_id(topic: Column, partition: Column, offset: Column) -> Column:
-    """32 hex digits that depend on the log position only, so a replay gives the same id."""
-    bar = F.lit("|")
-    return F.md5(
-        F.concat(topic, bar, partition.cast("string"), bar, offset.cast("string"))
-    )
+# 32 hex digits that depend on the log position only, so a replay gives the same id.
+EVENT_ID = "md5(concat_ws('|', topic_name, kafka_partition, kafka_offset))"
 
 
-def operation_name(op: Column) -> Column:
+def operation_name(op: str) -> str:
     """Unknown codes pass through unchanged."""
-    named = F.lit(None).cast("string")
-    for code, name in OPERATIONS.items():
-        named = F.when(op == code, F.lit(name)).otherwise(named)
-    return F.coalesce(named, op, F.lit("UNKNOWN"))
+    names = ", ".join(f"'{code}', '{name}'" for code, name in OPERATIONS.items())
+    return f"coalesce(decode({op}, {names}), {op}, 'UNKNOWN')"
 
 
-def whole_second_millis(instant: Column) -> Column:
+def whole_second_millis(instant: str) -> str:
     """Milliseconds since the epoch with the fraction of the second dropped."""
-    return F.unix_timestamp(instant) * F.lit(1000).cast("bigint")
+    return f"unix_seconds({instant}) * 1000"
 
 
-def state_digest(names: tuple[str, ...], row: Callable[[str], Column]) -> Column:
-    """`a=1,b=null,…` over the given fields."""
+def state_digest(names: tuple[str, ...], fields: Mapping[str, str]) -> str:
+    """`a=1,b=null,…` over the given columns of a row."""
     parts = [
-        F.concat(F.lit(f"{name}="), F.coalesce(row(name).cast("string"), F.lit("null")))
-        for name in names
+        f"concat('{name}=', coalesce(CAST({fields[name]} AS STRING), 'null'))" for name in names
     ]
-    return F.concat_ws(",", *parts)
+    return f"concat_ws(',', {', '.join(parts)})"

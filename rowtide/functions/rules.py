@@ -1,18 +1,12 @@
-"""Business rules: an ordered list, compiled to one verdict per event."""
+"""Business rules: an ordered list of SQL conditions, compiled to one verdict per event."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from rowtide.functions.values import to_money
 
-Row = Callable[[str], Column]
-
 # Accepted currencies and order states.
 CURRENCIES = ["INR", "USD", "EUR"]
 STATUSES = ["CREATED", "PAID", "PROCESSING", "SHIPPED", "DELIVERED", "CANCELLED"]
@@ -23,40 +17,48 @@ DELETE_EVENT, VALID = "DELETE_EVENT", "VALID"
 
 @dataclass(frozen=True)
 class Rule:
-    """`broken` says when a row image breaks the rule. A NULL outcome does not break it."""
+    """`broken` is a SQL condition over {field} placeholders that holds for a bad row.
+    A NULL outcome does not break the rule."""
 
     reason: str
-    broken: Callable[[Row], Column]
+    broken: str
+
+    def over(self, fields: Mapping[str, str]) -> str:
+        return self.broken.format_map(fields)
+
+
+def _listed(values: list[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
 ORDER_RULES = (
-    Rule("ORDER_ID_NULL", lambda row: row("order_id").isNull()),
-    Rule("CUSTOMER_ID_NULL", lambda row: row("customer_id").isNull()),
-    Rule("AMOUNT_NOT_NUMERIC", lambda row: to_money(row("amount")).isNull()),
-    Rule("NEGATIVE_AMOUNT", lambda row: to_money(row("amount")) < F.lit(0).cast("decimal(12,2)")),
-    Rule("INVALID_CURRENCY", lambda row: ~row("currency").isin(CURRENCIES)),
-    Rule("INVALID_STATUS", lambda row: ~row("status").isin(STATUSES)),
+    Rule("ORDER_ID_NULL", "{order_id} IS NULL"),
+    Rule("CUSTOMER_ID_NULL", "{customer_id} IS NULL"),
+    Rule("AMOUNT_NOT_NUMERIC", f"{to_money('{amount}')} IS NULL"),
+    Rule("NEGATIVE_AMOUNT", f"{to_money('{amount}')} < 0"),
+    Rule("INVALID_CURRENCY", f"{{currency}} NOT IN ({_listed(CURRENCIES)})"),
+    Rule("INVALID_STATUS", f"{{status}} NOT IN ({_listed(STATUSES)})"),
 )
 
 
-def first_failing(rules: tuple[Rule, ...], op: Column, row: Row) -> Column:
-    """The reason of the first broken rule; deletes are never judged."""
-    verdict = F.when(op == "d", F.lit(DELETE_EVENT))
-    for rule in rules:
-        verdict = verdict.when(rule.broken(row), F.lit(rule.reason))
-    return verdict.otherwise(F.lit(VALID))
+def first_failing(rules: tuple[Rule, ...], op: str, fields: Mapping[str, str]) -> str:
+    """The reason of the first broken rule; deletes are never judged.
+
+    `fields` maps a column of the row to the SQL that reads it.
+    """
+    branches = [f"WHEN {op} = 'd' THEN '{DELETE_EVENT}'"]
+    branches += [f"WHEN {rule.over(fields)} THEN '{rule.reason}'" for rule in rules]
+    return f"CASE {' '.join(branches)} ELSE '{VALID}' END"
 
 
-def verdict_of(reason: Column) -> Column:
-    return F.when(reason.isin(DELETE_EVENT, VALID), F.lit("PASS")).otherwise(F.lit("FAIL"))
+def verdict_of(reason: str) -> str:
+    return f"IF({reason} IN ('{DELETE_EVENT}', '{VALID}'), 'PASS', 'FAIL')"
 
 
-def passes_all(rules: tuple[Rule, ...], row: Row) -> Column:
+def passes_all(rules: tuple[Rule, ...], fields: Mapping[str, str]) -> str:
     """Row filter of the valid table: every rule must be known to hold.
 
     Stricter than the verdict: a NULL currency or status passes the verdict (the rule
     is not known to be broken) but is kept out of the valid table.
     """
-    return reduce(
-        lambda a, b: a & b, [~rule.broken(row) for rule in rules], F.lit(True)
-    )
+    return " AND ".join(["true", *[f"NOT ({rule.over(fields)})" for rule in rules]])

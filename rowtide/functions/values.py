@@ -1,52 +1,40 @@
-"""Casts between envelope text and column types. None of them throws."""
+"""Casts between envelope text and column types, as SQL text. None of them throws."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def to_long(text: str) -> str:
+    return f"try_cast({text} AS BIGINT)"
 
-def to_long(text: Column) -> Column:
-    return text.try_cast("bigint")
 
-
-def to_int(text: Column) -> Column:
-    return text.try_cast("int")
-
-
-def to_money(value: Column) -> Column:
+def to_money(value: str) -> str:
     """Rounds half up to two places; NULL when not a number or out of range."""
-    return value.try_cast("decimal(12,2)")
+    return f"try_cast({value} AS DECIMAL(12, 2))"
 
 
-def cut_to_millis(instant: Column) -> Column:
-    return F.date_trunc("MILLISECOND", instant)
+def cut_to_millis(instant: str) -> str:
+    return f"date_trunc('MILLISECOND', {instant})"
 
 
-def to_instant(text: Column) -> Column:
+def to_instant(text: str) -> str:
     """ISO-8601 text with a zone to an instant, cut to milliseconds."""
-    return cut_to_millis(text.try_cast("timestamp"))
-
-
-def millis_to_instant(millis: Column) -> Column:
-    return F.timestamp_millis(millis)
+    return cut_to_millis(f"try_cast({text} AS TIMESTAMP)")
 
 
-def wall_clock(instant: Column) -> Column:
+def wall_clock(instant: str) -> str:
     """An instant as zone-less session time."""
-    return instant.cast("timestamp_ntz")
+    return f"CAST({instant} AS TIMESTAMP_NTZ)"
 
 
-def iso_text(moment: Column, zone: str = "") -> Column:
+def iso_text(moment: str, zone: str = "") -> str:
     """ISO text cut to milliseconds, with an optional zone suffix."""
-    suffix = f"'{zone}'" if zone else ""
-    return F.date_format(moment, f"yyyy-MM-dd'T'HH:mm:ss.SSS{suffix}")
+    return f"""date_format({moment}, "yyyy-MM-dd'T'HH:mm:ss.SSS{f"'{zone}'" if zone else ''}")"""
 
 
-def canonical_text(value: Column, dtype: str) -> Column:
+def canonical_text(value: str, dtype: str) -> str:
     """One spelling per value: moments and days in ISO form, decimals with all their places."""
     if dtype.startswith("timestamp"):
         return iso_text(value)
     if dtype == "date":
-        return F.date_format(value, "yyyy-MM-dd")
-    return value.cast("string")
+        return f"date_format({value}, 'yyyy-MM-dd')"
+    return f"CAST({value} AS STRING)"

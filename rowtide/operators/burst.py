@@ -76,15 +76,8 @@ def change_burst(
     )
     is_updated, is_deleted = i < updates, i >= count - deletes
 
-    def updated_column(name: str) -> Column:
-        if name == "status":
-            return F.lit("PAID")
-        if name == "updated_at":
-            return F.timestamp_millis(F.lit(at_ms + 1000))
-        return F.col(name)
-
-    inserted = image(ORDERS, F.col)
-    paid = image(ORDERS, updated_column)
+    inserted = image(ORDERS)
+    paid = image(ORDERS, {"status": "'PAID'", "updated_at": f"timestamp_millis({at_ms + 1000})"})
     phases = F.array_compact(
         F.array(
             F.lit(0),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,15 +16,20 @@ LOG_FILE = "mysql-bin.000001"
 TOPIC_PARTITIONS = 6
 
 
-def image(spec: TableSpec, column: Callable[[str], Column]) -> Column:
-    """A row as an envelope carries it: amounts and times as text."""
-    spelled = {
-        AMOUNT: lambda c: c.cast("string"),
-        INSTANT: lambda c: iso_text(c, zone="Z"),
-    }
-    return F.struct(
-        *[spelled.get(kind, lambda c: c)(column(name)).alias(name) for name, kind in spec.columns.items()]
-    )
+def image(spec: TableSpec, changed: Mapping[str, str] | None = None) -> Column:
+    """A row as an envelope carries it: amounts and times as text.
+
+    `changed` maps columns to the SQL that replaces their own value.
+    """
+    fields = []
+    for name, kind in spec.columns.items():
+        value = (changed or {}).get(name, name)
+        if kind == AMOUNT:
+            value = f"CAST({value} AS STRING)"
+        elif kind == INSTANT:
+            value = iso_text(value, zone="Z")
+        fields.append(f"{value} AS {name}")
+    return F.expr(f"struct({', '.join(fields)})")
 
 
 def source_of(
@@ -101,7 +106,7 @@ def snapshot_feed(
     pos: int = 0,
 ) -> DataFrame:
     """Every row of a table as a snapshot-read event without a `before` image."""
-    row = image(spec, F.col)
+    row = image(spec)
     key = F.col(spec.key)
     partition, offset = log_position(key, partitions, per_key=1, base=base_offset)
     source = source_of(
@@ -135,8 +140,8 @@ def diff_feed(
     tombstone, rows that differ updates with both images. Both tables are unique in
     the key, so the join has no hot key.
     """
-    a = old.select(spec.key, image(spec, F.col).alias("before"))
-    b = new.select(spec.key, image(spec, F.col).alias("after"))
+    a = old.select(spec.key, image(spec).alias("before"))
+    b = new.select(spec.key, image(spec).alias("after"))
     before, after, key = F.col("before"), F.col("after"), F.col(spec.key)
     op = F.when(before.isNull(), "c").when(after.isNull(), "d").otherwise("u")
     changed = (

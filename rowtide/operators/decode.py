@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.values import millis_to_instant, to_instant, to_int, to_long
+from rowtide.functions.values import to_instant, to_long
 from rowtide.schemas import (
     INSTANT,
     LONG,
@@ -22,12 +20,12 @@ POSITION = ["topic_name", "kafka_partition", "kafka_offset", "kafka_timestamp"]
 
 def read_text(feed: DataFrame) -> DataFrame:
     """The record's position and its value as text, uninterpreted."""
-    return feed.select(
-        F.col("topic").alias("topic_name"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("value").cast("string").alias("payload"),
+    return feed.selectExpr(
+        "topic AS topic_name",
+        "partition AS kafka_partition",
+        "offset AS kafka_offset",
+        "timestamp AS kafka_timestamp",
+        "CAST(value AS STRING) AS payload",
     )
 
 
@@ -38,73 +36,69 @@ def decode_envelope(feed: DataFrame, spec: TableSpec, envelope: str = "auto") ->
     Catalyst does not copy expressions across a generator, so the filters and
     projections built on top share one JSON parse instead of repeating it.
     """
-    fields = [f.name for f in envelope_body(spec).fields]
-    parsed = F.from_json("payload", envelope_schema(spec, envelope))
-    text = read_text(feed)
-    if envelope == "flat":
-        return text.select("*", F.inline(F.array(parsed)))
-    boxed = text.withColumnRenamed("payload", "text").select(
-        "*", F.inline(F.array(F.from_json("text", envelope_schema(spec, envelope))))
+    schema = envelope_schema(spec, envelope)
+    parsed = (
+        read_text(feed)
+        .withColumnRenamed("payload", "text")
+        .select("*", F.inline(F.array(F.from_json("text", schema))))
     )
+    body = {name: name for name in envelope_body(spec).names}
     if envelope == "wrapped":
-        body = {name: F.col(f"payload.{name}") for name in fields}
-    else:
-        is_wrapped = F.col("payload").isNotNull()
-        body = {
-            name: F.when(is_wrapped, F.col(f"payload.{name}")).otherwise(F.col(name))
-            for name in fields
-        }
-    return boxed.select(
-        *POSITION, F.col("text").alias("payload"), *[c.alias(name) for name, c in body.items()]
+        body = {name: f"payload.{name}" for name in body}
+    elif envelope == "auto":
+        body = {name: f"IF(payload IS NOT NULL, payload.{name}, {name})" for name in body}
+    return parsed.selectExpr(
+        *POSITION, "text AS payload", *[f"{read} AS {name}" for name, read in body.items()]
     )
 
 
-def source_field(name: str) -> Column:
+def source_field(name: str) -> str:
     """One typed field of a decoded event's source block."""
-    return F.col("source").getItem(name).try_cast(SOURCE_FIELDS[name])
+    return f"try_cast(source['{name}'] AS {SOURCE_FIELDS[name]})"
 
 
-def image_field(image: str, name: str, spec: TableSpec) -> Column:
-    """One field of a decoded event's `before` or `after`: whole numbers as numbers,
+def image_fields(image: str, spec: TableSpec) -> dict[str, str]:
+    """The fields of a decoded event's `before` or `after`: whole numbers as numbers,
     amounts and times as the text they arrived in."""
-    text = F.col(f"{image}.{name}")
-    return to_long(text) if spec.columns[name] == LONG else text
+    return {
+        name: to_long(f"{image}.{name}") if kind == LONG else f"{image}.{name}"
+        for name, kind in spec.columns.items()
+    }
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "struct(" + ", ".join(f"{read} AS {name}" for name, read in fields.items()) + ")"
 
 
 def decode_structured(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """Tolerant reading: nested before / after / source, NULL where a field is bad."""
-
-    def typed(image: str) -> Column:
-        fields = [image_field(image, name, spec).alias(name) for name in spec.columns]
-        return F.when(F.col(image).isNotNull(), F.struct(*fields)).alias(image)
-
-    return decoded.select(
-        *POSITION,
-        typed("before"),
-        typed("after"),
-        F.struct(*[source_field(name).alias(name) for name in SOURCE_FIELDS]).alias("source"),
-        "op",
-        to_long(F.col("ts_ms")).alias("ts_ms"),
+    images = [
+        f"IF({image} IS NULL, NULL, {_struct(image_fields(image, spec))}) AS {image}"
+        for image in ("before", "after")
+    ]
+    source = _struct({name: source_field(name) for name in SOURCE_FIELDS})
+    return decoded.selectExpr(
+        *POSITION, *images, f"{source} AS source", "op", f"{to_long('ts_ms')} AS ts_ms"
     )
 
 
-def _readable(image: Column, spec: TableSpec) -> Column:
+def _readable(image: str, spec: TableSpec) -> str:
     """The key is there and every present field of the image survives its cast."""
-    checks = [to_long(image[spec.key]).isNotNull()]
+    checks = [f"{to_long(f'{image}.{spec.key}')} IS NOT NULL"]
     for cast, kind in ((to_long, LONG), (to_instant, INSTANT)):
         for name in spec.of_kind(kind):
             if name != spec.key:
-                checks.append(cast(image[name]).isNotNull() == image[name].isNotNull())
-    return image.isNull() | reduce(lambda a, b: a & b, checks)
+                text = f"{image}.{name}"
+                checks.append(f"({text} IS NULL) = ({cast(text)} IS NULL)")
+    return f"({image} IS NULL OR ({' AND '.join(checks)}))"
 
 
-def _well_formed(spec: TableSpec) -> Column:
+def _well_formed(spec: TableSpec) -> str:
     """A known operation, the images it needs, and nothing unreadable in either."""
-    op, before, after = F.col("op"), F.col("before"), F.col("after")
-    shape = (
-        (op.isin("c", "r", "u") & after.isNotNull()) | (op == "d")
-    ) & (op.isin("c", "r") | before.isNotNull())
-    return F.coalesce(shape & _readable(before, spec) & _readable(after, spec), F.lit(False))
+    needed = """CASE WHEN op IN ('c', 'r') THEN after IS NOT NULL
+        WHEN op = 'u' THEN before IS NOT NULL AND after IS NOT NULL
+        WHEN op = 'd' THEN before IS NOT NULL ELSE false END"""
+    return f"({needed}) AND {_readable('before', spec)} AND {_readable('after', spec)}"
 
 
 def decode_changelog(
@@ -116,39 +110,33 @@ def decode_changelog(
     delete. With `on_bad_record="fail"` a record that is not a well-formed change
     ends the job; the check sits in the filter, where no pruning can remove it.
     """
-    well_formed = _well_formed(spec)
     if on_bad_record == "fail":
-        where = F.concat_ws("|", "topic_name", "kafka_partition", "kafka_offset")
-        alarm = F.raise_error(F.concat(F.lit("not a row change: "), where)).cast("boolean")
-        keep = (
-            F.when(F.col("payload").isNull(), F.lit(False))
-            .when(well_formed, F.lit(True))
-            .otherwise(alarm)
-        )
+        otherwise = """raise_error(concat_ws('|', 'not a row change: ' || topic_name,
+            kafka_partition, kafka_offset))"""
     elif on_bad_record == "skip":
-        keep = F.col("payload").isNotNull() & well_formed
+        otherwise = "false"
     else:
         raise ValueError(f"on_bad_record must be fail or skip, not {on_bad_record!r}")
-
-    op, source, row = F.col("op"), F.col("source"), F.col("row")
-    row_kind = F.when(op == "d", "DELETE").when(op == "u", "UPDATE").otherwise("INSERT")
+    keep = f"""CASE WHEN payload IS NULL THEN false WHEN {_well_formed(spec)} THEN true
+        ELSE {otherwise} END"""
     casts = {LONG: to_long, INSTANT: to_instant}
-    rows = decoded.filter(keep).withColumn(
-        "row", F.when(op == "d", F.col("before")).otherwise(F.col("after"))
-    )
-    return rows.select(
-        row_kind.alias("row_kind"),
-        *[
-            casts.get(kind, lambda text: text)(row[name]).alias(name)
-            for name, kind in spec.columns.items()
-        ],
-        millis_to_instant(to_long(source["ts_ms"])).alias("source_event_ts"),
-        source["db"].alias("source_database"),
-        source["table"].alias("source_table"),
-        source.alias("source_properties"),
-        *POSITION,
-        to_long(source["ts_ms"]).alias("source_ts_ms"),
-        source["file"].alias("source_file"),
-        to_long(source["pos"]).alias("source_position"),
-        to_int(source["row"]).alias("source_row"),
+    columns = [
+        f"{casts.get(kind, str)(f'row.{name}')} AS {name}" for name, kind in spec.columns.items()
+    ]
+    return (
+        decoded.filter(keep)
+        .withColumn("row", F.expr("IF(op = 'd', before, after)"))
+        .selectExpr(
+            "CASE op WHEN 'd' THEN 'DELETE' WHEN 'u' THEN 'UPDATE' ELSE 'INSERT' END AS row_kind",
+            *columns,
+            f"timestamp_millis({source_field('ts_ms')}) AS source_event_ts",
+            "source['db'] AS source_database",
+            "source['table'] AS source_table",
+            "source AS source_properties",
+            *POSITION,
+            f"{source_field('ts_ms')} AS source_ts_ms",
+            f"{source_field('file')} AS source_file",
+            f"{source_field('pos')} AS source_position",
+            f"{source_field('row')} AS source_row",
+        )
     )

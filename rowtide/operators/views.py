@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lineage import (
-    event_id,
+    EVENT_ID,
     operation_name,
     state_digest,
     whole_second_millis,
 )
 from rowtide.functions.rules import first_failing, passes_all, verdict_of
 from rowtide.functions.values import cut_to_millis, to_money, wall_clock
-from rowtide.operators.decode import image_field, source_field
+from rowtide.operators.decode import image_fields, source_field
 from rowtide.schemas import (
     AMOUNT,
     EVENT_AUDIT,
@@ -24,7 +24,6 @@ from rowtide.schemas import (
     current_schema,
 )
 
-
 # Fields of the source block that follow an event into the audit.
 LINEAGE = {
     "file": "source_file",
@@ -35,20 +34,16 @@ LINEAGE = {
 }
 
 
-def _id() -> Column:
-    return event_id(F.col("topic_name"), F.col("kafka_partition"), F.col("kafka_offset"))
-
-
 def raw_events(text: DataFrame) -> DataFrame:
     """Every record verbatim, tombstones included."""
-    return text.select(
-        _id().alias("event_id"),
+    return text.selectExpr(
+        f"{EVENT_ID} AS event_id",
         "topic_name",
         "kafka_partition",
         "kafka_offset",
-        wall_clock(cut_to_millis(F.col("kafka_timestamp"))).alias("kafka_timestamp"),
+        f"{wall_clock(cut_to_millis('kafka_timestamp'))} AS kafka_timestamp",
         "payload",
-        F.col("payload").isNull().alias("is_tombstone"),
+        "payload IS NULL AS is_tombstone",
     ).select(RAW_EVENTS.names)
 
 
@@ -66,36 +61,31 @@ def enriched_events(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     Only the fields the view shows are cast, straight from the decoded envelope.
     """
 
-    def before(name: str) -> Column:
-        return image_field("before", name, spec)
-
-    def after(name: str) -> Column:
-        return image_field("after", name, spec)
-
+    before, after = image_fields("before", spec), image_fields("after", spec)
     raw_fields = [name for name in ("amount", "status", "currency") if name in spec.columns]
-    judged = decoded.filter(F.col("op").isNotNull()).select(
+    judged = decoded.filter("op IS NOT NULL").selectExpr(
         "topic_name",
         "kafka_partition",
         "kafka_offset",
         "kafka_timestamp",
         "op",
-        F.coalesce(after(spec.key), before(spec.key)).alias(spec.key),
-        *[source_field(name).alias(alias) for name, alias in LINEAGE.items()],
-        first_failing(spec.rules, F.col("op"), after).alias("validation_reason"),
-        state_digest(spec.digest, before).alias("before_state"),
-        state_digest(spec.digest, after).alias("after_state"),
-        *[after(name).alias(f"{name}_raw") for name in raw_fields],
+        f"coalesce({after[spec.key]}, {before[spec.key]}) AS {spec.key}",
+        *[f"{source_field(name)} AS {alias}" for name, alias in LINEAGE.items()],
+        f"{first_failing(spec.rules, 'op', after)} AS validation_reason",
+        f"{state_digest(spec.digest, before)} AS before_state",
+        f"{state_digest(spec.digest, after)} AS after_state",
+        *[f"{after[name]} AS {name}_raw" for name in raw_fields],
     )
-    return judged.select(
-        _id().alias("event_id"),
+    return judged.selectExpr(
+        f"{EVENT_ID} AS event_id",
         "topic_name",
         "kafka_partition",
         "kafka_offset",
-        operation_name(F.col("op")).alias("operation"),
+        f"{operation_name('op')} AS operation",
         spec.key,
         *LINEAGE.values(),
-        whole_second_millis(F.col("kafka_timestamp")).alias("kafka_ts_ms"),
-        verdict_of(F.col("validation_reason")).alias("validation_status"),
+        f"{whole_second_millis('kafka_timestamp')} AS kafka_ts_ms",
+        f"{verdict_of('validation_reason')} AS validation_status",
         "validation_reason",
         "before_state",
         "after_state",
@@ -114,13 +104,13 @@ def rejects(enriched: DataFrame) -> DataFrame:
 
 def source_metadata(changelog: DataFrame, spec: TableSpec) -> DataFrame:
     """Where each change comes from: log position, source time and the source block."""
-    return changelog.select(
+    return changelog.selectExpr(
         spec.key,
         "topic_name",
         "kafka_partition",
         "kafka_offset",
-        wall_clock(cut_to_millis(F.col("kafka_timestamp"))).alias("kafka_timestamp"),
-        wall_clock(F.col("source_event_ts")).alias("source_event_ts"),
+        f"{wall_clock(cut_to_millis('kafka_timestamp'))} AS kafka_timestamp",
+        f"{wall_clock('source_event_ts')} AS source_event_ts",
         "source_database",
         "source_table",
         "source_properties",
@@ -133,22 +123,23 @@ SOURCE_ORDER = ["source_ts_ms", "source_file", "source_position", "source_row"]
 def typed_changes(changelog: DataFrame, spec: TableSpec) -> DataFrame:
     """Changes with amounts as decimals and times without a zone, in log lineage."""
     casts = {AMOUNT: to_money, INSTANT: wall_clock}
-    columns = [
-        casts.get(kind, lambda c: c)(F.col(name)).alias(name)
-        for name, kind in spec.columns.items()
-    ]
-    return changelog.select(
+    return changelog.selectExpr(
         "row_kind",
-        *columns,
-        wall_clock(F.col("source_event_ts")).alias("source_event_ts"),
+        *[f"{casts.get(kind, str)(name)} AS {name}" for name, kind in spec.columns.items()],
+        f"{wall_clock('source_event_ts')} AS source_event_ts",
         "kafka_partition",
         "kafka_offset",
         *SOURCE_ORDER,
     )
 
 
+def own_fields(spec: TableSpec) -> dict[str, str]:
+    """Rule placeholders read straight from a table's own columns."""
+    return {name: name for name in spec.columns}
+
+
 def valid_rows(state: DataFrame, spec: TableSpec) -> DataFrame:
-    return state.filter(passes_all(spec.rules, F.col))
+    return state.filter(passes_all(spec.rules, own_fields(spec)))
 
 
 def current_rows(latest: DataFrame, spec: TableSpec) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.functions.values import to_money
+from rowtide.functions.values import to_money, wall_clock
 from rowtide.operators.capture import (
     TOPIC_PARTITIONS,
     envelope_text,
@@ -125,15 +125,16 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_order_rows(images: DataFrame, picked: Column) -> DataFrame:
     """Row images as rows of a typed table."""
-    row = images.select(picked.alias("row")).filter(F.col("row").isNotNull()).select("row.*")
-    return row.select(
+    row = images.select(picked.alias("row")).filter("row IS NOT NULL").select("row.*")
+    return row.selectExpr(
         "order_id",
         "customer_id",
         "status",
-        to_money(F.col("amount")).alias("amount"),
+        f"{to_money('amount')} AS amount",
         "currency",
         "shipping_address",
-        *[F.col(c).cast("timestamp").cast("timestamp_ntz").alias(c) for c in ("created_at", "updated_at")],
+        f"{wall_clock('CAST(created_at AS TIMESTAMP)')} AS created_at",
+        f"{wall_clock('CAST(updated_at AS TIMESTAMP)')} AS updated_at",
     )
 
 

@@ -39,7 +39,7 @@ from rowtide.operators.views import (
     unique_positions,
 )
 from rowtide.plans.inputs import customers, final_orders, first_orders, order_feed
-from rowtide.schemas import CUSTOMERS, FEED, ORDERS, RECONCILIATION, SOURCE_FIELDS
+from rowtide.schemas import CUSTOMERS, FEED, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
 from rowtide.session import configure, new_run_dir
 from rowtide.sources.feed import read_feed_files
 from rowtide.streaming import pipeline as job
@@ -106,11 +106,11 @@ def orders_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     changelog = decode_changelog(_decoded(spark, sf_dir), ORDERS)
-    return changelog.select(
+    return changelog.selectExpr(
         "row_kind",
         *[
-            wall_clock(F.col(c)).alias(c) if c in ("created_at", "updated_at") else F.col(c)
-            for c in ORDERS.columns
+            f"{wall_clock(name)} AS {name}" if kind == INSTANT else name
+            for name, kind in ORDERS.columns.items()
         ],
         "topic_name",
         "kafka_partition",
@@ -258,7 +258,7 @@ def change_burst_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wall_clock_feed(feed: DataFrame) -> DataFrame:
-    return feed.withColumn("timestamp", wall_clock(F.col("timestamp")))
+    return feed.withColumn("timestamp", F.expr(wall_clock("timestamp")))
 
 
 # Streaming: the same tables, maintained by the continuous job

@@ -278,9 +278,13 @@ def _log_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """The log as a stream; a short log is still cut into a few micro-batches."""
     path = _log_files(spark, sf_dir)
     files = len(spark.read.schema(FEED).parquet(path).inputFiles())
-    return read_feed_files(spark, path, streaming=True, files_per_trigger=-(-files // batches))
+    short = files <= batches * spark.sparkContext.defaultParallelism
+    return read_feed_files(
+        spark, path, streaming=True, files_per_trigger=-(-files // batches) if short else None
+    )
 
 
 def _run(spark: SparkSession, sf_dir: str, *tables: str) -> job.Pipeline:

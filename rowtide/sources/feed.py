@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from rowtide.schemas import FEED
 
 
-# Bounds of one micro-batch, so that catching up on a long log goes in steps.
-BATCH_RECORDS = 50_000_000
-BATCH_BYTES = 64 << 30
+# Bounds of one micro-batch per core of the cluster: catching up on a long log goes in
+# steps that keep every core busy and whose decoded records still fit the executors.
+BATCH_RECORDS_PER_CORE = 500_000
+BATCH_BYTES_PER_CORE = 512 << 20
 
 
-def log_options(servers: str, topics: list[str], **extra: str) -> dict[str, str]:
+def log_options(servers: str, topics: list[str], cores: int, **extra: str) -> dict[str, str]:
     """From the earliest record, committed records only; new partitions are picked up by Spark.
 
     Pass `minPartitions` when one topic partition holds much of the feed: Spark then
@@ -25,7 +26,7 @@ def log_options(servers: str, topics: list[str], **extra: str) -> dict[str, str]
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
         "kafka.isolation.level": "read_committed",
-        "maxOffsetsPerTrigger": str(BATCH_RECORDS),
+        "maxOffsetsPerTrigger": str(BATCH_RECORDS_PER_CORE * cores),
         **extra,
     }
 
@@ -35,20 +36,22 @@ def read_log(
 ) -> DataFrame:
     """Feed records of a Kafka topic (needs Spark's Kafka package on the class path)."""
     reader = spark.readStream if streaming else spark.read
-    return as_feed(reader.format("kafka").options(**log_options(servers, topics, **extra)).load())
+    options = log_options(servers, topics, spark.sparkContext.defaultParallelism, **extra)
+    return as_feed(reader.format("kafka").options(**options).load())
 
 
 def read_feed_files(
     spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Feed records kept as Parquet."""
+    """Feed records kept as Parquet. Streams also take in files delivered with an old date."""
     if not streaming:
         return as_feed(spark.read.schema(FEED).parquet(path))
-    reader = spark.readStream.schema(FEED)
+    reader = spark.readStream.schema(FEED).option("maxFileAge", "365d")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     else:
-        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
+        cores = spark.sparkContext.defaultParallelism
+        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES_PER_CORE * cores)
     return as_feed(reader.parquet(path))
 
 

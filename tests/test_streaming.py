@@ -235,7 +235,8 @@ def test_all_tables_are_the_five():
 
 
 def test_log_and_jdbc_options():
-    options = log_options("broker:9092", ["a", "b"], maxOffsetsPerTrigger="10")
+    assert log_options("broker:9092", ["a"], 4)["maxOffsetsPerTrigger"] == "2000000"
+    options = log_options("broker:9092", ["a", "b"], 4, maxOffsetsPerTrigger="10")
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "a,b"
     assert options["kafka.isolation.level"] == "read_committed" and options["maxOffsetsPerTrigger"] == "10"
     jdbc = jdbc_options(ORDERS, "jdbc:x", "orders", 1, 100, 8)

@@ -20,11 +20,18 @@ from rowtide.schemas import TableSpec, current_schema
 
 LOADED_AT = "loaded_at"
 
+# Payloads and digests are text that repeats itself: zstd halves the files at no cost in time.
+COMPRESSION = "zstd"
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+
 
 def write_events(events: DataFrame, table_dir: str, batch_id: int, stamp: str) -> None:
     """One batch of insert-once rows, stamped with the load time."""
     stamped = events.withColumn(stamp, F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+    _write(stamped, f"{table_dir}/batch_id={batch_id}")
 
 
 def read_events(
@@ -52,9 +59,7 @@ def change_schema(spec: TableSpec) -> T.StructType:
 def write_changes(newest: DataFrame, spec: TableSpec, table_dir: str, batch_id: int) -> None:
     """The newest change per key of one batch; deletes are rows too."""
     stamped = newest.withColumn(LOADED_AT, F.current_timestamp())
-    stamped.select(change_schema(spec).names).write.mode("overwrite").parquet(
-        f"{table_dir}/changes/batch_id={batch_id}"
-    )
+    _write(stamped.select(change_schema(spec).names), f"{table_dir}/changes/batch_id={batch_id}")
 
 
 def read_batch(spark: SparkSession, spec: TableSpec, table_dir: str, batch_id: int) -> DataFrame:
@@ -171,7 +176,7 @@ def compact(
     not bring a deleted key back.
     """
     folded = state(spark, spec, table_dir, order_by, through)
-    folded.write.mode("overwrite").parquet(f"{table_dir}/snapshots/through={through}")
+    _write(folded, f"{table_dir}/snapshots/through={through}")
 
 
 def compact_if_grown(

@@ -7,10 +7,12 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rowtide.plans.oracle import ORACLES
+from rowtide.plans.queries import QUERIES
 from rowtide.session import FEW_SPLITS, new_run_dir, shared_dir, spread
 
-BATCH = [name for name in queries() if not name.startswith("stream_") and name != "reconcile_converged"]
+BATCH = [name for name in QUERIES if not name.startswith("stream_") and name != "reconcile_converged"]
 
 
 @pytest.fixture(scope="module")
@@ -31,13 +33,13 @@ def normal(columns, data):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_twin(spark, duck, name):
-    got = queries()[name](spark, SMALL)
-    cursor = duck.execute(oracle_sql()[name])
+    got = QUERIES[name](spark, SMALL)
+    cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(got.columns) == sorted(columns)
     assert normal(got.columns, got.collect()) == normal(columns, cursor.fetchall())
@@ -45,14 +47,14 @@ def test_query_equals_its_twin(spark, duck, name):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_plans_stay_in_the_engine(spark, name):
-    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Python", "Cartesian", "NestedLoop", "Scan ExistingRDD"):
         assert unwanted not in plan
 
 
 def test_event_tables_need_no_shuffle(spark):
     for name in ("cdc_raw_events", "cdc_event_audit", "cdc_rejects", "orders_typed", "snapshot_feed"):
-        plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         # Only the spreading of the one-file test table, which large inputs do without.
         assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1
 

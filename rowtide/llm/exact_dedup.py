@@ -1,8 +1,10 @@
 """Exact duplicates by content sort, in DataFrame operations only.
 
-Sampled splitters range-partition the texts, an external sort places equal ones side by
-side, and each row is compared in full with its neighbour. A text that holds a good part
-of all rows is never sorted: its copies are reduced to one row in each task first.
+Sampled splitters range-partition the texts by their first characters and then a hash, an
+external sort places equal ones side by side, and each row is compared in full with its
+neighbour. The hash keeps texts with one common beginning apart, and splitters are short
+however long the texts. A text that holds a good part of all rows is never sorted: its
+copies are reduced to one row in each task first.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from rowtide.llm.common import shuffle_partitions
 # Distinct texts tracked by the frequency sketch, and the most that may count as hot.
 SKETCH_ITEMS = 8192
 HOT_TEXTS = 256
+# Characters of a text that its splitters show.
+LEAD_CHARS = 16
 
 
 def _hot_hashes(rows: DataFrame) -> list[int]:
@@ -23,7 +27,7 @@ def _hot_hashes(rows: DataFrame) -> list[int]:
     The sketch reads all rows and its size is fixed. The list only decides which way a
     text takes; either way gives the same result.
     """
-    top = F.expr(f"approx_top_k(xxhash64(_text), {HOT_TEXTS}, {SKETCH_ITEMS})")
+    top = F.expr(f"approx_top_k(_hash, {HOT_TEXTS}, {SKETCH_ITEMS})")
     found, total = rows.agg(top, F.count("*")).first()
     even = total / (4 * shuffle_partitions(rows))
     return [x["item"] for x in found or [] if x["item"] is not None and x["count"] > max(even, 2)]
@@ -45,8 +49,15 @@ def _order(keep: str) -> Column:
 
 
 def _cold_and_hot(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    hot = F.xxhash64("_text").isin(_hot_hashes(rows))
-    return rows.where(~hot).repartitionByRange("_text"), rows.where(hot)
+    rows = rows.withColumn("_hash", F.xxhash64("_text"))
+    hot = F.col("_hash").isin(_hot_hashes(rows))
+    cold = rows.where(~hot).withColumn("_lead", F.substring("_text", 1, LEAD_CHARS))
+    return cold.repartitionByRange("_lead", "_hash"), rows.where(hot)
+
+
+def _equal_texts(keep: str):
+    """Rows of one text; the range partitioning above already holds them together."""
+    return Window.partitionBy("_lead", "_hash", "_text").orderBy(_order(keep))
 
 
 def duplicate_groups(
@@ -65,7 +76,7 @@ def duplicate_groups(
     """
     rows = _texts(docs, id_col, text_col, normalise).drop("_row")
     cold, hot = _cold_and_hot(rows)
-    near = Window.partitionBy("_text").orderBy(_order(keep))
+    near = _equal_texts(keep)
     whole = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     digest = F.sha2(F.col("_text"), 256)
     out = [
@@ -108,7 +119,7 @@ def drop_duplicates(
     """
     rows = _texts(docs, id_col, text_col, normalise)
     cold, hot = _cold_and_hot(rows)
-    rank = F.row_number().over(Window.partitionBy("_text").orderBy(_order(keep)))
+    rank = F.row_number().over(_equal_texts(keep))
     kept = cold.withColumn("_rank", rank).where("_rank = 1").select("_row.*")
     # Map-side, each task sends one row per hot text.
     nulls = F.col("_id").isNull()

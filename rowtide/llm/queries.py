@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import exact_dedup, simhash
+from rowtide.llm import decontam, exact_dedup, langid, pieces, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,40 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found, held_out = langid.identify(docs)
+    judged = docs.select("doc_id", held_out.alias("held_out"), found.alias("p"))
+    return judged.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+    )
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether decoding gives the text back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = docs.withColumn("pieces", pieces.encode_column(spark, F.col("text")))
+    back = pieces.decode_column(spark, F.col("pieces")) == F.col("text")
+    return coded.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), back.alias("round_trip"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counted = docs.select("doc_id", token_counts.count_column(spark, F.col("text")).alias("n"))
+    return counted.select("doc_id", F.col("n.words").alias("n_words"), F.col("n.tokens").alias("n_tokens"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     fixed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -24,7 +58,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op7_decontamination": op7_decontamination,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {
@@ -37,4 +75,32 @@ ORACLES = {
                sha256(text) AS text_sha256
         FROM t
     """,
+    "op7_decontamination": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + 9) AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+        ), sizes AS (SELECT DISTINCT n FROM windows),
+        starts AS (
+            SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+        ), found AS (
+            SELECT s.doc_id, s.i, s.n, x.item_id FROM starts s JOIN windows x ON s.n = x.n AND s.win = x.win
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
 }

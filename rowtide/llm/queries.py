@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import decontam, exact_dedup, langid, pieces, simhash, token_counts
+from rowtide.llm import decontam, exact_dedup, langid, pieces, secret_scan, sharding, simhash, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,29 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_scan.scan_column(F.col("text")).alias("s"))
+
+    def number(kind: str):
+        return F.size(F.filter("s", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    base = F.filter("s", lambda x: x["kind"].isin(*secret_scan.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[number(k) for k in secret_scan.KINDS],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("s")).alias("spans"),
+    )
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found, held_out = langid.identify(docs)
@@ -23,6 +46,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -58,7 +95,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_url_filter": op3_url_filter,
     "op4_language_id": op4_language_id,
+    "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import decontam, exact_dedup, langid, pieces, secret_scan, sharding, simhash, token_counts, url_filter
+from rowtide.llm import decontam, exact_dedup, langid, lm, pieces, secret_scan, sharding, simhash, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -98,6 +102,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
     "op4_language_id": op4_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
     "op8_sentencepiece": op8_sentencepiece,

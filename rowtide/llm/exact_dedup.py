@@ -38,7 +38,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, normalise) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("_id"),
         (normalise(text) if normalise else text).alias("_text"),
-        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        F.struct("*").alias("_row"),
     )
 
 

@@ -61,9 +61,6 @@ def _slots(text: str | None) -> Iterator[np.ndarray]:
         keep = ~(blank & np.concatenate([[False], blank[:-1]]))
         keep[: len(tail)] = True  # they were kept already
         now = now[keep]
-        if begin == 0 and not (now != 32).any():
-            tail = now[-1:]
-            continue
         found = []
         for n in ORDERS:
             # n-grams that end in this block: those within the tail were given before.
@@ -79,7 +76,8 @@ def _slots(text: str | None) -> Iterator[np.ndarray]:
                 h = h[codes != 32]
             found.append(h >> np.uint32(32 - BITS))
         tail = now[-(max(ORDERS) - 1) :]
-        yield np.concatenate(found)
+        if found:
+            yield np.concatenate(found)
 
 
 def _has_letter(text: str | None) -> bool:

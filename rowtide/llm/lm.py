@@ -77,7 +77,7 @@ class Vocabulary:
         self.rank = {w: i for i, w in enumerate(self.words) if w is not None}
         self.end_rank = self.words.index(None)
         rest = self.total - int(self.counts[: self.head].sum())
-        self.rest_size = rest + self.distinct - self.head + 1
+        self.rest_size = rest + max(self.distinct - self.head, 0) + 1
 
     @property
     def classes(self) -> int:

@@ -323,7 +323,8 @@ class Scorer:
         words are known, and how many lie outside the head or are not known."""
         known = ranks[ranks >= 0]
         logs, outside = self.log_count[known], known >= self.v.head
-        return np.array([logs.sum(), logs[outside].sum(), len(known), outside.sum() + len(ranks) - len(known)])
+        seen = np.count_nonzero(self.v.counts[known])  # an end token never trained on counts for nothing
+        return np.array([logs.sum(), logs[outside].sum(), seen, outside.sum() + len(ranks) - len(known)])
 
     def long(self, data: bytes) -> tuple:
         """One text, part by part; the state is carried on."""

@@ -25,7 +25,9 @@ MARKER = "▁".encode()
 # Longer chunks are worked out one by one, in memory of 16 bytes for each of theirs.
 LONG_CHUNK = 256
 # Chunks worked out side by side.
-TOGETHER = 1 << 17
+TOGETHER = 1 << 15
+# Chunks a task remembers before it starts anew.
+CHUNKS_KEPT = 1 << 18
 UNKNOWN_PENALTY = 10.0
 
 
@@ -197,7 +199,7 @@ class Encoder:
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.pattern = pieces, pieces.chunk
-        self.known = Remembered(self._learn, self._clear)
+        self.known = Remembered(self._learn, self._clear, CHUNKS_KEPT)
         self._clear()
 
     def _clear(self) -> None:
@@ -224,8 +226,8 @@ class Encoder:
         return gather(self.ids, self.starts[numbers], lengths), ends[last] - ends[last - per_text]
 
 
-# Texts worked on at a time, whatever the size of an Arrow batch.
-TEXT_BLOCK = 1 << 24
+# Bytes of text worked on at a time, whatever the size of an Arrow batch.
+TEXT_BLOCK = 1 << 21
 
 
 def _blocks(column: pa.Array) -> Iterator[list[bytes | None]]:

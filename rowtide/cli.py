@@ -1,6 +1,6 @@
-"""Command line: run the continuous job, reconcile, make a burst.
+"""Command line: run the continuous job, reconcile.
 
-    spark-submit -m rowtide ...   or   python -m rowtide run|reconcile|burst --help
+    spark-submit -m rowtide ...   or   python -m rowtide run|reconcile --help
 """
 
 from __future__ import annotations
@@ -9,13 +9,13 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.operators.burst import change_burst
-from rowtide.operators.reconcile import reconcile, run_until_converged
+from rowtide.operators.reconcile import SAMPLE_SIZE, reconcile, run_until_converged
 from rowtide.schemas import ORDERS
 from rowtide.session import configure
 from rowtide.sources.feed import read_feed_files, read_log
+from rowtide.sources.tables import read_jdbc_table
 from rowtide.streaming import pipeline as job
 
 METRIC_TABLES = {
@@ -36,13 +36,21 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The source table: Parquet, or a database over JDBC (needs its driver; untested here)."""
+    if args.source:
+        return spark.read.parquet(args.source)
+    return read_jdbc_table(spark, ORDERS, args.source_jdbc, ORDERS.table, args.lower, args.upper, args.partitions)
+
+
 def run_reconcile(spark: SparkSession, args: argparse.Namespace) -> int:
     tables = job.Pipeline(args.root, order_by=args.order_by)
 
     def check():
         stored = {m: job.read_output(spark, tables, t) for m, t in METRIC_TABLES.items()}
         replica = job.read_output(spark, tables, job.CURRENT)
-        return reconcile(spark.read.parquet(args.source), replica, ORDERS, stored)
+        findings = tables.dir("pipeline_findings")
+        return reconcile(_source(spark, args), replica, ORDERS, stored, findings, args.sample_size)
 
     result = run_until_converged(
         check,
@@ -56,21 +64,6 @@ def run_reconcile(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if passed else 1
 
 
-def run_burst(spark: SparkSession, args: argparse.Namespace) -> int:
-    feed = change_burst(
-        spark.read.parquet(args.orders),
-        args.count,
-        args.update_percent,
-        args.delete_percent,
-        args.batch_size,
-        args.seed,
-        args.at_ms,
-        args.base_offset,
-    )
-    feed.write.mode("append").parquet(args.out)
-    return 0
-
-
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowtide", description=__doc__)
     commands = top.add_subparsers(required=True)
@@ -88,24 +81,18 @@ def parser() -> argparse.ArgumentParser:
     p.set_defaults(command=run)
 
     p = commands.add_parser("reconcile", help="compare the source table with the replica")
-    p.add_argument("--source", required=True, help="source table as Parquet")
+    source = p.add_mutually_exclusive_group(required=True)
+    source.add_argument("--source", help="source table as Parquet")
+    source.add_argument("--source-jdbc", help="URL of the source database")
+    p.add_argument("--lower", type=int, default=0, help="smallest key, to split a JDBC scan")
+    p.add_argument("--upper", type=int, default=1 << 31, help="largest key, to split a JDBC scan")
+    p.add_argument("--partitions", type=int, default=32, help="parts of a JDBC scan")
+    p.add_argument("--sample-size", type=int, default=SAMPLE_SIZE, help="ids of each finding in the report")
     p.add_argument("--root", required=True)
     p.add_argument("--order-by", choices=["position", "source"], default="position")
     p.add_argument("--timeout", type=float, default=90)
     p.add_argument("--poll", type=float, default=3)
     p.set_defaults(command=run_reconcile)
-
-    p = commands.add_parser("burst", help="append a burst of order changes to a feed")
-    p.add_argument("--orders", required=True, help="orders table as Parquet")
-    p.add_argument("--out", required=True, help="folder of feed records")
-    p.add_argument("--count", type=int, default=10000)
-    p.add_argument("--batch-size", type=int, default=500)
-    p.add_argument("--update-percent", type=float, default=10.0)
-    p.add_argument("--delete-percent", type=float, default=2.0)
-    p.add_argument("--seed", default="0")
-    p.add_argument("--at-ms", type=int, default=0)
-    p.add_argument("--base-offset", type=int, default=0)
-    p.set_defaults(command=run_burst)
     return top
 
 

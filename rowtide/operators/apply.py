@@ -4,28 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.operators.decode import decode_changelog, decode_envelope
 from rowtide.operators.latest import latest_changes
 from rowtide.operators.views import typed_changes
 from rowtide.schemas import TableSpec
+from rowtide.session import written
 
 
 def apply_changes(table: DataFrame, newest: DataFrame, spec: TableSpec) -> DataFrame:
-    """The table after the newest change per key: one join, both sides read once."""
+    """The table after the newest change per key.
+
+    The changes are stored once. Untouched rows pass an anti join on their keys: when those
+    are few by Spark's own size check they are broadcast, and the table is not shuffled.
+    """
+    newest = written(newest, "newest")
     columns = list(spec.columns)
-    held = table.select(spec.key, F.struct(*columns).alias("held"))
-    change = newest.select(spec.key, "row_kind", F.struct(*columns).alias("change"))
-    kind = F.col("row_kind")
-    row = F.when(kind.isNull(), F.col("held")).otherwise(F.col("change"))
-    return (
-        held.join(change, spec.key, "full_outer")
-        .filter(kind.isNull() | (kind != "DELETE"))
-        .select(row.alias("row"))
-        .select("row.*")
-    )
+    untouched = table.join(newest.select(spec.key), spec.key, "left_anti").select(columns)
+    return untouched.unionByName(newest.where("row_kind <> 'DELETE'").select(columns))
 
 
 def apply_feed(
@@ -48,40 +46,46 @@ def keyed_upsert(
     update: list[str],
     touch: Mapping[str, Column] | None = None,
     defaults: Mapping[str, Column] | None = None,
+    order_by: str | None = None,
 ) -> DataFrame:
     """Insert the batch's new keys; for known keys overwrite the `update` columns only.
 
     `touch` columns are set on known rows whose values really change, `defaults` fill
-    columns a new row does not bring. Keys are unique within the batch. The table
-    itself is only ever probed: Spark broadcasts the batch when its size allows and
-    falls back to a sort-merge join when it does not.
+    columns a new row does not bring. Of rows that repeat a key the one with the greatest
+    `order_by` counts; without an order a repeated key fails the job. One full outer join:
+    table and batch are read once.
     """
     touch, defaults = touch or {}, defaults or {}
-    hit = F.col("_hit").isNotNull()
-    new = {name: F.col(f"_new_{name}") for name in update}
+    order = F.col(order_by).desc() if order_by else F.col(key)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    if not order_by:
+        repeated = F.raise_error(F.format_string("key %s occurs twice in the batch", F.col(key)))
+        rank = F.when(rank > 1, repeated.cast("int")).otherwise(rank)
+    last = batch.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    # Clashing names cannot meet: each side travels in a struct of its own.
+    held = table.select(key, F.struct("*").alias("_held"))
+    incoming = last.select(key, F.struct("*").alias("_new"))
+    known, hit = F.col("_held").isNotNull(), F.col("_new").isNotNull()
     changed = F.lit(False)
     for name in update:
-        changed = changed | ~F.col(name).eqNullSafe(new[name])
-
-    def updated(name: str) -> Column:
-        if name in new:
-            return F.when(hit, new[name]).otherwise(F.col(name)).alias(name)
-        if name in touch:
-            return F.when(hit & changed, touch[name]).otherwise(F.col(name)).alias(name)
-        return F.col(name)
-
-    incoming = batch.select(
-        key, F.lit(True).alias("_hit"), *[F.col(name).alias(f"_new_{name}") for name in update]
-    )
-    kept = table.join(incoming, key, "left").select(*[updated(name) for name in table.columns])
-
-    known = table.select(key).join(batch.select(key), key, "left_semi")
+        changed = changed | ~F.col(f"_held.{name}").eqNullSafe(F.col(f"_new.{name}"))
     types = dict(table.dtypes)
 
-    def brought(name: str) -> Column:
+    def value(name: str) -> Column:
+        if name == key:
+            return F.col(key)
+        old = F.col(f"_held.{name}")
         if name in batch.columns:
-            return F.col(name).cast(types[name]).alias(name)
-        return defaults.get(name, F.lit(None)).cast(types[name]).alias(name)
-
-    added = batch.join(known, key, "left_anti").select(*[brought(name) for name in table.columns])
-    return kept.unionByName(added)
+            brought = F.col(f"_new.{name}")
+        else:
+            brought = defaults.get(name, F.lit(None))
+        if name in update:
+            updated = F.when(hit, F.col(f"_new.{name}")).otherwise(old)
+        elif name in touch:
+            updated = F.when(hit & changed, touch[name]).otherwise(old)
+        else:
+            updated = old
+        return F.when(known, updated).otherwise(brought).cast(types[name]).alias(name)
+
+    joined = held.join(incoming, key, "full_outer")
+    return joined.select(*[value(name) for name in table.columns])

@@ -79,9 +79,13 @@ def log_position(
     Offsets grow with the key inside each partition and leave `per_key` slots for one
     key. Being computed per row they need no numbering pass: no shuffle, no window
     with one task per topic partition, and the same answer when a task is retried.
+    Negative keys have as many partitions of their own behind the others, where -1 comes
+    first: offsets are never negative, so a later base always lies behind an earlier one.
     """
-    partition = F.pmod(key, F.lit(partitions))
-    block = F.call_function("div", key - partition, F.lit(partitions))
+    negative = key < 0
+    place = F.when(negative, -(key + 1)).otherwise(key)
+    partition = F.pmod(place, F.lit(partitions)) + F.when(negative, partitions).otherwise(0)
+    block = F.call_function("div", place, F.lit(partitions))
     step = F.lit(step) if isinstance(step, int) else step
     base = F.lit(base) if isinstance(base, int) else base
     return partition.cast("int"), (base + block * per_key + step).cast("bigint")

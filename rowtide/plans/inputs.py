@@ -17,8 +17,9 @@ from rowtide.operators.capture import (
     record_key,
     source_of,
 )
-from rowtide.schemas import CUSTOMERS, ORDERS
-from rowtide.session import configure
+from rowtide.schemas import CUSTOMERS, FEED, ORDERS
+from rowtide.session import configure, new_run_dir
+from rowtide.sources.feed import read_feed_files
 from rowtide.sources.tables import read_table
 
 OFFSETS_PER_KEY = 8
@@ -32,7 +33,8 @@ SHARED = {
     "created_at": "concat(day, 'T00:00:00.000Z')",
 }
 PLACED = {
-    "status": """CASE WHEN k % 113 = 5 THEN NULL WHEN o_orderstatus = 'O' THEN 'CREATED'
+    "status": """CASE WHEN k % 113 = 5 THEN NULL WHEN k % 14 = 3 THEN 'SHIPPED'
+        WHEN k % 14 = 8 THEN 'CANCELLED' WHEN o_orderstatus = 'O' THEN 'CREATED'
         WHEN o_orderstatus = 'P' THEN 'PROCESSING' ELSE 'DELIVERED' END""",
     "amount": """CASE WHEN k % 89 = 1 THEN 'abc' WHEN k % 83 = 2 THEN concat('-', price)
         WHEN k % 127 = 6 THEN NULL ELSE price END""",
@@ -123,6 +125,50 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Deliveries of the log, in order: orders placed, updated, deleted, placed again or shown
+# again. Every seventeenth order's placing arrives with the last, after all its changes.
+DELIVERIES = 4
+_DELIVERY = f"""CASE WHEN step = 0 AND k % 17 = 0 THEN {DELIVERIES - 1}
+    WHEN step < 2 THEN step WHEN step < 4 THEN 2 ELSE 3 END"""
+
+_logs: dict[tuple[str, str], str] = {}
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as files `delivery=N/`, written once per session below the shared folder."""
+    configure(spark)
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _logs:
+        path = new_run_dir(spark, "log")
+        feed = order_feed(spark, sf_dir)
+        # Step and order can be read off a record's place in the log.
+        step, block = f"offset % {OFFSETS_PER_KEY}", f"offset div {OFFSETS_PER_KEY}"
+        parts = feed.selectExpr("*", f"{step} AS step", f"{block} * {TOPIC_PARTITIONS} + partition AS k")
+        parts = parts.selectExpr(*FEED.names, f"{_DELIVERY} AS delivery")
+        # Dealt by delivery and log partition, as a broker's files would be.
+        parts.repartition("delivery", "partition").write.partitionBy("delivery").parquet(path)
+        _logs[place] = path
+    return _logs[place]
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole feed, read from its files."""
+    return read_feed_files(spark, log_files(spark, sf_dir))
+
+
+def moved_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of a topic that was repartitioned: updates of every fifth order are elsewhere."""
+    step, block = f"offset % {OFFSETS_PER_KEY}", f"offset div {OFFSETS_PER_KEY}"
+    moved = f"({step}) = 1 AND (({block}) * {TOPIC_PARTITIONS} + partition) % 5 = 0"
+    to = f"CAST((partition + {TOPIC_PARTITIONS - 1}) % {TOPIC_PARTITIONS} AS INT)"
+    return order_log(spark, sf_dir).withColumn("partition", F.expr(f"IF({moved}, {to}, partition)"))
+
+
+def both_signs(table: DataFrame) -> DataFrame:
+    """The table with every sixth order's id turned negative."""
+    return table.withColumn("order_id", F.expr("IF(order_id % 6 = 4, -order_id, order_id)"))
+
+
 def as_order_rows(images: DataFrame, picked: Column) -> DataFrame:
     """Row images as rows of a typed table."""
     row = images.select(picked.alias("row")).filter("row IS NOT NULL").select("row.*")

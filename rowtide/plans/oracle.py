@@ -6,7 +6,7 @@ The twins never read JSON: they compute each result directly from `orders` and
 
 from __future__ import annotations
 
-from rowtide.plans.queries import BURST_MS, DIFF_MS, SNAPSHOT_MS, UPSERT_TIME
+from rowtide.plans.queries import DIFF_MS, DIGESTED, SNAPSHOT_MS, UPSERT_TIME
 
 IMAGE = ["order_id", "customer_id", "status", "amount", "currency", "shipping_address",
          "created_at", "updated_at"]
@@ -51,7 +51,8 @@ IMAGES = """
 images AS (
   SELECT k, day_ms, k AS order_id,
     CASE WHEN k % 101 <> 7 THEN o_custkey END AS customer_id,
-    CASE WHEN k % 113 = 5 THEN NULL WHEN o_orderstatus = 'O' THEN 'CREATED'
+    CASE WHEN k % 113 = 5 THEN NULL WHEN k % 14 = 3 THEN 'SHIPPED'
+         WHEN k % 14 = 8 THEN 'CANCELLED' WHEN o_orderstatus = 'O' THEN 'CREATED'
          WHEN o_orderstatus = 'P' THEN 'PROCESSING' ELSE 'DELIVERED' END AS status0,
     CASE WHEN k % 97 = 0 THEN 'BROKEN_STATUS' ELSE 'PAID' END AS status1,
     CASE WHEN k % 89 = 1 THEN 'abc' WHEN k % 83 = 2 THEN '-' || price
@@ -145,6 +146,9 @@ def _digest(prefix: str) -> str:
     )
 
 
+# The accepted order states.
+_STATUSES = "['CREATED', 'PAID', 'PROCESSING', 'SHIPPED', 'DELIVERED', 'CANCELLED']"
+
 # Rule findings side by side; the first one present is the reason.
 JUDGED = f"""{LOG},
 findings AS (
@@ -158,7 +162,7 @@ judged AS (
       CASE WHEN money IS NULL THEN 'AMOUNT_NOT_NUMERIC' END,
       CASE WHEN money < 0 THEN 'NEGATIVE_AMOUNT' END,
       CASE WHEN a_currency <> ALL (['INR', 'USD', 'EUR']) THEN 'INVALID_CURRENCY' END,
-      CASE WHEN a_status = 'BROKEN_STATUS' THEN 'INVALID_STATUS' END,
+      CASE WHEN a_status <> ALL ({_STATUSES}) THEN 'INVALID_STATUS' END,
       'VALID') AS reason,
     CASE op WHEN 'c' THEN 'CREATE' WHEN 'r' THEN 'SNAPSHOT_READ'
             WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' END AS operation
@@ -251,13 +255,17 @@ current_orders AS (
 
 _BY_POSITION = _current("kafka_offset DESC")
 CURRENT = f"{_BY_POSITION} SELECT * FROM current_orders"
+# Updates of every fifth order lie in another partition.
 CURRENT_BY_SOURCE = (
-    _current("source_ts_ms DESC, source_position DESC, kafka_offset DESC")
+    _current("source_ts_ms DESC, source_position DESC, kafka_partition DESC, kafka_offset DESC")
     + " SELECT * FROM current_orders"
+).replace(
+    "CAST(k % 6 AS INTEGER) AS kafka_partition",
+    "CAST((k + CASE WHEN step = 1 AND k % 5 = 0 THEN 5 ELSE 0 END) % 6 AS INTEGER) AS kafka_partition",
 )
 _IS_VALID = (
     "customer_id IS NOT NULL AND amount >= 0 AND currency IN ('INR', 'USD', 'EUR') "
-    "AND status IN ('CREATED', 'PROCESSING', 'DELIVERED', 'PAID')"
+    f"AND list_contains({_STATUSES}, status)"
 )
 VALID = f"{_BY_POSITION} SELECT * FROM current_orders WHERE {_IS_VALID}"
 
@@ -356,7 +364,7 @@ audit_size AS (
   SELECT count(*) AS audit_count,
     count(*) FILTER (WHERE op <> 'd' AND (a_customer_id IS NULL
       OR coalesce(TRY_CAST(a_amount AS DECIMAL(12,2)), -1) < 0
-      OR a_currency = 'GBP' OR a_status = 'BROKEN_STATUS')) AS reject_count
+      OR a_currency NOT IN ('INR', 'USD', 'EUR') OR NOT list_contains({_STATUSES}, a_status))) AS reject_count
   FROM log WHERE op IS NOT NULL
 ),
 sizes AS (
@@ -373,12 +381,23 @@ def _rows_of(**names: str) -> str:
 
 _METRIC_NAMES = ["valid_target_count", "audit_count", "reject_count", "raw_event_count"]
 METRICS = f"{_BY_POSITION},{_SIZES} {_rows_of(**{n: n for n in _METRIC_NAMES})}"
-FIVE_TABLES = f"{_BY_POSITION},{_SIZES} " + _rows_of(
-    cdc_raw_events="raw_event_count",
-    cdc_event_audit="audit_count",
-    cdc_rejects="reject_count",
-    orders_current="current_count",
-    orders_valid_current="valid_target_count",
+
+
+def _digested(table: str, sql: str) -> str:
+    texts = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGESTED[table])
+    part = f"CAST('0x' || substr(md5({texts}), 1, 8) AS BIGINT)"
+    return f"SELECT '{table}' AS name, count(*) AS n, CAST(coalesce(sum({part}), 0) AS BIGINT) AS digest FROM ({sql}) AS t"
+
+
+FIVE_TABLES = " UNION ALL ".join(
+    _digested(table, sql)
+    for table, sql in (
+        ("cdc_raw_events", RAW),
+        ("cdc_event_audit", AUDIT),
+        ("cdc_rejects", REJECTS),
+        ("orders_current", CURRENT),
+        ("orders_valid_current", VALID),
+    )
 )
 
 
@@ -389,23 +408,27 @@ def _first_ids(table: str) -> str:
     )
 
 
-SUMMARY = f"""{SIDES},{_SIZES}
+_REPORT = f"""
 SELECT (SELECT count(*) FROM source_side) AS source_count,
   (SELECT count(*) FROM target_side) AS target_count, valid_target_count,
   (SELECT count(*) FROM missing) AS missing_in_target,
   (SELECT count(*) FROM extra) AS extra_in_target,
   (SELECT count(*) FROM differing) AS mismatched_rows,
-  reject_count, audit_count, raw_event_count, 'FAIL' AS status,
+  reject_count, audit_count, raw_event_count,
+  CASE WHEN EXISTS (FROM missing) OR EXISTS (FROM extra) OR EXISTS (FROM differing)
+       THEN 'FAIL' ELSE 'PASS' END AS status,
   '{{"missing_ids":[' || {_first_ids('missing')} || '],"extra_ids":[' || {_first_ids('extra')}
     || '],"mismatch_ids":[' || {_first_ids('differing')} || ']}}' AS details
 FROM sizes"""
+SUMMARY = f"""{SIDES},{_SIZES}{_REPORT}"""
 
-CONVERGED = f"""{_BY_POSITION},{_FINAL},{_SIZES}
-SELECT (SELECT count(*) FROM final_orders) AS source_count, current_count AS target_count,
-  valid_target_count, 0::BIGINT AS missing_in_target, 0::BIGINT AS extra_in_target,
-  0::BIGINT AS mismatched_rows, reject_count, audit_count, raw_event_count, 'PASS' AS status,
-  '{{"missing_ids":[],"extra_ids":[],"mismatch_ids":[]}}' AS details
-FROM sizes"""
+# Source and replica as they are, without planted faults.
+_TRUE_SIDES = (
+    SIDES.replace(" WHERE order_id % 19 <> 0", "")
+    .replace("* REPLACE (CASE WHEN order_id % 23 = 0 THEN 'CANCELLED' ELSE status END AS status)", "*")
+    .replace(" WHERE order_id % 17 <> 0", "")
+)
+CONVERGED = f"""{_TRUE_SIDES},{_SIZES}{_REPORT}"""
 
 
 def _texts(table: str, prefix: str = "") -> str:
@@ -462,84 +485,19 @@ FROM records"""
 
 APPLY_FEED = f"WITH {IMAGES},{_FINAL} SELECT * FROM final_orders"
 
+# Ids of both signs; place is a key's place among those of its sign.
+_SIGNED = """SELECT order_id AS plain_id, CASE WHEN order_id % 6 = 4 THEN -order_id ELSE order_id END AS signed_id,
+    CASE WHEN order_id % 6 = 4 THEN order_id - 1 ELSE order_id END AS place FROM images"""
 BOOTSTRAP = f"""WITH {IMAGES},{_FINAL},{_OLD},
-start AS (SELECT max(order_id // 6) + 1 AS base FROM old_orders)
-SELECT f.*,
+signed AS ({_SIGNED}),
+start AS (SELECT max(place // 6) + 1 AS base FROM old_orders JOIN signed ON plain_id = order_id),
+same AS (SELECT * FROM old_orders INTERSECT SELECT * FROM final_orders)
+SELECT f.* REPLACE (signed_id AS order_id),
   epoch_ms(CAST(CASE WHEN kept THEN {SNAPSHOT_MS} ELSE {DIFF_MS} END AS BIGINT)) AS source_event_ts,
-  CAST(f.order_id % 6 AS INTEGER) AS kafka_partition,
-  CAST(CASE WHEN kept THEN f.order_id // 6 ELSE base + (f.order_id // 6) * 2 END AS BIGINT) AS kafka_offset
-FROM final_orders f, start,
-  LATERAL (SELECT EXISTS (SELECT 1 FROM
-    (SELECT * FROM old_orders INTERSECT SELECT * FROM final_orders) AS same
-    WHERE same.order_id = f.order_id) AS kept) AS e"""
-
-
-def _draw(salt: str, choices: int) -> str:
-    return f"(('0x' || substr(md5(order_id || '|0|{salt}'), 1, 8))::BIGINT % {choices})"
-
-
-def _one_of(values: list, salt: str) -> str:
-    listed = ", ".join(repr(v) for v in values)
-    return f"([{listed}])[{_draw(salt, len(values))} + 1]"
-
-
-def _moment(ms: int) -> str:
-    return f"strftime(epoch_ms(CAST({ms} AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%gZ')"
-
-
-_BURST_BODY = _json_body(
-    f"CASE WHEN phase > 0 THEN {_json_image('b_')} END",
-    f"CASE WHEN phase < 2 THEN {_json_image('a_')} END",
-    _json_source(
-        f"({BURST_MS} + phase * 1000)", "'false'", "('burst:' || (i // 500))",
-        "'mysql-bin.000001'", "(order_id * 100 + phase)",
-    ),
-    "CASE phase WHEN 0 THEN 'c' WHEN 1 THEN 'u' ELSE 'd' END",
-    f"({BURST_MS} + phase * 1000)",
-)
-
-
-def _burst_image(prefix: str, paid: str) -> str:
-    return f"""order_id AS {prefix}order_id, customer_id AS {prefix}customer_id,
-    CASE WHEN {paid} THEN 'PAID' ELSE status END AS {prefix}status, amount AS {prefix}amount,
-    'INR' AS {prefix}currency, city AS {prefix}shipping_address, {_moment(BURST_MS)} AS {prefix}created_at,
-    CASE WHEN {paid} THEN {_moment(BURST_MS + 1000)} ELSE {_moment(BURST_MS)} END AS {prefix}updated_at"""
-
-
-CHANGE_BURST = f"""WITH size AS (
-  SELECT count(*) // 5 AS total, max(o_orderkey) + 1 AS first_id FROM orders
-),
-limits AS (
-  SELECT total, first_id, CAST(floor(total * 10.0 / 100) AS BIGINT) AS updates,
-    CAST(floor(total * 2.0 / 100) AS BIGINT) AS deletes FROM size
-),
-rows AS (
-  SELECT i, first_id + i AS order_id, total, updates, deletes
-  FROM limits, LATERAL (SELECT unnest(range(total)) AS i) AS r
-),
-filled AS (
-  SELECT *, {_one_of([1001, 1002, 1003], 'customer')} AS customer_id,
-    {_one_of(['CREATED', 'PAID', 'PROCESSING'], 'status')} AS status,
-    CAST(CAST(({_draw('amount', 499901)} + 100) / 100.0 AS DECIMAL(12,2)) AS VARCHAR) AS amount,
-    {_one_of(['Kolkata', 'Bengaluru', 'Chennai', 'Delhi'], 'city')} AS city
-  FROM rows
-),
-phased AS (
-  SELECT filled.*, phase FROM filled, (VALUES (0), (1), (2), (3)) AS p(phase)
-  WHERE phase = 0 OR (phase = 1 AND i < updates) OR (phase > 1 AND i >= total - deletes)
-),
-shown AS (
-  SELECT *, {_burst_image('b_', 'phase >= 2 AND i < updates')},
-    {_burst_image('a_', 'phase = 1')}
-  FROM phased
-)
-{_feed(
-    f'{BURST_MS} + phase * 1000',
-    'CASE phase WHEN 0 THEN i // 6 WHEN 1 THEN total + i // 6 '
-    'ELSE 2 * total + 2 * (i // 6) + phase - 2 END',
-    f'CASE WHEN phase < 3 THEN {_wrap(_BURST_BODY)} END',
-    'order_id',
-)} FROM shown"""
+  CAST(place % 6 + CASE WHEN signed_id < 0 THEN 6 ELSE 0 END AS INTEGER) AS kafka_partition,
+  CAST(CASE WHEN kept THEN place // 6 ELSE base + (place // 6) * 2 END AS BIGINT) AS kafka_offset
+FROM final_orders f JOIN signed ON plain_id = f.order_id, start,
+  LATERAL (SELECT f.order_id IN (SELECT order_id FROM same) AS kept) AS e"""
 
 ORACLES: dict[str, str] = {
     "cdc_raw_events": RAW,
@@ -559,6 +517,7 @@ ORACLES: dict[str, str] = {
     "reconcile_mismatch": MISMATCH,
     "reconcile_outcomes": OUTCOMES,
     "reconcile_metrics": METRICS,
+    "reconcile_findings": f"SELECT * FROM ({OUTCOMES}) AS o WHERE outcome <> 'MATCH'",
     "reconcile_summary": SUMMARY,
     "reconcile_converged": CONVERGED,
     "snapshot_feed": SNAPSHOT_FEED,
@@ -566,12 +525,12 @@ ORACLES: dict[str, str] = {
     "apply_feed": APPLY_FEED,
     "bootstrap_then_follow": BOOTSTRAP,
     "keyed_upsert": KEYED_UPSERT,
-    "change_burst": CHANGE_BURST,
     "stream_raw": RAW,
     "stream_audit": AUDIT,
     "stream_rejects": REJECTS,
     "stream_orders_current": CURRENT,
     "stream_orders_valid_current": VALID,
     "stream_latest_state": CURRENT,
+    "stream_restart": CURRENT,
     "stream_five_tables": FIVE_TABLES,
 }

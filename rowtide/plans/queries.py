@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.values import wall_clock
 from rowtide.operators.apply import apply_feed, keyed_upsert
-from rowtide.operators.burst import change_burst
 from rowtide.operators.capture import diff_feed, next_offset, snapshot_feed
 from rowtide.operators.decode import (
     decode_changelog,
@@ -24,8 +23,10 @@ from rowtide.operators.reconcile import (
     extra_keys,
     mismatched_rows,
     missing_keys,
+    read_findings,
     reconcile,
     run_until_converged,
+    store_findings,
     summarise,
     table_metrics,
 )
@@ -38,9 +39,18 @@ from rowtide.operators.views import (
     typed_changes,
     unique_positions,
 )
-from rowtide.plans.inputs import customers, final_orders, first_orders, order_feed
-from rowtide.schemas import CUSTOMERS, FEED, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
-from rowtide.session import configure, new_run_dir
+from rowtide.plans.inputs import (
+    DELIVERIES,
+    both_signs,
+    customers,
+    final_orders,
+    first_orders,
+    log_files,
+    moved_log,
+    order_log,
+)
+from rowtide.schemas import CUSTOMERS, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
+from rowtide.session import new_run_dir
 from rowtide.sources.feed import read_feed_files
 from rowtide.streaming import pipeline as job
 from rowtide.streaming import sinks
@@ -50,12 +60,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Times of the derived feeds, in milliseconds since the epoch.
 SNAPSHOT_MS = 1_790_000_000_000
 DIFF_MS = 1_790_000_060_000
-BURST_MS = 1_790_000_120_000
 UPSERT_TIME = "2026-10-01 12:00:00"
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_envelope(order_feed(spark, sf_dir), ORDERS)
+    return decode_envelope(order_log(spark, sf_dir), ORDERS)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,13 +79,13 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events(read_text(order_feed(spark, sf_dir)))
+    return raw_events(read_text(order_log(spark, sf_dir)))
 
 
 def raw_events_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed that hands out every seventh offset twice still gives one row per position."""
     times = F.when(F.col("offset") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    repeated = order_feed(spark, sf_dir).select("*", F.explode(times).alias("_time")).drop("_time")
+    repeated = order_log(spark, sf_dir).select("*", F.explode(times).alias("_time")).drop("_time")
     return unique_positions(raw_events(read_text(repeated)))
 
 
@@ -138,8 +147,10 @@ def orders_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_current_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replica when the database's own log decides which change is newer."""
-    return current(_typed(spark, sf_dir), ORDERS, order_by="source")
+    """The replica when the database's own log decides which change is newer, as it must
+    where a topic was repartitioned and offsets no longer tell."""
+    decoded = decode_envelope(moved_log(spark, sf_dir), ORDERS)
+    return current(typed_changes(decode_changelog(decoded, ORDERS), ORDERS), ORDERS, order_by="source")
 
 
 def orders_valid_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,6 +201,13 @@ def reconcile_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(spark, sf_dir)
 
 
+def reconcile_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All findings as a run stores them, not only the ids its report shows."""
+    path = new_run_dir(spark, "findings")
+    store_findings(classify(*_faulty_sides(spark, sf_dir), ORDERS), path)
+    return read_findings(spark, path, ORDERS)
+
+
 def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = classify(*_faulty_sides(spark, sf_dir), ORDERS)
     return summarise(outcomes, _metrics(spark, sf_dir), ORDERS)
@@ -211,9 +229,8 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock_feed(_diff(spark, sf_dir))
 
 
-def _diff(spark: SparkSession, sf_dir: str, base_offset: int = 0) -> DataFrame:
-    old, new = _old_orders(spark, sf_dir), final_orders(spark, sf_dir)
-    return diff_feed(old, new, ORDERS, DIFF_MS, base_offset)
+def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diff_feed(_old_orders(spark, sf_dir), final_orders(spark, sf_dir), ORDERS, DIFF_MS)
 
 
 def apply_feed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,15 +239,17 @@ def apply_feed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bootstrap_then_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A replica that starts from a snapshot and then follows the changes."""
-    start = snapshot_feed(_old_orders(spark, sf_dir), ORDERS, SNAPSHOT_MS)
-    follow = _diff(spark, sf_dir, base_offset=next_offset(start))
+    """A replica that starts from a snapshot and then follows the changes; some keys are negative."""
+    old, new = both_signs(_old_orders(spark, sf_dir)), both_signs(final_orders(spark, sf_dir))
+    start = snapshot_feed(old, ORDERS, SNAPSHOT_MS)
+    follow = diff_feed(old, new, ORDERS, DIFF_MS, next_offset(start))
     decoded = decode_envelope(start.unionByName(follow), ORDERS)
     return current(typed_changes(decode_changelog(decoded, ORDERS), ORDERS), ORDERS)
 
 
 def keyed_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every eighth customer re-sent under a new key, others updated, some of them in vain."""
+    """Every eighth customer re-sent under a new key, others updated, some of them in vain;
+    half of the keys come twice, first with an outdated row."""
     table = customers(spark, sf_dir)
     key = F.col("customer_id")
     email = F.when(key % 16 == 12, F.col("email")).otherwise(F.concat(F.lit("new-"), F.col("email")))
@@ -239,7 +258,10 @@ def keyed_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "full_name",
         email.alias("email"),
         "country_code",
+        F.lit(1).alias("sent"),
     )
+    outdated = batch.where("customer_id % 8 IN (4, -1)").withColumn("email", F.lit("outdated"))
+    batch = batch.unionByName(outdated.withColumn("sent", F.lit(0)))
     now = F.to_timestamp_ntz(F.lit(UPSERT_TIME))
     return keyed_upsert(
         table,
@@ -248,48 +270,27 @@ def keyed_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         update=["full_name", "email", "country_code"],
         touch={"updated_at": now},
         defaults={"created_at": now, "updated_at": now},
+        order_by="sent",
     )
 
 
-def change_burst_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A burst a fifth the size of the table."""
-    orders = first_orders(spark, sf_dir)
-    return _wall_clock_feed(change_burst(orders, orders.count() // 5, at_ms=BURST_MS))
-
-
 def _wall_clock_feed(feed: DataFrame) -> DataFrame:
     return feed.withColumn("timestamp", F.expr(wall_clock("timestamp")))
 
 
 # Streaming: the same tables, maintained by the continuous job
 
-_logs: dict[tuple[str, str], str] = {}
-
-
-def _log_files(spark: SparkSession, sf_dir: str) -> str:
-    """The order feed as files in the shared folder, written once per session."""
-    configure(spark)
-    log = (spark.sparkContext.applicationId, sf_dir)
-    if log not in _logs:
-        path = new_run_dir(spark, "log")
-        order_feed(spark, sf_dir).write.parquet(path)
-        _logs[log] = path
-    return _logs[log]
-
-
-def _stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
-    """The log as a stream; a short log is still cut into a few micro-batches."""
-    path = _log_files(spark, sf_dir)
-    files = len(spark.read.schema(FEED).parquet(path).inputFiles())
-    short = files <= batches * spark.sparkContext.defaultParallelism
-    return read_feed_files(
-        spark, path, streaming=True, files_per_trigger=-(-files // batches) if short else None
-    )
+def _stream(spark: SparkSession, sf_dir: str, through: int = DELIVERIES - 1) -> DataFrame:
+    """The log as a stream over the deliveries made so far."""
+    arrived = ",".join(map(str, range(through + 1)))
+    return read_feed_files(spark, f"{log_files(spark, sf_dir)}/delivery={{{arrived}}}", streaming=True)
 
 
 def _run(spark: SparkSession, sf_dir: str, *tables: str) -> job.Pipeline:
+    """The job after each delivery took in what was new, stopping in between."""
     pipeline = job.Pipeline(new_run_dir(spark, "tables"), tables=tables, compact_every=2)
-    job.drain(_stream(spark, sf_dir), pipeline)
+    for through in range(DELIVERIES):
+        job.drain(_stream(spark, sf_dir, through), pipeline)
     return pipeline
 
 
@@ -303,18 +304,50 @@ def _stream_query(table: str) -> Query:
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replica from Spark's state store, read back from its updates."""
     run_dir = new_run_dir(spark, "state")
-    decoded = decode_envelope(_stream(spark, sf_dir), ORDERS)
-    changes = typed_changes(decode_changelog(decoded, ORDERS), ORDERS)
-    job.start_stateful_latest(
-        changes, ORDERS, f"{run_dir}/orders", f"{run_dir}/_checkpoint", every=None
-    ).awaitTermination()
+    for through in range(DELIVERIES):
+        decoded = decode_envelope(_stream(spark, sf_dir, through), ORDERS)
+        changes = typed_changes(decode_changelog(decoded, ORDERS), ORDERS)
+        job.start_stateful_latest(
+            changes, ORDERS, f"{run_dir}/orders", f"{run_dir}/_checkpoint", every=None
+        ).awaitTermination()
     return sinks.read_state(spark, ORDERS, f"{run_dir}/orders")
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica of a job that lost its checkpoint halfway and read the whole log again."""
+    root = new_run_dir(spark, "tables")
+    lost = job.Pipeline(root, tables=(job.CURRENT,), compact_every=1)
+    for through in range(2):
+        job.drain(_stream(spark, sf_dir, through), lost)
+    anew = job.Pipeline(root, tables=(job.CURRENT,), compact_every=1, checkpoint_name="_checkpoint_2")
+    job.drain(_stream(spark, sf_dir), anew)
+    return job.read_output(spark, anew, job.CURRENT)
+
+
 def stream_five_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five tables from one job, with their sizes."""
+    """All five tables from one job: their sizes, and a digest of their event ids or rows."""
     pipeline = _run(spark, sf_dir, *job.ALL_TABLES)
-    return table_metrics({t: job.read_output(spark, pipeline, t) for t in job.ALL_TABLES})
+    result = None
+    for table in job.ALL_TABLES:
+        rows = job.read_output(spark, pipeline, table)
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in DIGESTED[table]]
+        part = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("bigint")
+        digest = F.coalesce(F.sum(part), F.lit(0)).alias("digest")
+        line = rows.agg(F.count("*").alias("n"), digest).select(F.lit(table).alias("name"), "n", "digest")
+        result = line if result is None else result.unionByName(line)
+    return result
+
+
+# What the digest of each table covers: everything but times, whose texts engines spell apart.
+DIGESTED = {
+    job.RAW: ["event_id", "kafka_partition", "kafka_offset", "payload", "is_tombstone"],
+    job.AUDIT: ["event_id", "operation", "order_id", "source_position", "validation_reason", "before_state", "after_state"],
+    job.REJECT: ["event_id", "order_id", "reason", "amount_raw", "status_raw", "currency_raw"],
+    **{
+        table: ["order_id", "customer_id", "status", "amount", "currency", "shipping_address", "kafka_offset"]
+        for table in (job.CURRENT, job.VALID)
+    },
+}
 
 
 def reconcile_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_mismatch": reconcile_mismatch,
     "reconcile_outcomes": reconcile_outcomes,
     "reconcile_metrics": reconcile_metrics,
+    "reconcile_findings": reconcile_findings,
     "reconcile_summary": reconcile_summary,
     "reconcile_converged": reconcile_converged,
     "snapshot_feed": snapshot_feed_orders,
@@ -362,12 +396,12 @@ QUERIES: dict[str, Query] = {
     "apply_feed": apply_feed_orders,
     "bootstrap_then_follow": bootstrap_then_follow,
     "keyed_upsert": keyed_upsert_customers,
-    "change_burst": change_burst_orders,
     "stream_raw": _stream_query(job.RAW),
     "stream_audit": _stream_query(job.AUDIT),
     "stream_rejects": _stream_query(job.REJECT),
     "stream_orders_current": _stream_query(job.CURRENT),
     "stream_orders_valid_current": _stream_query(job.VALID),
     "stream_latest_state": stream_latest_state,
+    "stream_restart": stream_restart,
     "stream_five_tables": stream_five_tables,
 }

@@ -63,17 +63,12 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/rowtide/{label}-{uuid.uuid4().hex}"
 
 
-# A handful of splits is a small input, whatever the cluster; see `spread`.
-FEW_SPLITS = 64
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows stored once below the shared folder and read back.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use more cores when a small input comes in fewer splits than there are cores.
-
-    Inputs of FEW_SPLITS splits or more pass through untouched, so large tables are
-    never shuffled for this.
+    What follows starts from files, so a lost executor costs no recomputation, and Spark
+    knows their true size when it decides whether a join may broadcast them.
     """
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

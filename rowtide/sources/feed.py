@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from rowtide.schemas import FEED
 
 
-# Bounds of one micro-batch per core of the cluster: catching up on a long log goes in
-# steps that keep every core busy and whose decoded records still fit the executors.
-BATCH_RECORDS_PER_CORE = 500_000
-BATCH_BYTES_PER_CORE = 512 << 20
+# Bounds of one micro-batch, so that catching up on a long log goes in steps whose decoded
+# records fit the executors. Set them for the cluster (some 500,000 records or 512 MB for
+# each core): a bound read off the cluster at the start would stay at its first few cores.
+BATCH_RECORDS = 4_000_000
+BATCH_BYTES = 4 << 30
 
+# A file stream passes over files older than this (against the newest one seen). The default
+# is longer than any feed: nothing delivered late is lost. The driver then keeps the name of
+# every file read, some 200 bytes each, so deliver few large files, or set an age where no
+# file can come later than that.
+NO_AGE = "36500d"
 
-def log_options(servers: str, topics: list[str], cores: int, **extra: str) -> dict[str, str]:
+
+def log_options(
+    servers: str, topics: list[str], batch_records: int = BATCH_RECORDS, **extra: str
+) -> dict[str, str]:
     """From the earliest record, committed records only; new partitions are picked up by Spark.
 
     Pass `minPartitions` when one topic partition holds much of the feed: Spark then
@@ -26,7 +35,7 @@ def log_options(servers: str, topics: list[str], cores: int, **extra: str) -> di
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
         "kafka.isolation.level": "read_committed",
-        "maxOffsetsPerTrigger": str(BATCH_RECORDS_PER_CORE * cores),
+        "maxOffsetsPerTrigger": str(batch_records),
         **extra,
     }
 
@@ -36,23 +45,22 @@ def read_log(
 ) -> DataFrame:
     """Feed records of a Kafka topic (needs Spark's Kafka package on the class path)."""
     reader = spark.readStream if streaming else spark.read
-    options = log_options(servers, topics, spark.sparkContext.defaultParallelism, **extra)
+    options = log_options(servers, topics, **extra)
     return as_feed(reader.format("kafka").options(**options).load())
 
 
 def read_feed_files(
-    spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    streaming: bool = False,
+    batch_bytes: int = BATCH_BYTES,
+    max_file_age: str = NO_AGE,
 ) -> DataFrame:
     """Feed records kept as Parquet. Streams also take in files delivered with an old date."""
     if not streaming:
         return as_feed(spark.read.schema(FEED).parquet(path))
-    reader = spark.readStream.schema(FEED).option("maxFileAge", "365d")
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    else:
-        cores = spark.sparkContext.defaultParallelism
-        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES_PER_CORE * cores)
-    return as_feed(reader.parquet(path))
+    reader = spark.readStream.schema(FEED).option("maxFileAge", max_file_age)
+    return as_feed(reader.option("maxBytesPerTrigger", batch_bytes).parquet(path))
 
 
 def as_feed(records: DataFrame) -> DataFrame:

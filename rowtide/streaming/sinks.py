@@ -1,7 +1,9 @@
 """Where the continuous job writes: event tables and keyed state tables.
 
 Every micro-batch owns one directory per table and overwrites it, so a batch that is
-run again after a failure leaves the same files and nothing is counted twice.
+run again after a failure leaves the same files and nothing is counted twice. Batches
+are numbered over all runs of a table: a new checkpoint goes on behind the last number.
+Readers see finished batches only.
 
 A state table is an append-only log of per-key changes plus, from time to time, a
 snapshot that folds the log. Readers combine the newest snapshot with the log after
@@ -28,22 +30,52 @@ def _write(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
 
 
-def write_events(events: DataFrame, table_dir: str, batch_id: int, stamp: str) -> None:
-    """One batch of insert-once rows, stamped with the load time."""
-    stamped = events.withColumn(stamp, F.current_timestamp())
-    _write(stamped, f"{table_dir}/batch_id={batch_id}")
+def write_events(events: DataFrame, table_dir: str, batch_id: int, stamp: str, schema: T.StructType) -> None:
+    """One batch of insert-once rows, stamped with the load time.
+
+    Rows whose log position an earlier batch holds are left out. Only files of earlier
+    batches that reach into this batch's offsets are read for that: none, unless the
+    source hands out records again.
+    """
+    spark = events.sparkSession
+    earlier = read_events(spark, table_dir, schema, before=batch_id)
+    low, high = F.min("kafka_offset"), F.max("kafka_offset")
+    # One row for each partition of the log.
+    bounds = events.groupBy("kafka_partition").agg(low.alias("low"), high.alias("high")).collect()
+    reach = F.lit(False)
+    for b in bounds:
+        within = F.col("kafka_offset").between(b["low"], b["high"])
+        reach = reach | ((F.col("kafka_partition") == b["kafka_partition"]) & within)
+    known = earlier.where(reach).select("event_id")  # the id stands for the position
+    events = events.join(known, "event_id", "left_anti").select(schema.names)
+    _write(events.withColumn(stamp, F.current_timestamp()), f"{table_dir}/batch_id={batch_id}")
 
 
 def read_events(
-    spark: SparkSession, table_dir: str, schema: T.StructType, stamp: str | None = None
+    spark: SparkSession,
+    table_dir: str,
+    schema: T.StructType,
+    stamp: str | None = None,
+    before: int | None = None,
 ) -> DataFrame:
+    """The rows of all finished batches; none before the first."""
     columns = list(schema.fields) + ([T.StructField(stamp, T.TimestampType())] if stamp else [])
-    return spark.read.schema(T.StructType(columns)).parquet(f"{table_dir}/batch_id=*")
+    return _read(spark, table_dir, T.StructType(columns), _finished(spark, table_dir, "batch_id", before))
+
 
+def _finished(spark: SparkSession, path: str, prefix: str, before: int | None = None) -> list[str]:
+    """Directories `prefix=N` that hold a whole batch (N below `before`), in one listing."""
+    files, _ = _folder(spark, path)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}=*/_SUCCESS")
+    folders = [status.getPath().getParent() for status in files.globStatus(pattern) or []]
+    number = {f.toString(): int(f.getName().split("=")[1]) for f in folders}
+    return sorted((f for f, n in number.items() if before is None or n < before), key=number.get)
 
-def unique_events(events: DataFrame) -> DataFrame:
-    """One row per event id, for logs filled from a source that may repeat a record."""
-    return events.dropDuplicates(["event_id"])
+
+def _read(spark: SparkSession, base: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders).select(schema.names)
 
 
 def change_schema(spec: TableSpec) -> T.StructType:
@@ -80,32 +112,49 @@ def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{prefix}="))
 
 
-def snapshots(spark: SparkSession, table_dir: str) -> list[int]:
-    """The batches up to which there is a finished snapshot."""
+def last_number(spark: SparkSession, table_dir: str) -> int:
+    """The greatest batch number a table has seen, finished or not; -1 for a new table."""
+    numbers = _numbered(spark, table_dir, "batch_id")
+    numbers += _numbered(spark, f"{table_dir}/changes", "batch_id")
+    numbers += _numbered(spark, f"{table_dir}/snapshots", "through")
+    return max(numbers, default=-1)
+
+
+def first_batch(spark: SparkSession, checkpoint: str, tables: list[str]) -> int:
+    """The number of a checkpoint's first batch, kept beside the checkpoint.
+
+    A new checkpoint over tables that exist counts on behind them, so a log that is read
+    again from its start neither overwrites earlier batches nor hides behind snapshots.
+    """
+    known = _numbered(spark, f"{checkpoint}_start", "batch")
+    if known:
+        return known[0]
+    number = max((last_number(spark, t) for t in tables), default=-1) + 1
+    files, marker = _folder(spark, f"{checkpoint}_start/batch={number}")
+    files.mkdirs(marker)
+    return number
 
-    def finished(n: int) -> bool:
-        files, marker = _folder(spark, f"{table_dir}/snapshots/through={n}/_SUCCESS")
-        return files.exists(marker)
 
-    return [n for n in _numbered(spark, f"{table_dir}/snapshots", "through") if finished(n)]
+def snapshots(spark: SparkSession, table_dir: str) -> list[int]:
+    """The batches up to which there is a finished snapshot."""
+    folders = _finished(spark, f"{table_dir}/snapshots", "through")
+    return [int(f.rsplit("=", 1)[1]) for f in folders]
 
 
 def _log_after(
     spark: SparkSession, spec: TableSpec, table_dir: str, after: int, through: int | None
 ) -> DataFrame:
-    layout = T.StructType(change_schema(spec).fields + [T.StructField("batch_id", T.LongType())])
-    log = spark.read.schema(layout).parquet(f"{table_dir}/changes")
-    log = log.filter(F.col("batch_id") > after)
-    if through is not None:
-        log = log.filter(F.col("batch_id") <= through)
-    return log.drop("batch_id")
+    log = f"{table_dir}/changes"
+    folders = _finished(spark, log, "batch_id", None if through is None else through + 1)
+    recent = [f for f in folders if int(f.rsplit("=", 1)[1]) > after]
+    return _read(spark, log, change_schema(spec), recent)
 
 
 def fold(changes: DataFrame, spec: TableSpec, order_by: str) -> DataFrame:
     """The newest change per key, stamped with the first load of the key's present life.
 
-    A key appears at most once per batch and snapshot, so groups stay small however
-    hot the key is in the feed.
+    A key appears at most once per batch and snapshot: its group has one row for each
+    batch since the last snapshot at most, however hot the key is in the feed.
     """
     ordinal = F.struct(*order_columns(order_by))
     newest_first = Window.partitionBy(spec.key).orderBy(
@@ -136,21 +185,16 @@ def state(
 ) -> DataFrame:
     """The newest change per key over snapshot and log, DELETE rows included.
 
-    Snapshot rows of keys the log does not mention are passed through as they are:
-    when the keys in the log are few enough to broadcast, the snapshot is not shuffled.
-    `through` gives the state after that batch, built from snapshots before it.
+    Snapshot and log meet in one shuffle by key and are read once. `through` gives the
+    state after that batch, built from snapshots before it.
     """
     usable = [n for n in snapshots(spark, table_dir) if through is None or n < through]
-    if not usable:
-        return fold(_log_after(spark, spec, table_dir, -1, through), spec, order_by)
-    base = spark.read.schema(change_schema(spec)).parquet(
-        f"{table_dir}/snapshots/through={usable[-1]}"
-    )
-    log = _log_after(spark, spec, table_dir, usable[-1], through)
-    touched = log.select(spec.key)
-    untouched = base.join(touched, spec.key, "left_anti").select(change_schema(spec).names)
-    affected = base.join(touched, spec.key, "left_semi").select(change_schema(spec).names)
-    return untouched.unionByName(fold(affected.unionByName(log), spec, order_by))
+    after = usable[-1] if usable else -1
+    changes = _log_after(spark, spec, table_dir, after, through)
+    if usable:
+        base = spark.read.schema(change_schema(spec)).parquet(f"{table_dir}/snapshots/through={after}")
+        changes = base.unionByName(changes)
+    return fold(changes, spec, order_by)
 
 
 def read_state(

@@ -1,4 +1,4 @@
-"""Snapshots, differences, applying them, upserts and bursts."""
+"""Snapshots, differences, applying them, and upserts."""
 
 import json
 
@@ -7,7 +7,6 @@ from conftest import SMALL, rows, same_rows
 from pyspark.sql import functions as F
 
 from rowtide.operators.apply import apply_feed, keyed_upsert
-from rowtide.operators.burst import change_burst, next_key
 from rowtide.operators.capture import diff_feed, next_offset, snapshot_feed
 from rowtide.operators.decode import decode_changelog, decode_envelope
 from rowtide.operators.latest import current
@@ -116,51 +115,41 @@ def test_keyed_upsert_is_repeatable_and_works_on_an_empty_table(spark):
     assert rows(once) == [(1, "a", "a@", "now", "now")]
 
 
-def empty_orders(spark):
-    return first_orders(spark, SMALL).limit(0)
-
-
-def burst_events(feed):
-    events = {}
-    for r in feed.orderBy("offset", "partition").collect():
-        key = json.loads(r.key)["order_id"]
-        events.setdefault(key, []).append(json.loads(r.value)["payload"] if r.value else None)
-    return events
-
-
-def test_next_key(spark):
-    assert next_key(empty_orders(spark)) == 5001
-    orders = first_orders(spark, SMALL)
-    assert next_key(orders) == orders.agg(F.max("order_id")).first()[0] + 1
+def test_repeated_keys_take_the_last_row(spark):
+    table = customers(spark, (1, "a", "a@", "c", "u"), (2, "b", "b@", "c", "u"))
+    batch = spark.createDataFrame(
+        [(1, "x", "x@", 1), (1, "y", "y@", 2), (3, "q", "q@", 5), (3, "p", "p@", 4), (-4, "n", "n@", 1)],
+        "id long, name string, email string, seq int",
+    )
+    now = F.lit("now")
+    got = keyed_upsert(table, batch, "id", ["name", "email"], touch={"updated": now},
+                       defaults={"created": now, "updated": now}, order_by="seq")
+    assert rows(got) == [
+        (-4, "n", "n@", "now", "now"), (1, "y", "y@", "c", "now"),
+        (2, "b", "b@", "c", "u"), (3, "q", "q@", "now", "now"),
+    ]
+    assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("FullOuter") == 1
+    with pytest.raises(Exception, match="occurs twice"):
+        upsert(table, batch.drop("seq")).collect()
 
 
-def test_burst_counts_and_shape(spark):
-    feed = change_burst(empty_orders(spark), count=200, update_percent=10, delete_percent=2, at_ms=AT)
-    events = burst_events(feed)
-    assert sorted(events) == list(range(5001, 5201))
-    kinds = {k: [e and e["op"] for e in v] for k, v in events.items()}
-    assert sorted(k for k, v in kinds.items() if "u" in v) == list(range(5001, 5021))
-    assert sorted(k for k, v in kinds.items() if "d" in v) == list(range(5197, 5201))
-    assert kinds[5200] == ["c", "d", None] and kinds[5001] == ["c", "u"]
-    for (first, *_) in events.values():
-        row = first["after"]
-        assert row["customer_id"] in (1001, 1002, 1003) and row["currency"] == "INR"
-        assert row["status"] in ("CREATED", "PAID", "PROCESSING")
-        assert 1 <= float(row["amount"]) <= 5000
-        assert row["shipping_address"] in ("Kolkata", "Bengaluru", "Chennai", "Delhi")
-    assert feed.select("partition", "offset").distinct().count() == feed.count() == 200 + 20 + 4 + 4
+def test_negative_keys_follow_their_changes(spark):
+    old = awkward(spark).withColumn("order_id", F.expr("-6000L - abs(order_id % 100)"))
+    new = old.withColumn("status", F.lit("PAID"))
+    start = snapshot_feed(old, ORDERS, AT)
+    assert start.agg(F.min("offset")).first()[0] >= 0
+    follow = diff_feed(old, new, ORDERS, AT + 1000, base_offset=next_offset(start))
+    same_rows(replica(start.union(follow)), new)
 
 
-def test_burst_is_repeatable_and_seeded(spark):
-    make = lambda seed: change_burst(empty_orders(spark), count=50, seed=seed, at_ms=AT)
-    same_rows(make("1"), make("1"))
-    assert rows(make("1"), "value") != rows(make("2"), "value")
+def test_positions_of_both_signs_are_unique(spark):
+    feed = snapshot_feed(spark.range(-100, 100).select(
+        F.col("id").alias("order_id"), *[F.lit(None).alias(c) for c in ORDERS.columns if c != "order_id"]), ORDERS, AT)
+    assert feed.select("partition", "offset").distinct().count() == 200
 
 
-@pytest.mark.parametrize("update,delete,left", [(100, 100, 0), (60, 60, 4), (0, 0, 10)])
-def test_overlapping_ranges_update_then_delete(spark, update, delete, left):
-    feed = change_burst(empty_orders(spark), 10, update, delete, at_ms=AT)
-    state = replica(feed)
-    assert state.count() == left
-    if left == 4:
-        assert {r.status for r in state.collect()} == {"PAID"}
+def test_untouched_rows_are_not_shuffled_when_changes_are_few(spark):
+    table = first_orders(spark, SMALL)
+    feed = diff_feed(table, table.where("order_id > 5"), ORDERS, AT)
+    plan = apply_feed(table, feed, ORDERS)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

@@ -6,11 +6,17 @@ import pathlib
 import duckdb
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from rowtide.plans.oracle import ORACLES
 from rowtide.plans.queries import QUERIES
-from rowtide.session import FEW_SPLITS, new_run_dir, shared_dir, spread
+from rowtide.operators.decode import decode_changelog, decode_envelope
+from rowtide.operators.latest import current
+from rowtide.operators.views import typed_changes
+from rowtide.plans.inputs import log_files, moved_log
+from rowtide.schemas import ORDERS
+from rowtide.session import new_run_dir, shared_dir
 
 BATCH = [name for name in QUERIES if not name.startswith("stream_") and name != "reconcile_converged"]
 
@@ -55,18 +61,33 @@ def test_plans_stay_in_the_engine(spark, name):
 def test_event_tables_need_no_shuffle(spark):
     for name in ("cdc_raw_events", "cdc_event_audit", "cdc_rejects", "orders_typed", "snapshot_feed"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-        # Only the spreading of the one-file test table, which large inputs do without.
-        assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1
+        assert "Exchange" not in plan
 
 
 def test_entry(spark):
     assert entry(spark).count() == 2398
 
 
-def test_large_inputs_are_not_spread(spark):
-    many = spark.range(1000, numPartitions=FEW_SPLITS)
-    assert spread(many) is many
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
+def test_most_keys_with_several_records_span_deliveries(spark):
+    log = spark.read.parquet(log_files(spark, SMALL))
+    keys = log.groupBy("key").agg(F.count("*").alias("n"), F.count_distinct("delivery").alias("d")).where("n > 1")
+    several, spread = keys.agg(F.count("*"), F.count_if(F.col("d") > 1)).first()
+    assert several > 500 and spread > 0.9 * several
+    # Some orders are placed last, after their own changes.
+    placed = log.where("offset % 8 = 0 AND delivery = 3").select("key")
+    assert log.join(placed, "key").where("delivery < 3").count() > 20
+
+
+def test_source_order_decides_where_a_topic_was_repartitioned(spark):
+    by_source = QUERIES["orders_current_by_source"](spark, SMALL).select("order_id", "status")
+    assert by_source.subtract(QUERIES["orders_current"](spark, SMALL).select("order_id", "status")).count() == 0
+    typed = typed_changes(decode_changelog(decode_envelope(moved_log(spark, SMALL), ORDERS), ORDERS), ORDERS)
+    assert current(typed, ORDERS).select("order_id", "status").subtract(by_source).count() > 10
+
+
+def test_report_reads_the_feed_once_a_side(spark):
+    plan = QUERIES["reconcile_outcomes"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("from_json") <= 2
 
 
 def test_shared_dir_follows_the_session(spark):

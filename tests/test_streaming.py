@@ -135,10 +135,55 @@ def test_repeated_positions(spark, tmp_path):
     pipeline = Pipeline(str(tmp_path / "out"), repeats_positions=True)
     write_batch(pipeline, log.feed(log.rows + log.rows[3:]), 0)
     assert_tables(spark, pipeline, log.feed())
-    # A repeat in a later batch is dropped by readers that ask for it.
+    # Repeats in later batches are left out, also when the batch is run again.
     write_batch(pipeline, log.feed(log.rows[5:]), 1)
-    same_rows(sinks.unique_events(read_output(spark, pipeline, RAW)), raw_events(read_text(log.feed())))
-    same_rows(read_output(spark, pipeline, CURRENT), batch_twins(log.feed())[CURRENT])
+    log.add(envelope("c", None, order(77)))
+    for _ in range(2):
+        write_batch(pipeline, log.feed(log.rows[2:]), 2)
+    assert_tables(spark, pipeline, log.feed())
+
+
+def test_tables_are_empty_before_the_first_batch(spark, tmp_path):
+    pipeline = Pipeline(str(tmp_path / "out"))
+    for table, expected in batch_twins(Log(spark).feed()).items():
+        got = read_output(spark, pipeline, table)
+        assert got.count() == 0 and got.columns == expected.columns
+
+
+def test_unfinished_batches_are_invisible(spark, tmp_path):
+    log, pipeline = golden(Log(spark)), Pipeline(str(tmp_path / "out"))
+    write_batch(pipeline, log.feed(), 0)
+    write_batch(pipeline, Log(spark).add(envelope("c", None, order(1)), offset=500).feed(), 1)
+    for folder in [pipeline.dir(t) for t in (RAW, AUDIT, REJECT)] + [f"{pipeline.dir(t)}/changes" for t in (CURRENT, VALID)]:
+        os.remove(f"{folder}/batch_id=1/_SUCCESS")
+    assert_tables(spark, pipeline, log.feed())
+
+
+def test_a_file_with_an_old_date_is_read(spark, tmp_path):
+    source, pipeline, log = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(RAW,)), Log(spark)
+    for n in range(2):
+        log.add(envelope("c", None, order(n)))
+        deliver(log.feed(log.rows[n:]), source)
+        if n:
+            for name in set(os.listdir(source)) - before:
+                os.utime(f"{source}/{name}", (time.time() - 400 * 86400,) * 2)
+        before = set(os.listdir(source))
+        drain(read_feed_files(spark, source, streaming=True), pipeline)
+    assert read_output(spark, pipeline, RAW).count() == 2
+
+
+@pytest.mark.parametrize("compact_every", [0, 1])
+def test_a_new_checkpoint_reads_the_log_again_without_loss(spark, tmp_path, small_feed, compact_every):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    lost = Pipeline(root, compact_every=compact_every, compact_growth=0)
+    for part in ("offset % 8 = 0", "offset % 8 = 1"):
+        deliver(small_feed.filter(part), source)
+        drain(read_feed_files(spark, source, streaming=True), lost)
+    deliver(small_feed.filter("offset % 8 > 1"), source)
+    anew = Pipeline(root, compact_every=compact_every, compact_growth=0, checkpoint_name="_again")
+    drain(read_feed_files(spark, source, streaming=True), anew)
+    assert_tables(spark, anew, small_feed)
+    assert sinks.first_batch(spark, anew.checkpoint, []) == 2
 
 
 @pytest.mark.parametrize("compact_every", [0, 1])
@@ -189,15 +234,27 @@ def test_unfinished_snapshot_is_ignored(spark, tmp_path):
     same_rows(read_output(spark, pipeline, CURRENT), batch_twins(log.feed())[CURRENT])
 
 
-def test_small_logs_do_not_shuffle_the_snapshot(spark, tmp_path):
+def test_state_takes_one_shuffle(spark, tmp_path):
     log = golden(Log(spark))
     pipeline = Pipeline(str(tmp_path / "out"), tables=(CURRENT,), compact_every=0)
     write_batch(pipeline, log.feed(), 0)
     sinks.compact(spark, ORDERS, pipeline.dir(CURRENT), 0)
     write_batch(pipeline, log.feed(log.rows[:1]), 1)
-    state = sinks.state(spark, ORDERS, pipeline.dir(CURRENT))
-    plan = state._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = sinks.state(spark, ORDERS, pipeline.dir(CURRENT))
+        plan = state._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Join" not in plan and plan.count("FileScan") == 2
+
+
+def test_the_log_behind_the_valid_table_is_compacted_too(spark, tmp_path):
+    log = golden(Log(spark))
+    pipeline = Pipeline(str(tmp_path / "out"), tables=(VALID,), compact_every=1, compact_growth=0)
+    for n in range(4):
+        write_batch(pipeline, log.feed(), n)
+    assert len(os.listdir(f"{pipeline.dir(CURRENT)}/changes")) == len(os.listdir(f"{pipeline.dir(VALID)}/changes")) == 1
 
 
 def test_source_order_in_the_pipeline(spark, tmp_path):
@@ -235,8 +292,8 @@ def test_all_tables_are_the_five():
 
 
 def test_log_and_jdbc_options():
-    assert log_options("broker:9092", ["a"], 4)["maxOffsetsPerTrigger"] == "2000000"
-    options = log_options("broker:9092", ["a", "b"], 4, maxOffsetsPerTrigger="10")
+    assert log_options("broker:9092", ["a"], 2_000_000)["maxOffsetsPerTrigger"] == "2000000"
+    options = log_options("broker:9092", ["a", "b"], maxOffsetsPerTrigger="10")
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "a,b"
     assert options["kafka.isolation.level"] == "read_committed" and options["maxOffsetsPerTrigger"] == "10"
     jdbc = jdbc_options(ORDERS, "jdbc:x", "orders", 1, 100, 8)

@@ -42,9 +42,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the piece ids of the text, their number, and whether they decode to the text."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = texts.withColumn("pieces", pieces.encode_column(spark, F.col("text")))
-    back = pieces.decode_column(spark, F.col("pieces")) == F.col("text")
-    return coded.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), back.alias("round_trip"))
+    coded = texts.select("doc_id", pieces.encode_column(spark, F.col("text")).alias("p"))
+    return coded.select("doc_id", "p.pieces", F.size("p.pieces").cast("long").alias("n_pieces"), "p.round_trip")
 
 
 STAGES = [

@@ -27,7 +27,7 @@ LONG_CHUNK = 256
 # Chunks worked out side by side.
 TOGETHER = 1 << 15
 # Chunks a task remembers before it starts anew.
-CHUNKS_KEPT = 1 << 18
+CHUNKS_KEPT = 1 << 17
 UNKNOWN_PENALTY = 10.0
 
 
@@ -227,12 +227,13 @@ class Encoder:
 
 
 # Bytes of text worked on at a time, whatever the size of an Arrow batch.
-TEXT_BLOCK = 1 << 21
+TEXT_BLOCK = 1 << 20
 
 
 def _blocks(column: pa.Array) -> Iterator[list[bytes | None]]:
     held, size = [], 0
-    for value in column.to_pylist():
+    for value in column:
+        value = value.as_py()
         held.append(value)
         size += len(value or b"")
         if size > TEXT_BLOCK:
@@ -247,51 +248,63 @@ def _vocabulary(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _lists(texts: list[bytes | None], ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    missing = pa.array([t is None for t in texts])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=missing)
+
+
+class Decoder:
+    """Piece ids to text: byte pieces joined to characters, markers to spaces, and the space
+    put in front by encoding taken away."""
+
+    def __init__(self, surface: list[bytes]):
+        self.flat = np.frombuffer(b"".join(surface), np.uint8)
+        self.sizes = np.array([len(s) for s in surface], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def data(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes)):
+            raise ValueError("a piece id outside the vocabulary")
+        return gather(self.flat, self.starts[ids], self.sizes[ids]).tobytes().removeprefix(b" ")
+
+
 def encode_column(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
-    """Piece ids of a text, an array of int. Null gives null, an empty text no pieces.
+    """struct<pieces: array<int>, round_trip: boolean> of a text.
 
-    The vocabulary is read on the driver and sent to the tasks once (it has a fixed size).
+    round_trip tells whether the pieces decode to the very text (one with U+2581, which
+    reads as a space, does not). Null gives null pieces and no round trip, an empty text no
+    pieces. The vocabulary is read on the driver and sent to the tasks once (it has a fixed
+    size). Results leave in small batches, so a task's memory does not grow with its texts.
     """
     shared = spark.sparkContext.broadcast(_vocabulary(path))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<pieces: array<int>, round_trip: boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(shared.value)
+        encoder, decoder = Encoder(shared.value), Decoder(shared.value.surface)
         for batch in batches:
-            parts = []
             for texts in _blocks(batch):
                 ids, counts = encoder.encode(texts)
-                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                missing = pa.array([t is None for t in texts])
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=missing))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+                ends = np.cumsum(counts)
+                same = [
+                    None if t is None else decoder.data(ids[e - n : e]) == t for t, e, n in zip(texts, ends, counts)
+                ]
+                columns = [_lists(texts, ids, counts), pa.array(same, pa.bool_())]
+                yield pa.StructArray.from_arrays(columns, names=["pieces", "round_trip"])
 
     return run(text.cast("binary"))
 
 
 def decode_column(spark: SparkSession, ids: Column, path: str = MODEL) -> Column:
-    """The text of piece ids: byte pieces joined to characters, markers to spaces, and the
-    space put in front by encoding taken away. Null gives null; bytes that form no UTF-8
-    become U+FFFD; ids outside the vocabulary fail."""
+    """The text of piece ids. Null gives null; bytes that form no UTF-8 become U+FFFD; ids
+    outside the vocabulary fail."""
     shared = spark.sparkContext.broadcast(_vocabulary(path).surface)
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        surface = shared.value
-        flat = np.frombuffer(b"".join(surface), np.uint8)
-        sizes = np.array([len(s) for s in surface], np.int64)
-        starts = np.cumsum(sizes) - sizes
+        decoder = Decoder(shared.value)
         for batch in batches:
-            out = []
-            for row in batch:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                own = row.values.to_numpy(zero_copy_only=False)
-                if len(own) and (own.min() < 0 or own.max() >= len(surface)):
-                    raise ValueError("a piece id outside the vocabulary")
-                data = gather(flat, starts[own], sizes[own]).tobytes()
-                out.append(data.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+            rows = (r.values.to_numpy(zero_copy_only=False) if r.is_valid else None for r in batch)
+            yield pa.array([None if r is None else decoder.data(r).decode("utf-8", "replace") for r in rows], pa.string())
 
     return run(ids)

@@ -80,9 +80,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding gives the text back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = docs.withColumn("pieces", pieces.encode_column(spark, F.col("text")))
-    back = pieces.decode_column(spark, F.col("pieces")) == F.col("text")
-    return coded.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), back.alias("round_trip"))
+    coded = docs.select("doc_id", pieces.encode_column(spark, F.col("text")).alias("p"))
+    return coded.select("doc_id", "p.pieces", F.size("p.pieces").cast("long").alias("n_pieces"), "p.round_trip")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

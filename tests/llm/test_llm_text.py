@@ -113,7 +113,11 @@ def test_encoding_equals_the_library_with_the_same_scores():
 
 
 def test_round_trip_through_spark(spark, docs):
-    coded = docs.withColumn("ids", pieces.encode_column(spark, F.col("text")))
+    coded = docs.withColumn("p", pieces.encode_column(spark, F.col("text")))
+    assert {r.p.round_trip for r in coded.where("text IS NOT NULL").collect()} == {True}
+    lossy = spark.createDataFrame([("x▁y",)], "text string").select(pieces.encode_column(spark, F.col("text")).alias("p"))
+    assert lossy.first().p.round_trip is False
+    coded = coded.withColumn("ids", F.col("p.pieces"))
     back = coded.withColumn("back", pieces.decode_column(spark, F.col("ids"))).orderBy("doc_id").collect()
     assert [r.back for r in back] == TEXTS
     assert back[0].ids is None and back[1].ids == []

@@ -164,6 +164,18 @@ def moved_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_log(spark, sf_dir).withColumn("partition", F.expr(f"IF({moved}, {to}, partition)"))
 
 
+def odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with records a producer should not send: images without a key, an unknown
+    operation, and a field the table does not have (which must change nothing)."""
+    step, block = f"offset % {OFFSETS_PER_KEY}", f"offset div {OFFSETS_PER_KEY}"
+    keyed = order_log(spark, sf_dir).withColumn("k", F.expr(f"({block}) * {TOPIC_PARTITIONS} + partition"))
+    value = f"""CASE WHEN ({step}) = 0 AND k % 41 = 1 THEN regexp_replace(value, '"order_id":[0-9]+', '"order_id":null')
+        WHEN ({step}) = 0 AND k % 43 = 2 THEN regexp_replace(value, '"op":"[cr]"', '"op":"x"')
+        WHEN k % 47 = 3 THEN replace(value, '"currency":', '"discount_code":"NEW","currency":')
+        ELSE value END"""
+    return keyed.withColumn("value", F.expr(value)).drop("k")
+
+
 def both_signs(table: DataFrame) -> DataFrame:
     """The table with every sixth order's id turned negative."""
     return table.withColumn("order_id", F.expr("IF(order_id % 6 = 4, -order_id, order_id)"))

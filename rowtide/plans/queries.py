@@ -47,6 +47,7 @@ from rowtide.plans.inputs import (
     first_orders,
     log_files,
     moved_log,
+    odd_log,
     order_log,
 )
 from rowtide.schemas import CUSTOMERS, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
@@ -93,6 +94,18 @@ def cdc_event_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_audit(_enriched(spark, sf_dir))
 
 
+def cdc_event_audit_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a feed with missing keys, unknown operations and unknown fields."""
+    return event_audit(enriched_events(decode_envelope(odd_log(spark, sf_dir), ORDERS), ORDERS))
+
+
+def orders_current_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica when the job passes over the records that are no row changes."""
+    decoded = decode_envelope(odd_log(spark, sf_dir), ORDERS)
+    changelog = decode_changelog(decoded, ORDERS, on_bad_record="skip")
+    return current(typed_changes(changelog, ORDERS), ORDERS)
+
+
 def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(_enriched(spark, sf_dir))
 
@@ -374,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "cdc_raw_events": cdc_raw_events,
     "raw_events_reread": raw_events_reread,
     "cdc_event_audit": cdc_event_audit,
+    "cdc_event_audit_odd": cdc_event_audit_odd,
     "cdc_rejects": cdc_rejects,
     "orders_structured": orders_structured,
     "orders_changelog": orders_changelog,
@@ -381,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "orders_typed": orders_typed,
     "orders_current": orders_current,
     "orders_current_by_source": orders_current_by_source,
+    "orders_current_odd": orders_current_odd,
     "orders_valid_current": orders_valid_current,
     "customers_current": customers_current,
     "reconcile_missing": reconcile_missing,

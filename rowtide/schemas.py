@@ -137,6 +137,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 _S, _I, _L, _B = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
 _NTZ, _TS = T.TimestampNTZType(), T.TimestampType()
 
+# Names, order and types of the output tables' columns, here and below.
 RAW_EVENTS = _struct(
     ("event_id", _S),
     ("topic_name", _S),

@@ -57,6 +57,7 @@ def log(spark):
     return Log(spark)
 
 
+# The rows of the golden scenario.
 def golden(log):
     """Three snapshot rows, then an insert, its update, a delete, two bad rows, a wider row."""
     log.add(envelope("r", None, order(5001, 1001, "CREATED", "1250.00", "INR", "Kolkata")))

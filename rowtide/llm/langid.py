@@ -113,7 +113,8 @@ def _learn_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     kinds = [pa.string(), pa.int8(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
     for batch in batches:
         out = []
-        for text, lang, part, key in zip(*(c.to_pylist() for c in batch.columns)):
+        for text, lang, part, key in zip(*batch.columns):
+            text, lang, part, key = text.as_py(), lang.as_py(), part.as_py(), key.as_py()
             counts = np.zeros(1 << BITS, np.int32)
             for slots in _slots(text):
                 counts += np.bincount(slots, minlength=1 << BITS).astype(np.int32)
@@ -236,7 +237,7 @@ def predict_column(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def run(batch: pa.Array) -> pa.Array:
-        found = [shared.value.predict(t) for t in batch.to_pylist()]
+        found = [shared.value.predict(t.as_py()) for t in batch]
         return pa.StructArray.from_arrays(
             [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
             names=["lang", "score"],

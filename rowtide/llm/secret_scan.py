@@ -126,7 +126,7 @@ def scan_column(text: Column) -> Column:
     @F.arrow_udf("array<struct<kind: string, start: bigint, end: bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans(t)] for t in batch.to_pylist()]
+            rows = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans(t.as_py())] for t in batch]
             yield pa.array(rows, pa.list_(kind))
 
     return run(text.cast("string"))

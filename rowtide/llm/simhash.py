@@ -75,7 +75,7 @@ def fingerprint_column(text: Column, size: int = SHINGLE_WORDS) -> Column:
 
     @F.arrow_udf("long")
     def run(batch: pa.Array) -> pa.Array:
-        return pa.array([_signed(fingerprint(x, size)) for x in batch.to_pylist()], pa.int64())
+        return pa.array([_signed(fingerprint(x.as_py(), size)) for x in batch], pa.int64())
 
     return run(text.cast("binary"))
 

@@ -58,9 +58,40 @@ def read_events(
     stamp: str | None = None,
     before: int | None = None,
 ) -> DataFrame:
-    """The rows of all finished batches; none before the first."""
+    """The rows of all finished batches (below `before`); none before the first."""
     columns = list(schema.fields) + ([T.StructField(stamp, T.TimestampType())] if stamp else [])
-    return _read(spark, table_dir, T.StructType(columns), _finished(spark, table_dir, "batch_id", before))
+    folded = _finished(spark, f"{table_dir}/segments", "through", before)
+    batches = _finished(spark, table_dir, "batch_id", before)
+    recent = [f for f in batches if _number(f) > (_number(folded[-1]) if folded else -1)]
+    layout = T.StructType(columns)
+    rows = _read(spark, table_dir, layout, recent)
+    return _read(spark, f"{table_dir}/segments", layout, folded).unionByName(rows) if folded else rows
+
+
+def fold_events(spark: SparkSession, table_dir: str, schema: T.StructType, stamp: str, through: int) -> None:
+    """Gather the batches since the last segment, up to `through`, into one segment.
+
+    A row is rewritten once, sorted by log position, so a look for known positions skips
+    most files, and the folders to list grow by one for each segment. Batches that the
+    segment before this one holds are removed: readers may still be at the newer ones.
+    """
+    segments = _finished(spark, f"{table_dir}/segments", "through", through)
+    last = _number(segments[-1]) if segments else -1
+    batches = [f for f in _finished(spark, table_dir, "batch_id", through + 1) if _number(f) > last]
+    if not batches:
+        return
+    layout = T.StructType([*schema.fields, T.StructField(stamp, T.TimestampType())])
+    position = ["kafka_partition", "kafka_offset"]
+    rows = _read(spark, table_dir, layout, batches).repartitionByRange(*position).sortWithinPartitions(*position)
+    _write(rows, f"{table_dir}/segments/through={through}")
+    for number in _numbered(spark, table_dir, "batch_id"):
+        if number <= last:
+            files, folder = _folder(spark, f"{table_dir}/batch_id={number}")
+            files.delete(folder, True)
+
+
+def _number(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
 
 
 def _finished(spark: SparkSession, path: str, prefix: str, before: int | None = None) -> list[str]:
@@ -114,7 +145,7 @@ def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 def last_number(spark: SparkSession, table_dir: str) -> int:
     """The greatest batch number a table has seen, finished or not; -1 for a new table."""
-    numbers = _numbered(spark, table_dir, "batch_id")
+    numbers = _numbered(spark, table_dir, "batch_id") + _numbered(spark, f"{table_dir}/segments", "through")
     numbers += _numbered(spark, f"{table_dir}/changes", "batch_id")
     numbers += _numbered(spark, f"{table_dir}/snapshots", "through")
     return max(numbers, default=-1)
@@ -138,7 +169,7 @@ def first_batch(spark: SparkSession, checkpoint: str, tables: list[str]) -> int:
 def snapshots(spark: SparkSession, table_dir: str) -> list[int]:
     """The batches up to which there is a finished snapshot."""
     folders = _finished(spark, f"{table_dir}/snapshots", "through")
-    return [int(f.rsplit("=", 1)[1]) for f in folders]
+    return [_number(f) for f in folders]
 
 
 def _log_after(
@@ -146,7 +177,7 @@ def _log_after(
 ) -> DataFrame:
     log = f"{table_dir}/changes"
     folders = _finished(spark, log, "batch_id", None if through is None else through + 1)
-    recent = [f for f in folders if int(f.rsplit("=", 1)[1]) > after]
+    recent = [f for f in folders if _number(f) > after]
     return _read(spark, log, change_schema(spec), recent)
 
 

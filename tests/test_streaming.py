@@ -143,6 +143,19 @@ def test_repeated_positions(spark, tmp_path):
     assert_tables(spark, pipeline, log.feed())
 
 
+def test_event_folders_are_folded(spark, tmp_path):
+    log, pipeline = Log(spark), Pipeline(str(tmp_path / "out"), compact_every=0, fold_every=2)
+    for n in range(9):
+        log.add(envelope("c", None, order(n, status="LOST" if n % 2 else "PAID")))
+        for _ in range(1 + n % 2):  # every other batch is run again
+            write_batch(pipeline, log.feed(log.rows[max(0, n - 3):]), n)  # and repeats older records
+    assert_tables(spark, pipeline, log.feed())
+    table = pipeline.dir(RAW)
+    assert sorted(os.listdir(f"{table}/segments")) == [f"through={n}" for n in (0, 2, 4, 6)]
+    assert sorted(d for d in os.listdir(table) if d.startswith("batch")) == [f"batch_id={n}" for n in (5, 6, 7, 8)]
+    assert sinks.last_number(spark, table) == 8
+
+
 def test_tables_are_empty_before_the_first_batch(spark, tmp_path):
     pipeline = Pipeline(str(tmp_path / "out"))
     for table, expected in batch_twins(Log(spark).feed()).items():

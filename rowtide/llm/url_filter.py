@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import ascii_lower, broadcast_if, stored
+from rowtide.llm.common import ascii_lower, broadcast_if, shuffle_partitions, stored
 
 RULES = (
     ("allow", "com/"),
@@ -115,7 +115,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     """
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     host, path = host_and_path(F.col("url"))
-    distinct = pages.select(url.alias("url")).distinct()
+    # A URL unfolds into many grams: its rows are dealt out anew, however few bytes they have.
+    distinct = pages.select(url.alias("url")).distinct().repartition(shuffle_partitions(pages), "url")
     named = distinct.select("url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     urls = named.select(

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dirs: dict[str, str] = {}
+_work_dirs: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -59,8 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing else writes there."""
-    return f"{shared_dir(spark)}/rowtide/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing else writes there.
+
+    It lies in a folder of the application, which is removed when the driver ends: what
+    should outlive the session is written elsewhere.
+    """
+    root = f"{shared_dir(spark)}/rowtide/{spark.sparkContext.applicationId}"
+    if root not in _work_dirs:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _work_dirs.add(root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

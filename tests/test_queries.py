@@ -1,7 +1,10 @@
 """Every registered query against its SQL twin, and what the plans may not contain."""
 
 import decimal
+import os
 import pathlib
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -18,6 +21,7 @@ from rowtide.plans.inputs import log_files, moved_log
 from rowtide.schemas import ORDERS
 from rowtide.session import new_run_dir, shared_dir
 
+ROOT = pathlib.Path(__file__).parent.parent
 BATCH = [name for name in QUERIES if not name.startswith("stream_") and name != "reconcile_converged"]
 
 
@@ -95,6 +99,18 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == own and new_run_dir(spark, "x") != new_run_dir(spark, "x")
 
 
+def test_work_folders_go_with_the_driver(tmp_path):
+    code = f"""
+from rowtide.session import local_session, written
+spark = local_session(1, 1)
+print(written(spark.range(5), "kept").count(), len(list(__import__("pathlib").Path("{tmp_path}/shared/rowtide").iterdir())))
+"""
+    named = {"PYSPARK_SUBMIT_ARGS": f"--conf spark.checkpoint.dir={tmp_path}/shared pyspark-shell"}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, env=os.environ | named)
+    assert done.stdout.split()[-2:] == ["5", "1"], done.stderr[-2000:]
+    assert not list((tmp_path / "shared" / "rowtide").iterdir())
+
+
 def test_shared_dir_named_by_the_cluster():
     class Conf(dict):
         get = dict.get

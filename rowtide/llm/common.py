@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.session import shared_dir
+from rowtide.session import new_run_dir
 
 # ASCII white space, as in the character class [\x20\x09-\x0D].
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -21,7 +21,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(new_run_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint()
 
 

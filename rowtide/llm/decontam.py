@@ -56,7 +56,7 @@ def _anchors(windows: DataFrame, docs: DataFrame, text: Column, rare: int) -> Da
     vocabulary = broadcast_if(stored(terms.select("term").distinct()), BROADCAST_TERMS)
     # Outer: a plain explode would make the optimizer tokenise twice, for a filter on size.
     tokens = docs.select(F.explode_outer(words(text)).alias("term"))
-    counts = tokens.join(vocabulary, "term").groupBy("term").count()
+    counts = broadcast_if(stored(tokens.join(vocabulary, "term").groupBy("term").count()), BROADCAST_TERMS)
     by_window = Window.partitionBy("window")
     ranked = (
         terms.join(counts, "term", "left")

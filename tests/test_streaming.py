@@ -26,6 +26,7 @@ from rowtide.streaming.pipeline import (
     Pipeline,
     drain,
     read_output,
+    start,
     start_stateful_latest,
     write_batch,
 )
@@ -113,6 +114,24 @@ def test_restart_from_checkpoint(spark, tmp_path, small_feed):
     assert_tables(spark, pipeline, small_feed)
 
 
+def test_a_running_job_takes_in_what_arrives(spark, tmp_path, small_feed):
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
+    deliver(small_feed.filter("offset % 8 < 2"), source)
+    query = start(read_feed_files(spark, source, streaming=True), pipeline, every="1 second")
+    try:
+        query.processAllAvailable()
+        deliver(small_feed.filter("offset % 8 >= 2"), source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert_tables(spark, pipeline, small_feed)
+    assert len([n for n in os.listdir(f"{pipeline.checkpoint}/commits") if n.isdigit()]) >= 2
+    # Nothing is done twice when the job is started again from its checkpoint.
+    before = sinks.last_number(spark, pipeline.dir(RAW))
+    drain(read_feed_files(spark, source, streaming=True), pipeline)
+    assert sinks.last_number(spark, pipeline.dir(RAW)) == before
+
+
 def test_bad_record_stops_the_job_after_the_event_tables_landed(spark, tmp_path):
     source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
     log = Log(spark)

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import shuffle_partitions
 
-# Distinct texts tracked by the frequency sketch, and the most that may count as hot.
-SKETCH_ITEMS = 8192
-HOT_TEXTS = 256
+# The most texts that may count as hot.
+HOT_TEXTS = 1024
 # Characters of a text that its splitters show.
 LEAD_CHARS = 16
 
@@ -24,13 +23,12 @@ LEAD_CHARS = 16
 def _hot_hashes(rows: DataFrame) -> list[int]:
     """Hashes of the texts that alone would fill a quarter of an even partition.
 
-    The sketch reads all rows and its size is fixed. The list only decides which way a
-    text takes; either way gives the same result.
+    Counted over all rows, by hash and map-side first: a few bytes for each text. The list
+    only decides which way a text takes; either way gives the same result.
     """
-    top = F.expr(f"approx_top_k(_hash, {HOT_TEXTS}, {SKETCH_ITEMS})")
-    found, total = rows.agg(top, F.count("*")).first()
-    even = total / (4 * shuffle_partitions(rows))
-    return [x["item"] for x in found or [] if x["item"] is not None and x["count"] > max(even, 2)]
+    even = rows.count() / (4 * shuffle_partitions(rows))
+    counts = rows.groupBy("_hash").count().where(F.col("count") > max(even, 2))
+    return [r["_hash"] for r in counts.orderBy(F.desc("count"), "_hash").limit(HOT_TEXTS).collect()]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, normalise) -> DataFrame:

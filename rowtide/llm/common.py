@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.session import new_run_dir
 
-# ASCII white space, as in the character class [\x20\x09-\x0D].
-WHITE_SPACE = r"[\x20\x09-\x0D]+"
+# Bytes of one text that are split into words at a time.
+TEXT_PART = 1 << 22
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -37,3 +38,15 @@ def ascii_lower(text: Column) -> Column:
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_parts(data: bytes, size: int | None = None, at: bytes = b" \t\n\r\x0b\x0c") -> Iterator[bytes]:
+    """A long text in parts of about `size` bytes, each but the first beginning with a byte of `at`."""
+    size, begin = size or TEXT_PART, 0
+    while len(data) - begin > size:
+        end = begin + size
+        while end < len(data) and data[end] not in at:
+            end += 1
+        yield data[begin:end]
+        begin = end
+    yield data[begin:]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import stored
+from rowtide.llm.common import stored, text_parts
 from rowtide.llm.langid import fold
 
 HEAD_WORDS = 2048  # in the network's vocabulary
@@ -45,18 +45,6 @@ def tokens(data: bytes | None) -> list[bytes]:
     return data.lower().split() if data else []
 
 
-def _cuts(data: bytes, size: int = TEXT_BLOCK) -> Iterator[bytes]:
-    """A long text in parts cut at white space."""
-    begin = 0
-    while len(data) - begin > size:
-        end = begin + size
-        while end < len(data) and data[end] not in b" \t\n\r\x0b\x0c":
-            end += 1
-        yield data[begin:end]
-        begin = end
-    yield data[begin:]
-
-
 @dataclass
 class Vocabulary:
     """Words by falling count. `end_rank` is the end token's place among them."""
@@ -329,7 +317,7 @@ class Scorer:
     def long(self, data: bytes) -> tuple:
         """One text, part by part; the state is carried on."""
         n, sums, rare, total, h, last = 1, np.zeros(4), [], 0.0, None, None
-        for part in _cuts(data):
+        for part in text_parts(data):
             words = tokens(part)
             if not words:
                 continue
@@ -388,7 +376,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for text in batch.column(0).to_pylist():
             counts[None] += 1
-            for part in _cuts(text or b""):
+            for part in text_parts(text or b""):
                 counts.update(tokens(part))
                 if len(counts) > COUNT_LIMIT:
                     yield out()
@@ -436,7 +424,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Net
             v, ids = shared.value, []
             for batch in batches:
                 for text in batch.column(0).to_pylist():
-                    own = [v.ids(v.ranks(tokens(part))) for part in _cuts(text or b"")]
+                    own = [v.ids(v.ranks(tokens(part))) for part in text_parts(text or b"")]
                     ids.append(np.concatenate([*own, v.ids(np.array([v.end_rank]))]).astype(np.int32))
             fitted, seen = fit_part(Network(v).load(start.value), ids)
             if seen:

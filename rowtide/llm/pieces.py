@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import text_parts
 from rowtide.llm.trie import ROOT, DoubleArray, Remembered, by_length, gather
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -211,14 +212,21 @@ class Encoder:
         self.ids = np.concatenate([self.ids, ids])
         self.starts, self.counts = np.concatenate([self.starts, starts]), np.concatenate([self.counts, counts])
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's."""
-        chunks, per_text = [], np.zeros(len(texts), np.int64)
-        for n, text in enumerate(texts):
-            if text:
-                own = self.pattern.findall(b" " + text.replace(MARKER, b" "))
-                per_text[n] = len(own)
-                chunks += own
+        marked = [b" " + t.replace(MARKER, b" ") if t else b"" for t in texts]
+        if all(len(m) <= TEXT_BLOCK for m in marked):
+            return self._encode(marked)
+        parts = [[self._encode([p])[0] for p in _cuts(m)] for m in marked]
+        counts = [sum(map(len, own)) for own in parts]
+        return np.concatenate([ids for own in parts for ids in own]), np.array(counts, np.int64)
+
+    def _encode(self, marked: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        chunks, per_text = [], np.zeros(len(marked), np.int64)
+        for n, text in enumerate(marked):
+            own = self.pattern.findall(text)
+            per_text[n] = len(own)
+            chunks += own
         numbers = self.known.lookup(chunks)
         lengths = self.counts[numbers]
         ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -230,6 +238,17 @@ class Encoder:
 TEXT_BLOCK = 1 << 20
 
 
+def _cuts(marked: bytes) -> Iterator[bytes]:
+    """A long text in parts that end where a chunk does: before a space that follows none."""
+    held = b""
+    for part in text_parts(marked, TEXT_BLOCK, b" "):
+        if held and not held.endswith(b" "):
+            yield held
+            held = b""
+        held += part
+    yield held
+
+
 def _blocks(column: pa.Array) -> Iterator[list[bytes | None]]:
     held, size = [], 0
     for value in column:

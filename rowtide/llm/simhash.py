@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import broadcast_if, stored
+from rowtide.llm.common import broadcast_if, stored, text_parts
 from rowtide.llm.graph import components
 
 SHINGLE_WORDS = 4
@@ -33,7 +33,6 @@ PAIR_BLOCK = 1 << 20
 BROADCAST_IDS = 1_000_000
 
 _BYTE_SETS = list(itertools.combinations(range(8), 4))
-_SHIFT = np.array([8 * i for i in range(8)], np.uint64)
 
 
 def _mask(positions, width: int) -> int:
@@ -49,25 +48,31 @@ def _signed(value: int) -> int:
 
 def fingerprint(data: bytes | None, size: int = SHINGLE_WORDS) -> int:
     """The SimHash of one text in UTF-8: null, empty and blank texts give zero."""
-    words = data.lower().split() if data else []  # both are ASCII-only for bytes
-    if not words:
-        return 0
-    ones, total = np.zeros(64, np.int64), 0
-    last = max(1, len(words) - size + 1)
-    digest = xxhash.xxh64_intdigest
+    ones, total, words = np.zeros(64, np.int64), 0, []
+    for part in text_parts(data or b""):
+        # Both are ASCII-only for bytes. The last words of a part go on into the next.
+        words = words[len(words) - size + 1 :] if len(words) >= size else words
+        words += part.lower().split()
+        if len(words) >= size:
+            total += _count_bits(words, size, ones)
+    if words and not total:
+        total = _count_bits(words, len(words), ones)
+    return sum(1 << i for i in np.flatnonzero(ones * 2 > total).tolist())
+
+
+def _count_bits(words: list[bytes], size: int, ones: np.ndarray) -> int:
+    """Add the set bits of all shingles' hashes to `ones`; the number of shingles."""
+    digest, last = xxhash.xxh64_intdigest, len(words) - size + 1
     for begin in range(0, last, BLOCK):
         part = words[begin : min(begin + BLOCK, last) + size - 1]
         joined = b" ".join(part)
         lengths = np.fromiter(map(len, part), np.int64, len(part))
         ends = np.cumsum(lengths + 1) - 1
         starts = (ends - lengths).tolist()
-        ends = ends.tolist()
-        width = min(size, len(part))
-        hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(starts, ends[width - 1 :])]
+        hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(starts, ends[size - 1 :].tolist())]
         bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-        total += len(hashes)
-    return sum(1 << i for i in np.flatnonzero(ones * 2 > total).tolist())
+    return last
 
 
 def fingerprint_column(text: Column, size: int = SHINGLE_WORDS) -> Column:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import text_parts
 from rowtide.llm.trie import ROOT, DoubleArray, Remembered, by_length
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -107,15 +108,12 @@ class Counter:
         self.counts = np.concatenate([self.counts, self.matcher.count([b" " + w for w in words])])
 
     def count(self, text: bytes | None) -> tuple[int, int]:
-        words = text.split() if text else []  # bytes split at ASCII white space only
-        total = 0
-        for begin in range(0, len(words), 1 << 16):
-            total += int(self.counts_of(words[begin : begin + (1 << 16)]))
-        return len(words), total
-
-    def counts_of(self, words: list[bytes]) -> int:
-        numbers = self.known.lookup(words)
-        return self.counts[numbers].sum()
+        words = total = 0
+        for part in text_parts(text or b""):
+            own = part.split()  # bytes split at ASCII white space only
+            numbers = self.known.lookup(own)  # may add to the counts or start them anew
+            words, total = words + len(own), total + int(self.counts[numbers].sum())
+        return words, total
 
 
 @lru_cache(maxsize=2)

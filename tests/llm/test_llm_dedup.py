@@ -1,13 +1,14 @@
 """Exact dedup, SimHash near-dedup and components against brute force; odd rows."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
 import pytest
 import xxhash
 
-from rowtide.llm import exact_dedup, graph, simhash
+from rowtide.llm import common, exact_dedup, graph, simhash
 
 ODD = [
     (1, "same text here again", "x"),
@@ -96,7 +97,8 @@ def slow_fingerprint(text):
 def test_fingerprints(monkeypatch):
     texts = ["", " \n", None, "one", "a b c", "a b c d", "A b\tC d e", "É é É", "x y " * 400]
     monkeypatch.setattr(simhash, "BLOCK", 7)
-    for t in texts:
+    for t, size in itertools.product(texts, (1, 4, 9, 1 << 22)):
+        monkeypatch.setattr(common, "TEXT_PART", size)
         assert simhash.fingerprint(None if t is None else t.encode()) == slow_fingerprint(t)
 
 

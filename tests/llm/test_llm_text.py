@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.llm import langid, lm, pieces, secret_scan, token_counts, trie
+from rowtide.llm import common, langid, lm, pieces, secret_scan, token_counts, trie
 
 TEXTS = [
     None,
@@ -80,7 +80,7 @@ def brute_path(p, text):
     return [x for part in reversed(out) for x in part]
 
 
-def test_encoding_is_the_best_path(vocabulary):
+def test_encoding_is_the_best_path(vocabulary, monkeypatch):
     texts = [t for t in TEXTS if t] + ["Ungewöhnlich_lange Wörter, 12345!", "x▁y", "\r\n\r\n"]
     encoder = pieces.Encoder(vocabulary)
     ids, counts = encoder.encode([t.encode() for t in texts])
@@ -88,6 +88,11 @@ def test_encoding_is_the_best_path(vocabulary):
     for text, n in zip(texts, counts):
         assert ids[at : at + n].tolist() == brute_path(vocabulary, text)
         at += n
+    whole = [vocabulary_ids.tolist() for vocabulary_ids in np.split(ids, np.cumsum(counts)[:-1])]
+    for size in (1, 5, 17):
+        monkeypatch.setattr(pieces, "TEXT_BLOCK", size)
+        ids, counts = encoder.encode([*[t.encode() for t in texts], None])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [*whole, []]
     for chunk in vocabulary.chunk.findall(b" " + " ".join(texts).encode()):
         assert vocabulary.path(chunk) == vocabulary.paths([chunk])[0].tolist()
 
@@ -151,7 +156,7 @@ def test_counts_equal_greedy_longest_match(spark, docs):
         assert (r.n.words, r.n.tokens) == (len(words), sum(greedy(b" " + w, entries, longest) for w in words))
 
 
-def test_counts_with_a_small_vocabulary_and_a_short_memory():
+def test_counts_with_a_small_vocabulary_and_a_short_memory(monkeypatch):
     draw = random.Random(9)
     entries = [bytes([b]) for b in range(256)] + [b"ab", b"abc", b"bcd", b"abcde", b" a", b" ab", b"cab", b"dabca"]
     matcher = token_counts.Matcher(entries)
@@ -164,6 +169,7 @@ def test_counts_with_a_small_vocabulary_and_a_short_memory():
     texts = [b" ".join(words[i : i + 7]) for i in range(0, 300, 7)]
     got = np.concatenate([token_counts.count_batch(counter, texts[i : i + 5]) for i in range(0, len(texts), 5)])
     assert got[:, 1].tolist() == [sum(want[i : i + 7]) for i in range(0, 300, 7)]
+    monkeypatch.setattr(common, "TEXT_PART", 60)
     assert counter.count(texts[0]) == tuple(got[0])
     with pytest.raises(ValueError):
         token_counts.Matcher([b"a"])
@@ -312,6 +318,7 @@ def test_state_is_carried_over_parts(small, monkeypatch):
     text = b"a b z c d e f q " * 40
     whole = scorer.block([text, b"a", None])[0]
     monkeypatch.setattr(lm, "TEXT_BLOCK", 50)
+    monkeypatch.setattr(common, "TEXT_PART", 50)
     parts = scorer.long(text)
     assert parts[5] == whole[5]
     assert np.allclose(parts[:5], whole[:5]) and abs(parts[6] - whole[6]) < 1e-3

@@ -4,8 +4,8 @@ Word counts cover all training documents. The most frequent words are the networ
 vocabulary, split into classes: the probability of a word is that of its class given the
 state, times that of the word within its class. All other words form one more class, within
 which a word has its smoothed relative frequency. The network is fitted with truncated
-backpropagation on a fixed part of the training documents: each task goes through its own,
-and the tasks' weights are averaged after each round. Scoring carries the state from window
+backpropagation in one pass over all training documents: they are dealt to rounds, in each
+round every task goes through its own, and the tasks' weights are averaged after it. Scoring carries the state from window
 to window, so a document's likelihood is complete however long it is.
 """
 
@@ -31,10 +31,12 @@ UNITS = 16
 WINDOW = 32  # steps of one truncated backpropagation
 SCORE_WINDOW = 64  # steps whose probabilities are worked out together; no bearing on results
 LANES = 256  # documents scored side by side
-TRAIN_LANES = 32
+# Documents fitted on side by side: as many as leave TRAIN_STEPS windows to a block of
+# documents, within these bounds.
+TRAIN_LANES, TRAIN_STEPS = (32, 256), 64
+TRAIN_BLOCK = 1 << 21  # tokens a task holds to fit on
 RATE = 0.01
-# Of the training documents, one in TRAIN_PART is fitted on, spread over ROUNDS.
-TRAIN_PART, ROUNDS = 16, 2
+ROUNDS = 4  # each training document belongs to one
 # Words a task counts before it hands them on; bytes of text worked on at a time.
 COUNT_LIMIT = 400_000
 TEXT_BLOCK = 1 << 23
@@ -207,10 +209,10 @@ class Network:
                 later *= ~fresh[t][:, None]
         flat_in, ids = by_in.reshape(-1, 3 * n), inputs.ravel()
         grads["b"] = flat_in.sum(axis=0)
-        by_word = np.zeros((len(p["embed"]), 3 * n), h.dtype)
-        np.add.at(by_word, ids, flat_in)
-        grads["w"] = p["embed"].T @ by_word
-        grads["embed"] = by_word @ p["w"].T
+        grads["w"] = p["embed"][ids].T @ flat_in
+        order = np.argsort(ids, kind="stable")
+        words, starts = np.unique(ids[order], return_index=True)
+        grads["embed"][words] = np.add.reduceat((flat_in @ p["w"].T)[order], starts)
         return float(ll.sum()), grads, states[-1]
 
 
@@ -254,26 +256,39 @@ def windows(ids: list[np.ndarray], begin: int, count: int, size: int):
         yield running, np.where(fresh, begin, before), target, fresh, live, owner
 
 
+class Fitting:
+    """Truncated backpropagation over a task's documents, block by block (Adam)."""
+
+    def __init__(self, network: Network):
+        self.net, self.step, self.seen = network, 0, 0
+        self.first = {k: np.zeros_like(x) for k, x in network.p.items()}
+        self.second = {k: np.zeros_like(x) for k, x in network.p.items()}
+
+    def block(self, ids: list[np.ndarray]) -> None:
+        ids = [x for x in ids if len(x)]
+        if not ids:
+            return
+        net, count = self.net, int(np.clip(sum(map(len, ids)) // (WINDOW * TRAIN_STEPS), *TRAIN_LANES))
+        h = np.zeros((count, net.units), net.p["b"].dtype)
+        for running, inputs, targets, fresh, live, _ in windows(ids, net.begin, count, WINDOW):
+            _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running])
+            size = int(live.sum())
+            self.seen += size
+            self.step += 1
+            rate = RATE / (1 - 0.9**self.step)
+            for k, g in grads.items():
+                g /= size
+                first, second = self.first[k], self.second[k]
+                first += 0.1 * (g - first)
+                second += 0.001 * (g * g - second)
+                net.p[k] += rate * first / (np.sqrt(second / (1 - 0.999**self.step)) + 1e-8)
+
+
 def fit_part(network: Network, ids: list[np.ndarray]) -> tuple[Network, int]:
-    """One pass of truncated backpropagation over a task's documents (Adam, float64)."""
-    ids = [x for x in ids if len(x)]
-    if not ids:
-        return network, 0
-    first = {k: np.zeros_like(x) for k, x in network.p.items()}
-    second = {k: np.zeros_like(x) for k, x in network.p.items()}
-    h, seen = np.zeros((TRAIN_LANES, network.units)), 0
-    walk = windows(ids, network.begin, TRAIN_LANES, WINDOW)
-    for step, (running, inputs, targets, fresh, live, _) in enumerate(walk, 1):
-        _, grads, h[running] = network.gradient(inputs, targets, fresh, live, h[running])
-        size = int(live.sum())
-        seen += size
-        for k, g in grads.items():
-            g /= size
-            first[k] += 0.1 * (g - first[k])
-            second[k] += 0.001 * (g * g - second[k])
-            rate = RATE / (1 - 0.9**step)
-            network.p[k] += rate * first[k] / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return network, seen
+    """One pass over documents held at once, and the tokens seen."""
+    fitting = Fitting(network)
+    fitting.block(ids)
+    return network, fitting.seen
 
 
 def score_ids(network: Network, ids: list[np.ndarray], h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -409,38 +424,46 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(list(words), np.array(n, np.int64), total, distinct)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """The network fitted on `texts` (columns round and text), task by task and averaged.
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """The network fitted on all of `docs` (columns id and text), task by task and averaged.
 
-    Each task holds its own documents of one round, as word numbers.
+    Every document belongs to one round; a task holds a block of its documents of the round,
+    as word numbers. The network's `seen` is the number of tokens fitted on.
     """
-    spark = texts.sparkSession
-    network = Network(vocabulary)
+    spark = docs.sparkSession
+    network = Network(vocabulary).cast(np.float32)
+    network.seen = 0
     shared = spark.sparkContext.broadcast(vocabulary)
+    drawn = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lm")), F.lit(rounds))
     for number in range(rounds):
         start = spark.sparkContext.broadcast(network.flat())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            v, ids = shared.value, []
+            v, ids, size = shared.value, [], 0
+            fitting = Fitting(Network(v).cast(np.float32).load(start.value))
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     own = [v.ids(v.ranks(tokens(part))) for part in text_parts(text or b"")]
                     ids.append(np.concatenate([*own, v.ids(np.array([v.end_rank]))]).astype(np.int32))
-            fitted, seen = fit_part(Network(v).load(start.value), ids)
-            if seen:
-                flat = fitted.flat()
+                    size += len(ids[-1])
+                    if size > TRAIN_BLOCK:
+                        fitting.block(ids)
+                        ids, size = [], 0
+            fitting.block(ids)
+            if fitting.seen:
+                flat = fitting.net.flat().astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), float(seen)))],
+                    [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), fitting.seen))],
                     names=["i", "x", "seen"],
                 )
 
-        part = texts.where(F.col("round") == number).select("text")
-        weights = part.mapInArrow(run, "i long, x double, seen double")
+        weights = docs.where(drawn == number).select("text").mapInArrow(run, "i long, x double, seen long")
         mean = F.sum(F.col("x") * F.col("seen")) / F.sum("seen")
         # As many rows as the network has weights, whatever the corpus.
-        rows = weights.groupBy("i").agg(mean.alias("x")).toPandas()
+        rows = weights.groupBy("i").agg(mean.alias("x"), F.sum("seen").alias("seen")).toPandas()
         if len(rows):
             network.load(rows.sort_values("i")["x"].to_numpy())
+            network.seen += int(rows["seen"].iloc[0])
     return network
 
 
@@ -463,9 +486,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     learnt = rows.where(~F.col("held_out"))
     counts = stored(word_counts(learnt.select("text")))
     known = vocabulary(counts)
-    drawn = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lm")), F.lit(TRAIN_PART))
-    part = learnt.withColumn("round", drawn).where(F.col("round") < ROUNDS).select("round", "text")
-    shared = spark.sparkContext.broadcast((known, train(part, known).flat()))
+    shared = spark.sparkContext.broadcast((known, train(learnt.select("id", "text"), known).flat()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value

@@ -339,6 +339,22 @@ def test_training_raises_the_likelihood(small):
     assert seen == 80_000 and lm.score_ids(fitted.cast(np.float32), ids[:1])[0][0] > before + 2
 
 
+def test_every_training_document_is_fitted_on(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD_WORDS", 50)
+    rows = [(i if i % 9 else None, f"word{i % 70} again " * (i % 13)) for i in range(300)] + [(1, None), (1, "twice")]
+    docs = spark.createDataFrame(rows, "id long, text string").select("id", F.col("text").cast("binary").alias("text"))
+    known = lm.vocabulary(lm.word_counts(docs.select("text")))
+    assert lm.train(docs.repartition(3), known).seen == known.total == sum(len((t or "").split()) + 1 for _, t in rows)
+
+
+def test_blocks_of_documents_are_all_fitted_on(small):
+    ids = [np.arange(k) % 6 for k in (5, 300, 9, 1, 0, 4000)]
+    fitting = lm.Fitting(lm.Network(small, 4))
+    for at in range(0, len(ids), 2):
+        fitting.block(ids[at : at + 2])
+    assert fitting.seen == sum(map(len, ids)) and all(np.isfinite(fitting.net.flat()))
+
+
 def test_scores_equal_counted_by_hand(spark, monkeypatch):
     monkeypatch.setattr(lm, "KNOWN_WORDS", 6)
     draw = random.Random(8)

@@ -1,9 +1,10 @@
 """Language-model scores of whole documents by a gated recurrent network.
 
-Word counts cover all training documents. The most frequent words are the network's
-vocabulary, split into classes: the probability of a word is that of its class given the
-state, times that of the word within its class. All other words form one more class, within
-which a word has its smoothed relative frequency. The network is fitted with truncated
+Word counts cover all training documents. The words whose counts every task knows are the
+network's vocabulary, split into about as many classes as the square root of their number:
+the probability of a word is that of its class given the state, times that of the word
+within its class given the state. Words beyond them form one more class, within which a
+word has its smoothed relative frequency. The network is fitted with truncated
 backpropagation in one pass over all training documents: they are dealt to rounds, in each
 round every task goes through its own, and the tasks' weights are averaged after it. Scoring carries the state from window
 to window, so a document's likelihood is complete however long it is.
@@ -24,19 +25,21 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import stored, text_parts
 from rowtide.llm.langid import fold
 
-HEAD_WORDS = 2048  # in the network's vocabulary
-CLASSES = 63  # of those words; one class more for the rest
 KNOWN_WORDS = 1 << 18  # whose counts every task holds; rarer ones are joined
+HEAD_WORDS = KNOWN_WORDS  # in the network's vocabulary
+CLASSES = 512  # of those words at most; one class more for the rest
 UNITS = 16
-WINDOW = 32  # steps of one truncated backpropagation
+WINDOW = 64  # steps of one truncated backpropagation
 SCORE_WINDOW = 64  # steps whose probabilities are worked out together; no bearing on results
 LANES = 256  # documents scored side by side
 # Documents fitted on side by side: as many as leave TRAIN_STEPS windows to a block of
 # documents, within these bounds.
 TRAIN_LANES, TRAIN_STEPS = (32, 256), 64
-TRAIN_BLOCK = 1 << 21  # tokens a task holds to fit on
+TRAIN_BLOCK = 1 << 20  # tokens a task holds to fit on
 RATE = 0.01
-ROUNDS = 4  # each training document belongs to one
+WORD_RATE = 0.4  # of the weights that belong to one word
+AVERAGE_BLOCK = 1 << 14  # weights averaged in one row
+ROUNDS = 2  # each training document belongs to one
 # Words a task counts before it hands them on; bytes of text worked on at a time.
 COUNT_LIMIT = 400_000
 TEXT_BLOCK = 1 << 23
@@ -61,7 +64,8 @@ class Vocabulary:
     def __post_init__(self):
         self.head = min(HEAD_WORDS, len(self.words))
         weight = np.cumsum(np.sqrt(self.counts[: self.head] + 1.0))
-        part = np.minimum((weight / weight[-1] * CLASSES).astype(int), CLASSES - 1)
+        classes = min(CLASSES, int(np.ceil(np.sqrt(self.head))))
+        part = np.minimum((weight / weight[-1] * classes).astype(int), classes - 1)
         self.bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), self.head)
         self.class_of = np.searchsorted(self.bounds, np.arange(self.head), side="right") - 1
         self.rank = {w: i for i, w in enumerate(self.words) if w is not None}
@@ -82,28 +86,35 @@ class Vocabulary:
 
 
 SHAPES = ("embed", "w", "u", "b", "wc", "bc", "wo", "bo")
+BY_WORD = ("embed", "wo", "bo")  # a row for each word
 
 
 class Network:
     """The weights, forward and backward. Gates are in the order update, reset, candidate."""
 
-    def __init__(self, vocabulary: Vocabulary, units: int = UNITS):
+    def __init__(self, vocabulary: Vocabulary, units: int = UNITS, kind=np.float64, flat: np.ndarray | None = None):
         v, n, c = vocabulary.head, units, vocabulary.classes
-        draw = np.random.default_rng(5)
         self.bounds, self.class_of, self.head, self.units = vocabulary.bounds, vocabulary.class_of, v, n
+        # Embedded are words, any other word, begin of a text.
+        shapes = ((v + 2, n), (n, 3 * n), (n, 3 * n), (3 * n,), (n, c), (c,), (v, n), (v,))
+        if flat is not None:
+            ends = np.cumsum([0, *map(np.prod, shapes)])
+            self.p = {k: flat[ends[i] : ends[i + 1]].reshape(shapes[i]) for i, k in enumerate(SHAPES)}
+            self.cast(kind)
+            return
+        draw = np.random.default_rng(5)
+        scale = {"embed": 0.1, "w": n**-0.5, "u": n**-0.5, "wc": 0.1, "wo": 0.1}
+        self.p = {}
+        for k, shape in zip(SHAPES, shapes):
+            self.p[k] = np.zeros(shape, np.float32)
+            if k in scale:
+                draw.standard_normal(out=self.p[k], dtype=np.float32)
+                self.p[k] *= np.float32(scale[k])
+        # An unfitted network starts near word frequencies.
         counts = vocabulary.counts[:v] + 1.0
         mass = np.append(np.add.reduceat(counts, self.bounds[:-1]), vocabulary.rest_size)
-        self.p = {
-            "embed": draw.normal(0, 0.1, (v + 2, n)),  # words, any other word, begin of a text
-            "w": draw.normal(0, n**-0.5, (n, 3 * n)),
-            "u": draw.normal(0, n**-0.5, (n, 3 * n)),
-            "b": np.zeros(3 * n),
-            "wc": draw.normal(0, 0.1, (n, c)),
-            "bc": np.log(mass / mass.sum()),  # an unfitted network starts near word frequencies
-            "wo": draw.normal(0, 0.1, (v, n)),
-            "bo": np.log(counts / mass[self.class_of]),
-        }
-        self.cast(np.float64)
+        self.p["bc"], self.p["bo"] = np.log(mass / mass.sum()), np.log(counts / mass[self.class_of])
+        self.cast(kind)
 
     def cast(self, kind) -> Network:
         self.p = {k: np.ascontiguousarray(x, kind) for k, x in self.p.items()}
@@ -127,7 +138,7 @@ class Network:
     def states(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States after each of the (time, lane) inputs; lanes start anew where `fresh`."""
         n, u = self.units, self.p["u"]
-        gates_in = (self.p["embed"] @ self.p["w"] + self.p["b"])[inputs]
+        gates_in = (self.p["embed"][inputs.ravel()] @ self.p["w"] + self.p["b"]).reshape(*inputs.shape, 3 * n)
         out = np.empty((*inputs.shape, n), h.dtype)
         for t in range(len(inputs)):
             if fresh[t].any():
@@ -146,38 +157,39 @@ class Network:
         """Natural log-probability of each target given its state (rows); for targets
         outside the head, that of their class. With `grads`, the gradient by state too."""
         p, rows = self.p, np.arange(len(targets))
-        logits = states @ p["wc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        odds = np.exp(logits)
-        total = odds.sum(axis=1, keepdims=True)
+        odds = states @ p["wc"] + p["bc"]
+        odds -= odds.max(axis=1, keepdims=True)
         kind = np.where(targets < self.head, self.class_of[np.minimum(targets, self.head - 1)], len(self.bounds) - 1)
-        out = logits[rows, kind].astype(np.float64) - np.log(total[:, 0])
+        out = odds[rows, kind].astype(np.float64)
+        np.exp(odds, out=odds)
+        total = odds.sum(axis=1, keepdims=True)
+        out -= np.log(total[:, 0])
         by_state = None
         if grads is not None:
-            delta = -odds / total
-            delta[rows, kind] += 1
-            grads["wc"] += states.T @ delta
-            grads["bc"] += delta.sum(axis=0)
-            by_state = delta @ p["wc"].T
+            odds /= -total
+            odds[rows, kind] += 1
+            grads["wc"] += states.T @ odds
+            grads["bc"] += odds.sum(axis=0)
+            by_state = odds @ p["wc"].T
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(len(self.bounds)))
-        for c in range(len(self.bounds) - 1):
+        for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.bounds) > 1)).tolist():
             some = order[ends[c] : ends[c + 1]]
             low, high = self.bounds[c], self.bounds[c + 1]
-            if not len(some) or high - low == 1:
-                continue
-            own = states[some] @ p["wo"][low:high].T + p["bo"][low:high]
+            mine, own_rows, at = states[some], np.arange(len(some)), targets[some] - low
+            own = mine @ p["wo"][low:high].T
+            own += p["bo"][low:high]
             own -= own.max(axis=1, keepdims=True)
-            odds = np.exp(own)
-            total = odds.sum(axis=1, keepdims=True)
-            at = targets[some] - low
-            out[some] += own[np.arange(len(some)), at] - np.log(total[:, 0])
+            picked = own[own_rows, at]
+            np.exp(own, out=own)
+            total = own.sum(axis=1, keepdims=True)
+            out[some] += picked - np.log(total[:, 0])
             if grads is not None:
-                delta = -odds / total
-                delta[np.arange(len(some)), at] += 1
-                grads["wo"][low:high] += delta.T @ states[some]
-                grads["bo"][low:high] += delta.sum(axis=0)
-                by_state[some] += delta @ p["wo"][low:high]
+                own /= -total
+                own[own_rows, at] += 1
+                grads["wo"][low:high] = own.T @ mine
+                grads["bo"][low:high] = own.sum(axis=0)
+                by_state[some] += own @ p["wo"][low:high]
         return out, by_state
 
     def gradient(self, inputs, targets, fresh, live, h):
@@ -186,7 +198,7 @@ class Network:
         The gradient ends at the window's first step; `live` marks the real targets.
         """
         n, p, keep = self.units, self.p, []
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
+        grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items()}  # memory not touched costs nothing
         states = self.states(inputs, fresh, h, keep)
         at = np.flatnonzero(live.ravel())
         ll, by = self.log_likelihood(states.reshape(-1, n)[at], targets.ravel()[at], grads)
@@ -237,7 +249,7 @@ def windows(ids: list[np.ndarray], begin: int, count: int, size: int):
     """
     dealt = lanes(np.array([len(x) for x in ids]), count)
     targets = [np.concatenate([ids[d] for d in lane]) for lane in dealt]
-    owners = [np.repeat(lane, [len(ids[d]) for d in lane]) for lane in dealt]
+    owners = [np.repeat(np.array(lane, np.int32), [len(ids[d]) for d in lane]) for lane in dealt]
     sizes = np.array([len(t) for t in targets])
     for at in range(0, int(sizes.max()), size):
         running = np.flatnonzero(sizes > at)
@@ -257,12 +269,24 @@ def windows(ids: list[np.ndarray], begin: int, count: int, size: int):
 
 
 class Fitting:
-    """Truncated backpropagation over a task's documents, block by block (Adam)."""
+    """Truncated backpropagation over a task's documents, block by block.
+
+    Adam for the weights all words share. A word's own weights move only in windows that
+    concern the word or its class, by Adagrad on summed gradients.
+    """
 
     def __init__(self, network: Network):
         self.net, self.step, self.seen = network, 0, 0
-        self.first = {k: np.zeros_like(x) for k, x in network.p.items()}
-        self.second = {k: np.zeros_like(x) for k, x in network.p.items()}
+        self.first = {k: np.zeros_like(x) for k, x in network.p.items() if k not in BY_WORD}
+        self.second = {k: np.full_like(x, k in BY_WORD) for k, x in network.p.items()}
+
+    def move(self, name: str, rows, grads: dict) -> None:
+        g = grads[name][rows]
+        second = self.second[name][rows] + g * g
+        self.second[name][rows] = second
+        g *= WORD_RATE
+        g /= np.sqrt(second)
+        self.net.p[name][rows] += g
 
     def block(self, ids: list[np.ndarray]) -> None:
         ids = [x for x in ids if len(x)]
@@ -276,7 +300,14 @@ class Fitting:
             self.seen += size
             self.step += 1
             rate = RATE / (1 - 0.9**self.step)
-            for k, g in grads.items():
+            self.move("embed", np.unique(inputs), grads)
+            own = targets[live & (targets < net.head)]
+            for c in np.unique(net.class_of[own]).tolist():
+                rows = slice(net.bounds[c], net.bounds[c + 1])
+                self.move("wo", rows, grads)
+                self.move("bo", rows, grads)
+            for k in self.first:
+                g = grads[k]
                 g /= size
                 first, second = self.first[k], self.second[k]
                 first += 0.1 * (g - first)
@@ -431,16 +462,28 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
     as word numbers. The network's `seen` is the number of tokens fitted on.
     """
     spark = docs.sparkSession
-    network = Network(vocabulary).cast(np.float32)
-    network.seen = 0
+    network = Network(vocabulary, kind=np.float32)
+    seen = 0
     shared = spark.sparkContext.broadcast(vocabulary)
     drawn = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lm")), F.lit(rounds))
+
+    def mean(group: pa.Table) -> pa.Table:
+        seen = np.array(group["seen"].to_pylist(), np.float64)
+        x = sum(np.frombuffer(b, np.float16) * (n / seen.sum()) for b, n in zip(group["x"].to_pylist(), seen))
+        return pa.table(
+            {
+                "i": pa.array([group["i"][0].as_py()], pa.int32()),
+                "x": pa.array([x.astype(np.float32).tobytes()], pa.binary()),
+                "seen": pa.array([int(seen.sum())], pa.int64()),
+            }
+        )
+
     for number in range(rounds):
         start = spark.sparkContext.broadcast(network.flat())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v, ids, size = shared.value, [], 0
-            fitting = Fitting(Network(v).cast(np.float32).load(start.value))
+            fitting = Fitting(Network(v, kind=np.float32, flat=start.value.copy()))
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     own = [v.ids(v.ranks(tokens(part))) for part in text_parts(text or b"")]
@@ -451,19 +494,30 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
                         ids, size = [], 0
             fitting.block(ids)
             if fitting.seen:
-                flat = fitting.net.flat().astype(np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), fitting.seen))],
-                    names=["i", "x", "seen"],
-                )
-
-        weights = docs.where(drawn == number).select("text").mapInArrow(run, "i long, x double, seen long")
-        mean = F.sum(F.col("x") * F.col("seen")) / F.sum("seen")
-        # As many rows as the network has weights, whatever the corpus.
-        rows = weights.groupBy("i").agg(mean.alias("x"), F.sum("seen").alias("seen")).toPandas()
-        if len(rows):
-            network.load(rows.sort_values("i")["x"].to_numpy())
-            network.seen += int(rows["seen"].iloc[0])
+                # Only steps leave, which need fewer digits than weights.
+                flat = (fitting.net.flat() - start.value).astype(np.float16)
+                for i, at in enumerate(range(0, len(flat), AVERAGE_BLOCK)):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([i], pa.int32()),
+                            pa.array([flat[at : at + AVERAGE_BLOCK].tobytes()], pa.binary()),
+                            pa.array([fitting.seen], pa.int64()),
+                        ],
+                        names=["i", "x", "seen"],
+                    )
+
+        # One set of weights leaves each core of the cluster, however many parts the documents have.
+        part = docs.where(drawn == number).select("text").coalesce(spark.sparkContext.defaultParallelism)
+        kinds = "i int, x binary, seen long"
+        # As many bytes as the network has, whatever the corpus.
+        rows = part.mapInArrow(run, kinds).groupBy("i").applyInArrow(mean, kinds).collect()
+        start.unpersist()
+        if rows:
+            rows.sort(key=lambda r: r["i"])
+            steps = np.frombuffer(b"".join(r["x"] for r in rows), np.float32)
+            network = Network(vocabulary, kind=np.float32, flat=network.flat() + steps)
+            seen += rows[0]["seen"]
+    network.seen = seen
     return network
 
 
@@ -490,7 +544,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
-        scorer = Scorer(v, Network(v).load(flat))
+        scorer = Scorer(v, Network(v, kind=np.float32, flat=flat))
         for batch in batches:
             columns = list(zip(*scorer.batch(batch.column(2).to_pylist()))) or [[]] * 7
             sums = [pa.array([float(x) for x in c], pa.float64()) for c in columns[1:5]]

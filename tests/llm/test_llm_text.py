@@ -339,6 +339,21 @@ def test_training_raises_the_likelihood(small):
     assert seen == 80_000 and lm.score_ids(fitted.cast(np.float32), ids[:1])[0][0] > before + 2
 
 
+def test_all_known_words_are_the_networks():
+    counts = np.arange(4000, 0, -1)
+    v = lm.Vocabulary([None, *(b"%d" % i for i in range(1, 4000))], counts, int(counts.sum()) + 9, 4009)
+    assert v.head == 4000 and 32 <= v.classes - 1 <= 64
+    ids = [np.array([3000, 3900, 3500, 0] * 10)] * 300
+    assert (v.ids(v.ranks([b"3000", b"3900", b"unknown"])) == [3000, 3900, 4000]).all()
+    net = lm.Network(v, 8, kind=np.float32)
+    before = lm.score_ids(net, ids[:1])[0][0]
+    fitted, _ = lm.fit_part(net, ids)
+    assert lm.score_ids(fitted, ids[:1])[0][0] > before + 20
+    state = np.random.default_rng(1).normal(size=(1, 8)).astype(np.float32)
+    logs = [fitted.log_likelihood(np.repeat(state, 4001, 0), np.arange(4001))[0]]
+    assert abs(np.exp(logs).sum() - 1) < 1e-4
+
+
 def test_every_training_document_is_fitted_on(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD_WORDS", 50)
     rows = [(i if i % 9 else None, f"word{i % 70} again " * (i % 13)) for i in range(300)] + [(1, None), (1, "twice")]

@@ -42,17 +42,24 @@ LIMITS = (
     (re.compile(r"[A-Za-z]+"), 4.1),
     (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 )
-# Candidates that look random and are not secret: placeholders, keyboard and alphabet
-# runs, UUIDs, dates and paths of words.
+# What looks random in a candidate and is not secret: segments with a placeholder or a
+# keyboard or alphabet run, UUIDs, dates with or without a time. It is cut out, and the
+# rest of the candidate is looked at. The words come first to skip candidates quickly.
+PLAIN_WORDS = re.compile(
+    r"[^/=]*(?:example|placeholder|changeme|dummy|sample|your[_-]|0123456789|abcdefghij|qwertyuiop)[^/=]*",
+    re.IGNORECASE,
+)
+PLAIN_FORMS = re.compile(
+    r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+    r"|[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T_-]?[0-9]{2})*Z?)(?![0-9A-Za-z])"
+)
+# Spans that are no secret: repetitions, and paths of words of a single case and numbers.
+_WORD = "(?:[a-z]+|[A-Z][a-z]+|[A-Z]+)"
 ALLOW = tuple(
-    re.compile(p, re.IGNORECASE)
+    re.compile(p)
     for p in (
-        r".*(example|placeholder|changeme|dummy|sample|your[_-]).*",
-        r".*(0123456789|abcdefghij|qwertyuiop).*",
-        r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}",
-        r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*",
         r"[=_-]+|(.{1,4})\1+.?.?.?",
-        r"[a-z]*([/_=+-]+([a-z]+|[0-9]+))*[/_=+-]*",
+        rf"{_WORD}?(?:[/_=+-]+(?:{_WORD}|[0-9]+))*[/_=+-]*",
     )
 )
 
@@ -70,14 +77,14 @@ def entropy_windows(candidate: str, limit: float, size: int = WINDOW) -> list[tu
     counts: dict[str, int] = {}
     total, spans = 0.0, []  # total: sum of c * log2(c)
     for i, c in enumerate(candidate):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += _TERM[n + 1] - _TERM[n] if n < size else 0.0
         if i >= size:
             old = candidate[i - size]
             n = counts[old]
             counts[old] = n - 1
             total += _TERM[n - 1] - _TERM[n]
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += _TERM[n + 1] - _TERM[n]
         if i >= size - 1 and math.log2(size) - total / size >= limit:
             start = i - size + 1
             if spans and start <= spans[-1][1]:
@@ -98,6 +105,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def pieces(candidate: str) -> list[tuple[int, int]]:
+    """[start, end) of what is left of a candidate without the plain parts, if long enough."""
+    plain = sorted(m.span() for form in (PLAIN_WORDS, PLAIN_FORMS) for m in form.finditer(candidate))
+    left, at = [], 0
+    for start, end in [*plain, (len(candidate), len(candidate))]:
+        if start - at >= WINDOW:
+            left.append((at, start))
+        at = max(at, end)
+    return left
+
+
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """All spans by start, then kind. Those of entropy keep clear of the fixed ones."""
     if not text:
@@ -105,14 +123,17 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     found = base_spans(text)
     taken = sorted((s, e) for s, _, e in found)
     for m in CANDIDATE.finditer(text):
-        candidate = m[0]
-        limit = limit_of(candidate)
-        if limit == math.inf or any(a.fullmatch(candidate) for a in ALLOW):
-            continue
-        for start, end in entropy_windows(candidate, limit):
-            start, end = start + m.start(), end + m.start()
-            if not any(s < end and start < e for s, e in taken):
-                found.append((start, 3, end))
+        for low, high in pieces(m[0]):
+            piece, at = m[0][low:high], m.start() + low
+            limit = limit_of(piece)
+            if limit == math.inf:
+                continue
+            for start, end in entropy_windows(piece, limit):
+                if any(a.fullmatch(piece, start, end) for a in ALLOW):
+                    continue
+                start, end = start + at, end + at
+                if not any(s < end and start < e for s, e in taken):
+                    found.append((start, 3, end))
     return sorted(found)
 
 

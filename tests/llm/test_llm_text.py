@@ -217,6 +217,22 @@ def test_random_strings_are_found_and_words_are_not():
         assert secret_scan.spans(clean) == []
 
 
+def entropy_parts(text):
+    return [text[s:e] for s, k, e in secret_scan.spans(text) if k == 3]
+
+
+def test_the_allow_list_hides_no_secret_beside_it():
+    letters = "kQzTfLmWpXvRbNcYdHjGsAeU"
+    assert entropy_parts(f"x {letters} y") == [letters]
+    for text in (f"auth={letters}", "kQzTfLmWpXvR/bNcYdHjGsAeU+xQ", "2024-01-02-zQ8vN3kLpX7wTfR2mYc9BdHs"):
+        assert len(entropy_parts(text)) == 1, text
+    for text in ("data/sample/zQ8vN3kLpX7wTfR2mYc9BdHs", "123e4567-e89b-12d3-a456-426614174000/zQ8vN3kLpX7wTfR2mYc9BdHs"):
+        assert [p.strip("/") for p in entropy_parts(text)] == ["zQ8vN3kLpX7wTfR2mYc9BdHs"], text
+    for clean in ("2024-01-02T03-04-05Z_2024-01-03", "My/Documents/of/Some/Long/DIRECTORY/Name", "your_zQ8vN3kLpX7wTfR2mYc9"):
+        assert entropy_parts(clean) == [], clean
+    assert entropy_parts("a" * 25 + "=b") == []  # more of one character than a window holds
+
+
 def test_scan_of_odd_rows(spark, docs):
     got = docs.select("doc_id", secret_scan.scan_column(F.col("text")).alias("s")).collect()
     want = [[("hex", 0, 700)] if t == "a" * 700 else [] for t in TEXTS]

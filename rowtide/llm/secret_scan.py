@@ -1,12 +1,13 @@
 """Secrets in texts: fixed patterns, and windows of high Shannon entropy in candidate strings.
 
 A window slides over each candidate; its entropy follows from counts that change by one
-character in and one out. The limit depends on the candidate's class of characters.
+character in and one out. The limit depends on the window's class of characters.
 Windows at or above the limit are merged to spans. What the allow-list knows is passed over.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -32,16 +33,13 @@ HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-# Bits per character a window needs, by the smallest class that holds the candidate. Twenty
-# random characters come to about 3.4 bits for 16 symbols and 4.1 for 64.
-LIMITS = (
-    (re.compile(r"[0-9]+"), math.inf),
-    (re.compile(r"[0-9a-f]+|[0-9A-F]+"), 3.0),
-    (re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+"), math.inf),
-    (re.compile(r"[a-z0-9]+|[A-Z0-9]+"), 3.6),
-    (re.compile(r"[A-Za-z]+"), 4.1),
-    (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
-)
+# Bits per character a window needs, by the smallest class that holds it. Twenty random
+# characters come to about 3.4 bits for 16 symbols and 4.1 for 64. Digits alone and words
+# of a single case are never secret.
+HEX_LIMIT, LOWER_LIMIT, LETTERS_LIMIT, MIXED_LIMIT = 3.0, 3.6, 4.1, 3.8
+# Groups of characters: digits, a-f, g-z, A-F, G-Z, others.
+GROUP = {c: i for i, group in enumerate(("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/_=-")) for c in group}
+WORD_OR_NUMBER = re.compile(r"[0-9]+|[G-Z]+|[g-z]+")  # told apart at once
 # What looks random in a candidate and is not secret: segments with a placeholder or a
 # keyboard or alphabet run, UUIDs, dates with or without a time. It is cut out, and the
 # rest of the candidate is looked at. The words come first to skip candidates quickly.
@@ -66,27 +64,45 @@ ALLOW = tuple(
 _TERM = [0.0, *(n * math.log2(n) for n in range(1, WINDOW + 1))]
 
 
-def limit_of(candidate: str) -> float:
-    return next(limit for form, limit in LIMITS if form.fullmatch(candidate))
-
-
-def entropy_windows(candidate: str, limit: float, size: int = WINDOW) -> list[tuple[int, int]]:
-    """Merged [start, end) of the windows whose entropy is at least `limit` bits."""
+def limit_of(groups: list[int], first: str) -> float:
+    """The limit of a window with so many characters of each group that begins with `first`."""
+    digits, low_hex, low, up_hex, up, others = groups
+    lower, upper = low_hex + low, up_hex + up
+    if others or (digits and lower and upper):
+        return MIXED_LIMIT
+    if not (lower or upper):
+        return math.inf
+    if not (low or upper) or not (up or lower):
+        return HEX_LIMIT
+    if digits:
+        return LOWER_LIMIT
+    if lower and upper and not (upper == 1 and "A" <= first <= "Z"):
+        return LETTERS_LIMIT
+    return math.inf
+
+
+def entropy_windows(candidate: str, limit: float | None = None, size: int = WINDOW) -> list[tuple[int, int]]:
+    """Merged [start, end) of the windows whose entropy is at least `limit` bits, or that of their class."""
     if len(candidate) < size:
         return []
     counts: dict[str, int] = {}
+    groups = [0] * 6
     total, spans = 0.0, []  # total: sum of c * log2(c)
     for i, c in enumerate(candidate):
         if i >= size:
             old = candidate[i - size]
             n = counts[old]
             counts[old] = n - 1
+            groups[GROUP[old]] -= 1
             total += _TERM[n - 1] - _TERM[n]
         n = counts.get(c, 0)
         counts[c] = n + 1
+        groups[GROUP[c]] += 1
         total += _TERM[n + 1] - _TERM[n]
-        if i >= size - 1 and math.log2(size) - total / size >= limit:
-            start = i - size + 1
+        bits = math.log2(size) - total / size
+        start = i - size + 1
+        least = HEX_LIMIT if limit is None else limit  # no class has a lower one
+        if start >= 0 and bits >= least and (limit is not None or bits >= limit_of(groups, candidate[start])):
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], i + 1)
             else:
@@ -105,35 +121,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def pieces(candidate: str) -> list[tuple[int, int]]:
-    """[start, end) of what is left of a candidate without the plain parts, if long enough."""
-    plain = sorted(m.span() for form in (PLAIN_WORDS, PLAIN_FORMS) for m in form.finditer(candidate))
-    left, at = [], 0
-    for start, end in [*plain, (len(candidate), len(candidate))]:
-        if start - at >= WINDOW:
-            left.append((at, start))
-        at = max(at, end)
+def without(begin: int, end: int, cut: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of [begin, end) without the spans `cut`, where long enough for a window."""
+    left, at = [], begin
+    for low, high in [*sorted(cut), (end, end)]:
+        if low - at >= WINDOW:
+            left.append((at, low))
+        at = max(at, high)
+    return left
+
+
+def pieces(candidate: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """[start, end) of what is left of a candidate without those taken, and of that without the plain parts."""
+    left = []
+    for low, high in without(0, len(candidate), taken):
+        plain = [m.span() for form in (PLAIN_WORDS, PLAIN_FORMS) for m in form.finditer(candidate, low, high)]
+        left += without(low, high, plain)
     return left
 
 
 def spans(text: str | None) -> list[tuple[int, int, int]]:
-    """All spans by start, then kind. Those of entropy keep clear of the fixed ones."""
+    """All spans by start, then kind. The fixed ones are cut out before entropy is looked at."""
     if not text:
         return []
     found = base_spans(text)
-    taken = sorted((s, e) for s, _, e in found)
+    fixed = sorted((s, e) for s, _, e in found)
+    last = 0  # the first fixed span that may reach into this candidate or a later one
     for m in CANDIDATE.finditer(text):
-        for low, high in pieces(m[0]):
+        while last < len(fixed) and fixed[last][1] <= m.start():
+            last += 1
+        taken = []
+        for s, e in itertools.islice(fixed, last, None):
+            if s >= m.end():
+                break
+            taken.append((s - m.start(), e - m.start()))
+        for low, high in pieces(m[0], taken):
             piece, at = m[0][low:high], m.start() + low
-            limit = limit_of(piece)
-            if limit == math.inf:
+            if WORD_OR_NUMBER.fullmatch(piece):
                 continue
-            for start, end in entropy_windows(piece, limit):
-                if any(a.fullmatch(piece, start, end) for a in ALLOW):
-                    continue
-                start, end = start + at, end + at
-                if not any(s < end and start < e for s, e in taken):
-                    found.append((start, 3, end))
+            for start, end in entropy_windows(piece):
+                if not any(a.fullmatch(piece, start, end) for a in ALLOW):
+                    found.append((start + at, 3, end + at))
     return sorted(found)
 
 

@@ -101,7 +101,7 @@ def _limit(scored: DataFrame) -> float:
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy()
-    share = [F.sum(c).over(below) / F.sum(c).over(everything) for c in "ba"]
+    share = [F.try_divide(F.sum(c).over(below), F.sum(c).over(everything)) for c in "ba"]
     best = bins.select("bin", (share[0] - share[1]).alias("gain")).orderBy(F.desc("gain"), "bin").first()
     return 0.0 if best is None or best["gain"] is None else (best["bin"] + 1) * BIN
 

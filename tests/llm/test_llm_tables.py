@@ -225,6 +225,16 @@ def test_pages_without_a_model(spark):
     assert url_filter.judge(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("word, url", [("allow", "http://a.com/{}"), ("block", "http://a.net/es/{}")])
+def test_pages_ruled_one_way_only(spark, word, url):
+    urls = [url.format(i) for i in range(40)]
+    assert {rule_of(*host_path(u))[1] for u in urls} == {word}
+    assert any(zlib.crc32(u.encode()) % url_filter.FOLDS == 0 for u in urls)
+    frame = spark.createDataFrame([*enumerate(urls), (40, "http://b.org/x")], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.score, r.limit) for r in url_filter.judge(frame).collect()}
+    assert got == {**{i: (word, None, 0.0) for i in range(40)}, 40: ("allow", None, 0.0)}
+
+
 # --- sharding
 
 

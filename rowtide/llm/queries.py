@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import decontam, exact_dedup, langid, lm, pieces, secret_scan, sharding, simhash, token_counts, url_filter
+from rowtide.llm import (
+    decontam,
+    exact_dedup,
+    hard_negatives,
+    langid,
+    lm,
+    pieces,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+    url_filter,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +109,22 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fixed.alias("fingerprint"), "component_id")
 
 
+def _whole_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings whose vectors have every component, as whole numbers of 1/256."""
+    rows = _table(spark, sf_dir, "embeddings").where(hard_negatives.is_finite(F.col("embedding")))
+    return rows.select("vec_id", "label", hard_negatives.quantised(F.col("embedding")).alias("vector"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = _whole_vectors(spark, sf_dir).withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_whole_vectors(spark, sf_dir).select("vec_id", "vector"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -107,6 +136,8 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -147,4 +178,27 @@ ORACLES = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([1 FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = len(embedding)
+        ), scores AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+                   CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+            FROM rows a JOIN rows r ON a.vec_id <> r.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INT) AS rank,
+               s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+        QUALIFY rank <= 3
+    """,
 }

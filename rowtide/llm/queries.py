@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import (
@@ -12,6 +12,7 @@ from rowtide.llm import (
     langid,
     lm,
     pieces,
+    pii,
     secret_scan,
     sharding,
     simhash,
@@ -25,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _written(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -36,15 +42,13 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str):
         return F.size(F.filter("s", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    def written(spans):
-        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-
     base = F.filter("s", lambda x: x["kind"].isin(*secret_scan.BASE_KINDS))
     return found.select(
         "doc_id",
-        *[number(k) for k in secret_scan.KINDS],
-        F.sha2(written(base), 256).alias("base_sha256"),
-        written(F.col("s")).alias("spans"),
+        *[number(k) for k in secret_scan.BASE_KINDS],
+        F.sha2(_written(base), 256).alias("base_sha256"),
+        _written(F.col("s")).alias("spans"),
+        number("entropy"),
     )
 
 
@@ -109,6 +113,19 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fixed.alias("fingerprint"), "component_id")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] != pii.KINDS[pii.CONTEXT])
+    number = {k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS}
+    return found.select(
+        "doc_id",
+        *[number[k] for k in pii.BASE_KINDS],
+        F.sha2(_written(base), 256).alias("base_sha256"),
+        _written(F.col("spans")).alias("spans"),
+        number["context"],
+    )
+
+
 def _whole_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings whose vectors have every component, as whole numbers of 1/256."""
     rows = _table(spark, sf_dir, "embeddings").where(hard_negatives.is_finite(F.col("embedding")))
@@ -136,6 +153,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_personal_data": op11_personal_data,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
 }

@@ -34,6 +34,7 @@ PAIRS = 1 << 19
 # Gathered pairs scored at a time.
 GATHER = 1 << 16
 EXACT_IN_DOUBLE = 2.0**53
+LONG = np.iinfo(np.int64)
 
 _VECTOR = "vec_id long, label long, x array<long>, is_anchor boolean, mean array<double>, dev array<double>"
 
@@ -200,17 +201,22 @@ def _positives(anchors: dict, rows: dict, k: int) -> Iterator[pa.RecordBatch]:
         for block in _blocks(own, same, PAIRS):
             n = len(block["id"])
             others = block["id"][:, None] != same["id"][None, :]
-            anything = np.full((n, 1), np.inf)
-            who, _, ids, score = best_in_band(block, same, others, -anything, anything, k)
+            low, high = np.full((n, 1), LONG.min), np.full((n, 1), LONG.max)
+            who, _, ids, score = best_in_band(block, same, others, low, high, k)
             yield pa.RecordBatch.from_arrays([pa.array(block["id"][who]), pa.array(ids), pa.array(score)], names=["anchor_id", "positive_id", "positive_score"])
 
 
+def _percent(score: np.ndarray, percent: int) -> np.ndarray:
+    """So much of each score, rounded down; products stay within longs."""
+    return score // 100 * percent + score % 100 * percent // 100
+
+
 def _negatives(anchors: dict, rows: dict, k: int, band: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     for block in _blocks(anchors, rows, PAIRS):
         score = block["scores"]
         none = block["positives"] < 0
-        low = np.where(none, np.inf, -((-band[0] * score) // 100))
-        high = np.where(none, -np.inf, (band[1] * score) // 100)
+        low = np.where(none, LONG.max, -_percent(-score, band[0]))
+        high = np.where(none, LONG.min, _percent(score, band[1]))
         others = block["label"][:, None] != rows["label"][None, :]
         who, b, ids, found = best_in_band(block, rows, others, low, high, k)
         columns = [block["id"][who], block["positive_ids"][who, b], score[who, b], ids, found]
@@ -272,7 +278,7 @@ def _searched(rows: DataFrame, anchors: DataFrame, shards: int, search, schema:
     sent = anchors.select(dims, everywhere, F.lit(1).cast("byte").alias("kind"), "*")
     if with_goals:
         held = held.withColumn("positives", F.array().cast(goals))
-    both = held.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("dims", "shard", "kind")
+    both = held.unionByName(sent).repartitionById(shards, "shard").sortWithinPartitions("dims", "shard", "kind")
     return both.mapInArrow(_on_shards(search, with_goals), schema)
 
 

@@ -6,7 +6,7 @@ look like an identifier of a kind without fitting its fixed pattern are candidat
 stand in patterns too. Spark counts how often the words of each pattern occur in the whole
 corpus and scores the graph of patterns and instances in rounds: a pattern is as good as
 the share of its occurrences that are followed by trusted instances, a candidate as good as
-the patterns it stands in. Good patterns make their candidates trusted, these count for
+the best pattern it stands in. Good patterns make their candidates trusted, these count for
 further patterns, and so on. Trusted candidates are returned as spans of kind `context`.
 """
 
@@ -32,7 +32,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # Groups of digits that stand close together hold all addresses and cards.
 NUMBERS = re.compile(r"[0-9]++(?:[\x20()./-]{1,2}[0-9]++)*+")
-DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD_RUN = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
 PHONE_RUN = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -325,27 +325,27 @@ def _occurrences(docs: DataFrame, text: Column, patterns: DataFrame) -> DataFram
 
 
 def trusted_instances(docs: DataFrame, text: Column, mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, instance) of the candidates that good patterns hold.
+    """(kind, instance) of the candidates that are seeds elsewhere or stand in good patterns.
 
     `mentions` has kind, seed, instance and patterns. An edge joins a pattern of a kind and an
     instance in it and has their number of mentions. In each round a pattern's share is the
     weight of its mentions over its occurrences in all texts and one more; it is good with a
-    share of 0.5 and three distinct instances by weight. An instance's weight is the mean
-    over its mentions of the share of the best good pattern at each. Seeds always weigh 1.
-    The rounds end early when no weight changes.
+    share of 0.5 and three distinct instances by weight. A candidate weighs the share of its
+    best good pattern, a seed always 1. The rounds end early when no weight changes.
     """
-    sites = stored(mentions.groupBy("kind", "seed", "instance", "patterns").agg(F.count("*").alias("n")))
-    every = sites.select("kind", "seed", "instance", "n", "patterns", F.explode("patterns").alias("pattern"))
-    edges = every.groupBy("kind", "pattern", "instance").agg(F.sum("n").alias("n"), F.bool_or("seed").alias("seed"))
-    edges = stored(edges)
+    instances = mentions.groupBy("kind", "instance").agg(
+        F.bool_or("seed").alias("seed"), F.bool_or(~F.col("seed")).alias("open")
+    )
+    instances = stored(instances)
+    edges = mentions.select("kind", "instance", F.explode("patterns").alias("pattern"))
+    edges = stored(edges.groupBy("kind", "pattern", "instance").agg(F.count("*").alias("n")))
     # Patterns with too few instances can never be good: their occurrences need no count.
     able = edges.groupBy("kind", "pattern").agg(F.count("*").alias("instances"))
     able = stored(able.where(F.col("instances") >= LEAST_INSTANCES).select("kind", "pattern"))
-    total = stored(_occurrences(docs, text, stored(able.select("pattern").distinct())))
-    edges = stored(edges.join(able.join(total, "pattern"), ["kind", "pattern"]))
-    open_sites = stored(every.where("NOT seed").join(able, ["kind", "pattern"]))
-    whole = stored(sites.where("NOT seed").groupBy("kind", "instance").agg(F.sum("n").alias("all")))
-    weight = whole.select("kind", "instance", F.lit(0.0).alias("weight"))
+    total = _occurrences(docs, text, stored(able.select("pattern").distinct()))
+    edges = edges.join(able.join(total, "pattern"), ["kind", "pattern"])
+    edges = stored(edges.join(instances.select("kind", "instance", "seed"), ["kind", "instance"]))
+    weight = edges.select("kind", "instance").limit(0).withColumn("weight", F.lit(0.0))
     for _ in range(rounds):
         found = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("weight", F.lit(0.0)))
         known = edges.join(weight, ["kind", "instance"], "left").withColumn("r", found)
@@ -353,21 +353,18 @@ def trusted_instances(docs: DataFrame, text: Column, mentions: DataFrame, rounds
             (F.sum(F.col("r") * F.col("n")) / (F.max("occurrences") + 1)).alias("share"), F.sum("r").alias("support")
         )
         good = scored.where((F.col("share") >= LEAST_SHARE) & (F.col("support") >= LEAST_INSTANCES))
-        best = open_sites.join(good, ["kind", "pattern"]).groupBy("kind", "instance", "patterns")
-        best = best.agg(F.max("n").alias("n"), F.max("share").alias("share"))
-        held = best.groupBy("kind", "instance").agg(F.sum(F.col("n") * F.col("share")).alias("sum"))
+        held = edges.where("NOT seed").join(good, ["kind", "pattern"])
         before = weight
-        weight = held.join(whole, ["kind", "instance"])
-        weight = stored(weight.select("kind", "instance", (F.col("sum") / F.col("all")).alias("weight")))
+        weight = stored(held.groupBy("kind", "instance").agg(F.max("share").alias("weight")))
         if _mark(before) == _mark(weight):
             break
-    return weight.where(F.col("weight") >= LEAST_SHARE).select("kind", "instance")
+    known = instances.where("open AND seed").select("kind", "instance")
+    return known.unionByName(weight.select("kind", "instance")).distinct()
 
 
 def _mark(weights: DataFrame) -> tuple:
-    """Count and order-free digest of the weights that are not zero."""
     digest = F.sum(F.xxhash64("kind", "instance", F.round("weight", 9)).cast("decimal(38,0)"))
-    return tuple(weights.where("weight > 0").agg(F.count("*"), digest).first())
+    return tuple(weights.agg(F.count("*"), digest).first())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:

@@ -74,7 +74,7 @@ class Slices:
         radius = np.abs(matrix).sum(axis=1) - np.abs(np.diag(matrix))
         low, high = (np.diag(matrix) - radius).min(), (np.diag(matrix) + radius).max()
         self.scale = max(abs(low), abs(high))
-        self.least = 4 * len(matrix) * EPS * self.scale
+        self.least = max(4 * len(matrix) * EPS * self.scale, 1e-140)
         self.known = {low - self.least: len(matrix), high + self.least: 0}
 
     def above(self, shift: float) -> int:
@@ -140,6 +140,7 @@ def leading(matrix: np.ndarray, count: int) -> list[tuple[float, np.ndarray]]:
     for number in range(1, min(count, len(matrix)) + 1):
         found = [v for _, v in out]
         low, high = slices.around(number)
+        unlucky = 0
         while True:
             alone = slices.above(low) == number and slices.above(high) == number - 1
             narrow = high - low <= 4 * slices.least
@@ -149,8 +150,11 @@ def leading(matrix: np.ndarray, count: int) -> list[tuple[float, np.ndarray]]:
                 certified = slices.above(value - margin) >= number > slices.above(value + margin)
                 if certified or (narrow and low - margin <= value <= high + margin):
                     break
-                if narrow:  # the start was unlucky
+                if narrow and unlucky < 8:  # another start, at random
+                    unlucky += 1
                     continue
+                if narrow:
+                    break
             low, high = slices.halve(number)
         out.append((value, v if v[np.argmax(np.abs(v))] > 0 else -v))
     return out
@@ -175,7 +179,8 @@ def _exact_products(y: np.ndarray) -> np.ndarray:
     if reach < _EXACT_IN_DOUBLE:
         values = y.astype(np.float64)
         return (values.T @ values).astype(np.int64).astype(object)
-    return (y if reach < 2.0**62 else y.astype(object)).T @ (y if reach < 2.0**62 else y.astype(object)).astype(object)
+    whole = y if reach < 2.0**62 else y.astype(object)
+    return (whole.T @ whole).astype(object)
 
 
 _NUMBER = pa.decimal128(38, 0)

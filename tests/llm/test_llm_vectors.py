@@ -1,0 +1,223 @@
+"""Hard negatives and whitening, against plain loops and numpy's own eigenvectors."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from rowtide.llm import hard_negatives, whitening
+from rowtide.llm import queries as llm
+
+# --- hard negatives
+
+
+def brute_negatives(rows, is_anchor, positives=5, negatives=3, band=(50, 95)):
+    """rows: (id, label, vector of integers), ids unique."""
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for i, label, x in rows:
+        if not is_anchor(i):
+            continue
+        scored = [(-dot(x, y), j, other) for j, other, y in rows if j != i and len(y) == len(x)]
+        scored.sort()
+        best = [(j, -s) for s, j, other in scored if other == label][:positives]
+        for p, ps in best:
+            fit = [(j, -s) for s, j, other in scored if other != label and band[0] * ps <= -100 * s <= band[1] * ps]
+            out += [(i, p, n + 1, j, ps, s) for n, (j, s) in enumerate(fit[:negatives])]
+    return sorted(out)
+
+
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+SCHEMA = "vec_id long, label int, vector array<long>"
+
+
+def mined(spark, rows, condition="vec_id % 3 = 0", **options):
+    df = spark.createDataFrame(rows, SCHEMA) if isinstance(rows, list) else rows
+    found = hard_negatives.mine(df, F.expr(condition), **options)
+    return sorted(tuple(r[c] for c in COLUMNS) for r in found.collect())
+
+
+def vectors(n, dims, labels=4, spread=100, seed=1):
+    rng = random.Random(seed)
+    return [(i, rng.randrange(labels), [rng.randint(-spread, spread) for _ in range(dims)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("dims,spread", [(1, 9), (3, 2), (16, 40), (64, 100), (70, 3)])
+def test_equals_plain_loops(spark, dims, spread):
+    rows = vectors(90, dims, spread=spread, seed=dims)
+    assert mined(spark, rows) == brute_negatives(rows, lambda i: i % 3 == 0)
+
+
+def test_ties_copies_and_a_hot_label(spark):
+    rng = random.Random(5)
+    same = [rng.randint(1, 9) for _ in range(8)]
+    rows = [(i, 0 if i % 3 else 1, same if i % 2 else [x - (i % 5) for x in same]) for i in range(120)]
+    assert mined(spark, rows) == brute_negatives(rows, lambda i: i % 3 == 0)
+
+
+def test_steps_of_few_pairs_change_nothing(spark, monkeypatch):
+    rows = vectors(60, 20, seed=9)
+    a = dict(id=np.array([r[0] for r in rows]), label=np.array([r[1] for r in rows]), x=np.array([r[2] for r in rows]))
+    a["mean"], a["dev"] = hard_negatives.summary(a["x"])
+    wide = [b.to_pylist() for b in hard_negatives._positives(a, a, 5)]
+    monkeypatch.setattr(hard_negatives, "PAIRS", 7)
+    narrow = [b.to_pylist() for b in hard_negatives._positives(a, a, 5)]
+    assert sum(wide, []) == sum(narrow, [])
+
+
+def test_bounds_hold_at_every_level_and_tighten():
+    x = np.array([r[2] for r in vectors(40, 37, spread=500, seed=3)])
+    y = np.array([r[2] for r in vectors(50, 37, spread=500, seed=4)])
+    exact, last = x @ y.T, np.inf
+    for lower, upper in hard_negatives.bounds(hard_negatives.summary(x), hard_negatives.summary(y), 37):
+        assert (lower <= exact).all() and (exact <= upper).all()
+        assert (upper - lower).mean() < last
+        last = (upper - lower).mean()
+
+
+def test_large_entries_are_scored_in_whole_numbers(spark):
+    rng = random.Random(2)
+    rows = [(i, i % 2, [rng.randint(-(2**29), 2**29) for _ in range(6)]) for i in range(30)]
+    assert mined(spark, rows) == brute_negatives(rows, lambda i: i % 3 == 0)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (0, 1, [5, 5]), (3, 1, [5, 4]), (1, 2, [4, 4]), (2, 2, [3, 4]), (None, 1, [9, 9]), (4, None, [4, 4]), (5, 2, None),
+        (1, 2, [4, 4]), (2, 3, [9, 9]), (6, 1, [1, 1, 1]), (7, 2, [1, 1, 0]), (9, 1, []), (10, 2, []), (12, 1, []),
+    ]
+    counted = [r for r in rows if None not in r]
+    single = sorted({i: min(r for r in counted if r[0] == i) for i, *_ in counted}.values())
+    assert mined(spark, rows) == brute_negatives(single, lambda i: i % 3 == 0)
+    assert mined(spark, spark.createDataFrame([], SCHEMA)) == []
+    clash = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA + ", dims int, positives string")
+    assert mined(spark, clash) == mined(spark, rows)
+
+
+def test_hard_negative_query_drops_what_is_not_finite(spark):
+    kept = llm._whole_vectors(spark, SMALL)
+    assert kept.count() == 500
+    odd = spark.createDataFrame(
+        [(1, [1.0, None]), (2, [float("nan")]), (3, [float("inf")]), (4, None), (5, [0.5, -0.001])], "i int, v array<float>"
+    )
+    left = odd.where(hard_negatives.is_finite(F.col("v"))).select("i", hard_negatives.quantised(F.col("v")).alias("q")).collect()
+    assert [(r.i, r.q) for r in left] == [(5, [128, -1])]
+
+
+# --- whitening
+
+
+def spectrum_matrix(values, seed=0):
+    q, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))
+    m = q @ np.diag(values) @ q.T
+    return (m + m.T) / 2
+
+
+@pytest.mark.parametrize("values", [[5, 3, 1, 0.5, -2, -7], [1, 1, 1, 0, 0], [4], [0, 0], [1e12, 1, 1e-9, -1], [2, 2 - 1e-9, 1, 1]])
+def test_inertia_counts_signs(values):
+    matrix = spectrum_matrix(values)
+    own = np.linalg.eigvalsh(matrix)
+    for shift in [v + d for v in values for d in (-0.3, 0.21)] + [0.05, -10.0, 2e12]:
+        assert whitening.inertia(matrix, shift) == ((own > shift).sum(), 0, (own < shift).sum())
+    assert whitening.inertia(np.diag([3.0, 2.0, 2.0, 1.0]), 2.0) == (1, 2, 1)
+    assert whitening.inertia(np.array([[0.0, 1.0], [1.0, 0.0]]), 0.0) == (1, 0, 1)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [9, 4, 2, 1, 0.5, 0.1],
+        [1 + 1e-7, 1, 1 - 1e-7, 0.3],
+        [1e9, 1, 1e-3, 1e-6, 0],
+        list(np.linspace(1, 1.01, 40)),
+    ],
+)
+def test_leading_equals_a_full_decomposition(values):
+    matrix = spectrum_matrix(values, seed=len(values))
+    own, vectors = np.linalg.eigh(matrix)
+    got = whitening.leading(matrix, 4)
+    for n, (value, v) in enumerate(got):
+        assert value == pytest.approx(own[-1 - n], abs=1e-13 * abs(own).max())
+        gap = np.abs(np.delete(own, len(own) - 1 - n) - own[-1 - n]).min()
+        assert min(np.linalg.norm(v - s * vectors[:, -1 - n]) for s in (1, -1)) < 1e-13 * abs(own).max() / gap
+        assert v[np.argmax(np.abs(v))] > 0
+
+
+def test_equal_eigenvalues_have_orthonormal_vectors_of_their_space():
+    for values in ([3, 3, 3, 1, 1], [0, 0, 0], [5, 2, 2, 2, 2, 1]):
+        matrix = spectrum_matrix(values, seed=7)
+        got = whitening.leading(matrix, 4)
+        v = np.stack([v for _, v in got], axis=1)
+        assert [e for e, _ in got] == pytest.approx(sorted(values, reverse=True)[: len(got)], abs=1e-12)
+        assert np.abs(v.T @ v - np.eye(v.shape[1])).max() < 1e-9
+        assert np.abs(matrix @ v - v * [e for e, _ in got]).max() < 1e-9
+
+
+def check_whitened(rows, got, components=4):
+    """rows: (id, vector) with finite vectors of one length."""
+    fit = np.array(sorted({tuple(x) for _, x in rows}), float)
+    n, total = len(fit), [sum(int(x[d]) for x in {tuple(x) for _, x in rows}) for d in range(fit.shape[1])]
+    v = np.cov(fit.T, bias=True).reshape(fit.shape[1], -1)
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1], u[:, ::-1]
+    k = min(components, len(e))
+    by = {}
+    for r in got:
+        by.setdefault(r.vec_id, {}).setdefault(r.component, []).append(r)
+    assert sum(len(x) for c in by.values() for x in c.values()) == k * len(rows)
+    for c in range(k):
+        signs = set()
+        for i, x in rows:
+            r = by[i][c + 1][0]
+            assert r.n == n and r.deviation == sum((n * int(a) - s) ** 2 for a, s in zip(x, total))
+            assert r.explained == pytest.approx(e[c] / e.sum(), rel=1e-9)
+            own = ((np.array(x) - fit.mean(0)) @ u[:, c]) / math.sqrt(e[c])
+            if abs(own) > 1e-6:
+                signs.add(np.sign(own) == np.sign(r.whitened))
+            assert abs(r.whitened) == pytest.approx(abs(own), abs=1e-9)
+            assert r.identity_error < 1e-10
+        assert len(signs) <= 1
+
+
+def whitened(spark, rows, **options):
+    return whitening.whiten(spark.createDataFrame(rows, "vec_id long, vector array<long>"), **options).collect()
+
+
+def test_whitening_equals_numpy(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.randint(-50, 50) * (d + 1) + d for d in range(7)]) for i in range(60)]
+    rows += [(100 + i, rows[3][1]) for i in range(40)]  # copies count once in the fit
+    check_whitened(rows, whitened(spark, rows))
+    check_whitened(rows, whitened(spark, rows, components=2), components=2)
+
+
+def test_far_from_the_origin_nothing_cancels(spark):
+    rng = random.Random(8)
+    rows = [(i, [10**9 + rng.randint(-5, 5) * (d + 1) for d in range(4)]) for i in range(50)]
+    got = whitened(spark, rows)
+    near = [(i, [x - 10**9 for x in v]) for i, v in rows]
+    check_whitened(near, got)
+
+
+def test_whitening_of_odd_rows(spark):
+    assert whitened(spark, []) == []
+    flat = whitened(spark, [(1, [3, 4]), (2, [3, 4])])
+    assert {(r.vec_id, r.component, r.n, r.deviation, r.whitened, r.identity_error) for r in flat} == {
+        (i, c, 1, 0, None, None) for i in (1, 2) for c in (1, 2)
+    }
+    line = whitened(spark, [(1, [0, 0]), (2, [2, 2]), (None, [2, 2]), (4, None), (5, []), (6, [1])])
+    assert sorted((str(r.vec_id), r.component, r.deviation) for r in line) == [
+        (i, c, 8) for i in ("1", "2", "None") for c in (1, 2)
+    ]
+    assert [abs(r.whitened) for r in line if r.component == 1] == pytest.approx([1.0] * 3)
+    assert {r.whitened for r in line if r.component == 2} == {None}
+    huge = whitened(spark, [(1, [2**40]), (2, [-(2**40)]), (3, [5])])
+    assert [r.deviation is None for r in sorted(huge, key=lambda r: r.vec_id)] == [True, True, False]
+
+
+def test_whitening_query(spark):
+    rows = [(r.vec_id, r.vector) for r in llm._whole_vectors(spark, SMALL).collect()]
+    check_whitened(rows, llm.op13_whitening(spark, SMALL).collect())

@@ -1,9 +1,11 @@
 """Benchmark passages in documents, found through a positional inverted index.
 
-Only DataFrame operations. The corpus is read once to count the benchmark's words, once to
-store postings (document, position, neighbouring words) of the rarest terms of each window.
-Lists are intersected on the window's start, which is a posting's position less the term's
-offset in the window; the words kept with a posting then tell exact matches from near ones.
+Only DataFrame operations. The documents are read once: a posting (term, document, position)
+is stored for every token that is a word of the benchmark, and one row for each document's
+length. A posting's position less the term's offset in a window is a start of that window.
+The lists of a window's rarest terms are intersected on the start first; what they have in
+common is held against the lists of all its other terms. A window occurs exactly where all
+lists say so, and nearly where its rarest terms stand a few words from their places.
 """
 
 from __future__ import annotations
@@ -12,18 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import ascii_lower, broadcast_if, stored
+from rowtide.session import written
 
-# Runs of 0-9, a-z and everything beyond ASCII; of raw text also A-Z.
+# Runs of 0-9, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
-# Terms of a window whose lists are intersected, rarest first.
+# Terms of a window whose lists are intersected first, the rarest.
 RARE_TERMS = 2
 # How far a window's rare terms may have moved for a proximity match.
 SLOP = 5
 # Benchmark words and window terms up to this number are broadcast, more join by shuffle.
 BROADCAST_TERMS = 200_000
-BROADCAST_DROPPED = 500_000
+# Documents (16 bytes each) with candidates or matches up to this number are broadcast.
+BROADCAST_DOCUMENTS = 1_000_000
+
+
+END = -1  # the term of the row that has a document's length
 
 
 def words(text: Column) -> Column:
@@ -45,133 +51,154 @@ def _key(id_col: str, text: Column) -> list[Column]:
     return [F.col(id_col).alias("id"), F.xxhash64(text).alias("mark")]
 
 
-def _anchors(windows: DataFrame, docs: DataFrame, text: Column, rare: int) -> DataFrame:
-    """(term, window, off, rank): the rarest terms of each distinct window.
+def _index(docs: DataFrame, id_col: str, text: Column, terms: DataFrame) -> DataFrame:
+    """Stored postings (id, mark, pos, t) of the terms; t = END at a document's length.
 
-    Windows with a word that the corpus lacks cannot occur and leave here. Frequencies
-    are counted over all documents, map-side first.
+    Words travel one by one and without their text, so no task holds more of a long text
+    than its split words, and a term that is everywhere can be split in the join.
     """
-    distinct = windows.select("window").distinct()
-    terms = stored(distinct.select("window", F.posexplode("window").alias("off", "term")))
-    vocabulary = broadcast_if(stored(terms.select("term").distinct()), BROADCAST_TERMS)
-    # Outer: a plain explode would make the optimizer tokenise twice, for a filter on size.
-    tokens = docs.select(F.explode_outer(words(text)).alias("term"))
-    counts = broadcast_if(stored(tokens.join(vocabulary, "term").groupBy("term").count()), BROADCAST_TERMS)
-    by_window = Window.partitionBy("window")
-    ranked = (
-        terms.join(counts, "term", "left")
-        .withColumn("fewest", F.min(F.coalesce("count", F.lit(0))).over(by_window))
-        .where("fewest > 0")
-        .withColumn("rank", F.row_number().over(by_window.orderBy("count", "off")))
-    )
-    return ranked.where(F.col("rank") <= rare).select("term", "window", "off", "rank")
-
-
-def matches(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    size: int = WINDOW_WORDS,
-    rare: int = RARE_TERMS,
-    slop: int = SLOP,
-) -> DataFrame:
+    end = docs.sparkSession.createDataFrame([("", END)], "term string, t long")
+    known = broadcast_if(stored(terms.unionByName(end)), BROADCAST_TERMS)
+    # Words are never empty; the empty one at the end carries the length. Outer: a plain
+    # explode would make the optimizer split the text twice, for a filter on size.
+    split = F.concat(F.coalesce(words(text), F.array().cast("array<string>")), F.array(F.lit("")))
+    tokens = docs.select(*_key(id_col, text), F.posexplode_outer(split).alias("pos", "term"))
+    return written(tokens.join(known, "term").select("id", "mark", "pos", "t"), "postings")
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    """One document; b's key columns are called b_id and b_mark."""
+    return (a["mark"] == b["b_mark"]) & a["id"].eqNullSafe(b["b_id"])
+
+
+def _other(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({"id": "b_id", "mark": "b_mark"})
+
+
+class _Search:
+    """Windows of a benchmark, the index of the documents, and what the lists have in common."""
+
+    def __init__(self, docs, benchmark, id_col, text_col, item_col, item_text_col, size, rare, slop):
+        self.slop = slop
+        text = F.col(text_col).cast("string")
+        listed = stored(_windows(benchmark, item_col, item_text_col, size))
+        # Numbers given to stored rows stay the same.
+        numbered = stored(listed.select("window").distinct()).withColumn("w", F.monotonically_increasing_id())
+        self.windows = stored(listed.join(numbered, "window").select("item", "start", "w", F.size("window").alias("length")))
+        places = numbered.select("w", F.size("window").alias("length"), F.posexplode("window").alias("off", "term"))
+        places = stored(places)
+        terms = stored(places.select("term").distinct()).withColumn("t", F.monotonically_increasing_id())
+        self.postings = _index(docs, id_col, text, terms)
+        counts = self.postings.where(F.col("t") != END).groupBy("t").count()
+        by_window = Window.partitionBy("w")
+        ranked = (
+            places.join(terms, "term")
+            .join(broadcast_if(stored(counts), BROADCAST_TERMS), "t", "left")
+            # A window with a word that no document has cannot occur.
+            .withColumn("fewest", F.min(F.coalesce("count", F.lit(0))).over(by_window))
+            .where("fewest > 0")
+            .withColumn("rank", F.row_number().over(by_window.orderBy("count", "off")))
+        )
+        self.places = stored(ranked.select("w", "length", "off", "t", "rank"))
+        self.lists = F.least(F.col("length"), F.lit(rare))
+        self.rarest = stored(self.places.where(F.col("rank") <= rare))
+
+    def starts(self) -> DataFrame:
+        """The starts that the lists of the rarest terms offer."""
+        rarest = broadcast_if(self.rarest, BROADCAST_TERMS)
+        offered = self.postings.join(rarest, "t")
+        return offered.select("id", "mark", "w", (F.col("pos") - F.col("off")).alias("at"), "rank", "length")
+
+    def exact(self) -> DataFrame:
+        """(id, mark, w, at): the starts that the lists of all terms have in common."""
+        by = ["id", "mark", "w", "at"]
+        met = self.starts().where("at >= 0").groupBy(*by).agg(F.count_distinct("rank").alias("n"), F.first("length").alias("length"))
+        met = stored(met.where(F.col("n") == self.lists).select(*by))
+        there = broadcast_if(_other(stored(met.select("id", "mark").distinct())), BROADCAST_DOCUMENTS)
+        lists = self.postings.join(there, _same(self.postings, there), "left_semi")
+        asked = met.join(self.places, "w").select(*by, "t", "length", (F.col("at") + F.col("off")).alias("spot"))
+        asked = _other(asked).withColumnRenamed("t", "b_t")
+        on = _same(lists, asked) & (lists["pos"] == asked["spot"]) & (lists["t"] == asked["b_t"])
+        found = lists.join(asked, on).groupBy("id", "mark", "w", "at")
+        found = found.agg(F.count_distinct("spot").alias("n"), F.first("length").alias("length"))
+        return stored(found.where("n = length").select(*by))
+
+    def near(self, exact: DataFrame) -> DataFrame:
+        """(id, mark, w, at): the rarest term's starts from which each of the other rare terms
+        is at most `slop` words off, and which are no exact ones."""
+        by, width = ["id", "mark", "w", "at"], self.slop + 1
+        starts = self.starts().withColumn("cell", F.floor(F.col("at") / width))
+        around = F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)).alias("cell")
+        first = starts.where("rank = 1").select(*by, "length", around)
+        others = _other(starts.where("rank > 1")).select(
+            "b_id", "b_mark", F.col("w").alias("b_w"), F.col("cell").alias("b_cell"), F.col("at").alias("b_at"), "rank"
+        )
+        close = F.abs(F.col("at") - F.col("b_at")) <= self.slop
+        both = _same(first, others) & (first["w"] == others["b_w"]) & (first["cell"] == others["b_cell"])
+        met = first.join(others, both & close).groupBy(*by)
+        met = met.agg(F.count_distinct("rank").alias("n"), F.first("length").alias("length"))
+        met = met.where(F.col("n") == self.lists - 1).select(*by)
+        known = _other(exact).withColumnsRenamed({"w": "b_w", "at": "b_at"})
+        on = _same(met, known) & (met["w"] == known["b_w"]) & (met["at"] == known["b_at"])
+        return met.join(known, on, "left_anti")
+
+    def of_items(self, found: DataFrame) -> DataFrame:
+        return found.join(self.windows, "w").drop("w")
+
+
+def _search(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
+            size=WINDOW_WORDS, rare=RARE_TERMS, slop=SLOP) -> _Search:
+    return _Search(docs, benchmark, id_col, text_col, item_col, item_text_col, size, rare, slop)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Window matches: id, mark (hash of the text), item, start, at, length, kind.
 
-    kind 'exact': the window stands at word `at` of the document. kind 'near': each of its
-    rarest terms (at least two) is within `slop` words of its place, and the window is not
-    there itself. Null texts have no words. `docs` may be empty, repeat rows or have null
-    ids; the benchmark may be empty.
+    kind 'exact': the window's words stand from word `at` of the document on. kind 'near':
+    its rarest term is where it should be for a start at `at`, each of the other rare terms
+    (there is one at least) within `slop` words of its place, and the window is not there
+    itself. Options: item_col, item_text_col, size (words of a window), rare (lists
+    intersected first), slop.
+
+    Null and empty texts have no words; very long texts are read whole. `docs` may be empty,
+    repeat rows or have null ids, which are told apart by the text; the benchmark may be
+    empty. Other columns are not read.
     """
-    text = F.col(text_col).cast("string")
-    windows = stored(_windows(benchmark, item_col, item_text_col, size))
-    anchors = stored(_anchors(windows, docs, text, rare))
-    terms = broadcast_if(anchors.select("term").distinct(), BROADCAST_TERMS)
-    # Words around a posting that reach over every window it can belong to.
-    reach = size - 1 + slop
-    tokens = docs.select(*_key(id_col, text), words(text).alias("w"))
-    tokens = tokens.select("id", "mark", "w", F.posexplode_outer("w").alias("pos", "term"))
-    low = F.greatest(F.col("pos") - reach, F.lit(0))
-    postings = tokens.join(terms, "term").select(
-        "term", "id", "mark", "pos", low.alias("low"),
-        F.slice("w", low + 1, F.col("pos") + reach + 1 - low).alias("around"),
-    )
-    postings = stored(postings)
-    needed = anchors.groupBy("window").agg(
-        F.max("rank").alias("lists"),
-        F.collect_list(F.struct("term", "off")).alias("rarest"),
-    )
-    plan = broadcast_if(stored(anchors.join(needed, "window")), BROADCAST_TERMS)
-    length = F.size("window")
-    at = F.col("pos") - F.col("off")
-    first = at - F.col("low")
-    here = (first >= 0) & (F.slice("around", F.greatest(first, F.lit(0)) + 1, length) == F.col("window"))
-    close = F.forall(
-        "rarest",
-        lambda t: F.array_contains(
-            F.slice(
-                "around",
-                F.greatest(first + t["off"] - slop, F.lit(0)) + 1,
-                F.greatest(F.lit(2 * slop + 1) + F.least(first + t["off"] - slop, F.lit(0)), F.lit(0)),
-            ),
-            t["term"],
-        ),
-    )
-    offered = postings.join(plan, "term").select(
-        "id", "mark", "window", at.alias("at"), "rank", "lists",
-        here.alias("here"), (close & (F.col("lists") > 1)).alias("close"),
-    )
-    # The intersection: a window starts where the lists of all its rarest terms say so.
-    met = (
-        offered.where("here OR close")
-        .groupBy("id", "mark", "window", "at")
-        .agg(
-            (F.count_distinct("rank") == F.first("lists")).alias("all_lists"),
-            F.bool_or("here").alias("here"),
-            F.bool_or("close").alias("close"),
-        )
-    )
-    kind = F.when(F.col("all_lists") & F.col("here"), "exact").when(F.col("close"), "near")
-    met = met.select("id", "mark", "window", "at", kind.alias("kind")).where("kind IS NOT NULL")
-    return met.join(windows, "window").select(
-        F.col("id").alias(id_col), "mark", "item", "start", "at", length.alias("length"), "kind"
-    )
+    search = _search(docs, benchmark, id_col, text_col, **options)
+    exact = search.exact()
+    found = exact.withColumn("kind", F.lit("exact")).unionByName(search.near(exact).withColumn("kind", F.lit("near")))
+    return search.of_items(found).withColumnRenamed("id", id_col)
 
 
-def contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    **options,
-) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: id, n_words, n_hit, items (sorted as strings), n_near, mark.
 
-    n_hit counts the words inside any exact match, n_near the windows matched only by
-    proximity. Documents without words have zeros and an empty list.
+    n_hit counts the words inside any exact match, n_near the windows of items that occur
+    nearly and nowhere exactly. Documents without words have zeros and an empty list. The
+    rest is as for `matches`.
     """
-    text = F.col(text_col).cast("string")
-    found = matches(docs, benchmark, id_col, text_col, **options)
-    exact = found.where("kind = 'exact'")
+    search = _search(docs, benchmark, id_col, text_col, **options)
+    places = search.exact()
+    near = search.of_items(search.near(places)).select("id", "mark", "item", "start").distinct()
+    exact = stored(search.of_items(places))
+    by = ["id", "mark"]
     spot = F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("spot")
-    by = [id_col, "mark"]
     # Windows of several items at one place count once; each task merges its own first.
-    places = exact.select(*by, "at", "length").distinct().select(*by, spot).distinct()
-    hits = places.groupBy(*by).agg(F.count("*").alias("n_hit"))
+    hits = exact.select(*by, "at", "length").distinct().select(*by, spot).distinct()
+    hits = hits.groupBy(*by).agg(F.count("*").alias("n_hit"))
     items = exact.groupBy(*by).agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    near = found.where("kind = 'near'").select(*by, "item", "start").distinct()
-    near = near.groupBy(*by).agg(F.count("*").alias("n_near"))
+    once = exact.select(*by, "item", "start").distinct()
+    known = _other(once).withColumnsRenamed({"item": "b_item", "start": "b_start"})
+    same = _same(near, known) & (near["item"].eqNullSafe(known["b_item"])) & (near["start"] == known["b_start"])
+    near = near.join(known, same, "left_anti").groupBy(*by).agg(F.count("*").alias("n_near"))
     sums = hits
     for more in (items, near):
         sums = _full_join(sums, more, by)
-    rows = docs.select(*_key(id_col, text), F.coalesce(F.regexp_count(text, F.lit(RAW_WORD)), F.lit(0)).alias("n_words"))
-    sums = sums.select(*[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in sums.columns])
-    same = rows.id.eqNullSafe(sums[f"_{id_col}"]) & rows.mark.eqNullSafe(sums["_mark"])
-    return rows.join(sums, same, "left").select(
+    sums = _other(sums)
+    rows = search.postings.where(F.col("t") == END)
+    return rows.join(sums, _same(rows, sums), "left").select(
         F.col("id").alias(id_col),
-        F.col("n_words").cast("long").alias("n_words"),
+        F.col("pos").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -190,10 +217,13 @@ def _full_join(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows of `docs`, all columns kept, in which no window occurs exactly."""
+    """The rows of `docs`, all columns kept, in which no window occurs exactly.
+
+    Odd rows are as for `matches`; those without words stay.
+    """
     text = F.col(text_col).cast("string")
-    found = matches(docs, benchmark, id_col, text_col, **options).where("kind = 'exact'")
-    dropped = stored(found.select(F.col(id_col).alias("_hit_id"), F.col("mark").alias("_hit_mark")).distinct())
-    dropped = broadcast_if(dropped, BROADCAST_DROPPED)
+    found = _search(docs, benchmark, id_col, text_col, **options).exact()
+    dropped = stored(found.select(F.col("id").alias("_hit_id"), F.col("mark").alias("_hit_mark")).distinct())
+    dropped = broadcast_if(dropped, BROADCAST_DOCUMENTS)
     same = docs[id_col].eqNullSafe(dropped["_hit_id"]) & F.xxhash64(text).eqNullSafe(dropped["_hit_mark"])
     return docs.join(dropped, same, "left_anti")

@@ -176,25 +176,47 @@ ORACLES = {
             SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
         ), windows AS (
-            SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + 9) AS win
+            SELECT item_id, i AS s, least(10, len(w)) AS n, list_slice(w, i, i + 9) AS win
             FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
         ), sizes AS (SELECT DISTINCT n FROM windows),
         starts AS (
             SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
             FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
         ), found AS (
-            SELECT s.doc_id, s.i, s.n, x.item_id FROM starts s JOIN windows x ON s.n = x.n AND s.win = x.win
+            SELECT s.doc_id, s.i, s.n, x.item_id, x.s FROM starts s JOIN windows x ON s.n = x.n AND s.win = x.win
         ), hit AS (
             SELECT doc_id, count(DISTINCT p) AS n_hit
             FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
         ), items AS (
             SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
             FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+        ), tokens AS (
+            SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM d
+        ), counts AS (SELECT term, count(*) AS c FROM tokens GROUP BY term),
+        rare AS (
+            SELECT win, term, off, row_number() OVER (PARTITION BY win ORDER BY coalesce(c, 0), off) AS rank,
+                   min(coalesce(c, 0)) OVER (PARTITION BY win) AS fewest
+            FROM (SELECT win, unnest(win) AS term, unnest(range(len(win))) AS off FROM (SELECT DISTINCT win FROM windows))
+            LEFT JOIN counts USING (term)
+        ), offered AS (
+            SELECT t.doc_id, r.win, r.rank, t.pos - r.off AS i
+            FROM rare r JOIN tokens t USING (term) WHERE r.rank <= 2 AND r.fewest > 0
+        ), close AS (
+            SELECT DISTINCT a.doc_id, a.win, a.i
+            FROM offered a JOIN offered b ON a.doc_id = b.doc_id AND a.win = b.win AND abs(a.i - b.i) <= 5
+            WHERE a.rank = 1 AND b.rank = 2
+        ), near AS (
+            SELECT doc_id, count(*) AS n_near FROM (
+                SELECT DISTINCT c.doc_id, x.item_id, x.s FROM close c JOIN windows x ON c.win = x.win
+                WHERE NOT EXISTS (
+                    SELECT 1 FROM found f WHERE f.doc_id = c.doc_id AND f.item_id = x.item_id AND f.s = x.s
+                )
+            ) GROUP BY doc_id
         )
         SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
                coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AS contaminated
-        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+               coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
     """,
     "op12_hard_negatives": """
         WITH rows AS (

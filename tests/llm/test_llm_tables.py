@@ -108,6 +108,50 @@ def test_near_matches_are_told_apart(corpus):
     assert not any(i == 9 for i, _ in got)
 
 
+@pytest.mark.parametrize("rare", [2, 3])
+def test_near_matches_equal_plain_loops(spark, rare):
+    draw = random.Random(9)
+    text = lambda n: " ".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+    items = [(i, text(draw.randint(1, 9))) for i in range(6)]
+    docs = [(i, text(draw.randint(0, 40)), "") for i in range(25)]
+    found = decontam.matches(
+        spark.createDataFrame(docs, "doc_id long, text string, n string"),
+        spark.createDataFrame(items, "item_id long, text string"), size=4, rare=rare, slop=2,
+    ).collect()
+    counts = collections.Counter(w for _, t, _ in docs for w in words(t))
+    want = set()
+    for item, t in items:
+        w = words(t)
+        for s in range(max(1, len(w) - 3)):
+            win = w[s : s + 4]
+            if not all(counts[x] for x in win):
+                continue
+            order = sorted(range(len(win)), key=lambda o: (counts[win[o]], o))[:rare]
+            for i, doc, _ in docs:
+                d = words(doc)
+                for at in range(-9, len(d)):
+                    holds = lambda o, at: 0 <= at + o < len(d) and d[at + o] == win[o]
+                    if all(holds(o, at) for o in range(len(win))):
+                        want.add((i, item, s, at, "exact"))
+                    elif len(order) > 1 and holds(order[0], at) and all(any(holds(o, at + m) for m in range(-2, 3)) for o in order[1:]):
+                        want.add((i, item, s, at, "near"))
+    assert {(r.doc_id, r["item"], r.start, r["at"], r.kind) for r in found} == want and len(found) == len(want)
+
+
+def test_long_texts_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_DOCUMENTS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    draw = random.Random(2)
+    docs = [(i, " ".join(draw.choice(string.ascii_lowercase) for _ in range(32_000)), "") for i in range(8)]
+    try:
+        frames = (spark.createDataFrame(docs, "doc_id long, text string, n string"), spark.createDataFrame(ITEMS, "item_id long, text string"))
+        assert counted(decontam.contamination(*frames)) == brute_hits(docs, ITEMS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_contaminated_rows_leave(corpus):
     left = decontam.drop_contaminated(*corpus)
     assert left.columns == corpus[0].columns
@@ -301,6 +345,7 @@ def test_query_equals_its_twin(spark, duck, name):
     cursor = duck.execute(llm.ORACLES[name])
     columns = [c[0] for c in cursor.description]
     got = llm.QUERIES[name](spark, SMALL)
+    assert sorted(got.columns) == sorted(columns)
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(cursor.fetchall())
 
 

@@ -37,16 +37,19 @@ WINDOW = 20
 # characters come to about 3.4 bits for 16 symbols and 4.1 for 64. Digits alone and words
 # of a single case are never secret.
 HEX_LIMIT, LOWER_LIMIT, LETTERS_LIMIT, MIXED_LIMIT = 3.0, 3.6, 4.1, 3.8
-# Groups of characters: digits, a-f, g-z, A-F, G-Z, others.
-GROUP = {c: i for i, group in enumerate(("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/_=-")) for c in group}
+# Groups of characters: digits, a-f, g-z, A-F, G-Z, the plus sign, and what joins the parts of
+# paths and names. A window with two joints is made of several short parts and no secret.
+_GROUPS = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+", "/_=-")
+GROUP = {c: i for i, group in enumerate(_GROUPS) for c in group}
+MOST_JOINTS = 1
 WORD_OR_NUMBER = re.compile(r"[0-9]+|[G-Z]+|[g-z]+")  # told apart at once
 # What looks random in a candidate and is not secret: segments with a placeholder or a
-# keyboard or alphabet run, UUIDs, dates with or without a time. It is cut out, and the
+# keyboard or alphabet run (as much of it as stands close), UUIDs, dates with or without a time. It is cut out, and the
 # rest of the candidate is looked at. The words come first to skip candidates quickly.
 PLAIN_WORDS = re.compile(
-    r"[^/=]*(?:example|placeholder|changeme|dummy|sample|your[_-]|0123456789|abcdefghij|qwertyuiop)[^/=]*",
-    re.IGNORECASE,
+    r"example|placeholder|changeme|dummy|sample|your[_-]|0123456789|abcdefghij|qwertyuiop", re.IGNORECASE
 )
+PLAIN_REACH = 40  # characters to either side of the word
 PLAIN_FORMS = re.compile(
     r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T_-]?[0-9]{2})*Z?)(?![0-9A-Za-z])"
@@ -66,9 +69,11 @@ _TERM = [0.0, *(n * math.log2(n) for n in range(1, WINDOW + 1))]
 
 def limit_of(groups: list[int], first: str) -> float:
     """The limit of a window with so many characters of each group that begins with `first`."""
-    digits, low_hex, low, up_hex, up, others = groups
+    digits, low_hex, low, up_hex, up, plus, joints = groups
     lower, upper = low_hex + low, up_hex + up
-    if others or (digits and lower and upper):
+    if joints > MOST_JOINTS:
+        return math.inf
+    if plus or (digits and lower and upper):
         return MIXED_LIMIT
     if not (lower or upper):
         return math.inf
@@ -86,7 +91,7 @@ def entropy_windows(candidate: str, limit: float | None = None, size: int = WIND
     if len(candidate) < size:
         return []
     counts: dict[str, int] = {}
-    groups = [0] * 6
+    groups = [0] * len(_GROUPS)
     total, spans = 0.0, []  # total: sum of c * log2(c)
     for i, c in enumerate(candidate):
         if i >= size:
@@ -131,11 +136,22 @@ def without(begin: int, end: int, cut: list[tuple[int, int]]) -> list[tuple[int,
     return left
 
 
+def plain_segments(candidate: str, low: int, high: int) -> list[tuple[int, int]]:
+    """The segments between `/` and `=` with a plain word, as far as they reach beside it."""
+    out, at = [], low
+    while m := PLAIN_WORDS.search(candidate, at, high):
+        least, most = max(at, m.start() - PLAIN_REACH), min(high, m.end() + PLAIN_REACH)
+        begin = max(candidate.rfind(c, least, m.start()) + 1 for c in "/=") or least
+        at = min((e for c in "/=" if (e := candidate.find(c, m.end(), most)) >= 0), default=most)
+        out.append((begin, at))
+    return out
+
+
 def pieces(candidate: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """[start, end) of what is left of a candidate without those taken, and of that without the plain parts."""
     left = []
     for low, high in without(0, len(candidate), taken):
-        plain = [m.span() for form in (PLAIN_WORDS, PLAIN_FORMS) for m in form.finditer(candidate, low, high)]
+        plain = plain_segments(candidate, low, high) + [m.span() for m in PLAIN_FORMS.finditer(candidate, low, high)]
         left += without(low, high, plain)
     return left
 

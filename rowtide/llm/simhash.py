@@ -313,12 +313,17 @@ def near_duplicates(
     ids = docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), size).alias("fp"))
     ids = stored(ids)
     values = stored(ids.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(values.select("fp"), max_bits))
-    rooted = values.join(roots, values.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    edges = links(values.select("fp"), max_bits)
+    # Nodes are ordered by their smallest id, those without any last: the root of a component
+    # then names it, and no component is ever gathered.
+    node = F.struct(F.col("least").isNull().alias("none"), "least", "fp").alias("node")
+    named = values.select("fp", node)
+    ends = edges.join(named.withColumnsRenamed({"fp": "u", "node": "nu"}), "u").join(
+        named.withColumnsRenamed({"fp": "v", "node": "nv"}), "v"
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
+    roots = components(ends.select(F.col("nu").alias("u"), F.col("nv").alias("v")))
+    rooted = named.join(roots, "node", "left")
+    classes = rooted.select("fp", F.coalesce("root", "node")["least"].alias("component_id"))
     return ids.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 

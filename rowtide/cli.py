@@ -11,7 +11,8 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.operators.reconcile import SAMPLE_SIZE, reconcile, run_until_converged
+from rowtide.operators.digest import reconcile_by_digest
+from rowtide.operators.reconcile import SAMPLE_SIZE, run_until_converged
 from rowtide.schemas import ORDERS
 from rowtide.session import configure
 from rowtide.sources.feed import read_feed_files, read_log
@@ -32,7 +33,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     else:
         feed = read_feed_files(spark, args.feed, streaming=True)
     tables = job.Pipeline(args.root, order_by=args.order_by, on_bad_record=args.on_bad_record)
-    job.start(feed, tables, every=None if args.drain else args.every).awaitTermination()
+    if args.drain:
+        job.drain(feed, tables)
+    else:
+        job.start(feed, tables, args.every)
+        spark.streams.awaitAnyTermination()  # raises the failure of the query that failed
     return 0
 
 
@@ -50,7 +55,7 @@ def run_reconcile(spark: SparkSession, args: argparse.Namespace) -> int:
         stored = {m: job.read_output(spark, tables, t) for m, t in METRIC_TABLES.items()}
         replica = job.read_output(spark, tables, job.CURRENT)
         findings = tables.dir("pipeline_findings")
-        return reconcile(_source(spark, args), replica, ORDERS, stored, findings, args.sample_size)
+        return reconcile_by_digest(_source(spark, args), replica, ORDERS, stored, findings, args.sample_size)
 
     result = run_until_converged(
         check,

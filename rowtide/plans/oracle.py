@@ -535,6 +535,7 @@ ORACLES: dict[str, str] = {
     "reconcile_extra": f"{SIDES} SELECT order_id FROM extra ORDER BY order_id",
     "reconcile_mismatch": MISMATCH,
     "reconcile_outcomes": OUTCOMES,
+    "reconcile_by_digest": OUTCOMES,
     "reconcile_metrics": METRICS,
     "reconcile_findings": f"SELECT * FROM ({OUTCOMES}) AS o WHERE outcome <> 'MATCH'",
     "reconcile_summary": SUMMARY,
@@ -551,5 +552,7 @@ ORACLES: dict[str, str] = {
     "stream_orders_valid_current": VALID,
     "stream_latest_state": CURRENT,
     "stream_restart": CURRENT,
+    "stream_raw_reread": RAW,
+    "stream_valid_changes": VALID,
     "stream_five_tables": FIVE_TABLES,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.values import wall_clock
 from rowtide.operators.apply import apply_feed, keyed_upsert
 from rowtide.operators.capture import diff_feed, next_offset, snapshot_feed
+from rowtide.operators.digest import classify_by_digest, reconcile_by_digest
 from rowtide.operators.decode import (
     decode_changelog,
     decode_envelope,
@@ -24,7 +25,6 @@ from rowtide.operators.reconcile import (
     mismatched_rows,
     missing_keys,
     read_findings,
-    reconcile,
     run_until_converged,
     store_findings,
     summarise,
@@ -53,8 +53,8 @@ from rowtide.plans.inputs import (
 from rowtide.schemas import CUSTOMERS, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
 from rowtide.session import new_run_dir
 from rowtide.sources.feed import read_feed_files
+from rowtide.streaming import keyed
 from rowtide.streaming import pipeline as job
-from rowtide.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,6 +204,11 @@ def reconcile_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(*_faulty_sides(spark, sf_dir), ORDERS)
 
 
+def reconcile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes found by descending a digest tree; equal parts are not joined."""
+    return classify_by_digest(*_faulty_sides(spark, sf_dir), ORDERS)
+
+
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = table_metrics({"valid_target_count": orders_valid_current(spark, sf_dir)})
     events = event_metrics(_enriched(spark, sf_dir), cdc_raw_events(spark, sf_dir))
@@ -301,7 +306,7 @@ def _stream(spark: SparkSession, sf_dir: str, through: int = DELIVERIES - 1) ->
 
 def _run(spark: SparkSession, sf_dir: str, *tables: str) -> job.Pipeline:
     """The job after each delivery took in what was new, stopping in between."""
-    pipeline = job.Pipeline(new_run_dir(spark, "tables"), tables=tables, compact_every=2)
+    pipeline = job.Pipeline(new_run_dir(spark, "tables"), tables=tables)
     for through in range(DELIVERIES):
         job.drain(_stream(spark, sf_dir, through), pipeline)
     return pipeline
@@ -315,26 +320,40 @@ def _stream_query(table: str) -> Query:
 
 
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replica from Spark's state store, read back from its updates."""
-    run_dir = new_run_dir(spark, "state")
+    """The replica as an aggregation, read from its state store after four deliveries."""
+    checkpoint = new_run_dir(spark, "state")
     for through in range(DELIVERIES):
         decoded = decode_envelope(_stream(spark, sf_dir, through), ORDERS)
         changes = typed_changes(decode_changelog(decoded, ORDERS), ORDERS)
-        job.start_stateful_latest(
-            changes, ORDERS, f"{run_dir}/orders", f"{run_dir}/_checkpoint", every=None
-        ).awaitTermination()
-    return sinks.read_state(spark, ORDERS, f"{run_dir}/orders")
+        keyed.start_latest_state(changes, ORDERS, checkpoint, every=None).awaitTermination()
+    return keyed.read_latest_state(spark, ORDERS, checkpoint)
 
 
-def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replica of a job that lost its checkpoint halfway and read the whole log again."""
+def _lost_halfway(spark: SparkSession, sf_dir: str, table: str) -> job.Pipeline:
+    """A job that lost its checkpoint after two deliveries and read the whole log again."""
     root = new_run_dir(spark, "tables")
-    lost = job.Pipeline(root, tables=(job.CURRENT,), compact_every=1)
+    lost = job.Pipeline(root, tables=(table,))
     for through in range(2):
         job.drain(_stream(spark, sf_dir, through), lost)
-    anew = job.Pipeline(root, tables=(job.CURRENT,), compact_every=1, checkpoint_name="_checkpoint_2")
+    anew = job.Pipeline(root, tables=(table,), checkpoint_name="_checkpoint_2")
     job.drain(_stream(spark, sf_dir), anew)
-    return job.read_output(spark, anew, job.CURRENT)
+    return anew
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job.read_output(spark, _lost_halfway(spark, sf_dir, job.CURRENT), job.CURRENT)
+
+
+def stream_raw_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table when half of the log, with gaps, is handed out twice: positions that are
+    in the table's ranges are passed over."""
+    return job.read_output(spark, _lost_halfway(spark, sf_dir, job.RAW), job.RAW)
+
+
+def stream_valid_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid table rebuilt from the changes that the job emits for it."""
+    pipeline = _run(spark, sf_dir, job.VALID)
+    return current(job.read_valid_changes(spark, pipeline), ORDERS)
 
 
 def stream_five_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,7 +395,7 @@ def reconcile_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     def check() -> DataFrame:
         tables = {m: job.read_output(spark, pipeline, t) for m, t in names.items()}
         replica = job.read_output(spark, pipeline, job.CURRENT)
-        return reconcile(final_orders(spark, sf_dir), replica, ORDERS, tables)
+        return reconcile_by_digest(final_orders(spark, sf_dir), replica, ORDERS, tables)
 
     log = pipeline.dir("pipeline_reconciliation")
     run_until_converged(check, log)
@@ -402,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_extra": reconcile_extra,
     "reconcile_mismatch": reconcile_mismatch,
     "reconcile_outcomes": reconcile_outcomes,
+    "reconcile_by_digest": reconcile_digest,
     "reconcile_metrics": reconcile_metrics,
     "reconcile_findings": reconcile_findings,
     "reconcile_summary": reconcile_summary,
@@ -418,5 +438,7 @@ QUERIES: dict[str, Query] = {
     "stream_orders_valid_current": _stream_query(job.VALID),
     "stream_latest_state": stream_latest_state,
     "stream_restart": stream_restart,
+    "stream_raw_reread": stream_raw_reread,
+    "stream_valid_changes": stream_valid_changes,
     "stream_five_tables": stream_five_tables,
 }

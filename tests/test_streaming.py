@@ -1,4 +1,4 @@
-"""The continuous job: splits, restarts, replays, compaction, failures."""
+"""The continuous job: splits, restarts, repeats, retractions, failures."""
 
 import os
 import random
@@ -14,8 +14,8 @@ from rowtide.operators.views import enriched_events, event_audit, raw_events, re
 from rowtide.plans.inputs import order_feed
 from rowtide.schemas import ORDERS
 from rowtide.sources.feed import log_options, read_feed_files
-from rowtide.sources.tables import jdbc_options
-from rowtide.streaming import sinks
+from rowtide.sources.tables import jdbc_options, merge_statements
+from rowtide.streaming import keyed, taken
 from rowtide.streaming.pipeline import (
     ALL_TABLES,
     AUDIT,
@@ -26,9 +26,10 @@ from rowtide.streaming.pipeline import (
     Pipeline,
     drain,
     read_output,
+    read_valid_changes,
     start,
-    start_stateful_latest,
-    write_batch,
+    start_events,
+    write_events,
 )
 
 
@@ -63,85 +64,123 @@ def small_feed(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("compact_every", [0, 2])
-def test_events_of_a_key_spread_over_batches(spark, tmp_path, small_feed, compact_every):
-    """Cut the log by step, so that updates, deletes and re-creations arrive batches later."""
-    source = str(tmp_path / "in")
-    pipeline = Pipeline(str(tmp_path / "out"), compact_every=compact_every, compact_growth=0.1)
-    for steps in ((0,), (1,), (2, 3), (4, 5)):
-        deliver(small_feed.filter((F.col("offset") % 8).isin(*steps)), source)
-        drain(read_feed_files(spark, source, streaming=True), pipeline)
-    assert_tables(spark, pipeline, small_feed)
-    assert bool(sinks.snapshots(spark, pipeline.dir(CURRENT))) == bool(compact_every)
+def take_in(spark, source, pipeline, feed):
+    """One delivery, and a run of the job over what is new."""
+    deliver(feed, source)
+    drain(read_feed_files(spark, source, streaming=True), pipeline)
 
 
-def test_batches_out_of_order(spark, tmp_path, small_feed):
-    """A file source may deliver late: an older change must not revive a deleted key."""
-    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), compact_every=1, compact_growth=0)
-    for steps in ((4, 5), (2, 3), (0, 1)):
-        deliver(small_feed.filter((F.col("offset") % 8).isin(*steps)), source)
-        drain(read_feed_files(spark, source, streaming=True), pipeline)
+@pytest.mark.parametrize("order", [((0,), (1,), (2, 3), (4, 5)), ((4, 5), (2, 3), (0, 1))])
+def test_events_of_a_key_spread_over_batches(spark, tmp_path, small_feed, order):
+    """Cut the log by step: updates, deletes and re-creations arrive batches later, or first."""
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
+    for steps in order:
+        take_in(spark, source, pipeline, small_feed.filter((F.col("offset") % 8).isin(*steps)))
     assert_tables(spark, pipeline, small_feed)
 
 
-def test_random_split_and_replayed_batch(spark, tmp_path):
-    rng, log = random.Random(5), Log(spark)
-    for i in range(120):
+def random_log(spark, seed, n=120):
+    rng, log = random.Random(seed), Log(spark)
+    for i in range(n):
         key, op = rng.randrange(12), rng.choice("ccuud")
         image = order(key, city=f"c{i}", status=rng.choice(["PAID", "LOST", None]))
         log.add(envelope(op, None if op == "c" else image, None if op == "d" else image))
-    pipeline = Pipeline(str(tmp_path / "out"), compact_every=2, compact_growth=0.1)
-    cuts = sorted(rng.sample(range(1, 120), 4))
-    parts = [log.rows[a:b] for a, b in zip([0, *cuts], [*cuts, 120])]
-    for n, part in enumerate(parts):
-        write_batch(pipeline, log.feed(part), n)
-        if n in (1, 3):  # as after a crash between the writes and the commit
-            write_batch(pipeline, log.feed(part), n)
+    return rng, log
+
+
+def test_random_split_with_repeats(spark, tmp_path):
+    rng, log = random_log(spark, 5)
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
+    cuts = sorted(rng.sample(range(1, 120), 3))
+    for a, b in zip([0, *cuts], [*cuts, 120]):
+        again = rng.sample(log.rows[:b], 5) + log.rows[a:b][:2]  # some of it handed out once more
+        take_in(spark, source, pipeline, log.feed(log.rows[a:b] + again))
     assert_tables(spark, pipeline, log.feed())
     keys = rows(read_output(spark, pipeline, VALID), "order_id")
     assert set(keys) <= set(rows(read_output(spark, pipeline, CURRENT), "order_id"))
 
 
+def test_valid_changes_follow_the_table(spark, tmp_path):
+    """A delete only for a key that is in the table; an insert only for one that is not."""
+    rng, log = random_log(spark, 8, 90)
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(VALID,))
+    members = set()
+    for a in range(0, 90, 30):
+        before = set(read_valid_changes(spark, pipeline).collect()) if a else set()
+        take_in(spark, source, pipeline, log.feed(log.rows[a : a + 30]))
+        told = [r for r in read_valid_changes(spark, pipeline).collect() if r not in before]
+        assert len({r.order_id for r in told}) == len(told)
+        for r in told:
+            assert (r.row_kind == "INSERT") == (r.order_id not in members)
+            (members.discard if r.row_kind == "DELETE" else members.add)(r.order_id)
+        assert members == {r.order_id for r in batch_twins(log.feed(log.rows[: a + 30]))[VALID].collect()}
+    same_rows(read_output(spark, pipeline, VALID), batch_twins(log.feed())[VALID])
+
+
+def test_a_key_that_was_never_valid_is_never_deleted(spark, tmp_path):
+    bad = order(1, status="LOST")
+    log = Log(spark)
+    log.add(envelope("c", None, bad)).add(envelope("u", bad, bad)).add(envelope("d", bad, None))
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(VALID,))
+    for n in range(3):
+        take_in(spark, source, pipeline, log.feed(log.rows[n : n + 1]))
+    assert read_valid_changes(spark, pipeline).count() == 0
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_a_deleted_key_leaves_a_marker_or_nothing(spark, tmp_path, keep):
+    log = Log(spark)
+    log.add(envelope("c", None, order(1))).add(envelope("d", order(1), None))
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(CURRENT,), keep_deleted=keep)
+    for n in (1, 0):  # the older change comes late
+        take_in(spark, source, pipeline, log.feed(log.rows[n : n + 1]))
+        if n:
+            state = spark.read.format("statestore").option("stateVarName", "newest").load(pipeline.checkpoint("keyed"))
+            assert state.count() == (1 if keep else 0)
+    assert read_output(spark, pipeline, CURRENT).count() == (0 if keep else 1)
+
+
 def test_restart_from_checkpoint(spark, tmp_path, small_feed):
-    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), compact_every=2)
-    deliver(small_feed.filter("offset % 2 = 0"), source)
-    drain(read_feed_files(spark, source, streaming=True), pipeline)
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
+    take_in(spark, source, pipeline, small_feed.filter("offset % 2 = 0"))
     before = rows(read_output(spark, pipeline, AUDIT, stamped=True), "event_id", "inserted_at")
     drain(read_feed_files(spark, source, streaming=True), pipeline)  # nothing new
     assert rows(read_output(spark, pipeline, AUDIT, stamped=True), "event_id", "inserted_at") == before
-    deliver(small_feed.filter("offset % 2 = 1"), source)
-    drain(read_feed_files(spark, source, streaming=True), pipeline)
+    take_in(spark, source, pipeline, small_feed.filter("offset % 2 = 1"))
     assert_tables(spark, pipeline, small_feed)
 
 
 def test_a_running_job_takes_in_what_arrives(spark, tmp_path, small_feed):
     source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
     deliver(small_feed.filter("offset % 8 < 2"), source)
-    query = start(read_feed_files(spark, source, streaming=True), pipeline, every="1 second")
+    queries = start(read_feed_files(spark, source, streaming=True), pipeline, every="1 second")
     try:
-        query.processAllAvailable()
-        deliver(small_feed.filter("offset % 8 >= 2"), source)
-        query.processAllAvailable()
+        for part in (None, "offset % 8 >= 2"):
+            if part:
+                deliver(small_feed.filter(part), source)
+            for query in queries:
+                query.processAllAvailable()
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
     assert_tables(spark, pipeline, small_feed)
-    assert len([n for n in os.listdir(f"{pipeline.checkpoint}/commits") if n.isdigit()]) >= 2
-    # Nothing is done twice when the job is started again from its checkpoint.
-    before = sinks.last_number(spark, pipeline.dir(RAW))
-    drain(read_feed_files(spark, source, streaming=True), pipeline)
-    assert sinks.last_number(spark, pipeline.dir(RAW)) == before
 
 
-def test_bad_record_stops_the_job_after_the_event_tables_landed(spark, tmp_path):
+def test_a_batch_run_again_leaves_the_same_rows(spark, tmp_path):
+    log, pipeline = golden(Log(spark)), Pipeline(str(tmp_path / "out"))
+    for n, part in ((0, log.rows[:4]), (1, log.rows[4:]), (1, log.rows[4:])):
+        write_events(pipeline, log.feed(part), n)
+    for table in (RAW, AUDIT, REJECT):
+        same_rows(read_output(spark, pipeline, table), batch_twins(log.feed())[table])
+
+
+def test_bad_record_stops_the_keyed_tables_only(spark, tmp_path):
     source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
-    log = Log(spark)
-    golden(log).add("hello")
-    deliver(log.feed(), source)
+    log = golden(Log(spark)).add("hello")
     with pytest.raises(Exception, match="not a row change"):
-        drain(read_feed_files(spark, source, streaming=True), pipeline)
-    assert read_output(spark, pipeline, RAW).count() == 11
-    assert read_output(spark, pipeline, AUDIT).count() == 9
-    assert read_output(spark, pipeline, REJECT).count() == 2
+        take_in(spark, source, pipeline, log.feed())
+    assert [read_output(spark, pipeline, t).count() for t in (RAW, AUDIT, REJECT)] == [11, 9, 2]
+    assert read_output(spark, pipeline, CURRENT).count() == 0
     # The operator lets the record pass: the same batch is run again and completes.
     lenient = Pipeline(pipeline.root, on_bad_record="skip")
     drain(read_feed_files(spark, source, streaming=True), lenient)
@@ -149,46 +188,12 @@ def test_bad_record_stops_the_job_after_the_event_tables_landed(spark, tmp_path)
     assert read_output(spark, lenient, CURRENT).count() == 5
 
 
-def test_repeated_positions(spark, tmp_path):
-    log = golden(Log(spark))
-    pipeline = Pipeline(str(tmp_path / "out"), repeats_positions=True)
-    write_batch(pipeline, log.feed(log.rows + log.rows[3:]), 0)
-    assert_tables(spark, pipeline, log.feed())
-    # Repeats in later batches are left out, also when the batch is run again.
-    write_batch(pipeline, log.feed(log.rows[5:]), 1)
-    log.add(envelope("c", None, order(77)))
-    for _ in range(2):
-        write_batch(pipeline, log.feed(log.rows[2:]), 2)
-    assert_tables(spark, pipeline, log.feed())
-
-
-def test_event_folders_are_folded(spark, tmp_path):
-    log, pipeline = Log(spark), Pipeline(str(tmp_path / "out"), compact_every=0, fold_every=2)
-    for n in range(9):
-        log.add(envelope("c", None, order(n, status="LOST" if n % 2 else "PAID")))
-        for _ in range(1 + n % 2):  # every other batch is run again
-            write_batch(pipeline, log.feed(log.rows[max(0, n - 3):]), n)  # and repeats older records
-    assert_tables(spark, pipeline, log.feed())
-    table = pipeline.dir(RAW)
-    assert sorted(os.listdir(f"{table}/segments")) == [f"through={n}" for n in (0, 2, 4, 6)]
-    assert sorted(d for d in os.listdir(table) if d.startswith("batch")) == [f"batch_id={n}" for n in (5, 6, 7, 8)]
-    assert sinks.last_number(spark, table) == 8
-
-
 def test_tables_are_empty_before_the_first_batch(spark, tmp_path):
     pipeline = Pipeline(str(tmp_path / "out"))
     for table, expected in batch_twins(Log(spark).feed()).items():
         got = read_output(spark, pipeline, table)
         assert got.count() == 0 and got.columns == expected.columns
-
-
-def test_unfinished_batches_are_invisible(spark, tmp_path):
-    log, pipeline = golden(Log(spark)), Pipeline(str(tmp_path / "out"))
-    write_batch(pipeline, log.feed(), 0)
-    write_batch(pipeline, Log(spark).add(envelope("c", None, order(1)), offset=500).feed(), 1)
-    for folder in [pipeline.dir(t) for t in (RAW, AUDIT, REJECT)] + [f"{pipeline.dir(t)}/changes" for t in (CURRENT, VALID)]:
-        os.remove(f"{folder}/batch_id=1/_SUCCESS")
-    assert_tables(spark, pipeline, log.feed())
+    assert keyed.read_latest_state(spark, ORDERS, str(tmp_path / "none")).count() == 0
 
 
 def test_a_file_with_an_old_date_is_read(spark, tmp_path):
@@ -204,36 +209,32 @@ def test_a_file_with_an_old_date_is_read(spark, tmp_path):
     assert read_output(spark, pipeline, RAW).count() == 2
 
 
-@pytest.mark.parametrize("compact_every", [0, 1])
-def test_a_new_checkpoint_reads_the_log_again_without_loss(spark, tmp_path, small_feed, compact_every):
+def test_a_new_checkpoint_reads_the_log_again_without_loss(spark, tmp_path, small_feed):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
-    lost = Pipeline(root, compact_every=compact_every, compact_growth=0)
-    for part in ("offset % 8 = 0", "offset % 8 = 1"):
-        deliver(small_feed.filter(part), source)
-        drain(read_feed_files(spark, source, streaming=True), lost)
-    deliver(small_feed.filter("offset % 8 > 1"), source)
-    anew = Pipeline(root, compact_every=compact_every, compact_growth=0, checkpoint_name="_again")
-    drain(read_feed_files(spark, source, streaming=True), anew)
+    lost = Pipeline(root)
+    take_in(spark, source, lost, small_feed.filter("offset % 8 = 0"))
+    first = rows(read_output(spark, lost, RAW, stamped=True), "event_id", "inserted_at")
+    anew = Pipeline(root, checkpoint_name="_again")
+    take_in(spark, source, anew, small_feed.filter("offset % 8 > 0"))
     assert_tables(spark, anew, small_feed)
-    assert sinks.first_batch(spark, anew.checkpoint, []) == 2
+    # What was in the table is not taken in a second time.
+    assert set(first) <= set(rows(read_output(spark, anew, RAW, stamped=True), "event_id", "inserted_at"))
 
 
-@pytest.mark.parametrize("compact_every", [0, 1])
-def test_load_stamp_is_kept_on_update_and_renewed_after_delete(spark, tmp_path, compact_every):
-    pipeline = Pipeline(str(tmp_path / "out"), compact_every=compact_every, compact_growth=0)
+def test_load_stamp_is_kept_on_update_and_renewed_after_delete(spark, tmp_path):
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(CURRENT, VALID))
     good, bad = order(1), order(1, status="LOST")
     steps = [
         envelope("c", None, good), envelope("u", good, good), envelope("u", good, bad),
         envelope("u", bad, good), envelope("d", good, None), envelope("c", None, good),
-    ]
+    ]
     log, replicated, validated = Log(spark), [], []
     for n, step in enumerate(steps):
         log.add(step)
-        write_batch(pipeline, log.feed(log.rows[n:]), n)
+        take_in(spark, source, pipeline, log.feed(log.rows[n:]))
         for table, stamps in ((CURRENT, replicated), (VALID, validated)):
             row = read_output(spark, pipeline, table, stamped=True).first()
             stamps.append(row and row[-1])
-        time.sleep(0.01)
     first, again = replicated[0], replicated[5]
     assert replicated == [first, first, first, first, None, again] and again > first
     renewed = validated[3]
@@ -241,78 +242,68 @@ def test_load_stamp_is_kept_on_update_and_renewed_after_delete(spark, tmp_path,
     assert validated[0] < renewed < validated[5]
 
 
-def test_compaction_waits_for_growth_and_expires_old_files(spark, tmp_path):
-    log, root = Log(spark), str(tmp_path / "out")
-    table = f"{root}/{CURRENT}"
-    pipeline = Pipeline(root, tables=(CURRENT,), compact_every=1, compact_growth=0.5)
-    for key in range(10):
-        log.add(envelope("c", None, order(key)))
-    write_batch(pipeline, log.feed(), 0)
-    assert sinks.snapshots(spark, table) == [0]
-    for n, keys in enumerate(([0], [1], [2, 3, 4], [5, 6, 7, 8, 9]), start=1):
-        for key in keys:
-            log.add(envelope("u", order(key), order(key, city=f"n{n}")))
-        write_batch(pipeline, log.feed(log.rows[-len(keys):]), n)
-    assert sinks.snapshots(spark, table) == [3, 4]
-    assert sorted(os.listdir(f"{table}/changes")) == ["batch_id=4"]
-    same_rows(read_output(spark, pipeline, CURRENT), batch_twins(log.feed())[CURRENT])
-
-
-def test_unfinished_snapshot_is_ignored(spark, tmp_path):
-    log = golden(Log(spark))
-    pipeline = Pipeline(str(tmp_path / "out"), tables=(CURRENT,), compact_every=0)
-    write_batch(pipeline, log.feed(), 0)
-    os.makedirs(f"{pipeline.dir(CURRENT)}/snapshots/through=0")
-    same_rows(read_output(spark, pipeline, CURRENT), batch_twins(log.feed())[CURRENT])
-
-
-def test_state_takes_one_shuffle(spark, tmp_path):
-    log = golden(Log(spark))
-    pipeline = Pipeline(str(tmp_path / "out"), tables=(CURRENT,), compact_every=0)
-    write_batch(pipeline, log.feed(), 0)
-    sinks.compact(spark, ORDERS, pipeline.dir(CURRENT), 0)
-    write_batch(pipeline, log.feed(log.rows[:1]), 1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        state = sinks.state(spark, ORDERS, pipeline.dir(CURRENT))
-        plan = state._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange") == 1 and "Join" not in plan and plan.count("FileScan") == 2
-
-
-def test_the_log_behind_the_valid_table_is_compacted_too(spark, tmp_path):
-    log = golden(Log(spark))
-    pipeline = Pipeline(str(tmp_path / "out"), tables=(VALID,), compact_every=1, compact_growth=0)
-    for n in range(4):
-        write_batch(pipeline, log.feed(), n)
-    assert len(os.listdir(f"{pipeline.dir(CURRENT)}/changes")) == len(os.listdir(f"{pipeline.dir(VALID)}/changes")) == 1
-
-
 def test_source_order_in_the_pipeline(spark, tmp_path):
     log = Log(spark)
     log.add(envelope("c", None, order(1, city="old"), pos=10), partition=5, offset=3)
     log.add(envelope("u", order(1), order(1, city="new"), pos=20), partition=2, offset=0)
-    pipeline = Pipeline(str(tmp_path / "out"), order_by="source", compact_every=1, compact_growth=0)
-    for n in (0, 1):
-        write_batch(pipeline, log.feed(log.rows[n : n + 1]), n)
+    pipeline = Pipeline(str(tmp_path / "out"), tables=(CURRENT,), order_by="source")
+    for n in (1, 0):
+        take_in(spark, str(tmp_path / "in"), pipeline, log.feed(log.rows[n : n + 1]))
     assert rows(read_output(spark, pipeline, CURRENT), "shipping_address") == [("new",)]
 
 
-def test_stateful_latest_equals_batch_over_two_runs(spark, tmp_path, small_feed):
-    source, table, checkpoint = (str(tmp_path / p) for p in ("in", "out", "check"))
+def test_latest_state_equals_batch_over_two_runs(spark, tmp_path, small_feed):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
     for part in ("offset % 8 IN (0, 1)", "offset % 8 > 1"):
         deliver(small_feed.filter(part), source)
         decoded = decode_envelope(read_feed_files(spark, source, streaming=True), ORDERS)
         changes = typed_changes(decode_changelog(decoded, ORDERS), ORDERS)
-        start_stateful_latest(changes, ORDERS, table, checkpoint, every=None).awaitTermination()
-    same_rows(sinks.read_state(spark, ORDERS, table), batch_twins(small_feed)[CURRENT])
+        keyed.start_latest_state(changes, ORDERS, checkpoint, every=None).awaitTermination()
+    same_rows(keyed.read_latest_state(spark, ORDERS, checkpoint), batch_twins(small_feed)[CURRENT])
+
+
+# Positions taken in
+
+
+def test_ranges_merge_and_answer():
+    rng = random.Random(4)
+    for _ in range(50):
+        offsets = set(rng.sample(range(60), rng.randint(0, 60)))
+        ranges = taken.merged((n, n) for n in offsets)
+        assert [n for n in range(-2, 62) if taken.holds(ranges, n)] == sorted(offsets)
+        assert all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:]))
+        more = taken.merged([*ranges, (10, 20)])
+        assert [n for n in range(60) if taken.holds(more, n)] == sorted(offsets | set(range(10, 21)))
+
+
+def test_ranges_of_a_table_equal_plain_ones(spark):
+    rng = random.Random(3)
+    positions = [("t", p, n + 65500 * (n % 2)) for p in range(3) for n in rng.sample(range(300), 200)]
+    frame = spark.createDataFrame(positions + positions[:50], "topic string, partition int, offset long")
+    got = {(r.partition, r.block): [tuple(x) for x in r.ranges] for r in taken.ranges_of(frame).collect()}
+    want = {}
+    for _, p, n in set(positions):
+        want.setdefault((p, n >> 16), []).append((n, n))
+    assert got == {k: taken.merged(v) for k, v in want.items()}
+
+
+def test_a_dense_log_leaves_one_range_for_each_block(spark, tmp_path):
+    feed = spark.range(40).selectExpr(
+        "'t' topic", "CAST(id % 2 AS INT) partition", "id div 2 offset", "timestamp_millis(0) timestamp", "'k' key", "'v' value"
+    )
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(RAW,))
+    for part in ("offset % 3 = 0", "offset < 15", "offset % 3 > 0 OR offset = 3"):
+        deliver(feed.where(part), source)
+        start_events(read_feed_files(spark, source, streaming=True), pipeline, every=None).awaitTermination()
+    assert read_output(spark, pipeline, RAW).count() == 40
+    state = spark.read.format("statestore").option("stateVarName", "taken").load(pipeline.checkpoint("events")).collect()
+    assert sorted((r.key.partition, [tuple(x) for x in r.value.ranges]) for r in state) == [(p, [(0, 19)]) for p in (0, 1)]
 
 
 def test_raw_is_audit_plus_tombstones_plus_undecodable(spark, tmp_path):
     log = golden(Log(spark)).add("hello").add("[]")
-    pipeline = Pipeline(str(tmp_path / "out"), on_bad_record="skip")
-    write_batch(pipeline, log.feed(), 0)
+    pipeline = Pipeline(str(tmp_path / "out"), tables=(RAW, AUDIT, REJECT))
+    take_in(spark, str(tmp_path / "in"), pipeline, log.feed())
     raw, audit = read_output(spark, pipeline, RAW), read_output(spark, pipeline, AUDIT)
     assert raw.count() == audit.count() + raw.filter("is_tombstone").count() + 2
     failed = audit.filter("validation_status = 'FAIL'")
@@ -333,6 +324,6 @@ def test_log_and_jdbc_options():
 
 
 def test_merge_statements_keep_the_load_stamp():
-    delete, upsert = sinks.merge_statements(ORDERS, "orders_current", "stage")
+    delete, upsert = merge_statements(ORDERS, "orders_current", "stage")
     assert "ON CONFLICT (order_id) DO UPDATE SET customer_id = EXCLUDED.customer_id" in upsert
     assert "replicated_at" not in upsert and "row_kind = 'DELETE'" in delete

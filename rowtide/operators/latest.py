@@ -9,10 +9,12 @@ from rowtide.operators.views import SOURCE_ORDER, current_rows, valid_rows
 from rowtide.schemas import TableSpec
 
 LOG_ORDER = ["kafka_partition", "kafka_offset"]
+# Log files are numbered and roll over to more digits: file 1000000 comes after 999999.
+FILE_NUMBER = "try_cast(regexp_extract(source_file, '([0-9]+)$', 1) AS BIGINT)"
 
 
 def order_columns(order_by: str = "position") -> list[str]:
-    """What makes one change newer than another.
+    """What makes one change newer than another, as SQL expressions in order of weight.
 
     `position` trusts the log: a key stays in one partition, so offsets decide.
     `source` trusts the database's own log, for topics whose partitioning changed;
@@ -21,7 +23,8 @@ def order_columns(order_by: str = "position") -> list[str]:
     if order_by == "position":
         return list(LOG_ORDER)
     if order_by == "source":
-        return SOURCE_ORDER + LOG_ORDER
+        at = SOURCE_ORDER.index("source_file")
+        return [*SOURCE_ORDER[:at], FILE_NUMBER, *SOURCE_ORDER[at:], *LOG_ORDER]
     raise ValueError(f"order_by must be position or source, not {order_by!r}")
 
 
@@ -32,7 +35,7 @@ def latest_changes(changes: DataFrame, spec: TableSpec, order_by: str = "positio
     that owns a large share of the feed sends one row per map task, not all of them.
     """
     newest_first = Window.partitionBy(spec.key).orderBy(
-        *[F.col(c).desc() for c in order_columns(order_by)]
+        *[F.expr(c).desc() for c in order_columns(order_by)]
     )
     return (
         changes.withColumn("_rank", F.row_number().over(newest_first))
@@ -47,7 +50,7 @@ def streaming_latest(changes: DataFrame, spec: TableSpec, order_by: str = "posit
     State is kept for ever: a deleted key leaves its DELETE row behind, which is what
     makes a late redelivery of an older change harmless.
     """
-    ordinal = F.struct(*order_columns(order_by))
+    ordinal = F.struct(*[F.expr(c).alias(f"by{n}") for n, c in enumerate(order_columns(order_by))])
     row = F.struct(*[c for c in changes.columns if c != spec.key])
     return (
         changes.groupBy(spec.key)

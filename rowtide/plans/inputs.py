@@ -176,6 +176,21 @@ def odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.withColumn("value", F.expr(value)).drop("k")
 
 
+# The time all changes of the rolled log have, in milliseconds since the epoch.
+ROLLED_MS = 790_000_000_487
+
+
+def rolled_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of a database whose log files rolled over to a seventh digit, all within one
+    millisecond: placed in file 999999, changed in file 1000000."""
+    step, block = f"offset % {OFFSETS_PER_KEY}", f"offset div {OFFSETS_PER_KEY}"
+    keyed = order_log(spark, sf_dir).withColumn("k", F.expr(f"({block}) * {TOPIC_PARTITIONS} + partition"))
+    placed = f"({step}) = 0 OR (({step}) = 5 AND k % 3 <> 0 AND k % 11 <> 0)"
+    renamed = f"""regexp_replace(value, 'mysql-bin[.][0-9]+', IF({placed}, 'mysql-bin.999999', 'mysql-bin.1000000'))"""
+    timed = f"""regexp_replace({renamed}, '"ts_ms":[0-9]+', '"ts_ms":{ROLLED_MS}')"""
+    return keyed.withColumn("value", F.expr(timed)).drop("k")
+
+
 def both_signs(table: DataFrame) -> DataFrame:
     """The table with every sixth order's id turned negative."""
     return table.withColumn("order_id", F.expr("IF(order_id % 6 = 4, -order_id, order_id)"))

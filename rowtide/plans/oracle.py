@@ -6,6 +6,7 @@ The twins never read JSON: they compute each result directly from `orders` and
 
 from __future__ import annotations
 
+from rowtide.plans.inputs import ROLLED_MS
 from rowtide.plans.queries import DIFF_MS, DIGESTED, SNAPSHOT_MS, UPSERT_TIME
 
 IMAGE = ["order_id", "customer_id", "status", "amount", "currency", "shipping_address",
@@ -516,6 +517,17 @@ def _odd(sql: str) -> str:
     return sql
 
 
+CURRENT_ROLLED = f"""SELECT * REPLACE (epoch_ms(CAST({ROLLED_MS} AS BIGINT)) AS source_event_ts) FROM ({CURRENT}) AS c"""
+
+DRIFT = f"""{LOG}
+SELECT place, 'discount_code' AS field, 'STRING' AS type, count(*) AS records,
+  min(kafka_partition) AS first_partition, arg_min(kafka_offset, CAST(kafka_partition AS BIGINT) * 1000000000000 + kafka_offset) AS first_offset
+FROM (
+  SELECT 'before' AS place, * FROM log WHERE bv >= 0 UNION ALL SELECT 'after' AS place, * FROM log WHERE av >= 0
+) AS images
+WHERE op IS NOT NULL AND k % 47 = 3 AND NOT (step = 0 AND (k % 41 = 1 OR k % 43 = 2))
+GROUP BY place"""
+
 ORACLES: dict[str, str] = {
     "cdc_raw_events": RAW,
     "raw_events_reread": RAW,
@@ -529,6 +541,8 @@ ORACLES: dict[str, str] = {
     "orders_current": CURRENT,
     "orders_current_by_source": CURRENT_BY_SOURCE,
     "orders_current_odd": _odd(CURRENT),
+    "orders_current_rolled": CURRENT_ROLLED,
+    "drift_report": DRIFT,
     "orders_valid_current": VALID,
     "customers_current": CUSTOMERS_CURRENT,
     "reconcile_missing": f"{SIDES} SELECT order_id FROM missing ORDER BY order_id",

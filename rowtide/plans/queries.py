@@ -17,6 +17,7 @@ from rowtide.operators.decode import (
     decode_structured,
     read_text,
 )
+from rowtide.operators.drift import unknown_fields
 from rowtide.operators.latest import current, valid_current
 from rowtide.operators.reconcile import (
     classify,
@@ -49,6 +50,7 @@ from rowtide.plans.inputs import (
     moved_log,
     odd_log,
     order_log,
+    rolled_log,
 )
 from rowtide.schemas import CUSTOMERS, INSTANT, ORDERS, RECONCILIATION, SOURCE_FIELDS
 from rowtide.session import new_run_dir
@@ -166,6 +168,17 @@ def orders_current_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current(typed_changes(decode_changelog(decoded, ORDERS), ORDERS), ORDERS, order_by="source")
 
 
+def orders_current_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the database's own log across the roll-over of its file numbers."""
+    decoded = decode_envelope(rolled_log(spark, sf_dir), ORDERS)
+    return current(typed_changes(decode_changelog(decoded, ORDERS), ORDERS), ORDERS, order_by="source")
+
+
+def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the feed has and the tables do not."""
+    return unknown_fields(odd_log(spark, sf_dir), ORDERS)
+
+
 def orders_valid_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_current(_typed(spark, sf_dir), ORDERS)
 
@@ -415,6 +428,8 @@ QUERIES: dict[str, Query] = {
     "orders_current": orders_current,
     "orders_current_by_source": orders_current_by_source,
     "orders_current_odd": orders_current_odd,
+    "orders_current_rolled": orders_current_rolled,
+    "drift_report": drift_report,
     "orders_valid_current": orders_valid_current,
     "customers_current": customers_current,
     "reconcile_missing": reconcile_missing,

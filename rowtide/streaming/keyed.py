@@ -8,6 +8,7 @@ every change counts once; there are no table files to number, fold or clean up.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator
 
 from pyspark.errors import PySparkException
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from rowtide.functions.rules import passes_all
-from rowtide.operators.latest import order_columns, streaming_latest
+from rowtide.operators.latest import FILE_NUMBER, order_columns, streaming_latest
 from rowtide.operators.views import SOURCE_ORDER, own_fields
 from rowtide.schemas import TableSpec, current_schema
 
@@ -45,6 +46,11 @@ def emitted_schema(spec: TableSpec) -> T.StructType:
     return T.StructType([T.StructField("table_name", T.StringType())] + change_schema(spec).fields)
 
 
+def _file_number(name: str | None) -> int | None:
+    number = re.search("([0-9]+)$", name or "")
+    return int(number[1]) if number and int(number[1]) < 1 << 63 else None
+
+
 class KeyedTables(StatefulProcessor):
     """Keeps the newest change of a key and tells what it means for both tables.
 
@@ -70,8 +76,9 @@ class KeyedTables(StatefulProcessor):
         self._state = handle.getValueState("newest", self.schema)
 
     def _place(self, row) -> tuple:
-        """NULLs come first, as they do in Spark's own order."""
-        return tuple((row[c] is not None, row[c]) for c in self.order)
+        """The row's place in the order of changes; NULLs come first, as in Spark's own order."""
+        values = [_file_number(row["source_file"]) if c == FILE_NUMBER else row[c] for c in self.order]
+        return tuple((v is not None, v) for v in values)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = self._state.get()

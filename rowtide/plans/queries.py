@@ -317,17 +317,19 @@ def _stream(spark: SparkSession, sf_dir: str, through: int = DELIVERIES - 1) ->
     return read_feed_files(spark, f"{log_files(spark, sf_dir)}/delivery={{{arrived}}}", streaming=True)
 
 
-def _run(spark: SparkSession, sf_dir: str, *tables: str) -> job.Pipeline:
+def _run(spark: SparkSession, sf_dir: str, *tables: str, stamps: bool = False) -> job.Pipeline:
     """The job after each delivery took in what was new, stopping in between."""
-    pipeline = job.Pipeline(new_run_dir(spark, "tables"), tables=tables)
+    pipeline = job.Pipeline(new_run_dir(spark, "tables"), tables=tables, stamps=stamps)
     for through in range(DELIVERIES):
         job.drain(_stream(spark, sf_dir, through), pipeline)
     return pipeline
 
 
 def _stream_query(table: str) -> Query:
+    """The valid table is kept with stamps, by the processor that tells what leaves it."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return job.read_output(spark, _run(spark, sf_dir, table), table)
+        return job.read_output(spark, _run(spark, sf_dir, table, stamps=table == job.VALID), table)
 
     return query
 
@@ -345,10 +347,10 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lost_halfway(spark: SparkSession, sf_dir: str, table: str) -> job.Pipeline:
     """A job that lost its checkpoint after two deliveries and read the whole log again."""
     root = new_run_dir(spark, "tables")
-    lost = job.Pipeline(root, tables=(table,))
+    lost = job.Pipeline(root, tables=(table,), stamps=False)
     for through in range(2):
         job.drain(_stream(spark, sf_dir, through), lost)
-    anew = job.Pipeline(root, tables=(table,), checkpoint_name="_checkpoint_2")
+    anew = job.Pipeline(root, tables=(table,), stamps=False, checkpoint_name="_checkpoint_2")
     job.drain(_stream(spark, sf_dir), anew)
     return anew
 
@@ -365,7 +367,7 @@ def stream_raw_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_valid_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The valid table rebuilt from the changes that the job emits for it."""
-    pipeline = _run(spark, sf_dir, job.VALID)
+    pipeline = _run(spark, sf_dir, job.VALID, stamps=True)
     return current(job.read_valid_changes(spark, pipeline), ORDERS)
 
 

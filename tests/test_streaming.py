@@ -79,6 +79,15 @@ def test_events_of_a_key_spread_over_batches(spark, tmp_path, small_feed, order)
     assert_tables(spark, pipeline, small_feed)
 
 
+def test_tables_without_stamps(spark, tmp_path, small_feed):
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), stamps=False)
+    for part in ("offset % 8 IN (1, 4, 5)", "offset % 8 IN (0, 2, 3)"):
+        take_in(spark, source, pipeline, small_feed.filter(part))
+    assert_tables(spark, pipeline, small_feed)
+    with pytest.raises(ValueError):
+        read_output(spark, pipeline, CURRENT, stamped=True)
+
+
 def random_log(spark, seed, n=120):
     rng, log = random.Random(seed), Log(spark)
     for i in range(n):

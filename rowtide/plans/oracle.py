@@ -547,6 +547,8 @@ ORACLES: dict[str, str] = {
     "customers_current": CUSTOMERS_CURRENT,
     "reconcile_missing": f"{SIDES} SELECT order_id FROM missing ORDER BY order_id",
     "reconcile_extra": f"{SIDES} SELECT order_id FROM extra ORDER BY order_id",
+    "reconcile_missing_bitmap": f"{SIDES} SELECT order_id FROM missing ORDER BY order_id",
+    "reconcile_extra_bitmap": f"{SIDES} SELECT order_id FROM extra ORDER BY order_id",
     "reconcile_mismatch": MISMATCH,
     "reconcile_outcomes": OUTCOMES,
     "reconcile_by_digest": OUTCOMES,

@@ -18,6 +18,7 @@ from rowtide.operators.decode import (
     read_text,
 )
 from rowtide.operators.drift import unknown_fields
+from rowtide.operators.keysets import extra_by_bitmap, missing_by_bitmap
 from rowtide.operators.latest import current, valid_current
 from rowtide.operators.reconcile import (
     classify,
@@ -209,6 +210,14 @@ def reconcile_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extra_keys(*_faulty_sides(spark, sf_dir), ORDERS)
 
 
+def reconcile_missing_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_by_bitmap(*_faulty_sides(spark, sf_dir), ORDERS)
+
+
+def reconcile_extra_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extra_by_bitmap(*_faulty_sides(spark, sf_dir), ORDERS)
+
+
 def reconcile_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mismatched_rows(*_faulty_sides(spark, sf_dir), ORDERS)
 
@@ -436,6 +445,8 @@ QUERIES: dict[str, Query] = {
     "customers_current": customers_current,
     "reconcile_missing": reconcile_missing,
     "reconcile_extra": reconcile_extra,
+    "reconcile_missing_bitmap": reconcile_missing_bitmap,
+    "reconcile_extra_bitmap": reconcile_extra_bitmap,
     "reconcile_mismatch": reconcile_mismatch,
     "reconcile_outcomes": reconcile_outcomes,
     "reconcile_by_digest": reconcile_digest,

@@ -500,6 +500,11 @@ SELECT f.* REPLACE (signed_id AS order_id),
 FROM final_orders f JOIN signed ON plain_id = f.order_id, start,
   LATERAL (SELECT f.order_id IN (SELECT order_id FROM same) AS kept) AS e"""
 
+BOOTSTRAP_CHUNKS = f"""WITH {IMAGES},{_FINAL},
+signed AS ({_SIGNED})
+SELECT f.* REPLACE (signed_id AS order_id) FROM final_orders f JOIN signed ON plain_id = f.order_id"""
+
+
 def _odd(sql: str) -> str:
     """The same over the feed with odd records: placed without a key, or by an unknown operation."""
     pairs = (
@@ -560,6 +565,7 @@ ORACLES: dict[str, str] = {
     "snapshot_diff": SNAPSHOT_DIFF,
     "apply_feed": APPLY_FEED,
     "bootstrap_then_follow": BOOTSTRAP,
+    "bootstrap_in_chunks": BOOTSTRAP_CHUNKS,
     "keyed_upsert": KEYED_UPSERT,
     "stream_raw": RAW,
     "stream_audit": AUDIT,

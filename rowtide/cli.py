@@ -19,13 +19,6 @@ from rowtide.sources.feed import read_feed_files, read_log
 from rowtide.sources.tables import read_jdbc_table
 from rowtide.streaming import pipeline as job
 
-METRIC_TABLES = {
-    "valid_target_count": job.VALID,
-    "reject_count": job.REJECT,
-    "audit_count": job.AUDIT,
-    "raw_event_count": job.RAW,
-}
-
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.servers:
@@ -52,10 +45,11 @@ def run_reconcile(spark: SparkSession, args: argparse.Namespace) -> int:
     tables = job.Pipeline(args.root, order_by=args.order_by)
 
     def check():
-        stored = {m: job.read_output(spark, tables, t) for m, t in METRIC_TABLES.items()}
+        valid = {"valid_target_count": job.read_output(spark, tables, job.VALID)}
+        counted = job.event_counts(spark, tables)
         replica = job.read_output(spark, tables, job.CURRENT)
         findings = tables.dir("pipeline_findings")
-        return reconcile_by_digest(_source(spark, args), replica, ORDERS, stored, findings, args.sample_size)
+        return reconcile_by_digest(_source(spark, args), replica, ORDERS, valid, findings, args.sample_size, counted)
 
     result = run_until_converged(
         check,

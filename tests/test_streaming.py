@@ -25,6 +25,7 @@ from rowtide.streaming.pipeline import (
     VALID,
     Pipeline,
     drain,
+    event_counts,
     read_output,
     read_valid_changes,
     start,
@@ -175,6 +176,20 @@ def test_a_running_job_takes_in_what_arrives(spark, tmp_path, small_feed):
     assert_tables(spark, pipeline, small_feed)
 
 
+def test_event_tables_are_counted_once_as_they_are_written(spark, tmp_path):
+    pipeline, sizes = Pipeline(str(tmp_path / "tables")), lambda: {r.name: r.n for r in event_counts(spark, pipeline).collect()}
+    assert sizes() == {"raw_event_count": 0, "audit_count": 0, "reject_count": 0}
+    feed = golden(Log(spark)).feed()
+    for batch_id in (0, 0, 1):  # the first batch is run again
+        write_events(pipeline, feed.where(f"(offset < 4) = ({batch_id} = 0)"), batch_id)
+    assert sizes() == {
+        "raw_event_count": read_output(spark, pipeline, RAW).count(),
+        "audit_count": read_output(spark, pipeline, AUDIT).count(),
+        "reject_count": read_output(spark, pipeline, REJECT).count(),
+    }
+    assert sizes()["raw_event_count"] == feed.count()
+
+
 def test_a_batch_run_again_leaves_the_same_rows(spark, tmp_path):
     log, pipeline = golden(Log(spark)), Pipeline(str(tmp_path / "out"))
     for n, part in ((0, log.rows[:4]), (1, log.rows[4:]), (1, log.rows[4:])):

@@ -19,6 +19,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from rowtide.llm.langid import fold
 
 KNOWN_WORDS = 1 << 18  # whose counts every task holds; rarer ones are joined
 HEAD_WORDS = KNOWN_WORDS  # in the network's vocabulary
-CLASSES = 512  # of those words at most; one class more for the rest
+CLASSES = 512  # of those words at most, see `Vocabulary`; one class more for the rest
 UNITS = 16
 WINDOW = 64  # steps of one truncated backpropagation
 SCORE_WINDOW = 64  # steps whose probabilities are worked out together; no bearing on results
@@ -40,6 +41,8 @@ RATE = 0.01
 WORD_RATE = 0.4  # of the weights that belong to one word
 AVERAGE_BLOCK = 1 << 14  # weights averaged in one row
 ROUNDS = 2  # each training document belongs to one
+# Parts that the documents of a round are fitted in: one for so many tokens, these at least.
+PART_TOKENS, LEAST_PARTS = 1 << 23, 8
 # Words a task counts before it hands them on; bytes of text worked on at a time.
 COUNT_LIMIT = 400_000
 TEXT_BLOCK = 1 << 23
@@ -52,7 +55,12 @@ def tokens(data: bytes | None) -> list[bytes]:
 
 @dataclass
 class Vocabulary:
-    """Words by falling count. `end_rank` is the end token's place among them."""
+    """Words by falling count. `end_rank` is the end token's place among them.
+
+    Classes hold equal shares of S, the sum of the roots of the counts: of all ways to make c
+    classes this one gives the least expected class size, S^2 / (c N) for N tokens. Their number
+    is S / sqrt(N), which makes a token's class and its word within the class equally dear.
+    """
 
     words: list[bytes | None]  # None is the end token
     counts: np.ndarray
@@ -64,7 +72,8 @@ class Vocabulary:
     def __post_init__(self):
         self.head = min(HEAD_WORDS, len(self.words))
         weight = np.cumsum(np.sqrt(self.counts[: self.head] + 1.0))
-        classes = min(CLASSES, int(np.ceil(np.sqrt(self.head))))
+        mass = float(self.counts[: self.head].sum()) + 1.0
+        classes = min(CLASSES, self.head, int(np.ceil(weight[-1] / np.sqrt(mass))))
         part = np.minimum((weight / weight[-1] * classes).astype(int), classes - 1)
         self.bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), self.head)
         self.class_of = np.searchsorted(self.bounds, np.arange(self.head), side="right") - 1
@@ -192,13 +201,16 @@ class Network:
                 by_state[some] += own @ p["wo"][low:high]
         return out, by_state
 
-    def gradient(self, inputs, targets, fresh, live, h):
+    def gradient(self, inputs, targets, fresh, live, h, by_word: dict | None = None):
         """Log-likelihood of a window, its gradient by all weights, and the last state.
 
-        The gradient ends at the window's first step; `live` marks the real targets.
+        The gradient ends at the window's first step; `live` marks the real targets. Rows of
+        words that the window concerns are overwritten in `by_word` where given, other rows
+        of it are left as they are.
         """
         n, p, keep = self.units, self.p, []
-        grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items()}  # memory not touched costs nothing
+        grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items() if by_word is None or k not in BY_WORD}
+        grads.update(by_word or {})
         states = self.states(inputs, fresh, h, keep)
         at = np.flatnonzero(live.ravel())
         ll, by = self.log_likelihood(states.reshape(-1, n)[at], targets.ravel()[at], grads)
@@ -279,6 +291,7 @@ class Fitting:
         self.net, self.step, self.seen = network, 0, 0
         self.first = {k: np.zeros_like(x) for k, x in network.p.items() if k not in BY_WORD}
         self.second = {k: np.full_like(x, k in BY_WORD) for k, x in network.p.items()}
+        self.by_word = {k: np.zeros_like(network.p[k]) for k in BY_WORD}
 
     def move(self, name: str, rows, grads: dict) -> None:
         g = grads[name][rows]
@@ -295,7 +308,7 @@ class Fitting:
         net, count = self.net, int(np.clip(sum(map(len, ids)) // (WINDOW * TRAIN_STEPS), *TRAIN_LANES))
         h = np.zeros((count, net.units), net.p["b"].dtype)
         for running, inputs, targets, fresh, live, _ in windows(ids, net.begin, count, WINDOW):
-            _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running])
+            _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running], self.by_word)
             size = int(live.sum())
             self.seen += size
             self.step += 1
@@ -456,18 +469,23 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """The network fitted on all of `docs` (columns id and text), task by task and averaged.
+    """The network fitted on all of `docs` (columns id and text), part by part and averaged.
 
-    Every document belongs to one round; a task holds a block of its documents of the round,
-    as word numbers. The network's `seen` is the number of tokens fitted on.
+    Every document belongs to one round, and there to one part by a hash of its id, in order of
+    ids; the number of parts follows from the number of tokens. So the network depends on
+    the documents alone, not on the cluster. A part is one task, which holds a block of its
+    documents at a time, as word numbers; a lost executor costs the parts it worked on.
+    The network's `seen` is the number of tokens fitted on.
     """
     spark = docs.sparkSession
     network = Network(vocabulary, kind=np.float32)
     seen = 0
     shared = spark.sparkContext.broadcast(vocabulary)
     drawn = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lm")), F.lit(rounds))
+    parts = max(LEAST_PARTS, -(-vocabulary.total // (rounds * PART_TOKENS)))
 
     def mean(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")
         seen = np.array(group["seen"].to_pylist(), np.float64)
         x = sum(np.frombuffer(b, np.float16) * (n / seen.sum()) for b, n in zip(group["x"].to_pylist(), seen))
         return pa.table(
@@ -475,6 +493,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
                 "i": pa.array([group["i"][0].as_py()], pa.int32()),
                 "x": pa.array([x.astype(np.float32).tobytes()], pa.binary()),
                 "seen": pa.array([int(seen.sum())], pa.int64()),
+                "part": pa.array([None], pa.int32()),
             }
         )
 
@@ -485,7 +504,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
             v, ids, size = shared.value, [], 0
             fitting = Fitting(Network(v, kind=np.float32, flat=start.value.copy()))
             for batch in batches:
-                for text in batch.column(0).to_pylist():
+                for text in batch.column("text").to_pylist():
                     own = [v.ids(v.ranks(tokens(part))) for part in text_parts(text or b"")]
                     ids.append(np.concatenate([*own, v.ids(np.array([v.end_rank]))]).astype(np.int32))
                     size += len(ids[-1])
@@ -502,15 +521,17 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
                             pa.array([i], pa.int32()),
                             pa.array([flat[at : at + AVERAGE_BLOCK].tobytes()], pa.binary()),
                             pa.array([fitting.seen], pa.int64()),
+                            pa.array([TaskContext.get().partitionId()], pa.int32()),
                         ],
-                        names=["i", "x", "seen"],
+                        names=["i", "x", "seen", "part"],
                     )
 
-        # One set of weights leaves each core of the cluster, however many parts the documents have.
-        part = docs.where(drawn == number).select("text").coalesce(spark.sparkContext.defaultParallelism)
-        kinds = "i int, x binary, seen long"
+        own = docs.where(drawn == number).select("id", "text")
+        # One set of weights leaves each part, also where Spark deals to more partitions.
+        dealt = own.repartition(parts, F.xxhash64(F.col("id").cast("string"))).sortWithinPartitions("id", "text").coalesce(parts)
+        kinds = "i int, x binary, seen long, part int"
         # As many bytes as the network has, whatever the corpus.
-        rows = part.mapInArrow(run, kinds).groupBy("i").applyInArrow(mean, kinds).collect()
+        rows = dealt.mapInArrow(run, kinds).groupBy("i").applyInArrow(mean, kinds).collect()
         start.unpersist()
         if rows:
             rows.sort(key=lambda r: r["i"])

@@ -24,8 +24,10 @@ from rowtide.llm.common import stored
 UNDETERMINED = "und"
 BITS = 16  # n-grams share 2^16 slots
 ORDERS = (1, 2, 3)
-# Labelled rows fitted on, about; a quarter of as many more set the temperature.
+# Labelled rows fitted on, about; a quarter of as many more set the temperature. Of a rare
+# language LABEL_ROWS (and a quarter of as many) are drawn, or all where there are fewer.
 TRAIN_ROWS = 3000
+LABEL_ROWS = 100
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-4
 # Features are relative frequencies, times this, times the inverse document frequency.
@@ -143,15 +145,26 @@ def train(
     """A model from all rows of `docs` that have a label and a text.
 
     `key` (a long, well spread) draws the sample of about `train_rows` rows; of the rows
-    where `calibrate` holds, a quarter as many set the temperature. Both bounds concern the
+    where `calibrate` holds, a quarter as many set the temperature. A language of which this
+    would draw fewer than LABEL_ROWS is drawn more densely, so that every one is learnt, and
+    its bias and its weight in the temperature are put right by the rate. The bounds concern the
     fit only. Without labelled rows the model knows no language and predicts `und`.
     """
     rows = docs.select(text.alias("text"), lang.alias("lang"), calibrate.alias("late"), key.alias("key"))
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["late"]: r["n"] for r in rows.groupBy("late").agg(F.count("*").alias("n")).collect()}
-    share = [min(1.0, train_rows / max(1, sizes.get(False, 0))), min(1.0, train_rows / 4 / max(1, sizes.get(True, 0)))]
+    # One row for each language and half, of which a model holds weights anyway.
+    sizes = {(bool(r["late"]), r["lang"]): r["n"] for r in rows.groupBy("late", "lang").agg(F.count("*").alias("n")).collect()}
+    totals = [sum(n for (late, _), n in sizes.items() if late == half) for half in (False, True)]
+    share = [min(1.0, train_rows / max(1, totals[0])), min(1.0, train_rows / 4 / max(1, totals[1]))]
+    rates = {
+        (late, name): max(share[late], min(1.0, LABEL_ROWS / (4 if late else 1) / n)) for (late, name), n in sizes.items()
+    }
     part = F.when(F.col("late"), F.lit(1)).otherwise(F.lit(0)).cast("byte")
-    bound = F.when(F.col("late"), F.lit(share[1])).otherwise(F.lit(share[0]))
+    bound = F.lit(0.0)
+    for late in (False, True):
+        entries = [F.lit(x) for (half, name), rate in rates.items() if half == late for x in (name, rate)]
+        if entries:
+            bound = F.when(F.col("late") == late, F.try_element_at(F.create_map(*entries), F.col("lang"))).otherwise(bound)
     drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < bound * (1 << 30)
     part = F.when(drawn, part).otherwise(F.lit(-1).cast("byte"))
     found = stored(
@@ -180,8 +193,11 @@ def train(
         x = SCALE * weight[slots] * counts / counts.sum()
         examples[r["part"]].append((slots, x, number[r["lang"]]))
     fit, late = examples
+    # How much each language's rows stand for: one, or less where it was drawn more densely.
+    stands = [np.array([share[h] / rates.get((bool(h), name), share[h]) for name in languages]) for h in (0, 1)]
     weights, bias = fit_ftrl(fit or late, len(languages))
-    temperature = fit_temperature(late or fit, weights, bias)
+    bias = bias + np.log(stands[0 if fit else 1])
+    temperature = fit_temperature(late or fit, weights, bias, stands[1 if late else 0])
     return Model(languages, (SCALE * weight[:, None] * weights).astype(np.float32), bias, temperature)
 
 
@@ -211,15 +227,19 @@ def fit_ftrl(examples: list, classes: int, epochs: int = EPOCHS) -> tuple[np.nda
     return w[:last], solve(z[last], n[last], 0.0)
 
 
-def fit_temperature(examples: list, weights: np.ndarray, bias: np.ndarray) -> float:
-    """The temperature of least log loss, by golden section on its logarithm."""
+def fit_temperature(examples: list, weights: np.ndarray, bias: np.ndarray, stands: np.ndarray | None = None) -> float:
+    """The temperature of least log loss, by golden section on its logarithm.
+
+    `stands` is how much an example of each class counts for.
+    """
     logits = np.array([x @ weights[slots] + bias for slots, x, _ in examples])
     truth = np.array([y for _, _, y in examples])
 
     def loss(log_t: float) -> float:
         scaled = logits / np.exp(log_t)
         top = scaled.max(axis=1)
-        return float(np.mean(top + np.log(np.exp(scaled - top[:, None]).sum(axis=1)) - scaled[np.arange(len(truth)), truth]))
+        each = top + np.log(np.exp(scaled - top[:, None]).sum(axis=1)) - scaled[np.arange(len(truth)), truth]
+        return float(np.average(each, weights=None if stands is None else stands[truth]))
 
     low, high, ratio = -4.0, 4.0, (5**0.5 - 1) / 2
     for _ in range(60):

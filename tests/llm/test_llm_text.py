@@ -312,9 +312,113 @@ def test_language_of_nothing_learnt(spark):
     assert none.select(langid.identify(none)[0]).count() == 0
 
 
+def test_a_rare_language_is_learnt(spark):
+    """One row in 2,000 where the sample takes one in 80, and less than one of them would come by chance."""
+    draw = random.Random(6)
+    parts = {"aa": ["ba", "na", "la"], "bb": ["ich", "ung", "sch"], "rare": ["żółć", "ćma", "łąk"]}
+    rows = []
+    for i in range(24_000):
+        lang = "rare" if i % 2000 == 3 else draw.choice(["aa", "bb"])
+        rows.append((i, " ".join("".join(draw.choices(parts[lang], k=3)) for _ in range(6)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found, _ = langid.identify(docs, train_rows=300)
+    got = docs.select("lang", found.alias("p")).where("lang = 'rare' OR p.lang = 'rare'").collect()
+    assert len(got) == 12 and all(r.lang == r.p.lang == "rare" for r in got)
+
+
+def plain_slots(text):
+    """n-grams one by one: lower-case letters, runs of anything else as one blank, a blank at both ends."""
+    letters = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text)
+    padded = re.sub(" +", " ", f" {letters} ")
+    for n in langid.ORDERS:
+        for at in range(len(padded) - n + 1):
+            gram = padded[at : at + n]
+            if gram == " ":
+                continue
+            h = n * 0x9E3779B1 & 0xFFFFFFFF
+            for c in gram:
+                h = (h ^ ord(c)) * 0x85EBCA6B & 0xFFFFFFFF
+                h ^= h >> 15
+            yield h >> (32 - langid.BITS)
+
+
+def plain_ftrl(examples, classes, l1, l2):
+    """Follow the regularised leader, weight by weight in dictionaries."""
+    z, n, bias = collections.defaultdict(float), collections.defaultdict(float), "bias"
+
+    def weight(slot, c):
+        a, penalty = z[slot, c], 0.0 if slot == bias else l1
+        if abs(a) <= penalty:
+            return 0.0
+        return -(a - math.copysign(penalty, a)) / ((langid.BETA + math.sqrt(n[slot, c])) / langid.ALPHA + l2)
+
+    shuffle = np.random.default_rng(17)
+    for order in [shuffle.permutation(len(examples)) for _ in range(langid.EPOCHS)]:
+        for row in order:
+            x, y = examples[row]
+            x = {**x, bias: 1.0}
+            w = {(s, c): weight(s, c) for s in x for c in range(classes)}
+            logits = [sum(w[s, c] * v for s, v in x.items()) for c in range(classes)]
+            odds = [math.exp(a - max(logits)) for a in logits]
+            for c in range(classes):
+                wrong = odds[c] / sum(odds) - (c == y)
+                for s, v in x.items():
+                    g = v * wrong
+                    z[s, c] += g - (math.sqrt(n[s, c] + g * g) - math.sqrt(n[s, c])) / langid.ALPHA * w[s, c]
+                    n[s, c] += g * g
+    return weight
+
+
+def test_language_model_equals_plain_loops(spark):
+    docs = made_up(spark, 90)
+    rows = docs.select("*", F.xxhash64(F.col("doc_id").cast("string")).alias("key")).collect()
+    part = {r: zlib.crc32(str(r.doc_id).encode() if r.doc_id is not None else b"") % 5 for r in rows}
+    learnt = [(r, collections.Counter(plain_slots(r.text))) for r in rows if part[r] and r.text is not None and r.lang]
+    frequency = collections.Counter(s for _, counts in learnt for s in counts)
+    idf = {s: math.log((1 + len(learnt)) / (1 + f)) + 1 for s, f in frequency.items()}
+    unseen = math.log(1 + len(learnt)) + 1
+
+    def features(counts):
+        return {s: langid.SCALE * idf.get(s, unseen) * c / counts.total() for s, c in counts.items()}
+
+    languages = sorted({r.lang for r, counts in learnt if counts})
+    ordered = sorted((x for x in learnt if x[1]), key=lambda x: x[0].key)
+    examples = {late: [(features(c), languages.index(r.lang)) for r, c in ordered if (part[r] == 1) == late] for late in (False, True)}
+    weight = plain_ftrl(examples[False], len(languages), langid.L1, langid.L2)
+
+    def logits(x):
+        return np.array([weight("bias", c) + sum(weight(s, c) * v for s, v in x.items()) for c in range(len(languages))])
+
+    late = [(logits(x), y) for x, y in examples[True]]
+
+    def loss(t):
+        return sum(np.log(np.exp((a - a.max()) / t).sum()) + (a.max() - a[y]) / t for a, y in late)
+
+    grid = np.exp(np.linspace(-4, 4, 801))
+    temperature = grid[np.argmin([loss(t) for t in grid])]
+    got = docs.select("doc_id", "text", langid.identify(docs)[0].alias("p")).collect()
+    for r in got:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert tuple(r.p) == ("und", 0.0)
+            continue
+        a = logits(features(collections.Counter(plain_slots(r.text)))) / temperature
+        odds = np.exp(a - a.max())
+        assert r.p.lang == languages[int(np.argmax(a))]
+        assert abs(r.p.score - 1 / odds.sum()) < 0.01
+
+
 # --- language model
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    draw = random.Random(8)
+    texts = [" ".join(draw.choices(string.ascii_lowercase, k=draw.randint(0, 30))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    a, b = ({r.doc_id: r.score for r in lm.score(docs.repartition(n)).collect()} for n in (1, 7))
+    # Lanes share matrix products of single precision, so the last digits go by a lane's neighbours.
+    assert a == pytest.approx(b, rel=1e-6) and len(a) == 300
+
+
 @pytest.fixture
 def small(monkeypatch):
     monkeypatch.setattr(lm, "HEAD_WORDS", 5)

@@ -33,6 +33,7 @@ UNITS = 16
 WINDOW = 64  # steps of one truncated backpropagation
 SCORE_WINDOW = 64  # steps whose probabilities are worked out together; no bearing on results
 LANES = 256  # documents scored side by side
+CACHED_ROWS = 512  # rows whose probabilities of all classes are held at once; no bearing on results
 # Documents fitted on side by side: as many as leave TRAIN_STEPS windows to a block of
 # documents, within these bounds.
 TRAIN_LANES, TRAIN_STEPS = (32, 256), 64
@@ -162,58 +163,74 @@ class Network:
             out[t] = h
         return out
 
-    def log_likelihood(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
+    def log_likelihood(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None, move=None):
         """Natural log-probability of each target given its state (rows); for targets
-        outside the head, that of their class. With `grads`, the gradient by state too."""
-        p, rows = self.p, np.arange(len(targets))
-        odds = states @ p["wc"] + p["bc"]
-        odds -= odds.max(axis=1, keepdims=True)
-        kind = np.where(targets < self.head, self.class_of[np.minimum(targets, self.head - 1)], len(self.bounds) - 1)
-        out = odds[rows, kind].astype(np.float64)
-        np.exp(odds, out=odds)
-        total = odds.sum(axis=1, keepdims=True)
-        out -= np.log(total[:, 0])
-        by_state = None
-        if grads is not None:
-            odds /= -total
-            odds[rows, kind] += 1
-            grads["wc"] += states.T @ odds
-            grads["bc"] += odds.sum(axis=0)
-            by_state = odds @ p["wc"].T
+        outside the head, that of their class. With `grads`, the gradient by state too.
+
+        Rows are taken by class, in blocks that stay in the processor's cache. With `move`, the
+        gradients of a class's words go there at once, as (name, rows, gradient).
+        """
+        p, outside = self.p, len(self.bounds) - 1
+        kind = np.where(targets < self.head, self.class_of[np.minimum(targets, self.head - 1)], outside)
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(len(self.bounds)))
+        kind, states, targets = kind[order], states[order], targets[order]
+        found = np.empty(len(targets))
+        by = None if grads is None else np.empty_like(states)
+        for at in range(0, len(targets), CACHED_ROWS):
+            some, rows = slice(at, at + CACHED_ROWS), np.arange(min(CACHED_ROWS, len(targets) - at))
+            odds = states[some] @ p["wc"]
+            odds += p["bc"]
+            odds -= odds.max(axis=1, keepdims=True)
+            picked = odds[rows, kind[some]]
+            np.exp(odds, out=odds)
+            total = odds.sum(axis=1, keepdims=True)
+            found[some] = picked - np.log(total[:, 0])
+            if grads is not None:
+                odds *= -1 / total
+                odds[rows, kind[some]] += 1
+                grads["wc"] += states[some].T @ odds
+                grads["bc"] += odds.sum(axis=0)
+                by[some] = odds @ p["wc"].T
+        ends = np.searchsorted(kind, np.arange(len(self.bounds)))
         for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.bounds) > 1)).tolist():
-            some = order[ends[c] : ends[c + 1]]
-            low, high = self.bounds[c], self.bounds[c + 1]
-            mine, own_rows, at = states[some], np.arange(len(some)), targets[some] - low
-            own = mine @ p["wo"][low:high].T
-            own += p["bo"][low:high]
+            some, words = slice(ends[c], ends[c + 1]), slice(self.bounds[c], self.bounds[c + 1])
+            mine, at = states[some], targets[some] - self.bounds[c]
+            rows = np.arange(len(mine))
+            own = mine @ p["wo"][words].T
+            own += p["bo"][words]
             own -= own.max(axis=1, keepdims=True)
-            picked = own[own_rows, at]
+            picked = own[rows, at]
             np.exp(own, out=own)
             total = own.sum(axis=1, keepdims=True)
-            out[some] += picked - np.log(total[:, 0])
+            found[some] += picked - np.log(total[:, 0])
             if grads is not None:
-                own /= -total
-                own[own_rows, at] += 1
-                grads["wo"][low:high] = own.T @ mine
-                grads["bo"][low:high] = own.sum(axis=0)
-                by_state[some] += own @ p["wo"][low:high]
+                own *= -1 / total
+                own[rows, at] += 1
+                by[some] += own @ p["wo"][words]
+                for name, g in (("wo", own.T @ mine), ("bo", own.sum(axis=0))):
+                    if move is None:
+                        grads[name][words] = g
+                    else:
+                        move(name, words, g)
+        out = np.empty_like(found)
+        out[order] = found
+        if grads is None:
+            return out, None
+        by_state = np.empty_like(by)
+        by_state[order] = by
         return out, by_state
 
-    def gradient(self, inputs, targets, fresh, live, h, by_word: dict | None = None):
+    def gradient(self, inputs, targets, fresh, live, h, move=None):
         """Log-likelihood of a window, its gradient by all weights, and the last state.
 
-        The gradient ends at the window's first step; `live` marks the real targets. Rows of
-        words that the window concerns are overwritten in `by_word` where given, other rows
-        of it are left as they are.
+        The gradient ends at the window's first step; `live` marks the real targets. With `move`,
+        gradients of weights that belong to words go there and are not returned.
         """
         n, p, keep = self.units, self.p, []
-        grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items() if by_word is None or k not in BY_WORD}
-        grads.update(by_word or {})
+        grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items() if move is None or k not in BY_WORD}
         states = self.states(inputs, fresh, h, keep)
         at = np.flatnonzero(live.ravel())
-        ll, by = self.log_likelihood(states.reshape(-1, n)[at], targets.ravel()[at], grads)
+        ll, by = self.log_likelihood(states.reshape(-1, n)[at], targets.ravel()[at], grads, move)
         by_state = np.zeros((inputs.size, n), h.dtype)
         by_state[at] = by
         by_state = by_state.reshape(states.shape)
@@ -236,7 +253,11 @@ class Network:
         grads["w"] = p["embed"][ids].T @ flat_in
         order = np.argsort(ids, kind="stable")
         words, starts = np.unique(ids[order], return_index=True)
-        grads["embed"][words] = np.add.reduceat((flat_in @ p["w"].T)[order], starts)
+        by_input = np.add.reduceat((flat_in @ p["w"].T)[order], starts)
+        if move is None:
+            grads["embed"][words] = by_input
+        else:
+            move("embed", words, by_input)
         return float(ll.sum()), grads, states[-1]
 
 
@@ -291,14 +312,13 @@ class Fitting:
         self.net, self.step, self.seen = network, 0, 0
         self.first = {k: np.zeros_like(x) for k, x in network.p.items() if k not in BY_WORD}
         self.second = {k: np.full_like(x, k in BY_WORD) for k, x in network.p.items()}
-        self.by_word = {k: np.zeros_like(network.p[k]) for k in BY_WORD}
 
-    def move(self, name: str, rows, grads: dict) -> None:
-        g = grads[name][rows]
+    def move(self, name: str, rows, g: np.ndarray) -> None:
         second = self.second[name][rows] + g * g
         self.second[name][rows] = second
+        np.sqrt(second, out=second)
         g *= WORD_RATE
-        g /= np.sqrt(second)
+        g /= second
         self.net.p[name][rows] += g
 
     def block(self, ids: list[np.ndarray]) -> None:
@@ -308,17 +328,11 @@ class Fitting:
         net, count = self.net, int(np.clip(sum(map(len, ids)) // (WINDOW * TRAIN_STEPS), *TRAIN_LANES))
         h = np.zeros((count, net.units), net.p["b"].dtype)
         for running, inputs, targets, fresh, live, _ in windows(ids, net.begin, count, WINDOW):
-            _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running], self.by_word)
+            _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running], self.move)
             size = int(live.sum())
             self.seen += size
             self.step += 1
             rate = RATE / (1 - 0.9**self.step)
-            self.move("embed", np.unique(inputs), grads)
-            own = targets[live & (targets < net.head)]
-            for c in np.unique(net.class_of[own]).tolist():
-                rows = slice(net.bounds[c], net.bounds[c + 1])
-                self.move("wo", rows, grads)
-                self.move("bo", rows, grads)
             for k in self.first:
                 g = grads[k]
                 g /= size
@@ -335,12 +349,14 @@ def fit_part(network: Network, ids: list[np.ndarray]) -> tuple[Network, int]:
     return network, fitting.seen
 
 
-def score_ids(network: Network, ids: list[np.ndarray], h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log-likelihood of each document, and the lanes' last states.
+def score_ids(network: Network | None, ids: list[np.ndarray], h: np.ndarray | None = None) -> tuple:
+    """Natural log-likelihood of each document (0 without a network), and the lanes' last states.
 
     With `h` given, the one document goes on from that state, and ids[0][0] is its last input.
     """
     out = np.zeros(len(ids))
+    if network is None:
+        return out, h
     go_on = h is not None
     if go_on:
         first, ids = int(ids[0][0]), [ids[0][1:]]
@@ -359,10 +375,13 @@ def score_ids(network: Network, ids: list[np.ndarray], h: np.ndarray | None = No
 
 
 class Scorer:
-    """Sums that need no join: base and network scores of the words every task knows."""
+    """Sums that need no join: base and network scores of the words every task knows.
+
+    Without a network, its log-likelihoods are 0.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, network: Network):
-        self.v, self.net = vocabulary, network.cast(np.float32)
+    def __init__(self, vocabulary: Vocabulary, network: Network | None):
+        self.v, self.net = vocabulary, network and network.cast(np.float32)
         self.log_count = np.log10(vocabulary.counts + 1.0)
 
     def _sums(self, ranks: np.ndarray) -> np.ndarray:
@@ -552,6 +571,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     counts as empty and has the end token only. Repeated rows count as often as they
     occur. base_score is the smoothed word-frequency log10 probability, score the network's.
     """
+    return _scores(docs, id_col, text_col, folds, held, with_network=True)
+
+
+def base_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
+    """The columns of `score` but the last: no network is fitted."""
+    return _scores(docs, id_col, text_col, folds, held, with_network=False).drop("score")
+
+
+def _scores(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, with_network: bool) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -561,11 +589,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     learnt = rows.where(~F.col("held_out"))
     counts = stored(word_counts(learnt.select("text")))
     known = vocabulary(counts)
-    shared = spark.sparkContext.broadcast((known, train(learnt.select("id", "text"), known).flat()))
+    fitted = train(learnt.select("id", "text"), known).flat() if with_network else None
+    shared = spark.sparkContext.broadcast((known, fitted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
-        scorer = Scorer(v, Network(v, kind=np.float32, flat=flat))
+        scorer = Scorer(v, None if flat is None else Network(v, kind=np.float32, flat=flat))
         for batch in batches:
             columns = list(zip(*scorer.batch(batch.column(2).to_pylist()))) or [[]] * 7
             sums = [pa.array([float(x) for x in c], pa.float64()) for c in columns[1:5]]

@@ -11,6 +11,7 @@ from rowtide.llm import (
     hard_negatives,
     langid,
     lm,
+    parts,
     pieces,
     pii,
     secret_scan,
@@ -142,6 +143,25 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_whole_vectors(spark, sf_dir).select("vec_id", "vector"))
 
 
+def secret_fixed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the contract fixes of op2."""
+    return op2_secret_scan(spark, sf_dir).drop("spans", "n_entropy")
+
+
+def personal_fixed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the contract fixes of op11."""
+    return op11_personal_data(spark, sf_dir).drop("spans", "n_context")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parts.url_rules(op3_url_filter(spark, sf_dir))
+
+
+def whitening_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole numbers among the results of op13."""
+    return op13_whitening(spark, sf_dir).select("vec_id", "component", "n", "deviation")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -156,9 +176,15 @@ QUERIES = {
     "op11_personal_data": op11_personal_data,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
+    "secret_fixed_spans": secret_fixed_spans,
+    "url_rules": url_rules,
+    "frequency_scores": parts.frequency_scores,
+    "personal_fixed_spans": personal_fixed_spans,
+    "whitening_sums": whitening_sums,
 }
 
 ORACLES = {
+    **parts.ORACLES,
     "op1_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
         SELECT doc_id,

@@ -509,6 +509,31 @@ def test_blocks_of_documents_are_all_fitted_on(small):
     assert fitting.seen == sum(map(len, ids)) and all(np.isfinite(fitting.net.flat()))
 
 
+def test_base_scores_are_those_beside_the_network(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN_WORDS", 4)
+    monkeypatch.setattr(lm, "TEXT_BLOCK", 300)
+    monkeypatch.setattr(common, "TEXT_PART", 100)
+    rows = [(i, f"w{i % 9} and w{i % 4} " * (i % 7)) for i in range(60)] + [(60, None), (61, "long " * 200), (61, "long " * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = lm.score(docs).drop("score").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, lm.base_scores(docs).collect()))
+
+
+def test_rows_in_blocks_give_the_same_gradient(small, monkeypatch):
+    net = lm.Network(small, units=4)
+    ids = [np.random.default_rng(3).integers(0, 7, k) for k in (40, 3, 25)]
+    window = next(iter(lm.windows(ids, net.begin, 3, 30)))
+
+    def total():
+        running, inputs, targets, fresh, live, _ = window
+        ll, grads, _ = net.gradient(inputs, targets, fresh, live, np.zeros((3, 4))[running])
+        return np.concatenate([[ll], *(grads[k].ravel() for k in lm.SHAPES)])
+
+    whole = total()
+    monkeypatch.setattr(lm, "CACHED_ROWS", 7)
+    assert np.allclose(total(), whole)
+
+
 def test_scores_equal_counted_by_hand(spark, monkeypatch):
     monkeypatch.setattr(lm, "KNOWN_WORDS", 6)
     draw = random.Random(8)

@@ -533,6 +533,17 @@ FROM (
 WHERE op IS NOT NULL AND k % 47 = 3 AND NOT (step = 0 AND (k % 41 = 1 OR k % 43 = 2))
 GROUP BY place"""
 
+def _gtid_islands(numbers: str) -> str:
+    return f"""{LOG},
+seen AS (
+  SELECT DISTINCT CAST(split_part(source_gtid, ':', 2) AS BIGINT) AS n
+  FROM log WHERE op IS NOT NULL AND source_gtid IS NOT NULL
+), numbers AS ({numbers})
+SELECT 'gtid' AS server, min(n) AS first, max(n) AS last
+FROM (SELECT n, n - row_number() OVER (ORDER BY n) AS island FROM numbers) AS numbered
+GROUP BY island"""
+
+
 ORACLES: dict[str, str] = {
     "cdc_raw_events": RAW,
     "raw_events_reread": RAW,
@@ -548,6 +559,10 @@ ORACLES: dict[str, str] = {
     "orders_current_odd": _odd(CURRENT),
     "orders_current_rolled": CURRENT_ROLLED,
     "drift_report": DRIFT,
+    "gtid_ranges": _gtid_islands("SELECT n FROM seen"),
+    "gtid_missing": _gtid_islands(
+        "SELECT n FROM range(1, (SELECT max(n) FROM seen)) AS r(n) WHERE n NOT IN (SELECT n FROM seen)"
+    ),
     "orders_valid_current": VALID,
     "customers_current": CUSTOMERS_CURRENT,
     "reconcile_missing": f"{SIDES} SELECT order_id FROM missing ORDER BY order_id",

@@ -33,6 +33,7 @@ from rowtide.operators.reconcile import (
     summarise,
     table_metrics,
 )
+from rowtide.operators.transactions import missing_transactions, transaction_set
 from rowtide.operators.views import (
     enriched_events,
     event_audit,
@@ -182,6 +183,19 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unknown_fields(odd_log(spark, sf_dir), ORDERS)
 
 
+def gtid_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions that the feed's events come from, as ranges."""
+    return transaction_set(_enriched(spark, sf_dir))
+
+
+def gtid_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions up to the last one of each server that no event of the feed comes from,
+    as one asks after a fail-over."""
+    present = transaction_set(_enriched(spark, sf_dir))
+    executed = present.groupBy("server").agg(F.lit(1).cast("long").alias("first"), F.max("last").alias("last"))
+    return missing_transactions(executed, present)
+
+
 def orders_valid_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_current(_typed(spark, sf_dir), ORDERS)
 
@@ -474,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "orders_current_odd": orders_current_odd,
     "orders_current_rolled": orders_current_rolled,
     "drift_report": drift_report,
+    "gtid_ranges": gtid_ranges,
+    "gtid_missing": gtid_missing,
     "orders_valid_current": orders_valid_current,
     "customers_current": customers_current,
     "reconcile_missing": reconcile_missing,

@@ -1,7 +1,9 @@
 """Even key ranges for scans of another database."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from rowtide.plans.inputs import log_files, order_feed
 from rowtide.sources.tables import key_cuts, key_predicates
 
 
@@ -30,3 +32,28 @@ def test_cuts_of_small_tables(spark):
     assert key_cuts(empty, "k", 8) == [] and key_predicates("k", []) == ["1 = 1"]
     assert key_cuts(spark.range(5).toDF("k"), "k", 1) == []
     assert key_predicates("k", key_cuts(spark.sql("SELECT 4L AS k"), "k", 4)) == ["k < 4 OR k IS NULL", "k >= 4"]
+
+
+def test_no_task_writes_a_whole_partition_of_the_log(spark, tmp_path):
+    """Of a log of 6 partitions no file has even a half of one, if files are to be small."""
+    orders = spark.range(40_000).selectExpr(
+        "id o_orderkey", "id o_custkey", "'O' o_orderstatus", "'1-URGENT' o_orderpriority",
+        "1.5D o_totalprice", "TIMESTAMP'1995-01-02 00:00:00' o_orderdate",
+    )
+    orders.repartition(8).write.parquet(str(tmp_path / "orders.parquet"))
+    small = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    kept = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        log = log_files(spark, str(tmp_path))
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    files = spark.read.parquet(log).groupBy("delivery", F.input_file_name()).count().collect()
+    records = sum(r["count"] for r in files)
+    assert records == order_feed(spark, str(tmp_path)).count()
+    assert max(r["count"] for r in files) < records / 12

@@ -286,6 +286,22 @@ def test_latest_state_equals_batch_over_two_runs(spark, tmp_path, small_feed):
     same_rows(keyed.read_latest_state(spark, ORDERS, checkpoint), batch_twins(small_feed)[CURRENT])
 
 
+def test_neighbouring_keys_share_their_state(spark, tmp_path):
+    """One entry for a block of keys, whatever their values: none, a quote, microseconds."""
+    log, keys = Log(spark), [0, 1, 5, 63, 64, -1]
+    for key in keys:
+        log.add(envelope("c", None, order(key, customer_id=None, city='a "b"\\ \u00e9', updated="2026-09-16T10:00:00.123456Z")))
+    log.add(envelope("u", order(5), order(5, status=None, amount="-0.05"))).add(envelope("d", order(63), None))
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(CURRENT, VALID))
+    for part in (log.rows[6:], log.rows[:3], log.rows[3:]):
+        take_in(spark, source, pipeline, log.feed(part))
+    twins = batch_twins(log.feed())
+    for table in (CURRENT, VALID):
+        same_rows(read_output(spark, pipeline, table), twins[table])
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(pipeline.checkpoint("keyed"))
+    assert sorted(len(r.value["keys"]) for r in state.collect()) == [1, 1, 4]
+
+
 # Positions taken in
 
 

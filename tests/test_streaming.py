@@ -1,5 +1,6 @@
 """The continuous job: splits, restarts, repeats, retractions, failures."""
 
+import datetime as dt
 import os
 import random
 import time
@@ -12,7 +13,7 @@ from rowtide.operators.decode import decode_changelog, decode_envelope, read_tex
 from rowtide.operators.latest import current, valid_current
 from rowtide.operators.views import enriched_events, event_audit, raw_events, rejects, typed_changes
 from rowtide.plans.inputs import order_feed
-from rowtide.schemas import ORDERS
+from rowtide.schemas import FEED, ORDERS
 from rowtide.sources.feed import log_options, read_feed_files
 from rowtide.sources.tables import jdbc_options, merge_statements
 from rowtide.streaming import keyed, taken
@@ -305,6 +306,18 @@ def test_neighbouring_keys_share_their_state(spark, tmp_path):
 # Positions taken in
 
 
+def test_records_without_a_position_stop_nothing(spark, tmp_path):
+    """They have a place of their own; the offsets beside them stay whole numbers."""
+    at = dt.datetime(9000, 1, 2, 3, 4, 5, 678901)
+    records = [("t", 1, (1 << 53) + 1, at, None, "a"), ("t", None, 7, None, "k", None), ("t", 1, None, at, None, "b")]
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(RAW,))
+    for part in (records, records[2:], records):
+        deliver(spark.createDataFrame(part, FEED), source)
+        got = taken.untaken(read_feed_files(spark, source, streaming=True)).writeStream.format("parquet")
+        got.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(pipeline.root).awaitTermination()
+    same_rows(spark.read.schema(FEED).parquet(pipeline.root), spark.createDataFrame(records, FEED))
+
+
 def test_ranges_merge_and_answer():
     rng = random.Random(4)
     for _ in range(50):

@@ -1,10 +1,12 @@
 """Language-model scores of whole documents by a gated recurrent network.
 
 Word counts cover all training documents. The words whose counts every task knows are the
-network's vocabulary, split into about as many classes as the square root of their number:
-the probability of a word is that of its class given the state, times that of the word
-within its class given the state. Words beyond them form one more class, within which a
-word has its smoothed relative frequency. The network is fitted with truncated
+network's vocabulary, split into classes of about equal shares of the tokens, and each class
+into halves, those into halves again, down to single words: the probability of a word is that
+of its class given the state (softmax), times that of each half it lies in given the state and
+the part that is halved. So a token takes one term for each class and one for each halving,
+and not one for each word of its class. Words beyond them form one more class, within which
+a word has its smoothed relative frequency. The network is fitted with truncated
 backpropagation in one pass over all training documents: they are dealt to rounds, in each
 round every task goes through its own, and the tasks' weights are averaged after it. Scoring carries the state from window
 to window, so a document's likelihood is complete however long it is.
@@ -15,10 +17,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,25 +32,24 @@ from rowtide.llm.langid import fold
 
 KNOWN_WORDS = 1 << 18  # whose counts every task holds; rarer ones are joined
 HEAD_WORDS = KNOWN_WORDS  # in the network's vocabulary
-CLASSES = 512  # of those words at most, see `Vocabulary`; one class more for the rest
+CLASSES = 40  # equal shares that classes of those words are near to, see `Vocabulary`
 UNITS = 16
 WINDOW = 64  # steps of one truncated backpropagation
-SCORE_WINDOW = 64  # steps whose probabilities are worked out together; no bearing on results
-LANES = 256  # documents scored side by side
+SCORE_WINDOW = 128  # steps whose probabilities are worked out together; no bearing on results
+LANES = 512  # documents scored side by side
+CACHED_STEPS = 4  # steps worked on at once where they need not be one by one; no bearing on results
 CACHED_ROWS = 512  # rows whose probabilities of all classes are held at once; no bearing on results
 # Documents fitted on side by side: as many as leave TRAIN_STEPS windows to a block of
 # documents, within these bounds.
-TRAIN_LANES, TRAIN_STEPS = (32, 256), 64
-TRAIN_BLOCK = 1 << 20  # tokens a task holds to fit on
+TRAIN_LANES, TRAIN_STEPS = (32, 320), 64
+TRAIN_BLOCK = 5 << 18  # tokens a task holds to fit on
 RATE = 0.01
-WORD_RATE = 0.4  # of the weights that belong to one word
+WORD_RATE = 0.2  # of the weights that belong to one word or halving
 AVERAGE_BLOCK = 1 << 14  # weights averaged in one row
 ROUNDS = 2  # each training document belongs to one
 # Parts that the documents of a round are fitted in: one for so many tokens, these at least.
 PART_TOKENS, LEAST_PARTS = 1 << 23, 8
-# Words a task counts before it hands them on; bytes of text worked on at a time.
-COUNT_LIMIT = 400_000
-TEXT_BLOCK = 1 << 23
+TEXT_BLOCK = 1 << 24  # bytes of text worked on at a time
 
 
 def tokens(data: bytes | None) -> list[bytes]:
@@ -54,13 +57,39 @@ def tokens(data: bytes | None) -> list[bytes]:
     return data.lower().split() if data else []
 
 
+def words_of(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words (see `tokens`) of all texts in one array, and how many each text has."""
+    parts = [list(text_parts(text or b"")) for text in texts]
+    whole = pa.array([x for some in parts for x in some], pa.binary()).view(pa.string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+    words = split.values
+    real = pc.binary_length(words).to_numpy() > 0  # nothing stands before leading and after trailing space
+    upto = np.append(0, np.cumsum(real))[split.offsets.to_numpy()]
+    ends = upto[np.cumsum([0, *map(len, parts)])]
+    return words.filter(pa.array(real)).view(pa.binary()), np.diff(ends)
+
+
+def blocks_of(texts: Iterator[bytes | None]) -> Iterator[list[bytes | None]]:
+    """Texts of together TEXT_BLOCK bytes, or one longer text."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text or b"") > TEXT_BLOCK:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text or b"")
+    if held:
+        yield held
+
+
 @dataclass
 class Vocabulary:
     """Words by falling count. `end_rank` is the end token's place among them.
 
-    Classes hold equal shares of S, the sum of the roots of the counts: of all ways to make c
-    classes this one gives the least expected class size, S^2 / (c N) for N tokens. Their number
-    is S / sqrt(N), which makes a token's class and its word within the class equally dear.
+    A class holds a power of two of neighbouring words: as many as have at most 1.5 times an
+    equal share of the tokens, one at least. A class of 2^d words is halved d times, whatever the
+    word, so the halving k of class c is between rows c + 2^k and c + 2^(k+1) of the words' weights,
+    where c is its first word (whose own row is not used).
     """
 
     words: list[bytes | None]  # None is the end token
@@ -72,12 +101,15 @@ class Vocabulary:
 
     def __post_init__(self):
         self.head = min(HEAD_WORDS, len(self.words))
-        weight = np.cumsum(np.sqrt(self.counts[: self.head] + 1.0))
-        mass = float(self.counts[: self.head].sum()) + 1.0
-        classes = min(CLASSES, self.head, int(np.ceil(weight[-1] / np.sqrt(mass))))
-        part = np.minimum((weight / weight[-1] * classes).astype(int), classes - 1)
-        self.bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), self.head)
-        self.class_of = np.searchsorted(self.bounds, np.arange(self.head), side="right") - 1
+        upto = np.append(0, np.cumsum(self.counts[: self.head] + 1))
+        share, bounds = 1.5 * float(upto[-1]) / CLASSES, [0]
+        while bounds[-1] < self.head:
+            at, size = bounds[-1], 1
+            while at + 2 * size <= self.head and upto[at + 2 * size] - upto[at] <= share:
+                size *= 2
+            bounds.append(at + size)
+        self.bounds = np.array(bounds)
+        self.class_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         self.rank = {w: i for i, w in enumerate(self.words) if w is not None}
         self.end_rank = self.words.index(None)
         rest = self.total - int(self.counts[: self.head].sum())
@@ -90,6 +122,16 @@ class Vocabulary:
     def ranks(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
 
+    @cached_property
+    def _lookup(self) -> pa.Array:
+        return pa.array([w or b"" for w in self.words], pa.binary())  # no word is empty
+
+    def coded(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Ranks (-1 if not known) of all words of the texts, where each text ends, and the words."""
+        words, counts = words_of(texts)
+        ranks = pc.index_in(words, value_set=self._lookup).fill_null(-1).to_numpy().astype(np.int64)
+        return ranks, np.cumsum(counts), words
+
     def ids(self, ranks: np.ndarray) -> np.ndarray:
         """Network input and target numbers: the rank, or `head` for any other word."""
         return np.where((ranks >= 0) & (ranks < self.head), ranks, self.head)
@@ -105,6 +147,13 @@ class Network:
     def __init__(self, vocabulary: Vocabulary, units: int = UNITS, kind=np.float64, flat: np.ndarray | None = None):
         v, n, c = vocabulary.head, units, vocabulary.classes
         self.bounds, self.class_of, self.head, self.units = vocabulary.bounds, vocabulary.class_of, v, n
+        sizes = np.diff(self.bounds)
+        # How often the class of each word is halved, and its first word; the class of all others is not.
+        self.halved = np.append(np.repeat(np.log2(sizes).astype(np.int32), sizes), np.int32(0))
+        self.first = np.append(np.repeat(self.bounds[:-1], sizes), v).astype(np.int32)
+        # Words' places where those halved most often come first.
+        self.place = np.empty(v + 1, np.int64)
+        self.place[np.argsort(-self.halved, kind="stable")] = np.arange(v + 1)
         # Embedded are words, any other word, begin of a text.
         shapes = ((v + 2, n), (n, 3 * n), (n, 3 * n), (3 * n,), (n, c), (c,), (v, n), (v,))
         if flat is not None:
@@ -113,7 +162,7 @@ class Network:
             self.cast(kind)
             return
         draw = np.random.default_rng(5)
-        scale = {"embed": 0.1, "w": n**-0.5, "u": n**-0.5, "wc": 0.1, "wo": 0.1}
+        scale = {"embed": 0.1, "w": n**-0.5, "u": n**-0.5, "wc": 0.1}
         self.p = {}
         for k, shape in zip(SHAPES, shapes):
             self.p[k] = np.zeros(shape, np.float32)
@@ -123,9 +172,20 @@ class Network:
         # An unfitted network starts near word frequencies.
         counts = vocabulary.counts[:v] + 1.0
         mass = np.append(np.add.reduceat(counts, self.bounds[:-1]), vocabulary.rest_size)
-        self.p["bc"], self.p["bo"] = np.log(mass / mass.sum()), np.log(counts / mass[self.class_of])
+        self.p["bc"], self.p["bo"] = np.log(mass / mass.sum()), self._odds(counts)
         self.cast(kind)
 
+    def _odds(self, counts: np.ndarray) -> np.ndarray:
+        """Log-odds of the later half against the earlier at each halving, by counts alone."""
+        upto, own = np.append(0.0, np.cumsum(counts)), np.arange(len(counts)) - self.first[:-1]
+        depth = np.floor(np.log2(np.maximum(own, 1))).astype(np.int64)
+        size = 1 << np.maximum(self.halved[:-1] - depth, 1)
+        begin = self.first[:-1] + (own - (1 << depth)) * size
+        begin = np.where(own > 0, begin, 0)
+        size = np.where(own > 0, size, 0)
+        early, late = (upto[begin + (i + 1) * size // 2] - upto[begin + i * size // 2] for i in (0, 1))
+        return np.where(own > 0, np.log(np.where(own > 0, late, 1.0) / np.where(own > 0, early, 1.0)), 0.0)
+
     def cast(self, kind) -> Network:
         self.p = {k: np.ascontiguousarray(x, kind) for k, x in self.p.items()}
         return self
@@ -146,72 +206,111 @@ class Network:
         return self
 
     def states(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States after each of the (time, lane) inputs; lanes start anew where `fresh`."""
-        n, u = self.units, self.p["u"]
-        gates_in = (self.p["embed"][inputs.ravel()] @ self.p["w"] + self.p["b"]).reshape(*inputs.shape, 3 * n)
-        out = np.empty((*inputs.shape, n), h.dtype)
-        for t in range(len(inputs)):
-            if fresh[t].any():
-                h = h * ~fresh[t][:, None]
-            inner = h @ u
-            zr = 1 / (1 + np.exp(-(gates_in[t, :, : 2 * n] + inner[:, : 2 * n])))
-            z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(gates_in[t, :, 2 * n :] + r * inner[:, 2 * n :])
-            if keep is not None:
-                keep.append((h, z, r, c, inner[:, 2 * n :]))
-            h = c + z * (h - c)
-            out[t] = h
-        return out
+        """States after each of the (time, lane) inputs; lanes start anew where `fresh`.
+
+        Within, lanes come last, so that the gates are whole rows. `keep` takes, by time, unit
+        and lane: the states before, the gates, and the candidate's share of the state before.
+        """
+        n, kind = self.units, h.dtype
+        # With the first two gates' signs turned, a gate is 1 / (1 + e^x).
+        sign = np.repeat(np.array([-1, 1], kind), [2 * n, n])
+        u, w, b = (np.ascontiguousarray((self.p[k] * sign).T) for k in ("u", "w", "b"))
+        times, width = inputs.shape
+        out = np.empty((times, n, width), kind)
+        kept, mine = keep is not None, np.empty((3 * n, width), kind)
+        if kept:
+            before, inner = np.empty_like(out), np.empty((times, 3 * n, width), kind)
+            every = np.empty_like(inner)
+            keep += [before, every, inner[:, 2 * n :]]
+        h = np.ascontiguousarray(h.T)
+        anew = fresh.any(axis=1).tolist()
+        for at in range(0, times, CACHED_STEPS):
+            some = slice(at, at + CACHED_STEPS)
+            embedded = self.p["embed"].take(inputs[some], 0).transpose(0, 2, 1)
+            gates = np.matmul(w, embedded, out=every[some] if kept else None)
+            gates += b[:, None]
+            for t, g in enumerate(gates, at):
+                if anew[t]:
+                    h = h * ~fresh[t]
+                if kept:
+                    before[t], mine = h, inner[t]
+                np.matmul(u, h, out=mine)
+                zr, c = g[: 2 * n], g[2 * n :]
+                zr += mine[: 2 * n]
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                c += zr[n:] * mine[2 * n :]
+                np.tanh(c, out=c)
+                h = h - c
+                h *= zr[:n]
+                h += c
+                out[t] = h
+        return np.ascontiguousarray(out.transpose(0, 2, 1))
 
     def log_likelihood(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None, move=None):
         """Natural log-probability of each target given its state (rows); for targets
         outside the head, that of their class. With `grads`, the gradient by state too.
 
-        Rows are taken by class, in blocks that stay in the processor's cache. With `move`, the
-        gradients of a class's words go there at once, as (name, rows, gradient).
+        Rows are sorted by how often their word's class is halved, most often first, and by
+        word: those with a k-th halving come first, and those that share one are neighbours.
+        Classes are taken in blocks that stay in the processor's cache. With `move`, the gradients
+        of the words' weights go there at once, as (name, rows, gradient).
         """
         p, outside = self.p, len(self.bounds) - 1
-        kind = np.where(targets < self.head, self.class_of[np.minimum(targets, self.head - 1)], outside)
-        order = np.argsort(kind, kind="stable")
-        kind, states, targets = kind[order], states[order], targets[order]
+        targets = np.minimum(targets, self.head)
+        order = np.sort((self.place.take(targets) << 32) | np.arange(len(targets))) & 0xFFFFFFFF
+        states, targets = states.take(order, 0), targets.take(order)
+        kind = np.append(self.class_of, outside).take(targets)
         found = np.empty(len(targets))
         by = None if grads is None else np.empty_like(states)
         for at in range(0, len(targets), CACHED_ROWS):
             some, rows = slice(at, at + CACHED_ROWS), np.arange(min(CACHED_ROWS, len(targets) - at))
-            odds = states[some] @ p["wc"]
-            odds += p["bc"]
-            odds -= odds.max(axis=1, keepdims=True)
-            picked = odds[rows, kind[some]]
+            odds = p["wc"].T @ states[some].T
+            odds += p["bc"][:, None]
+            odds -= odds.max(axis=0)
+            picked = odds[kind[some], rows]
             np.exp(odds, out=odds)
-            total = odds.sum(axis=1, keepdims=True)
-            found[some] = picked - np.log(total[:, 0])
+            total = odds.sum(axis=0)
+            found[some] = picked - np.log(total)
             if grads is not None:
                 odds *= -1 / total
-                odds[rows, kind[some]] += 1
-                grads["wc"] += states[some].T @ odds
-                grads["bc"] += odds.sum(axis=0)
-                by[some] = odds @ p["wc"].T
-        ends = np.searchsorted(kind, np.arange(len(self.bounds)))
-        for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.bounds) > 1)).tolist():
-            some, words = slice(ends[c], ends[c + 1]), slice(self.bounds[c], self.bounds[c + 1])
-            mine, at = states[some], targets[some] - self.bounds[c]
-            rows = np.arange(len(mine))
-            own = mine @ p["wo"][words].T
-            own += p["bo"][words]
-            own -= own.max(axis=1, keepdims=True)
-            picked = own[rows, at]
-            np.exp(own, out=own)
-            total = own.sum(axis=1, keepdims=True)
-            found[some] += picked - np.log(total[:, 0])
+                odds[kind[some], rows] += 1
+                grads["wc"] += (odds @ states[some]).T
+                grads["bc"] += odds.sum(axis=1)
+                by[some] = odds.T @ p["wc"].T
+        first, halvings = self.first.take(targets), self.halved.take(targets)
+        own = (targets - first).astype(np.int32)
+        # 1 / probability of the halves taken so far: at most e^36 for each of 18 or fewer.
+        inverse = np.ones(int(np.count_nonzero(halvings)))
+        reach = np.arange(int(halvings[0]) if len(halvings) else 0)
+        for depth, count in enumerate(np.searchsorted(-halvings, -reach).tolist()):
+            left, mine = halvings[:count] - depth, states[:count]
+            part = own[:count] >> (left - 1)
+            nodes = first[:count] + (1 << depth) + (part >> 1)
+            toward = (2 * (part & 1) - 1).astype(states.dtype)
+            weights = p["wo"].take(nodes, 0)
+            against = np.einsum("ij,ij->i", weights, mine)
+            against += p["bo"].take(nodes)
+            against *= -toward
+            np.minimum(against, 36, out=against)
+            np.exp(against, out=against)
+            whole = against + 1
+            inverse[:count] *= whole
             if grads is not None:
-                own *= -1 / total
-                own[rows, at] += 1
-                by[some] += own @ p["wo"][words]
-                for name, g in (("wo", own.T @ mine), ("bo", own.sum(axis=0))):
+                g = against
+                g /= whole
+                g *= toward
+                weights *= g[:, None]
+                by[:count] += weights
+                starts = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
+                rows = nodes.take(starts)
+                for name, x in (("wo", run_sums(g[:, None] * mine, starts)), ("bo", np.add.reduceat(g, starts))):
                     if move is None:
-                        grads[name][words] = g
+                        grads[name][rows] = x
                     else:
-                        move(name, words, g)
+                        move(name, rows, x)
+        found[: len(inverse)] -= np.log(inverse)
         out = np.empty_like(found)
         out[order] = found
         if grads is None:
@@ -230,30 +329,57 @@ class Network:
         grads = {k: np.zeros(x.shape, x.dtype) for k, x in p.items() if move is None or k not in BY_WORD}
         states = self.states(inputs, fresh, h, keep)
         at = np.flatnonzero(live.ravel())
-        ll, by = self.log_likelihood(states.reshape(-1, n)[at], targets.ravel()[at], grads, move)
-        by_state = np.zeros((inputs.size, n), h.dtype)
-        by_state[at] = by
-        by_state = by_state.reshape(states.shape)
-        by_in = np.zeros((*inputs.shape, 3 * n), h.dtype)
-        later = np.zeros_like(h)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, c, inner = keep[t]
-            d = by_state[t] + later
-            dc = d * (1 - z) * (1 - c * c)
-            dz = d * (before - c) * z * (1 - z)
-            dr = dc * inner * r * (1 - r)
-            by_in[t] = np.concatenate([dz, dr, dc], axis=1)
-            by_inner = np.concatenate([dz, dr, dc * r], axis=1)
-            grads["u"] += before.T @ by_inner
-            later = d * z + by_inner @ p["u"].T
-            if fresh[t].any():
-                later *= ~fresh[t][:, None]
-        flat_in, ids = by_in.reshape(-1, 3 * n), inputs.ravel()
-        grads["b"] = flat_in.sum(axis=0)
-        grads["w"] = p["embed"][ids].T @ flat_in
-        order = np.argsort(ids, kind="stable")
-        words, starts = np.unique(ids[order], return_index=True)
-        by_input = np.add.reduceat((flat_in @ p["w"].T)[order], starts)
+        whole = len(at) == inputs.size
+        flat, wanted = states.reshape(-1, n), targets.ravel()
+        ll, by = self.log_likelihood(flat if whole else flat.take(at, 0), wanted if whole else wanted.take(at), grads, move)
+        if whole:
+            by_state = by
+        else:
+            by_state = np.zeros((inputs.size, n), h.dtype)
+            by_state[at] = by
+        by_state = np.ascontiguousarray(by_state.reshape(states.shape).transpose(0, 2, 1))
+        before, gates, inner = keep
+        later = np.zeros(by_state.shape[1:], h.dtype)
+        anew = fresh.any(axis=1).tolist()
+        by_embedded = np.empty((*inputs.shape, n), h.dtype)
+        grads["w"], grads["u"], grads["b"] = (np.zeros_like(p[k]) for k in ("w", "u", "b"))
+        for at in reversed(range(0, len(inputs), CACHED_STEPS)):
+            some = slice(at, at + CACHED_STEPS)
+            z, r, c = (gates[some, i * n : (i + 1) * n] for i in range(3))
+            # What the gradient by a state is multiplied with to give that by each gate's input.
+            by_c = 1 - c * c
+            by_c *= 1 - z
+            by_z = (before[some] - c) * z
+            by_z *= 1 - z
+            by_r = inner[some] * r
+            by_r *= 1 - r
+            by_r *= by_c
+            by_in = np.empty((len(z), 3 * n, inputs.shape[1]), h.dtype)
+            by_inner = np.empty_like(by_in)
+            for t in range(len(z) - 1, -1, -1):
+                d, mine = by_state[at + t], by_inner[t]
+                d += later
+                np.multiply(d, by_z[t], out=mine[:n])
+                np.multiply(d, by_r[t], out=mine[n : 2 * n])
+                dc = np.multiply(d, by_c[t], out=by_in[t, 2 * n :])
+                np.multiply(dc, r[t], out=mine[2 * n :])
+                later = p["u"] @ mine
+                d *= z[t]
+                later += d
+                if anew[at + t]:
+                    later *= ~fresh[at + t]
+            by_in[:, : 2 * n] = by_inner[:, : 2 * n]
+            grads["u"] += np.matmul(before[some], by_inner.transpose(0, 2, 1)).sum(axis=0)
+            flat_in = np.ascontiguousarray(by_in.transpose(0, 2, 1)).reshape(-1, 3 * n)
+            grads["b"] += flat_in.sum(axis=0)
+            grads["w"] += p["embed"].take(inputs[some].ravel(), 0).T @ flat_in
+            np.matmul(flat_in, p["w"].T, out=by_embedded[some].reshape(-1, n))
+        ids = inputs.ravel()
+        packed = np.sort((ids << 32) | np.arange(len(ids)))
+        order, ids = packed & 0xFFFFFFFF, packed >> 32
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        words = ids.take(starts)
+        by_input = run_sums(by_embedded.reshape(-1, n).take(order, 0), starts)
         if move is None:
             grads["embed"][words] = by_input
         else:
@@ -261,73 +387,121 @@ class Network:
         return float(ll.sum()), grads, states[-1]
 
 
-def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
-    """Documents dealt to lanes, longest first, each to the lane with the least so far."""
+SHORT_RUN = 4  # rows; longer runs are summed one by one
+
+
+def run_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, each from a place in `starts` to the next.
+
+    The same as add.reduceat, which takes far longer where most runs have a row or two.
+    """
+    sizes = np.diff(starts, append=len(rows))
+    out = rows.take(starts, 0)
+    more, done = np.flatnonzero((sizes > 1) & (sizes <= SHORT_RUN)), 1
+    while len(more):
+        sums = out.take(more, 0)
+        sums += rows.take(starts.take(more) + done, 0)
+        out[more] = sums
+        done += 1
+        more = more[sizes[more] > done]
+    if len(more := np.flatnonzero(sizes > SHORT_RUN)):
+        ends = np.stack([starts[more], starts[more] + sizes[more]], axis=1).ravel()
+        out[more] = np.add.reduceat(rows, ends[:-1] if ends[-1] == len(rows) else ends, axis=0)[::2]
+    return out
+
+
+def lanes(lengths: np.ndarray, count: int, begun: int = 0) -> list[list[int]]:
+    """Documents dealt to lanes, longest first, each to the lane with the least so far.
+
+    Before that, each of the first `begun` documents opens a lane of its own.
+    """
     import heapq
 
-    heap = [(0, i) for i in range(max(1, min(count, len(lengths))))]
-    out: list[list[int]] = [[] for _ in heap]
-    for doc in np.argsort(-lengths, kind="stable").tolist():
+    size = max(1, min(count, len(lengths)))
+    out = [[i] if i < begun else [] for i in range(max(size, begun))]
+    heap = [(int(lengths[i]) if i < begun else 0, i) for i in range(len(out))]
+    heapq.heapify(heap)
+    for doc in (begun + np.argsort(-lengths[begun:], kind="stable")).tolist():
         size, lane = heapq.heappop(heap)
         out[lane].append(doc)
         heapq.heappush(heap, (size + int(lengths[doc]), lane))
     return out
 
 
-def windows(ids: list[np.ndarray], begin: int, count: int, size: int):
+def windows(ids: list[np.ndarray], begin: int, count: int, size: int, begun: list[int] | None = None, left: list | None = None):
     """Window by window: the lanes still running, and matrices of time by those lanes.
 
     The matrices are inputs, targets, fresh (a document begins), live (not past a lane's
-    end) and the document each target belongs to.
+    end) and the document each target belongs to. The first documents go on after the inputs
+    `begun`, in the first lanes. With `left`, the windows end when fewer than half of the lanes
+    are running, and what is left goes there as (document, words done, lane).
     """
-    dealt = lanes(np.array([len(x) for x in ids]), count)
-    targets = [np.concatenate([ids[d] for d in lane]) for lane in dealt]
-    owners = [np.repeat(np.array(lane, np.int32), [len(ids[d]) for d in lane]) for lane in dealt]
-    sizes = np.array([len(t) for t in targets])
+    begun = begun or []
+    lengths = np.array([len(x) for x in ids], np.int64)
+    dealt = lanes(lengths, count, len(begun))
+    docs = np.array([d for lane in dealt for d in lane], np.int64)
+    targets = np.concatenate([ids[d] for d in docs.tolist()]).astype(np.int32, copy=False)
+    owners = np.repeat(docs.astype(np.int32), lengths[docs])
+    # Each word's input is the word before it, or the begin of a text.
+    opens = np.append(True, owners[1:] != owners[:-1])
+    inputs = np.where(opens, begin, np.append(begin, targets[:-1])).astype(np.int32)
+    sizes = np.array([lengths[lane].sum() for lane in dealt])
+    first = np.cumsum(sizes) - sizes
+    opens[first[: len(begun)]] = False
+    inputs[first[: len(begun)]] = begun
     for at in range(0, int(sizes.max()), size):
         running = np.flatnonzero(sizes > at)
-        shape = (min(size, int(sizes.max()) - at), len(running))
-        target, owner = np.zeros(shape, np.int64), np.full(shape, -1, np.int64)
-        before, before_owner = np.full(shape, begin, np.int64), np.full(shape, -1, np.int64)
-        for column, lane in enumerate(running.tolist()):
-            now = targets[lane][at : at + size]
-            target[: len(now), column] = now
-            owner[: len(now), column] = owners[lane][at : at + size]
-            low, skip = (at - 1, 0) if at else (0, 1)
-            before[skip : len(now), column] = targets[lane][low : at + len(now) - 1]
-            before_owner[skip : len(now), column] = owners[lane][low : at + len(now) - 1]
-        live = owner >= 0
-        fresh = live & (owner != before_owner)
-        yield running, np.where(fresh, begin, before), target, fresh, live, owner
+        if left is not None and 2 * len(running) < len(dealt):
+            for lane in running.tolist():
+                ends = np.cumsum(lengths[dealt[lane]])
+                starts = ends - lengths[dealt[lane]]
+                left += [(d, max(at - int(a), 0), lane) for d, a, b in zip(dealt[lane], starts, ends) if b > at]
+            return
+        steps = np.arange(at, min(at + size, int(sizes.max())))[:, None]
+        live = steps < sizes[running]
+        place = np.minimum(first[running] + steps, len(targets) - 1)
+        now = [x.take(place).astype(np.int64) for x in (inputs, targets, owners)]
+        fresh = opens.take(place)
+        if not live.all():
+            fresh &= live
+            now = [np.where(live, x, dead) for x, dead in zip(now, (begin, 0, -1))]
+        yield running, now[0], now[1], fresh, live, now[2]
 
 
 class Fitting:
     """Truncated backpropagation over a task's documents, block by block.
 
     Adam for the weights all words share. A word's own weights move only in windows that
-    concern the word or its class, by Adagrad on summed gradients.
+    concern the word or its class, by Adagrad on summed gradients, with one rate for a row.
     """
 
     def __init__(self, network: Network):
         self.net, self.step, self.seen = network, 0, 0
+        self.held: list[tuple] = []  # documents not yet done: words, and the last word and state of those begun
         self.first = {k: np.zeros_like(x) for k, x in network.p.items() if k not in BY_WORD}
-        self.second = {k: np.full_like(x, k in BY_WORD) for k, x in network.p.items()}
+        self.second = {k: np.ones(len(x), x.dtype) if k in BY_WORD else np.zeros_like(x) for k, x in network.p.items()}
 
     def move(self, name: str, rows, g: np.ndarray) -> None:
-        second = self.second[name][rows] + g * g
+        second = self.second[name].take(rows)
+        second += g * g if g.ndim == 1 else np.einsum("ij,ij->i", g, g) / g.shape[1]
         self.second[name][rows] = second
-        np.sqrt(second, out=second)
-        g *= WORD_RATE
-        g /= second
-        self.net.p[name][rows] += g
-
-    def block(self, ids: list[np.ndarray]) -> None:
-        ids = [x for x in ids if len(x)]
-        if not ids:
+        rate = WORD_RATE / np.sqrt(second)
+        g *= rate if g.ndim == 1 else rate[:, None]
+        g += self.net.p[name].take(rows, 0)
+        self.net.p[name][rows] = g
+
+    def block(self, ids: list[np.ndarray], more: bool = False) -> None:
+        """If `more` blocks follow, documents that few others run beside go on with the next."""
+        held = sorted(self.held, key=lambda x: x[1] is None) + [(x, None, None) for x in ids if len(x)]
+        if not held:
             return
+        ids, begun = [x for x, _, _ in held], [(last, h) for _, last, h in held if last is not None]
         net, count = self.net, int(np.clip(sum(map(len, ids)) // (WINDOW * TRAIN_STEPS), *TRAIN_LANES))
-        h = np.zeros((count, net.units), net.p["b"].dtype)
-        for running, inputs, targets, fresh, live, _ in windows(ids, net.begin, count, WINDOW):
+        h = np.zeros((max(count, len(begun)), net.units), net.p["b"].dtype)
+        for lane, (_, state) in enumerate(begun):
+            h[lane] = state
+        left = [] if more else None
+        for running, inputs, targets, fresh, live, _ in windows(ids, net.begin, count, WINDOW, [x for x, _ in begun], left):
             _, grads, h[running] = net.gradient(inputs, targets, fresh, live, h[running], self.move)
             size = int(live.sum())
             self.seen += size
@@ -340,6 +514,10 @@ class Fitting:
                 first += 0.1 * (g - first)
                 second += 0.001 * (g * g - second)
                 net.p[k] += rate * first / (np.sqrt(second / (1 - 0.999**self.step)) + 1e-8)
+        self.held = [
+            (ids[doc][done:], int(ids[doc][done - 1]), h[lane].copy()) if done else (ids[doc], *held[doc][1:])
+            for doc, done, lane in left or ()
+        ]
 
 
 def fit_part(network: Network, ids: list[np.ndarray]) -> tuple[Network, int]:
@@ -413,12 +591,14 @@ class Scorer:
     def block(self, texts: list[bytes | None]) -> list[tuple]:
         """(tokens, the four sums, rare words, log-likelihood) of each text."""
         found, ids = [], []
-        for text in texts:
-            words = tokens(text)
-            ranks = np.append(self.v.ranks(words), self.v.end_rank)
-            rare = [words[i] for i in np.flatnonzero(ranks < 0).tolist()]
+        flat, ends, words = self.v.coded(texts)
+        for own in np.split(flat, ends[:-1]):
+            ranks = np.append(own, self.v.end_rank)
             ids.append(self.v.ids(ranks))
-            found.append((len(words) + 1, *self._sums(ranks), rare))
+            found.append([len(ranks), *self._sums(ranks), []])
+        at = np.flatnonzero(flat < 0)
+        for doc, word in zip(np.searchsorted(ends, at, side="right").tolist(), words.take(pa.array(at)).to_pylist()):
+            found[doc][-1].append(word)
         ll, _ = score_ids(self.net, ids)
         return [(*f, x) for f, x in zip(found, ll.tolist())]
 
@@ -441,24 +621,17 @@ class Scorer:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their counts; null stands for the end token."""
-    counts: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+    """Words with their counts, block by block of texts; null stands for the end token."""
+    for held in blocks_of(text for batch in batches for text in batch.column(0).to_pylist()):
+        words, counts = words_of(held)
+        counted = words.value_counts()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([counted.field("values"), pa.nulls(1, pa.binary())]),
+                pa.concat_arrays([counted.field("counts"), pa.array([len(counts)], pa.int64())]),
+            ],
+            names=["word", "n"],
         )
-        counts.clear()
-        return rows
-
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts[None] += 1
-            for part in text_parts(text or b""):
-                counts.update(tokens(part))
-                if len(counts) > COUNT_LIMIT:
-                    yield out()
-    yield out()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -522,13 +695,14 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v, ids, size = shared.value, [], 0
             fitting = Fitting(Network(v, kind=np.float32, flat=start.value.copy()))
-            for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    own = [v.ids(v.ranks(tokens(part))) for part in text_parts(text or b"")]
-                    ids.append(np.concatenate([*own, v.ids(np.array([v.end_rank]))]).astype(np.int32))
+            end = v.ids(np.array([v.end_rank])).astype(np.int32)
+            for texts in blocks_of(text for batch in batches for text in batch.column("text").to_pylist()):
+                ranks, ends, _ = v.coded(texts)
+                for own in np.split(v.ids(ranks).astype(np.int32), ends[:-1]):
+                    ids.append(np.append(own, end))
                     size += len(ids[-1])
                     if size > TRAIN_BLOCK:
-                        fitting.block(ids)
+                        fitting.block(ids, more=True)
                         ids, size = [], 0
             fitting.block(ids)
             if fitting.seen:
@@ -561,7 +735,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Netw
     return network
 
 
-_SUMS = "n long, logs double, rest double, known double, outside double, rare array<binary>, ll double"
+_SUMS = "n long, logs double, rest double, known double, outside double, rare map<binary, bigint>, ll double"
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
@@ -604,7 +778,7 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int,
                     batch.column(1),
                     pa.array(columns[0], pa.int64()),
                     *sums,
-                    pa.array(columns[5], pa.list_(pa.binary())),
+                    pa.array([list(Counter(x).items()) for x in columns[5]], pa.map_(pa.binary(), pa.int64())),
                     pa.array(columns[6], pa.float64()),
                 ],
                 names=["id", "held_out", "n", "logs", "rest", "known", "outside", "rare", "ll"],
@@ -613,8 +787,7 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int,
     kinds = f"id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, {_SUMS}"
     scored = stored(rows.mapInArrow(run, kinds).withColumn("row", F.monotonically_increasing_id()))
     # Words beyond the known ones: each document's are joined with the counts.
-    words = scored.select("row", F.explode("rare").alias("word"))
-    words = words.groupBy("row", "word").agg(F.count("*").alias("times"))
+    words = scored.select("row", F.explode("rare").alias("word", "times"))
     joined = words.join(counts, "word").groupBy("row").agg(
         F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more")
     )

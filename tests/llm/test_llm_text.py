@@ -534,6 +534,75 @@ def test_rows_in_blocks_give_the_same_gradient(small, monkeypatch):
     assert np.allclose(total(), whole)
 
 
+def test_a_token_takes_a_term_a_class_and_halving_not_a_word():
+    counts = np.sort((1e6 / np.arange(1, 20_001) ** 1.1).astype(np.int64))[::-1]
+    v = lm.Vocabulary([None, *(b"%d" % i for i in range(1, 20_000))], counts, int(counts.sum()) + 9, 20_009)
+    net = lm.Network(v, 8)
+    assert v.classes <= 80 and net.halved.max() <= 14
+    net.p["wo"] += np.random.default_rng(2).normal(size=net.p["wo"].shape)
+    state = np.random.default_rng(1).normal(size=8)
+    odds = np.exp(state @ net.p["wc"] + net.p["bc"])
+    for word in (0, 1, 7, 333, 5000, 19_998, 19_999):
+        kind = int(np.searchsorted(v.bounds, word, side="right")) - 1
+        low, high = v.bounds[kind : kind + 2].tolist()
+        whole, node, first = odds[kind] / odds.sum(), 1, low
+        while high - low > 1:
+            mid = (low + high) // 2
+            late = 1 / (1 + np.exp(-(state @ net.p["wo"][first + node] + net.p["bo"][first + node])))
+            whole, node = whole * (late if word >= mid else 1 - late), 2 * node + (word >= mid)
+            low, high = (mid, high) if word >= mid else (low, mid)
+        assert abs(net.log_likelihood(state[None], np.array([word]))[0][0] - np.log(whole)) < 1e-9
+    every = net.log_likelihood(np.repeat(state[None], 20_001, 0), np.arange(20_001))[0]
+    assert abs(np.exp(every).sum() - 1) < 1e-9
+
+
+def test_an_unfitted_network_begins_at_word_frequencies():
+    counts = np.arange(300, 0, -1)
+    v = lm.Vocabulary([None, *(b"%d" % i for i in range(1, 300))], counts, int(counts.sum()), 300)
+    found = lm.Network(v, 4).log_likelihood(np.zeros((300, 4)), np.arange(300))[0]
+    assert np.allclose(np.exp(found), (counts + 1) / (counts.sum() + 301), rtol=1e-4)
+
+
+def test_words_of_many_texts_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(common, "TEXT_PART", 20)
+    texts = [b" A\x0bb\x0cC\td\ne\rf\x1cg\x85h\xa0i \xc3\x89A ", None, b"", b"  ", b"word " * 30, b"\xff\xfe x"]
+    words, counts = lm.words_of(texts)
+    assert np.split(words.to_pylist(), np.cumsum(counts)[:-1])[4].tolist() == [b"word"] * 30
+    assert words.to_pylist() == [w for t in texts for w in lm.tokens(t)]
+    assert counts.tolist() == [len(lm.tokens(t)) for t in texts]
+
+
+def test_run_sums():
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(500, 3))
+    starts = np.unique(np.append(0, draw.integers(0, 120, 90)))
+    for some in (starts, np.append(starts, 499), np.arange(500), np.array([0])):
+        assert np.allclose(lm.run_sums(rows, some), np.add.reduceat(rows, some))
+
+
+def test_documents_held_over_go_on_with_the_next_block(small, monkeypatch):
+    monkeypatch.setattr(lm, "TRAIN_LANES", (4, 4))
+    monkeypatch.setattr(lm, "WINDOW", 8)
+    ids = [np.arange(k) % 6 for k in (400, 7, 9, 300, 20, 500, 8, 3, 90, 60)]
+    fitting, seen = lm.Fitting(lm.Network(small, 4)), []
+    gradient = fitting.net.gradient
+
+    def watched(inputs, targets, fresh, live, h, move):
+        assert ((inputs == fitting.net.begin) == (fresh | ~live)).all()
+        # Words go round in order, so a document that goes on must have kept its last word.
+        assert ((inputs + 1) % 6 == targets)[live & ~fresh].all() and (targets[fresh] == 0).all()
+        assert (h[~fresh[0]] != 0).all()
+        seen.append(int(fresh.sum()))
+        return gradient(inputs, targets, fresh, live, h, move)
+
+    monkeypatch.setattr(fitting.net, "gradient", watched)
+    for at in range(0, 10, 5):
+        fitting.block(ids[at : at + 5], more=True)
+        assert fitting.held
+    fitting.block([])
+    assert fitting.seen == sum(map(len, ids)) and sum(seen) == len(ids) and not fitting.held
+
+
 def test_scores_equal_counted_by_hand(spark, monkeypatch):
     monkeypatch.setattr(lm, "KNOWN_WORDS", 6)
     draw = random.Random(8)

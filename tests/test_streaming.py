@@ -1,10 +1,12 @@
 """The continuous job: splits, restarts, repeats, retractions, failures."""
 
 import datetime as dt
+import json
 import os
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from conftest import SMALL, Log, envelope, golden, order, rows, same_rows
 from pyspark.sql import functions as F
@@ -303,6 +305,45 @@ def test_neighbouring_keys_share_their_state(spark, tmp_path):
     assert sorted(len(r.value["keys"]) for r in state.collect()) == [1, 1, 4]
 
 
+def test_rows_of_a_block_are_kept_packed():
+    rows = [[str(n), None if n % 3 else "x", "CREATED", f'{n}.00 "\u00e9"', "mysql-bin.000001"] for n in range(64)]
+    block = keyed.packed(rows)
+    assert [list(r) for r in zip(*keyed.unpacked(block))] == rows
+    assert len(block) < len(json.dumps(rows)) / 4
+    batch = pa.RecordBatch.from_arrays([pa.array([block] * 300)], ["rows"])
+    got = list(keyed._rows_of(iter([batch]), list("abcde")))
+    assert [b.num_rows for b in got] == [256 * 64, 44 * 64] and got[1].to_pylist()[1] == dict(zip("abcde", rows[1]))
+
+
+def kept_files(spark, root):
+    """Files of changes below a checkpoint, and shuffle files of the session."""
+    shuffles = [f for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+                for _, _, files in os.walk(d.getPath()) for f in files if f.startswith("shuffle_")]
+    return [f for _, _, files in os.walk(root) for f in files if f.endswith(".changelog")], set(shuffles)
+
+
+@pytest.mark.parametrize("stamps", [True, False])
+def test_catching_up_leaves_no_logs_of_changes_and_no_shuffles(spark, tmp_path, small_feed, stamps):
+    """A job that goes on by the clock takes over from there, and is taken over."""
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"), tables=(CURRENT, VALID), stamps=stamps)
+    before = kept_files(spark, pipeline.root)[1]
+    for part in ("offset % 8 = 0", "offset % 8 = 1"):
+        take_in(spark, source, pipeline, small_feed.filter(part))
+    logs, shuffles = kept_files(spark, pipeline.root)
+    assert not logs and not shuffles - before
+    deliver(small_feed.filter("offset % 8 IN (2, 3)"), source)
+    (query,) = start(read_feed_files(spark, source, streaming=True), pipeline, every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert kept_files(spark, pipeline.root)[0]
+    take_in(spark, source, pipeline, small_feed.filter("offset % 8 > 3"))
+    twins = batch_twins(small_feed)
+    for table in (CURRENT, VALID):
+        same_rows(read_output(spark, pipeline, table), twins[table])
+
+
 # Positions taken in
 
 

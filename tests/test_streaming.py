@@ -6,6 +6,8 @@ import os
 import random
 import time
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from conftest import SMALL, Log, envelope, golden, order, rows, same_rows
@@ -370,6 +372,58 @@ def test_ranges_merge_and_answer():
         assert [n for n in range(60) if taken.holds(more, n)] == sorted(offsets | set(range(10, 21)))
 
 
+def test_a_block_with_many_gaps_is_kept_as_bits(spark, tmp_path):
+    """It says the same, takes no more than a bit for each offset, and is ranges again once filled."""
+    rng = random.Random(6)
+    for block in (-1, 0, 3):
+        for n in (0, 1, 100, 30_000, 65_536):
+            offsets = sorted(rng.sample(range(block << 16, (block + 1) << 16), n))
+            seen = np.zeros(1 << 16, bool)
+            seen[np.array(offsets, int) - (block << 16)] = True
+            ranges, bits = taken.kept_of(block, seen)
+            plain = taken.merged((o, o) for o in offsets)
+            assert (ranges, bits) == (plain, None) if len(plain) <= taken.MOST_RANGES else not ranges and len(bits) < 8300
+            assert (taken.seen_of(block, ranges, bits) == seen).all()
+    feed = spark.range(70_000).selectExpr("'t' topic", "0 partition", "id offset", "timestamp_millis(0) timestamp", "'k' key", "'v' value")
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    held = []
+    for n, part in enumerate(("offset % 3 = 0", "offset % 3 < 2", "offset < 66000", "offset > 5")):
+        pipeline = Pipeline(root, tables=(RAW,), checkpoint_name="_checkpoint" if n < 2 else "_anew")
+        take_in(spark, source, pipeline, feed.where(part))
+        state = spark.read.format("statestore").option("stateVarName", "taken").load(pipeline.checkpoint("events"))
+        held.append(sorted((len(r.value.ranges), r.value.bits is None) for r in state.collect()))
+    same_rows(read_output(spark, pipeline, RAW).select("kafka_offset"), feed.select(F.col("offset").alias("kafka_offset")))
+    assert held == [[(0, False)] * 2] * 2 + [[(0, False), (1, True)], [(1, True)] * 2]
+
+
+def test_known_positions_start_the_state_without_a_list_column(spark):
+    """Arrow goes over a batch's nulls of a list column once more for each record beside it."""
+
+    class Held:
+        value = None
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    job, held = taken.Taken(), Held()
+    job.init(held)
+    many = spark.range(600).selectExpr("'t' topic", "0 partition", "2 * id offset").where("offset < 1000")
+    for positions, bits in ((many.where("offset < 4"), False), (many, True)):
+        known = taken.ranges_of(positions).withColumn("ranges", F.to_json("ranges")).toPandas()
+        job.handleInitialState(("t", 0, 0), known, None)
+        assert bool(held.value[1]) == bits
+        frame = pd.DataFrame([("t", 0, n, "0", "k", "v") for n in (1, 2, 1, 1000, 0)], columns=FEED.names)
+        (got,) = job.handleInputRows(("t", 0, 0), iter([frame]), None)
+        assert got["offset"].tolist() == [1, 1000]
+        assert taken.seen_of(0, *held.value).sum() == positions.count() + 2
+
+
 def test_ranges_of_a_table_equal_plain_ones(spark):
     rng = random.Random(3)
     positions = [("t", p, n + 65500 * (n % 2)) for p in range(3) for n in rng.sample(range(300), 200)]

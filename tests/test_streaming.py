@@ -346,6 +346,18 @@ def test_catching_up_leaves_no_logs_of_changes_and_no_shuffles(spark, tmp_path,
         same_rows(read_output(spark, pipeline, table), twins[table])
 
 
+def test_the_whole_job_leaves_no_shuffles_behind(spark, tmp_path, small_feed):
+    """Nor logs of changes; a new checkpoint over the same tables neither."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    before = kept_files(spark, root)[1]
+    for name, part in (("_checkpoint", "offset % 8 < 2"), ("_checkpoint", "offset % 8 > 1"), ("_anew", "offset < 80")):
+        pipeline = Pipeline(root, stamps=False, checkpoint_name=name)
+        take_in(spark, source, pipeline, small_feed.filter(part))
+        logs, shuffles = kept_files(spark, root)
+        assert not logs and not shuffles - before
+    assert_tables(spark, pipeline, small_feed)
+
+
 # Positions taken in
 
 
